@@ -1,0 +1,16 @@
+"""Access to the test tables (one Parquet file per table under an sf dir)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name not in TABLES:
+        raise KeyError(f"unknown table {name!r}")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
