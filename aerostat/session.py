@@ -35,7 +35,7 @@ def build_session(
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.sql.session.timeZone", "UTC")
     for k, v in RUNTIME_CONF.items():
         b = b.config(k, v)
