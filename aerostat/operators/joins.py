@@ -54,18 +54,52 @@ def left_join(
     right_keys: str | Sequence[str] | None = None,
     *,
     broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS,
+    spread_null_keys: bool = True,
+    null_key_buckets: int = 64,
 ) -> DataFrame:
     """Left outer equi-join keeping both key columns.
 
     Null keys never match; duplicate right keys fan a left row out; no
     dedup. The right side is broadcast only behind the size probe; pass
-    ``broadcast_max_rows=None`` to skip the probe (planner decides).
+    ``broadcast_max_rows=None`` to skip the probe. Beyond the bound the
+    join is shuffled on the key, with null-key left rows spread over
+    ``null_key_buckets`` partitions instead of piling into one; a hot
+    non-null key is split by AQE's skew-join handling.
     """
     lk, rk = _keys(left_keys, right_keys)
-    r = right
-    if broadcast_max_rows is not None:
-        r = checked_broadcast(right, broadcast_max_rows)
-    return left.join(r, _cond(left, r, lk, rk), "left")
+    if broadcast_max_rows is not None and at_most(right, broadcast_max_rows):
+        r = F.broadcast(right)
+        return left.join(r, _cond(left, r, lk, rk), "left")
+    if not spread_null_keys:
+        return left.join(right, _cond(left, right, lk, rk), "left")
+    return _shuffled_left_join(left, right, lk, rk, null_key_buckets)
+
+
+NULL_SALT = "__null_salt"
+
+
+def _shuffled_left_join(left: DataFrame, right: DataFrame, lk, rk, buckets: int) -> DataFrame:
+    """Shuffled left join whose null-key rows are spread over ``buckets`` tasks.
+
+    A left row with a null in any key can never match, yet a plain
+    hash-partitioned join sends every such row to the one partition of the
+    null key — a hot partition when many keys are missing. A salt column is
+    added to the join keys: 0 for every row that can match (and for every
+    right row), a deterministic hash bucket in 1..buckets for a null-key
+    left row. Matching pairs are unchanged; the unmatchable rows spread out.
+    """
+    any_null = F.lit(False)
+    for k in lk:
+        any_null = any_null | F.col(k).isNull()
+    spread = F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)).cast("int")
+    lsalt = F.when(any_null, spread).otherwise(F.lit(0))
+    l2 = left.withColumn(NULL_SALT, lsalt)
+    rsalt_name = NULL_SALT + "_r"
+    # non-foldable 0 on the right so the salt stays a shuffle key
+    rsalt = F.when(F.col(rk[0]).isNull(), F.lit(-1)).otherwise(F.lit(0))
+    r2 = right.withColumn(rsalt_name, rsalt)
+    cond = _cond(l2, r2, lk, rk) & (l2[NULL_SALT] == r2[rsalt_name])
+    return l2.join(r2, cond, "left").drop(NULL_SALT, rsalt_name)
 
 
 def semi_join(

@@ -40,8 +40,12 @@ def accepted_records(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
     ``explode`` drops an accepted envelope whose array is empty, as the
     request loop appended nothing for it.
     """
-    ok = env.where(reject_reason(F.col(status), F.col(body), record).isNull())
-    rec = ok.select(*keys, F.explode(_data(F.col(body), record)).alias("r"))
+    # The body is parsed once: ``explode`` of null yields no rows, so a
+    # non-200 or data-less envelope simply produces nothing (no separate
+    # filter that would parse the body a second time).
+    parsed = env.select(*keys, F.col(status).alias("__status"), _data(F.col(body), record).alias("__data"))
+    accepted = F.when(F.col("__status") == 200, F.col("__data"))
+    rec = parsed.select(*keys, F.explode(accepted).alias("r"))
     return rec.select(*keys, "r.*")
 
 

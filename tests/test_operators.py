@@ -120,3 +120,20 @@ def test_scalars(spark):
     # 17:30 UTC is 00:30 next day in Bangkok (UTC+7)
     assert r.day == "2024-01-03" and r.ago == dt.date(2024, 1, 4) - dt.timedelta(days=7)
     assert r.rng == [dt.date(2024, 1, 8) + dt.timedelta(days=i) for i in range(8)]
+
+
+def test_shuffled_left_join_spreads_null_keys(spark):
+    # a third of the left rows have a null key; right has a null key too
+    left = spark.range(0, 3000, numPartitions=6).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 40).alias("k"))
+    right = spark.createDataFrame([(i, i * 10) for i in range(0, 30)] + [(None, -1)], "rk long, v long")
+    got = joins.left_join(left, right, "k", "rk", broadcast_max_rows=5)
+    want = left.join(right, left.k == right.rk, "left")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # shuffled on (key, salt); AQE may still turn it into a broadcast at
+    # runtime when the right side turns out small
+    assert "__null_salt" in _plan(got)
+    # null-key rows land in many partitions, not one
+    parts = joins.left_join(left, right, "k", "rk", broadcast_max_rows=5).where(F.col("k").isNull()) \
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
