@@ -133,7 +133,18 @@ def test_shuffled_left_join_spreads_null_keys(spark):
     # shuffled on (key, salt); AQE may still turn it into a broadcast at
     # runtime when the right side turns out small
     assert "__null_salt" in _plan(got)
-    # null-key rows land in many partitions, not one
-    parts = joins.left_join(left, right, "k", "rk", broadcast_max_rows=5).where(F.col("k").isNull()) \
-        .select(F.spark_partition_id().alias("p")).distinct().count()
+    # null-key rows land in many partitions, not one (runtime re-planning off
+    # so the tiny test shuffle is neither coalesced nor broadcast)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        parts = joins.left_join(left, right, "k", "rk", broadcast_max_rows=5).where(F.col("k").isNull()) \
+            .select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert parts > 1
