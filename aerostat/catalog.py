@@ -41,6 +41,7 @@ from aerostat.operators.flatten import flatten
 from aerostat.operators.setops import union_all
 from aerostat.session import scratch_path
 from aerostat.sources import envelopes
+from aerostat.sources.feeds import weather as shape_weather
 from aerostat.sources.tables import as_view, scan_parquet
 from aerostat.tables import table
 
@@ -327,6 +328,12 @@ def q_envelope_rejects(spark, sf):
     return envelopes.reject_summary(envelopes.rejected(env, ENVELOPE_RECORD), "n")
 
 
+def q_route_status(spark, sf):
+    per_env = envelopes.per_route_status(_events_envelopes(spark, sf), ENVELOPE_RECORD)
+    return per_env.groupBy("dep", "outcome").agg(
+        F.count(F.lit(1)).alias("responses"), F.sum("records").alias("records"))
+
+
 def q_format_day(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", format_day("ts").alias("day"))
@@ -337,6 +344,43 @@ def q_day_range(spark, sf):
     return e.select(F.explode(day_range("e", 7)).alias("day"))
 
 
+# Segment -> code lookup standing in for city -> airport code (BUILDING unmapped).
+SEGMENT_CODES = {"AUTOMOBILE": "AUT", "FURNITURE": "FUR", "HOUSEHOLD": "HOU", "MACHINERY": "MAC"}
+
+
+def _weather_wrappers(spark, sf) -> DataFrame:
+    """Weather responses built from customer rows, with loosely typed leaves.
+
+    temp is a JSON number (AUTOMOBILE), a numeric string (FURNITURE), a
+    blank-padded numeric string (HOUSEHOLD), a boolean (MACHINERY) or junk
+    text (BUILDING); wind is absent for a negative balance; the condition
+    list holds the customer name for a positive balance and is empty else.
+    """
+    c = table(spark, sf, "customer")
+    bal = F.col("c_acctbal").cast("string")
+    seg = F.col("c_mktsegment")
+    temp = (
+        F.when(seg == "AUTOMOBILE", bal)
+        .when(seg == "FURNITURE", F.concat(F.lit('"'), bal, F.lit('"')))
+        .when(seg == "HOUSEHOLD", F.concat(F.lit('" '), bal, F.lit(' "')))
+        .when(seg == "MACHINERY", F.when(F.col("c_acctbal") > 0, F.lit("true")).otherwise(F.lit("false")))
+        .otherwise(F.lit('"n/a"'))
+    )
+    nk = F.col("c_nationkey").cast("string")
+    wind = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.concat(F.lit('"wind": {"speed": '), nk, F.lit("}, ")))
+    cond = F.when(F.col("c_acctbal") > 0, F.to_json(F.array(F.struct(F.col("c_name").alias("main")))))
+    body = F.concat(F.lit('{"main": {"temp": '), temp, F.lit(', "humidity": '), nk, F.lit("}, "), wind,
+                    F.lit('"weather": '), F.coalesce(cond, F.lit("[]")), F.lit("}"))
+    return c.select("c_custkey", seg.alias("city"), seg.alias("query"), F.try_parse_json(body).alias("data"))
+
+
+def q_weather_shape(spark, sf):
+    w = shape_weather(_weather_wrappers(spark, sf), "intent", SEGMENT_CODES, keep=["c_custkey"])
+    return w.select("c_custkey", "city", "iata", F.round(F.col("temp").cast("double"), 2).alias("temp"),
+                    F.col("humidity").cast("double").alias("humidity"), "weather",
+                    F.col("wind_speed").cast("double").alias("wind_speed"))
+
+
 QUERIES: dict[str, Query] = {
     "json_path": q_json_path,
     "json_path_default": q_json_path_default,
@@ -374,6 +418,8 @@ QUERIES: dict[str, Query] = {
     "envelope_rejects": q_envelope_rejects,
     "format_day": q_format_day,
     "day_range": q_day_range,
+    "weather_shape": q_weather_shape,
+    "route_status": q_route_status,
 }
 
 
@@ -452,6 +498,22 @@ ORACLE_SQL: dict[str, str] = {
     "format_day": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
     "day_range": """SELECT CAST(unnest(generate_series(CAST(e AS TIMESTAMP) - INTERVAL 7 DAY, CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
         FROM (SELECT MAX(CAST(ts AS DATE)) AS e FROM events) m""",
+    "route_status": """SELECT dep, outcome, COUNT(*) AS responses, CAST(SUM(records) AS BIGINT) AS records FROM (
+          SELECT event_type AS dep,
+                 CASE WHEN event_type <> 'error' AND value >= 20 THEN 1 ELSE 0 END AS records,
+                 CASE WHEN event_type = 'error' THEN 'http_error' WHEN value < 5 THEN 'request_failed'
+                      WHEN value < 20 THEN 'no_data' ELSE 'ok' END AS outcome
+          FROM events) x GROUP BY dep, outcome""",
+    "weather_shape": """SELECT c_custkey, c_mktsegment AS city,
+          CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'AUT' WHEN 'FURNITURE' THEN 'FUR'
+                            WHEN 'HOUSEHOLD' THEN 'HOU' WHEN 'MACHINERY' THEN 'MAC' END AS iata,
+          ROUND(CAST(CASE c_mktsegment WHEN 'BUILDING' THEN NULL
+                                       WHEN 'MACHINERY' THEN CASE WHEN c_acctbal > 0 THEN 1.0 ELSE 0.0 END
+                                       ELSE CAST(c_acctbal AS FLOAT) END AS DOUBLE), 2) AS temp,
+          CAST(c_nationkey AS DOUBLE) AS humidity,
+          CASE WHEN c_acctbal > 0 THEN c_name ELSE 'Unknown' END AS weather,
+          CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_nationkey AS DOUBLE) END AS wind_speed
+        FROM customer""",
 }
 
 assert set(QUERIES) == set(ORACLE_SQL), set(QUERIES) ^ set(ORACLE_SQL)

@@ -72,7 +72,8 @@ def read_flights(spark: SparkSession, paths, multiline: bool = True, with_day: b
     return flights(read_json_records(spark, paths, schemas.FLIGHT_RAW, multiline, with_day))
 
 
-def weather(raw: DataFrame, condition_mode: str = "intent", city_to_iata=CITY_TO_IATA) -> DataFrame:
+def weather(raw: DataFrame, condition_mode: str = "intent", city_to_iata=CITY_TO_IATA,
+            keep: Sequence[str] = ()) -> DataFrame:
     """Shape weather wrappers into the fixed weather frame.
 
     * ``iata`` by lookup of the city (J2), null for an unknown city;
@@ -83,6 +84,8 @@ def weather(raw: DataFrame, condition_mode: str = "intent", city_to_iata=CITY_TO
       non-blank string, else ``'Unknown'`` (X3, P4).
       ``condition_mode="reference"`` reproduces the original helper, which
       never descends into the list and so always yields ``'Unknown'``.
+
+    ``keep`` carries extra raw columns through after the contract columns.
     """
     d = F.col("data")
     if condition_mode == "reference":
@@ -91,7 +94,7 @@ def weather(raw: DataFrame, condition_mode: str = "intent", city_to_iata=CITY_TO
         condition = default_unknown(variant_string(d, "$.weather[0].main"))
     else:
         raise ValueError(f"unknown condition_mode {condition_mode!r}")
-    extra = ["ingest_date"] if "ingest_date" in raw.columns else []
+    extra = list(keep) + (["ingest_date"] if "ingest_date" in raw.columns and "ingest_date" not in keep else [])
     return raw.select(
         F.col("city"),
         lookup(F.col("city"), city_to_iata).alias("iata"),
