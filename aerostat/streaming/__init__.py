@@ -1,0 +1,8 @@
+"""Incremental pickup of newly landed feed days.
+
+The original jobs are daily batches started by a scheduler; there is no
+event stream, watermark or state. This package only replaces "run the
+transform for today's folder" with a file-source stream that finds every
+newly landed day (including late or missed ones) and runs the same daily
+transform for it.
+"""

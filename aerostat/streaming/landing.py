@@ -1,0 +1,69 @@
+"""Newly landed flight files -> clean partitions, via Structured Streaming.
+
+A file-source stream over ``{raw}/flight/*/data.json`` lists files not seen
+before (the checkpoint records them). Each micro-batch holds whole day
+files; its flight rows are flattened, joined to the weather of the same
+days and written with dynamic partition overwrite, so replaying a batch
+after a failure rewrites the same partitions (idempotent sink).
+``trigger(availableNow=True)`` processes everything landed so far and
+stops, which is how a scheduler would run it.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aerostat import schemas
+from aerostat.plans.daily import FLIGHT_FEED, WEATHER_FEED, clean_rows
+from aerostat.session import shared_dir
+from aerostat.sources.feeds import DAY_FROM_PATH, day_path, flights, read_weather
+from aerostat.operators.sinks import write_partitioned
+
+
+def default_checkpoint(spark: SparkSession, name: str) -> str:
+    """Stream checkpoint under the cluster-shared ``spark.checkpoint.dir``."""
+    return os.path.join(shared_dir(spark), "aerostat", "streams", name)
+
+
+def _process(spark: SparkSession, raw_root: str, clean_root: str, multiline: bool, condition_mode: str):
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_FROM_PATH, 1))
+        fl = flights(batch.withColumn("ingest_date", day))
+        # the distinct days of one micro-batch: a handful of keys, not data
+        days = [r[0] for r in fl.select("ingest_date").distinct().collect() if r[0] is not None]
+        if not days:
+            return
+        wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d) for d in days], multiline,
+                          with_day=True, condition_mode=condition_mode)
+        write_partitioned(clean_rows(fl, wx), clean_root, "ingest_date")
+    return run
+
+
+def transform_new_days(
+    spark: SparkSession,
+    raw_root: str,
+    clean_root: str,
+    checkpoint: str | None = None,
+    multiline: bool = True,
+    condition_mode: str = "intent",
+    max_files_per_trigger: int | None = None,
+):
+    """Start the stream (availableNow) and return the ``StreamingQuery``."""
+    reader = (
+        spark.readStream.schema(schemas.FLIGHT_RAW)
+        .option("multiLine", multiline)
+        .option("mode", "FAILFAST")
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.json(f"{raw_root.rstrip('/')}/{FLIGHT_FEED}/*/data.json")
+    src = src.select("*", "_metadata")
+    return (
+        src.writeStream.foreachBatch(_process(spark, raw_root, clean_root, multiline, condition_mode))
+        .option("checkpointLocation", checkpoint or default_checkpoint(spark, "landing"))
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -1,0 +1,31 @@
+"""Incremental pickup of landed days: each day transformed once, late days too."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+from aerostat.streaming.landing import transform_new_days
+from tests.conftest import flight, weather, write_feed
+
+
+def _land(root, day, n):
+    write_feed(root, "flight", day, [flight(f"F{day[-2:]}{i}", "BKK", "NRT", f"{day}T0{i}:00:00", "X") for i in range(n)])
+    write_feed(root, "weather", day, [weather("Tokyo", temp=20)])
+
+
+def test_new_days_are_picked_up_once(spark, workdir):
+    raw, clean, ckpt = f"{workdir}/raw", f"{workdir}/clean", f"{workdir}/ckpt"
+    _land(raw, "2025-04-01", 2)
+    _land(raw, "2025-04-02", 3)
+    q = transform_new_days(spark, raw, clean, ckpt)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    first = spark.read.parquet(clean)
+    assert first.count() == 5 and first.where("city = 'Tokyo'").count() == 5
+    _land(raw, "2025-03-31", 4)  # a late (earlier) day
+    q = transform_new_days(spark, raw, clean, ckpt)
+    q.awaitTermination(120)
+    got = {r.ingest_date: r["count"] for r in spark.read.parquet(clean).groupBy("ingest_date").count().collect()}
+    assert got == {dt.date(2025, 3, 31): 4, dt.date(2025, 4, 1): 2, dt.date(2025, 4, 2): 3}
+    assert os.path.isdir(ckpt)
