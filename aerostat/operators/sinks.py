@@ -39,11 +39,13 @@ def write_partitioned(df: DataFrame, root: str, partition_col: str = "ingest_dat
     """Overwrite only the partitions present in ``df`` (K1).
 
     Dynamic partition overwrite keeps every other day (and the null
-    partition) untouched. Rows are clustered by the partition column first
-    so each task writes few files per partition.
+    partition) untouched. The ``rebalance`` hint clusters rows by the
+    partition column so each task writes few files per partition, while
+    AQE splits a partition that is too large — one day holding a third of
+    all rows is written by many tasks, not one.
     """
     (
-        df.repartition(partition_col)
+        df.hint("rebalance", partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -130,6 +132,63 @@ def backfill_rows(
     return existing.where(keep_old).unionByName(batches.where(in_range & keep_new).drop(file_day_col))
 
 
+# --- K2 / K7 on a table partitioned by the delete key ----------------------
+
+def _overwrite_date(spark: SparkSession, table: str, rows: DataFrame, date_col: str, day: dt.date) -> None:
+    """Replace partition ``date_col = day`` by ``rows`` (possibly none).
+
+    A static-partition ``INSERT OVERWRITE`` removes the partition's files
+    even when ``rows`` is empty (``ALTER TABLE ... DROP PARTITION`` on an
+    external table would only unregister it and leave the files behind).
+    """
+    view = f"__rows_{uuid.uuid4().hex[:12]}"
+    rows.drop(date_col).createOrReplaceTempView(view)
+    cols = ", ".join(f"`{c}`" for c in rows.columns if c != date_col)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({date_col} = DATE '{day}') SELECT {cols} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def replace_date_partition(spark: SparkSession, table: str, batch: DataFrame, date_col: str,
+                           day: str | dt.date) -> None:
+    """``replace_rows`` on a table partitioned by ``date_col``, cost ∝ batch (K2).
+
+    Partition ``date = day`` becomes the batch rows of that date; the other
+    batch rows are appended to their own date partitions (the null-date
+    partition is only ever appended to). Two statements, like the original
+    delete + insert; use ``publish_version`` when readers must never see
+    the intermediate state.
+    """
+    d = dt.date.fromisoformat(str(day))
+    c = F.col(date_col)
+    _overwrite_date(spark, table, batch.where(c == date_literal(d)), date_col, d)
+    batch.where(~c.eqNullSafe(date_literal(d))).write.insertInto(table)
+
+
+def backfill_date_partitions(spark: SparkSession, table: str, batches: DataFrame, file_day_col: str,
+                             date_col: str, start: str | dt.date, end: str | dt.date, stage: str) -> None:
+    """``backfill_rows`` on a table partitioned by ``date_col`` (K7).
+
+    Every date partition in [start, end] would be deleted by its replay
+    step, so each becomes exactly the surviving batch rows of that date;
+    surviving rows dated outside the window (or null) are appended. The
+    survivors are staged once under ``stage`` (a shared location), then
+    each window partition is rewritten from a pruned read of the stage.
+    The table is never read, and never written outside those partitions.
+    """
+    s, e = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
+    d, f = F.col(date_col), F.col(file_day_col)
+    keep_new = f.between(date_literal(s), date_literal(e)) & (d.isNull() | ~((d > f) & (d <= date_literal(e))))
+    survivors = batches.where(keep_new).drop(file_day_col)
+    survivors.write.mode("errorifexists").partitionBy(date_col).parquet(stage)
+    staged = spark.read.schema(survivors.schema).parquet(stage).select(*survivors.columns)
+    for i in range((e - s).days + 1):
+        day = s + dt.timedelta(days=i)
+        _overwrite_date(spark, table, staged.where(d == date_literal(day)), date_col, day)
+    staged.where(d.isNull() | ~d.between(date_literal(s), date_literal(e))).write.insertInto(table)
+
+
 # --- Q14: write a new version, then swap ---------------------------------
 
 def publish_version(spark: SparkSession, df: DataFrame, table: str, root: str,

@@ -9,7 +9,13 @@ Two forms:
   append semantics (date derived from the arrival time, not the file day),
   including its quirks: overnight arrivals loaded one step earlier are
   deleted by the next step, and re-running a day duplicates rows dated
-  other than that day. Written as a new version, then swapped in.
+  other than that day. Two physical modes:
+
+  - ``mode="partition"`` (default): the table is partitioned by ``date``;
+    a delete is a partition drop and the batch is appended, so the cost
+    is proportional to the batch, never the table;
+  - ``mode="version"``: the whole table is rewritten as a new version and
+    swapped in — atomic for readers, cost proportional to the table.
 """
 
 from __future__ import annotations
@@ -22,7 +28,16 @@ from pyspark.sql import functions as F
 
 from aerostat import schemas
 from aerostat.functions.scalars import to_day, wall_clock_timestamp
-from aerostat.operators.sinks import backfill_rows, publish_version, replace_rows, write_partitioned
+from aerostat.session import scratch_path
+from aerostat.operators.sinks import (
+    backfill_date_partitions,
+    backfill_rows,
+    create_table_if_absent,
+    publish_version,
+    replace_date_partition,
+    replace_rows,
+    write_partitioned,
+)
 from aerostat.sources.tables import scan_parquet
 
 
@@ -53,9 +68,21 @@ def load(spark: SparkSession, clean_root: str, serving_root: str, days: Sequence
     write_partitioned(serving_rows(read_clean(spark, clean_root, days)), serving_root, "ingest_date")
 
 
-def replace_day(spark: SparkSession, table: str, table_root: str, clean_root: str, day: str | dt.date) -> str:
+def ensure_serving_table(spark: SparkSession, table: str, location: str) -> None:
+    """The 13-column serving table, partitioned by ``date`` (K4)."""
+    create_table_if_absent(spark, table, schemas.SERVING, location, ["date"])
+
+
+def replace_day(spark: SparkSession, table: str, table_root: str, clean_root: str, day: str | dt.date,
+                mode: str = "partition") -> str:
     """Original single-day load: delete rows with ``date = day``, append the day's batch (K2)."""
     batch = serving_rows(read_clean(spark, clean_root, [day])).drop("ingest_date")
+    if mode == "partition":
+        ensure_serving_table(spark, table, table_root)
+        replace_date_partition(spark, table, batch, "date", day)
+        return table_root
+    if mode != "version":
+        raise ValueError(f"unknown mode {mode!r}")
     if spark.catalog.tableExists(table):
         existing = spark.table(table)
         new = replace_rows(existing, batch, "date", dt.date.fromisoformat(str(day)))
@@ -65,7 +92,7 @@ def replace_day(spark: SparkSession, table: str, table_root: str, clean_root: st
 
 
 def backfill(spark: SparkSession, table: str, table_root: str, clean_root: str,
-             start: str | dt.date, end: str | dt.date) -> str:
+             start: str | dt.date, end: str | dt.date, mode: str = "partition") -> str:
     """Original backfill: ``replace_day`` for each day start..end ascending (K7).
 
     Computed in one set-based job by the closed form in
@@ -74,6 +101,13 @@ def backfill(spark: SparkSession, table: str, table_root: str, clean_root: str,
     s, e = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
     days = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
     batches = serving_rows(read_clean(spark, clean_root, days)).withColumnRenamed("ingest_date", "file_day")
+    if mode == "partition":
+        ensure_serving_table(spark, table, table_root)
+        backfill_date_partitions(spark, table, batches, "file_day", "date", s, e,
+                                 scratch_path(spark, "stage", table))
+        return table_root
+    if mode != "version":
+        raise ValueError(f"unknown mode {mode!r}")
     if spark.catalog.tableExists(table):
         existing = spark.table(table)
         new = backfill_rows(existing, batches, "file_day", "date", s, e)

@@ -47,39 +47,45 @@ def test_load_is_idempotent_by_ingest_date(spark, workdir):  # case 11 kept
     assert got == ["D2", "N1"]
 
 
-def test_replay_form_loses_overnight_arrival(spark, workdir):  # case 11 lost, Q2
+import pytest
+
+
+@pytest.mark.parametrize("mode", ["partition", "version"])
+def test_replay_form_loses_overnight_arrival(spark, workdir, mode):  # case 11 lost, Q2
     _land(workdir, "2025-04-01", [flight("N1", "BKK", "NRT", "2025-04-02T01:00:00+00:00", "X")])
     _land(workdir, "2025-04-02", [flight("D2", "BKK", "NRT", "2025-04-02T09:00:00+00:00", "X")])
     clean = f"{workdir}/clean"
     daily.run(spark, workdir, clean, ["2025-04-01", "2025-04-02"])
     t, root = _table(), f"{workdir}/tbl"
-    serving.replace_day(spark, t, root, clean, "2025-04-01")
-    serving.replace_day(spark, t, root, clean, "2025-04-02")
+    serving.replace_day(spark, t, root, clean, "2025-04-01", mode=mode)
+    serving.replace_day(spark, t, root, clean, "2025-04-02", mode=mode)
     step = sorted(r.flight_iata for r in spark.table(t).collect())
     assert step == ["D2"]
     t2 = _table()
-    serving.backfill(spark, t2, f"{workdir}/tbl2", clean, "2025-04-01", "2025-04-02")
+    serving.backfill(spark, t2, f"{workdir}/tbl2", clean, "2025-04-01", "2025-04-02", mode=mode)
     assert sorted(r.flight_iata for r in spark.table(t2).collect()) == step
 
 
-def test_rerun_duplicates_rows_dated_other_day(spark, workdir):  # Q2
+@pytest.mark.parametrize("mode", ["partition", "version"])
+def test_rerun_duplicates_rows_dated_other_day(spark, workdir, mode):  # Q2
     _land(workdir, "2025-04-01", [flight("N1", "BKK", "NRT", "2025-04-02T01:00:00+00:00", "X")])
     clean = f"{workdir}/clean"
     daily.run(spark, workdir, clean, ["2025-04-01"])
     t, root = _table(), f"{workdir}/tbl"
-    serving.replace_day(spark, t, root, clean, "2025-04-01")
-    serving.replace_day(spark, t, root, clean, "2025-04-01")
+    serving.replace_day(spark, t, root, clean, "2025-04-01", mode=mode)
+    serving.replace_day(spark, t, root, clean, "2025-04-01", mode=mode)
     assert spark.table(t).count() == 2
 
 
-def test_null_date_never_deleted_and_not_an_option(spark, workdir):  # case 12, Q6
+@pytest.mark.parametrize("mode", ["partition", "version"])
+def test_null_date_never_deleted_and_not_an_option(spark, workdir, mode):  # case 12, Q6
     _land(workdir, "2025-04-02", [flight("Z", "BKK", "NRT", None, "X"),
                                   flight("Y", "BKK", "NRT", "2025-04-02T05:00:00", "X")])
     clean = f"{workdir}/clean"
     daily.run(spark, workdir, clean, ["2025-04-02"])
     t, root = _table(), f"{workdir}/tbl"
-    serving.replace_day(spark, t, root, clean, "2025-04-02")
-    serving.replace_day(spark, t, root, clean, "2025-04-02")
+    serving.replace_day(spark, t, root, clean, "2025-04-02", mode=mode)
+    serving.replace_day(spark, t, root, clean, "2025-04-02", mode=mode)
     got = sorted(r.flight_iata for r in spark.table(t).collect())
     assert got == ["Y", "Z", "Z"]
     opts = reports.options(spark.table(t))
