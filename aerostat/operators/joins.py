@@ -19,8 +19,11 @@ DIM_BROADCAST_MAX_ROWS = 200_000
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads ≤ max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True iff ``df`` has at most ``max_rows`` rows; reads ≤ max_rows + 1.
+
+    Columns are pruned first, so only what the filters need is scanned.
+    """
+    return df.select().limit(max_rows + 1).count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
