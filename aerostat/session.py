@@ -52,8 +52,9 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    directory is created and registered as the checkpoint dir.
+    Read from the session. Only a local-mode session (tests) may fall back
+    to a private directory; on a cluster an unset value is an error, since
+    a machine-local folder is not visible to other executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -62,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="aerostat-ckpt-")
     sc.setCheckpointDir(path)
     return path
