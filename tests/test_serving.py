@@ -6,7 +6,7 @@ import datetime as dt
 import os
 import uuid
 
-from pyspark.sql import functions as F
+import pytest
 
 from aerostat import schemas
 from aerostat.plans import daily, reports, serving
@@ -47,9 +47,6 @@ def test_load_is_idempotent_by_ingest_date(spark, workdir):  # case 11 kept
     assert got == ["D2", "N1"]
 
 
-import pytest
-
-
 @pytest.mark.parametrize("mode", ["partition", "version"])
 def test_replay_form_loses_overnight_arrival(spark, workdir, mode):  # case 11 lost, Q2
     _land(workdir, "2025-04-01", [flight("N1", "BKK", "NRT", "2025-04-02T01:00:00+00:00", "X")])
