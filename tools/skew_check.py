@@ -10,6 +10,9 @@ reading the largest number of shuffle records one task read in any stage
   event's key set to null (a fifth of the rows), shuffled (no broadcast,
   AQE skew splitting and runtime broadcast off to show the raw layout);
   plain shuffled join vs ``left_join`` with null-key spreading.
+* hot key: every ``view`` event's key set to one customer (a fifth of the
+  rows) over 64 input splits, shuffled left join with AQE's skew split off
+  vs on (thresholds scaled down to the input size);
 * per-key cap: first 100 events per ``event_type`` (5 keys, each a fifth
   of the rows) over 64 input splits; one ``row_number`` window vs the
   two-level ``cap_per_key``.
@@ -75,16 +78,33 @@ def main():
         "null keys: plain shuffled left join": lambda: fact.join(dim, fact.uid == dim.c_custkey, "left"),
         "null keys: left_join with null-key spreading": lambda: joins.left_join(fact, dim, "uid", "c_custkey", broadcast_max_rows=0),
     }
+    # 64 input splits: AQE splits a skewed partition along map-task boundaries
+    hot = ev.select("event_id", F.when(F.col("event_type") == "view", F.lit(0)).otherwise(F.col("user_id")).alias("uid")) \
+        .repartition(64)
+    skew_on = {"spark.sql.adaptive.skewJoin.enabled": "true",
+               # thresholds scaled down to this input; the defaults (256 MB) apply at cluster scale
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    runs["hot key: shuffled left join, AQE skew split off"] = lambda: joins.left_join(hot, dim, "uid", "c_custkey", broadcast_max_rows=0)
+    runs["hot key: shuffled left join, AQE skew split on"] = (
+        lambda: joins.left_join(hot, dim, "uid", "c_custkey", broadcast_max_rows=0), skew_on)
     split = ev.select("event_type", "event_id").repartition(64)
     w = Window.partitionBy("event_type").orderBy("event_id")
     runs["per-key cap: one row_number window"] = lambda: split.withColumn("rn", F.row_number().over(w)).where("rn <= 100").drop("rn")
     runs["per-key cap: two-level cap_per_key (fanout 8)"] = lambda: topk.cap_per_key(split, ["event_type"], ["event_id"], 100, fanout=8)
     rows = []
-    for i, (name, build) in enumerate(runs.items()):
-        group = f"skew-{i}"
-        sc.setJobGroup(group, name)
-        n = build().count()
-        rows.append((name, n))
+    for i, (name, run) in enumerate(runs.items()):
+        build, conf = run if isinstance(run, tuple) else (run, {})
+        saved = {k: spark.conf.get(k, None) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = build()
+        sc.setJobGroup(f"skew-{i}", name)  # measured: the query itself, written to the noop sink
+        df.write.format("noop").mode("overwrite").save()
+        sc.setJobGroup(f"rows-{i}", name)
+        rows.append((name, df.count()))
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     spark.stop()
     lines = ["# Skew check", "",
              f"Input `{os.path.basename(sf)}`: {total} events, {nulls} of them with a null join key; 5 cap keys. "
