@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -148,3 +150,18 @@ def test_shuffled_left_join_spreads_null_keys(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert parts > 1
+
+keys = st.one_of(st.none(), st.integers(0, 4))
+
+
+@settings(max_examples=12, deadline=None)
+@given(left=st.lists(keys, max_size=15), right=st.lists(keys, max_size=8), bcast=st.booleans())
+def test_left_join_keeps_every_left_row(spark, left, right, bcast):
+    ldf = spark.createDataFrame([(i, k) for i, k in enumerate(left)], "id int, k int")
+    rdf = spark.createDataFrame([(100 + j, k) for j, k in enumerate(right)], "rid int, rk int")
+    out = joins.left_join(ldf, rdf, "k", "rk", broadcast_max_rows=1000 if bcast else 0).collect()
+    want = []
+    for i, k in enumerate(left):
+        m = [100 + j for j, rk in enumerate(right) if k is not None and rk == k]
+        want += [(i, r) for r in m] or [(i, None)]
+    assert sorted(((r.id, r.rid) for r in out), key=str) == sorted(want, key=str)
