@@ -1,7 +1,8 @@
 """Joins: fact-to-dimension left join, lookup, route grid, route semi join.
 
 Broadcast policy: a side is broadcast only after a bounded probe proves it
-has at most ``max_rows`` rows (the probe reads at most ``max_rows + 1``).
+has at most ``max_rows`` rows and at most ``max_bytes`` approximate bytes
+(the probe reads at most ``max_rows + 1`` rows).
 Beyond the bound the join is left to the planner — a sort-merge or shuffled
 hash join on the key, with AQE's skew handling splitting a hot key (or the
 null key of the preserved side) across tasks.
@@ -13,22 +14,50 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension this small (narrow rows) is cheap to ship to every executor.
+# A side within both bounds is cheap to ship to every executor.
 DIM_BROADCAST_MAX_ROWS = 200_000
+DIM_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads ≤ max_rows + 1.
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
+                T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
 
-    Columns are pruned first, so only what the filters need is scanned.
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate in-memory bytes of one row: string/binary lengths, fixed
+    widths for primitives, JSON length for nested values."""
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(t, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            size = F.octet_length(F.to_json(c))
+        else:
+            size = F.lit(_FIXED_WIDTH.get(type(t), 8))
+        total = total + F.coalesce(size, F.lit(0)).cast("long") + F.lit(4)
+    return total
+
+
+def at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True iff ``df`` has at most ``max_rows`` rows (and, when given, at most
+    ``max_bytes`` approximate bytes). Reads at most ``max_rows + 1`` rows.
+
+    Without a byte bound the columns are pruned first, so only what the
+    filters need is scanned.
     """
-    return df.select().limit(max_rows + 1).count() <= max_rows
+    if max_bytes is None:
+        return df.select().limit(max_rows + 1).count() <= max_rows
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS,
+                      max_bytes: int | None = DIM_BROADCAST_MAX_BYTES) -> DataFrame:
     """``broadcast(df)`` when its size is proven bounded, else ``df`` as is."""
-    return F.broadcast(df) if at_most(df, max_rows) else df
+    return F.broadcast(df) if at_most(df, max_rows, max_bytes) else df
 
 
 def _keys(left_keys: str | Sequence[str], right_keys: str | Sequence[str] | None):
@@ -57,6 +86,7 @@ def left_join(
     right_keys: str | Sequence[str] | None = None,
     *,
     broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DIM_BROADCAST_MAX_BYTES,
     spread_null_keys: bool = True,
     null_key_buckets: int = 64,
 ) -> DataFrame:
@@ -70,7 +100,7 @@ def left_join(
     non-null key is split by AQE's skew-join handling.
     """
     lk, rk = _keys(left_keys, right_keys)
-    if broadcast_max_rows is not None and at_most(right, broadcast_max_rows):
+    if broadcast_max_rows is not None and at_most(right, broadcast_max_rows, broadcast_max_bytes):
         r = F.broadcast(right)
         return left.join(r, _cond(left, r, lk, rk), "left")
     if not spread_null_keys:
@@ -112,12 +142,13 @@ def semi_join(
     right_keys: str | Sequence[str] | None = None,
     *,
     broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DIM_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Rows of ``left`` with a key present in ``right`` (F6 as a set filter)."""
     lk, rk = _keys(left_keys, right_keys)
     r = right.select(*rk)
     if broadcast_max_rows is not None:
-        r = checked_broadcast(r, broadcast_max_rows)
+        r = checked_broadcast(r, broadcast_max_rows, broadcast_max_bytes)
     return left.join(r, _cond(left, r, lk, rk), "left_semi")
 
 

@@ -165,3 +165,13 @@ def test_left_join_keeps_every_left_row(spark, left, right, bcast):
         m = [100 + j for j, rk in enumerate(right) if k is not None and rk == k]
         want += [(i, r) for r in m] or [(i, None)]
     assert sorted(((r.id, r.rid) for r in out), key=str) == sorted(want, key=str)
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    wide_rows = spark.range(100).select("id", F.repeat(F.lit("x"), 10_000).alias("blob"))
+    assert joins.at_most(wide_rows, 1000)                      # few rows ...
+    assert not joins.at_most(wide_rows, 1000, max_bytes=500_000)  # ... but ~1 MB
+    assert joins.at_most(wide_rows, 1000, max_bytes=2_000_000)
+    left = spark.range(10).withColumnRenamed("id", "k")
+    j = joins.left_join(left, wide_rows, "k", "id", broadcast_max_bytes=500_000)
+    assert "broadcast" not in j._jdf.queryExecution().analyzed().toString().lower()
