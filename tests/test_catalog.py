@@ -54,3 +54,14 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [ocols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=_key)
     assert got == want
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_plan_has_no_cross_join_or_python(spark, name):
+    df = contract.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan]
