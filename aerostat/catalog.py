@@ -131,8 +131,8 @@ def q_float_or_null(spark, sf):
 
 
 def q_lookup_map(spark, sf):
-    r = table(spark, sf, "region")
-    return r.select("r_regionkey", lookup("r_name", {"ASIA": "AS", "EUROPE": "EU"}).alias("code"))
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", lookup("c_mktsegment", {"MACHINERY": "MAC", "FURNITURE": "FUR"}).alias("code"))
 
 
 def q_left_join(spark, sf):
@@ -259,7 +259,7 @@ def q_flatten_nested(spark, sf):
 
 
 def q_scan_all(spark, sf):
-    return scan_parquet(spark, f"{sf.rstrip('/')}/nation.parquet")
+    return scan_parquet(spark, f"{sf.rstrip('/')}/orders.parquet")
 
 
 def q_temp_view_scan(spark, sf):
@@ -269,10 +269,10 @@ def q_temp_view_scan(spark, sf):
 
 
 def q_default_unknown(spark, sf):
-    r = table(spark, sf, "region")
-    v = F.when(F.col("r_regionkey") == 0, F.lit(None).cast("string")).when(
-        F.col("r_regionkey") == 1, F.lit("  ")).otherwise(F.col("r_name"))
-    return r.select("r_regionkey", default_unknown(v).alias("v"))
+    c = table(spark, sf, "customer")
+    bal = F.col("c_acctbal")
+    v = F.when(bal < 0, F.lit(None).cast("string")).when(bal < 1000, F.lit("  ")).otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", default_unknown(v).alias("v"))
 
 
 def q_count_by_condition(spark, sf):
@@ -436,7 +436,7 @@ ORACLE_SQL: dict[str, str] = {
              WHEN p_size <= 25 THEN ' ' || CAST(p_retailprice AS VARCHAR) || ' '
              WHEN p_size <= 37 THEN CAST(p_size AS VARCHAR)
              ELSE '' END AS FLOAT) AS DOUBLE) AS f FROM part""",
-    "lookup_map": "SELECT r_regionkey, CASE r_name WHEN 'ASIA' THEN 'AS' WHEN 'EUROPE' THEN 'EU' END AS code FROM region",
+    "lookup_map": "SELECT c_custkey, CASE c_mktsegment WHEN 'MACHINERY' THEN 'MAC' WHEN 'FURNITURE' THEN 'FUR' END AS code FROM customer",
     "left_join": WIDE_SQL + "SELECT event_id, user_id, c_custkey, city, CAST(temp AS DOUBLE) AS temp FROM wide",
     "left_join_fanout": "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey",
     "left_join_null_key": """WITH x AS (SELECT d.doc_id, l.doc_id AS k FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
@@ -477,10 +477,11 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT event_id, a FROM src WHERE f BETWEEN {_S} AND {_E} AND (a IS NULL OR NOT (a > f AND a <= {_E}))""",
     "flatten_nested": "SELECT o_orderkey AS order_key, o_orderstatus AS order_status FROM orders",
-    "scan_all": "SELECT * FROM nation",
+    "scan_all": "SELECT * FROM orders",
     "temp_view_scan": "SELECT s_suppkey, s_name FROM supplier",
-    "default_unknown": """SELECT r_regionkey, CASE WHEN v IS NULL OR TRIM(v) = '' THEN 'Unknown' ELSE v END AS v FROM (
-        SELECT r_regionkey, CASE r_regionkey WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE r_name END AS v FROM region) x""",
+    "default_unknown": """SELECT c_custkey, CASE WHEN v IS NULL OR TRIM(v) = '' THEN 'Unknown' ELSE v END AS v FROM (
+        SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 1000 THEN '  ' ELSE c_mktsegment END AS v
+        FROM customer) x""",
     "count_by_condition": """SELECT l.quality AS condition, COUNT(*) AS n
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""",
     "default_selection": WIDE_SQL + "SELECT event_id FROM wide WHERE date = (SELECT MIN(CAST(ts AS DATE)) FROM events) AND city IS NOT NULL",
