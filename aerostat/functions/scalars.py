@@ -84,8 +84,11 @@ def wall_clock_timestamp(text: ColumnOrName) -> Column:
 
     An offset such as ``-09:00`` is dropped, never applied, so the calendar
     date is the one written in the text regardless of session time zone.
+    Null or blank text gives null; malformed text fails the job under ANSI
+    mode (the Spark default), as the original date conversion did.
     """
-    return F.to_timestamp_ntz(_c(text))
+    c = _c(text)
+    return F.when(~is_blank(c), F.to_timestamp_ntz(c))
 
 
 def to_day(ts: ColumnOrName) -> Column:

@@ -45,7 +45,8 @@ def serving_rows(clean: DataFrame) -> DataFrame:
     """Clean rows -> the 13-column serving contract (+ ``ingest_date`` if present).
 
     ``arrival_time`` text becomes a wall-clock ``timestamp_ntz`` and
-    ``date`` its calendar date (P6, X4, X5); unparseable text is null.
+    ``date`` its calendar date (P6, X4, X5); blank text is null, malformed
+    text fails the load (ANSI).
     """
     ts = wall_clock_timestamp(F.col("arrival_time"))
     out = clean.withColumn("arrival_time", ts).withColumn("date", to_day(ts))

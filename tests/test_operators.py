@@ -175,3 +175,14 @@ def test_broadcast_bound_counts_bytes(spark):
     left = spark.range(10).withColumnRenamed("id", "k")
     j = joins.left_join(left, wide_rows, "k", "id", broadcast_max_bytes=500_000)
     assert "broadcast" not in j._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_wall_clock_timestamp_blank_null_malformed_fails(spark):
+    import pytest
+    from aerostat.functions import wall_clock_timestamp
+    ok = spark.createDataFrame([("2025-04-02T23:30:00-09:00",), ("  ",), (None,)], "s string")
+    got = [r.t for r in ok.select(wall_clock_timestamp("s").alias("t")).collect()]
+    assert got == [dt.datetime(2025, 4, 2, 23, 30), None, None]
+    bad = spark.createDataFrame([("garbage",)], "s string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|malformed"):
+        bad.select(wall_clock_timestamp("s")).collect()
