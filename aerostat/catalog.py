@@ -27,6 +27,7 @@ from aerostat.functions.lookup import lookup
 from aerostat.functions.scalars import (
     array_first,
     day_range,
+    days_ago_in_zone,
     default_unknown,
     float_or_null,
     format_day,
@@ -334,6 +335,11 @@ def q_route_status(spark, sf):
         F.count(F.lit(1)).alias("responses"), F.sum("records").alias("records"))
 
 
+def q_days_ago(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", days_ago_in_zone("ts", 7, "Asia/Bangkok").alias("day"))
+
+
 def q_format_day(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", format_day("ts").alias("day"))
@@ -417,6 +423,7 @@ QUERIES: dict[str, Query] = {
     "envelope_accept": q_envelope_accept,
     "envelope_rejects": q_envelope_rejects,
     "format_day": q_format_day,
+    "days_ago": q_days_ago,
     "day_range": q_day_range,
     "weather_shape": q_weather_shape,
     "route_status": q_route_status,
@@ -497,6 +504,8 @@ ORACLE_SQL: dict[str, str] = {
                     WHEN value < 5 THEN 'request_failed' ELSE 'no_data' END AS reason, COUNT(*) AS n
         FROM events WHERE event_type = 'error' OR value < 20 GROUP BY 1""",
     "format_day": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
+    # Asia/Bangkok has kept UTC+7 without daylight saving since 1920
+    "days_ago": "SELECT event_id, CAST(ts + INTERVAL 7 HOUR AS DATE) - 7 AS day FROM events",
     "day_range": """SELECT CAST(unnest(generate_series(CAST(e AS TIMESTAMP) - INTERVAL 7 DAY, CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
         FROM (SELECT MAX(CAST(ts AS DATE)) AS e FROM events) m""",
     "route_status": """SELECT dep, outcome, COUNT(*) AS responses, CAST(SUM(records) AS BIGINT) AS records FROM (

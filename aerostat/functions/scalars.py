@@ -102,12 +102,14 @@ def format_day(d: ColumnOrName) -> Column:
 
 
 def days_ago_in_zone(now_utc: ColumnOrName, n: int, zone: str = "Asia/Bangkok") -> Column:
-    """Calendar day in ``zone`` of a UTC instant, minus ``n`` days.
+    """Calendar day in ``zone`` of a UTC wall-clock ``timestamp_ntz``, minus ``n`` days.
 
-    The instant is a job parameter (never ``current_timestamp`` inside a
-    plan, so a retried task sees the same day).
+    ``convert_timezone`` applies the zone's rules (offsets, DST) and never
+    the session time zone. The instant is a job parameter or data, never
+    ``current_timestamp`` inside a plan, so a retried task sees the same day.
     """
-    return F.date_sub(F.to_date(F.from_utc_timestamp(_c(now_utc), zone)), n)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(now_utc))
+    return F.date_sub(F.to_date(local), n)
 
 
 def day_range(end: ColumnOrName, days_back: int) -> Column:

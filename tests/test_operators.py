@@ -113,7 +113,7 @@ def test_scalars(spark):
         default_unknown("b").alias("u"),
         lookup(F.lit("Taipei")).alias("tpe"),
         format_day(F.to_timestamp_ntz("now")).alias("day"),
-        days_ago_in_zone(F.to_timestamp("now"), 7).alias("ago"),
+        days_ago_in_zone(F.to_timestamp_ntz("now"), 7).alias("ago"),
         day_range(F.lit(dt.date(2024, 1, 15)), 7).alias("rng"),
     ).first()
     assert (r.k, r.ab, r.missing, r.d) == (3, "x", None, "Unknown")
