@@ -42,6 +42,7 @@ from aerostat.operators.flatten import flatten
 from aerostat.operators.setops import union_all
 from aerostat.session import scratch_path
 from aerostat.sources import envelopes
+from aerostat.sources.feeds import read_flights
 from aerostat.sources.feeds import weather as shape_weather
 from aerostat.sources.tables import as_view, scan_parquet
 from aerostat.tables import table
@@ -340,6 +341,32 @@ def q_days_ago(spark, sf):
     return e.select("event_id", days_ago_in_zone("ts", 7, "Asia/Bangkok").alias("day"))
 
 
+def q_flight_feed_roundtrip(spark, sf):
+    """events as nested flight records, landed as JSON lines, read back and flattened."""
+    e = table(spark, sf, "events")
+    nested = e.select(
+        F.struct(F.concat(F.lit("EV"), F.col("event_id").cast("string")).alias("iata")).alias("flight"),
+        F.struct(F.lit("BKK").alias("iata")).alias("departure"),
+        F.struct(F.col("user_id").cast("string").alias("iata"),
+                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("scheduled"),
+                 F.concat(F.col("event_type"), F.lit(" Intl")).alias("airport")).alias("arrival"),
+        F.struct(F.col("event_type").alias("name")).alias("airline"),
+    )
+    path = scratch_path(spark, "landing", "flight")
+    sinks.land_json(nested, path)
+    return read_flights(spark, path, multiline=False)
+
+
+def q_partition_roundtrip(spark, sf):
+    """events written by day, one day rewritten again (idempotent), counts read back."""
+    e = table(spark, sf, "events").select("event_id", to_day("ts").alias("ingest_date"))
+    root = scratch_path(spark, "partitioned", "events")
+    sinks.write_partitioned(e, root, "ingest_date")
+    sinks.write_partitioned(e.where(F.col("ingest_date") == F.lit(D)), root, "ingest_date")
+    back = scan_parquet(spark, root)
+    return back.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_format_day(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", format_day("ts").alias("day"))
@@ -424,6 +451,8 @@ QUERIES: dict[str, Query] = {
     "envelope_rejects": q_envelope_rejects,
     "format_day": q_format_day,
     "days_ago": q_days_ago,
+    "flight_feed_roundtrip": q_flight_feed_roundtrip,
+    "partition_roundtrip": q_partition_roundtrip,
     "day_range": q_day_range,
     "weather_shape": q_weather_shape,
     "route_status": q_route_status,
@@ -506,6 +535,11 @@ ORACLE_SQL: dict[str, str] = {
     "format_day": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
     # Asia/Bangkok has kept UTC+7 without daylight saving since 1920
     "days_ago": "SELECT event_id, CAST(ts + INTERVAL 7 HOUR AS DATE) - 7 AS day FROM events",
+    "flight_feed_roundtrip": """SELECT 'EV' || CAST(event_id AS VARCHAR) AS flight_iata, 'BKK' AS departure_iata,
+          CAST(user_id AS VARCHAR) AS arrival_iata, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS arrival_time,
+          event_type AS airline, event_type || ' Intl' AS arr_airport
+        FROM events""",
+    "partition_roundtrip": "SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n FROM events GROUP BY 1",
     "day_range": """SELECT CAST(unnest(generate_series(CAST(e AS TIMESTAMP) - INTERVAL 7 DAY, CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
         FROM (SELECT MAX(CAST(ts AS DATE)) AS e FROM events) m""",
     "route_status": """SELECT dep, outcome, COUNT(*) AS responses, CAST(SUM(records) AS BIGINT) AS records FROM (
