@@ -22,6 +22,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # No broadcast from plan estimates (compressed file sizes can understate a
+    # side many times over): a side is broadcast only after the operators'
+    # row/byte probe, or by AQE from the measured size of a finished stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 
