@@ -3,9 +3,9 @@
 Broadcast policy: a side is broadcast only after a bounded probe proves it
 has at most ``max_rows`` rows and at most ``max_bytes`` approximate bytes
 (the probe reads at most ``max_rows + 1`` rows).
-Beyond the bound the join is left to the planner — a sort-merge or shuffled
-hash join on the key, with AQE's skew handling splitting a hot key (or the
-null key of the preserved side) across tasks.
+Beyond the bound the join is shuffled on the key: null-key rows of the
+preserved side are salted over many tasks (they never match), and AQE's
+skew handling splits a hot non-null key across tasks.
 """
 
 from __future__ import annotations

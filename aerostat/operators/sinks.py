@@ -6,9 +6,12 @@ ways:
 * by ``ingest_date`` partition with dynamic partition overwrite — a rerun
   of a day replaces exactly that day's partition (idempotent, no read of
   the rest of the table);
-* the original delete-by-``date`` + append semantics (``replace_rows`` /
-  ``backfill_rows``), written as a new version and then swapped in, since
-  Spark refuses to overwrite a path it is reading.
+* the original delete-by-``date`` + append semantics, either on a table
+  partitioned by ``date`` (``replace_date_partition`` /
+  ``backfill_date_partitions``: only the affected date partitions are
+  rewritten, cost follows the batch) or as a whole new version swapped in
+  (``replace_rows`` / ``backfill_rows`` + ``publish_version``; Spark
+  refuses to overwrite a path it is reading).
 """
 
 from __future__ import annotations
