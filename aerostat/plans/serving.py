@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from aerostat import schemas
 from aerostat.functions.scalars import to_day, wall_clock_timestamp
+from aerostat.operators.aggregate import observed
 from aerostat.session import scratch_path
 from aerostat.operators.sinks import (
     backfill_date_partitions,
@@ -64,9 +65,14 @@ def read_clean(spark: SparkSession, clean_root: str, days: Sequence[str | dt.dat
     return df
 
 
-def load(spark: SparkSession, clean_root: str, serving_root: str, days: Sequence[str | dt.date]) -> None:
-    """Idempotent load: overwrite the serving partitions of ``days``."""
-    write_partitioned(serving_rows(read_clean(spark, clean_root, days)), serving_root, "ingest_date")
+def load(spark: SparkSession, clean_root: str, serving_root: str, days: Sequence[str | dt.date]) -> int:
+    """Idempotent load: overwrite the serving partitions of ``days``.
+
+    Returns the rows written, counted inside the write job (A8).
+    """
+    rows, obs = observed(serving_rows(read_clean(spark, clean_root, days)), "serving_rows")
+    write_partitioned(rows, serving_root, "ingest_date")
+    return int(obs.get.get("rows", 0))
 
 
 def ensure_serving_table(spark: SparkSession, table: str, location: str) -> None:

@@ -80,3 +80,14 @@ def wrap_responses(env: DataFrame, key: str = "city", query: str = "query",
     ok = env.where(F.col(status) == 200)
     return ok.select(F.col(key).alias("city"), F.col(query).alias("query"),
                      F.try_parse_json(F.col(body)).alias("data"))
+
+
+def missing_routes(routes: DataFrame, env: DataFrame, keys=("dep", "arr")) -> DataFrame:
+    """Requested routes with no landed response at all (completeness check).
+
+    The envelopes are first reduced to their distinct routes (a partial
+    aggregate, bounded by the route list), so the anti join never moves the
+    envelopes themselves.
+    """
+    seen = env.select(*keys).distinct()
+    return routes.join(seen, list(keys), "left_anti")

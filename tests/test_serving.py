@@ -40,8 +40,8 @@ def test_load_is_idempotent_by_ingest_date(spark, workdir):  # case 11 kept
     _land(workdir, "2025-04-02", [flight("D2", "BKK", "NRT", "2025-04-02T09:00:00+00:00", "X")])
     clean, srv = f"{workdir}/clean", f"{workdir}/serving"
     daily.run(spark, workdir, clean, ["2025-04-01", "2025-04-02"])
-    serving.load(spark, clean, srv, ["2025-04-01"])
-    serving.load(spark, clean, srv, ["2025-04-02"])
+    assert serving.load(spark, clean, srv, ["2025-04-01"]) == 1
+    assert serving.load(spark, clean, srv, ["2025-04-02"]) == 1
     serving.load(spark, clean, srv, ["2025-04-02"])  # rerun: no change
     got = sorted(r.flight_iata for r in spark.read.parquet(srv).collect())
     assert got == ["D2", "N1"]
@@ -129,6 +129,8 @@ def test_envelopes_three_reasons(spark):  # case 16, S9, D3
     assert rej == {"ICN": ev.HTTP_ERROR, "SIN": ev.NO_DATA, "KUL": ev.REQUEST_FAILED}
     status = {r.arr: (r.records, r.outcome) for r in ev.per_route_status(env, rec).collect()}
     assert status["NRT"] == (2, "ok") and status["HND"] == (0, "ok") and status["KUL"] == (0, ev.REQUEST_FAILED)
+    routes = spark.createDataFrame([("BKK", a) for a in ["NRT", "HND", "ICN", "SIN", "KUL", "TPE"]], "dep string, arr string")
+    assert sorted(r.arr for r in ev.missing_routes(routes, env).collect()) == ["TPE"]
     wrapped = ev.wrap_responses(spark.createDataFrame(
         [("Tokyo", "Tokyo,JP", 200, '{"main": {"temp": 3}}'), ("Seoul", "Seoul,KR", 401, "{}")],
         schemas.WEATHER_ENVELOPE))
