@@ -30,12 +30,19 @@ from aerostat.operators.filters import not_on_day
 
 # --- K6 / K1 --------------------------------------------------------------
 
-def land_json(df: DataFrame, path: str) -> None:
-    """Land records as JSON lines, replacing the folder (K6).
+def land_json(df: DataFrame, path: str, partition_col: str | None = None) -> None:
+    """Land records as JSON lines (K6).
 
     JSON lines split across tasks on read, unlike one multi-line array.
+    Without ``partition_col`` the folder is replaced; with it (normally
+    ``ingest_date``) many days land in one job, one folder per day, and only
+    the days present are replaced.
     """
-    df.write.mode("overwrite").json(path)
+    w = df.write.mode("overwrite")
+    if partition_col:
+        w = df.hint("rebalance", partition_col).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    w.json(path)
 
 
 def write_partitioned(df: DataFrame, root: str, partition_col: str = "ingest_date") -> None:

@@ -44,10 +44,15 @@ def transform(
     multiline: bool = True,
     condition_mode: str = "intent",
 ) -> DataFrame:
-    """Clean rows for ``days`` (lazy). Missing day files fail at analysis."""
+    """Clean rows for ``days`` (lazy). Missing day files fail at analysis.
+
+    ``multiline=True`` reads one JSON array per day (``{day}/data.json``);
+    ``False`` reads day-partitioned JSON lines (``ingest_date={day}/``).
+    """
     days = [str(d) for d in days]
-    fl = read_flights(spark, [day_path(raw_root, FLIGHT_FEED, d) for d in days], multiline, with_day=True)
-    wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d) for d in days], multiline, with_day=True,
+    jl = not multiline
+    fl = read_flights(spark, [day_path(raw_root, FLIGHT_FEED, d, jl) for d in days], multiline, with_day=True)
+    wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d, jl) for d in days], multiline, with_day=True,
                       condition_mode=condition_mode)
     return clean_rows(fl, wx)
 

@@ -22,12 +22,20 @@ from aerostat.functions.lookup import CITY_TO_IATA, lookup
 from aerostat.functions.scalars import default_unknown, variant_float, variant_string
 from aerostat.operators.flatten import flatten
 
-DAY_FROM_PATH = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
+# the day folder of a landed file: ``.../2025-04-02/data.json`` (one JSON
+# array per day) or ``.../ingest_date=2025-04-02/part-*.json`` (JSON lines)
+DAY_FROM_PATH = r"/(?:[A-Za-z_]+=)?(\d{4}-\d{2}-\d{2})/[^/]*$"
 
 
-def day_path(root: str, feed: str, day: str | dt.date) -> str:
-    """``{root}/{feed}/{YYYY-MM-DD}/data.json`` (S3)."""
-    return f"{root.rstrip('/')}/{feed}/{day}/data.json"
+def day_path(root: str, feed: str, day: str | dt.date, jsonlines: bool = False) -> str:
+    """Where one day of a feed is landed (S3).
+
+    ``{root}/{feed}/{YYYY-MM-DD}/data.json`` for the one-array-per-day form;
+    ``{root}/{feed}/ingest_date={YYYY-MM-DD}`` for day-partitioned JSON lines
+    (``operators.sinks.land_json(..., partition_col="ingest_date")``).
+    """
+    base = f"{root.rstrip('/')}/{feed}"
+    return f"{base}/ingest_date={day}" if jsonlines else f"{base}/{day}/data.json"
 
 
 def read_json_records(

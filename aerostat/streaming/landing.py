@@ -36,7 +36,7 @@ def _process(spark: SparkSession, raw_root: str, clean_root: str, multiline: boo
         days = [r[0] for r in fl.select("ingest_date").distinct().collect() if r[0] is not None]
         if not days:
             return
-        wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d) for d in days], multiline,
+        wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d, not multiline) for d in days], multiline,
                           with_day=True, condition_mode=condition_mode)
         write_partitioned(clean_rows(fl, wx), clean_root, "ingest_date")
     return run
@@ -59,7 +59,8 @@ def transform_new_days(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.json(f"{raw_root.rstrip('/')}/{FLIGHT_FEED}/*/data.json")
+    files = "*/data.json" if multiline else "ingest_date=*/*.json"
+    src = reader.json(f"{raw_root.rstrip('/')}/{FLIGHT_FEED}/{files}")
     src = src.select("*", "_metadata")
     return (
         src.writeStream.foreachBatch(_process(spark, raw_root, clean_root, multiline, condition_mode))

@@ -144,3 +144,26 @@ def test_run_writes_partition_and_counts(spark, workdir):
     assert n == 5
     back = spark.read.parquet(f"{workdir}/clean")
     assert back.count() == 5 and "ingest_date" in back.columns
+
+
+def test_day_partitioned_jsonlines_landing(spark, workdir):
+    """Many days landed as JSON lines in one write each, transformed in one job."""
+    import json as _json
+
+    from aerostat.operators.sinks import land_json
+    fl_rows, wx_rows = [], []
+    for day in ("2025-04-01", "2025-04-02"):
+        for i in range(3):
+            fl_rows.append((_json.dumps(flight(f"F{day[-1]}{i}", "BKK", "NRT", f"{day}T0{i}:00:00", "ANA")), day))
+        wx_rows.append((_json.dumps(weather("Tokyo", temp=int(day[-1]))), day))
+    flights_df = spark.createDataFrame(fl_rows, "j string, ingest_date string").select(
+        F.from_json("j", schemas.FLIGHT_RAW).alias("r"), "ingest_date").select("r.*", "ingest_date")
+    weather_df = spark.createDataFrame(wx_rows, "j string, ingest_date string").select(
+        F.from_json("j", "city string, query string, data string").alias("r"), "ingest_date") \
+        .select("r.city", "r.query", F.parse_json("r.data").alias("data"), "ingest_date")
+    land_json(flights_df, f"{workdir}/flight", "ingest_date")
+    land_json(weather_df, f"{workdir}/weather", "ingest_date")
+    clean = daily.transform(spark, workdir, ["2025-04-01", "2025-04-02"], multiline=False)
+    got = sorted((r.flight_iata, r.ingest_date, r.temp) for r in clean.collect())
+    assert len(got) == 6
+    assert {(d, t) for _, d, t in got} == {(dt.date(2025, 4, 1), 1.0), (dt.date(2025, 4, 2), 2.0)}
