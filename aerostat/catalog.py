@@ -45,7 +45,7 @@ from aerostat.sources import envelopes
 from aerostat.sources.feeds import read_flights
 from aerostat.sources.feeds import weather as shape_weather
 from aerostat.sources.tables import as_view, scan_parquet
-from aerostat.tables import table
+from aerostat.testdata import table
 
 # Fixed test parameters.
 D = dt.date(2024, 1, 3)

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from aerostat.tables import TABLES
+from aerostat.testdata import TABLES
 from tests.conftest import SF_SMALL
 
 

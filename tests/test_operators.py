@@ -15,7 +15,7 @@ from aerostat.functions import (
 )
 from aerostat.operators import aggregate as agg
 from aerostat.operators import filters, joins, topk
-from aerostat.tables import table
+from aerostat.testdata import table
 from tests.conftest import SF_SMALL
 
 

@@ -26,7 +26,7 @@ from aerostat.functions.lookup import CITY_TO_IATA  # noqa: E402
 from aerostat.operators.sinks import land_json  # noqa: E402
 from aerostat.plans import daily, reports, serving  # noqa: E402
 from aerostat.session import build_session, scratch_path  # noqa: E402
-from aerostat.tables import table  # noqa: E402
+from aerostat.testdata import table  # noqa: E402
 
 # The requested arrival airports of the feed (HND has no city).
 ARRIVALS = ["NRT", "HND", "ICN", "SIN", "KUL", "TPE", "SGN", "HKG"]

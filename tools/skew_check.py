@@ -33,7 +33,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from aerostat.operators import joins, topk  # noqa: E402
 from aerostat.session import build_session  # noqa: E402
-from aerostat.tables import table  # noqa: E402
+from aerostat.testdata import table  # noqa: E402
 
 
 def max_task_records(log_dir: str, job_group: str) -> int:
