@@ -69,6 +69,7 @@ def run(
 
     Returns the number of rows written, counted inside the write job.
     """
-    clean, obs = observed(transform(spark, raw_root, days, multiline, condition_mode), "clean_rows")
+    clean = schemas.check_sink(transform(spark, raw_root, days, multiline, condition_mode), schemas.CLEAN, ("ingest_date",))
+    clean, obs = observed(clean, "clean_rows")
     write_partitioned(clean, clean_root, "ingest_date")
     return int(obs.get.get("rows", 0))

@@ -70,7 +70,8 @@ def load(spark: SparkSession, clean_root: str, serving_root: str, days: Sequence
 
     Returns the rows written, counted inside the write job (A8).
     """
-    rows, obs = observed(serving_rows(read_clean(spark, clean_root, days)), "serving_rows")
+    rows = schemas.check_sink(serving_rows(read_clean(spark, clean_root, days)), schemas.SERVING, ("ingest_date",))
+    rows, obs = observed(rows, "serving_rows")
     write_partitioned(rows, serving_root, "ingest_date")
     return int(obs.get.get("rows", 0))
 
@@ -83,7 +84,7 @@ def ensure_serving_table(spark: SparkSession, table: str, location: str) -> None
 def replace_day(spark: SparkSession, table: str, table_root: str, clean_root: str, day: str | dt.date,
                 mode: str = "partition") -> str:
     """Original single-day load: delete rows with ``date = day``, append the day's batch (K2)."""
-    batch = serving_rows(read_clean(spark, clean_root, [day])).drop("ingest_date")
+    batch = schemas.check_sink(serving_rows(read_clean(spark, clean_root, [day])).drop("ingest_date"), schemas.SERVING)
     if mode == "partition":
         ensure_serving_table(spark, table, table_root)
         replace_date_partition(spark, table, batch, "date", day)
@@ -107,7 +108,8 @@ def backfill(spark: SparkSession, table: str, table_root: str, clean_root: str,
     """
     s, e = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
     days = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
-    batches = serving_rows(read_clean(spark, clean_root, days)).withColumnRenamed("ingest_date", "file_day")
+    batches = schemas.check_sink(serving_rows(read_clean(spark, clean_root, days)), schemas.SERVING, ("ingest_date",))
+    batches = batches.withColumnRenamed("ingest_date", "file_day")
     if mode == "partition":
         ensure_serving_table(spark, table, table_root)
         backfill_date_partitions(spark, table, batches, "file_day", "date", s, e,

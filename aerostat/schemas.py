@@ -72,6 +72,18 @@ def check_contract(df: DataFrame, contract: T.StructType, ignore_nullability: bo
         raise ValueError(f"schema contract violated:\n got  {got}\n want {want}")
 
 
+def schema_tree(df: DataFrame) -> str:
+    """The schema as an indented tree, for inspection."""
+    return df.schema.treeString()
+
+
+def check_sink(df: DataFrame, contract: T.StructType, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Contract check before a write (Q13): ``df`` minus ``extra`` columns
+    must equal ``contract``; returns ``df`` unchanged. Schema only, no job."""
+    check_contract(df.drop(*extra), contract)
+    return df
+
+
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Project/cast ``df`` onto the contract by name (``DataFrame.to``)."""
     return df.to(contract)

@@ -148,3 +148,12 @@ def test_landed_wrappers_roundtrip_to_weather(spark, workdir):  # S10 + K6 + S2
     land_json(wrap_responses(env), path)
     w = read_weather(spark, path + "/*.json", multiline=False).collect()
     assert [(r.city, r.iata, r.temp, r.weather) for r in w] == [("Tokyo", "NRT", 12.5, "Rain")]
+
+
+def test_sink_contract_check(spark):
+    ok = spark.createDataFrame([], schemas.SERVING)
+    assert schemas.check_sink(ok, schemas.SERVING) is ok
+    assert "arrival_time: timestamp_ntz" in schemas.schema_tree(ok)
+    missing_date = ok.drop("date")  # the notebook load that lost `date` (Q13)
+    with pytest.raises(ValueError, match="contract"):
+        schemas.check_sink(missing_date, schemas.SERVING)
