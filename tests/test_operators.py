@@ -186,3 +186,16 @@ def test_wall_clock_timestamp_blank_null_malformed_fails(spark):
     bad = spark.createDataFrame([("garbage",)], "s string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|malformed"):
         bad.select(wall_clock_timestamp("s")).collect()
+
+
+@settings(max_examples=10, deadline=None)
+@given(keys_=st.lists(st.one_of(st.none(), st.integers(0, 3)), min_size=0, max_size=60),
+       k=st.integers(1, 5), fanout=st.integers(1, 6), parts=st.integers(1, 7))
+def test_cap_per_key_property(spark, keys_, k, fanout, parts):
+    rows = [(key, i) for i, key in enumerate(keys_)]
+    df = spark.createDataFrame(rows, "key int, id int").repartition(parts)
+    got = sorted(map(tuple, topk.cap_per_key(df, ["key"], ["id"], k, fanout=fanout).collect()), key=str)
+    want = []
+    for key in set(keys_):
+        want += sorted([r for r in rows if r[0] == key], key=lambda r: r[1])[:k]
+    assert got == sorted(want, key=str)
