@@ -2,7 +2,7 @@
 
 Broadcast policy: a side is broadcast only after a bounded probe proves it
 has at most ``max_rows`` rows and at most ``max_bytes`` approximate bytes
-(the probe reads at most ``max_rows + 1`` rows).
+(the probe stops after ``max_rows + 1`` rows; see ``at_most``).
 Beyond the bound the join is shuffled on the key: null-key rows of the
 preserved side are salted over many tasks (they never match), and AQE's
 skew handling splits a hot non-null key across tasks.
@@ -43,15 +43,22 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
     """True iff ``df`` has at most ``max_rows`` rows (and, when given, at most
-    ``max_bytes`` approximate bytes). Reads at most ``max_rows + 1`` rows.
-
-    Without a byte bound the columns are pruned first, so only what the
-    filters need is scanned.
+    ``max_bytes`` approximate bytes).
+
+    The probe is a root-level ``limit(max_rows + 1)`` of one number per row
+    (its approximate size), collected: Spark runs it as an incremental take
+    that scans one partition, then a few times more, and stops as soon as
+    ``max_rows + 1`` rows are found. A small side is read once; a huge side
+    costs one or two partitions, never a task per input split, and at most
+    ``max_rows + 1`` numbers reach the driver. (A ``limit`` under an
+    aggregate would instead run every input task and gather up to
+    ``max_rows + 1`` rows from each into one task.)
     """
-    if max_bytes is None:
-        return df.select().limit(max_rows + 1).count() <= max_rows
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+    size = _row_bytes(df) if max_bytes is not None else F.lit(0).cast("long")
+    sizes = df.select(size.alias("b")).limit(max_rows + 1).collect()
+    if len(sizes) > max_rows:
+        return False
+    return max_bytes is None or sum(r[0] for r in sizes) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS,

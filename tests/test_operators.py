@@ -49,6 +49,24 @@ def test_left_join_null_keys_fanout_and_broadcast(spark):
     assert "BroadcastHashJoin" in _plan(j)
 
 
+def test_size_probe_of_a_large_side_reads_few_partitions(spark):
+    # a side far beyond the bound, over 200 input splits: the probe must stop
+    # after a partition or two instead of running a task per split
+    big = spark.range(0, 400_000, numPartitions=200)
+    sc = spark.sparkContext
+    sc.setJobGroup("probe-large-side", "size probe")
+    try:
+        assert not joins.at_most(big, 1000, max_bytes=1 << 20)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    st = sc.statusTracker()
+    tasks = sum(st.getStageInfo(s).numTasks for j in st.getJobIdsForGroup("probe-large-side")
+                for s in st.getJobInfo(j).stageIds)
+    assert tasks <= 4
+    # a side within the bound is proven by reading it whole
+    assert joins.at_most(spark.range(0, 900, numPartitions=30), 1000)
+
+
 def test_broadcast_refused_beyond_bound(spark):
     left = spark.range(100).withColumnRenamed("id", "k")
     right = spark.range(50).withColumnRenamed("id", "rk")
