@@ -23,15 +23,26 @@ def _data(body: Column, record: T.DataType) -> Column:
     return F.from_json(body, schema).getField("data")
 
 
-def reject_reason(status: Column, body: Column, record: T.DataType) -> Column:
-    """Reason an envelope is rejected, null when it is accepted."""
+def reject_reason(status: Column, data: Column) -> Column:
+    """Reason an envelope is rejected, null when it is accepted.
+
+    ``data`` is the parsed ``data`` array (``_data``), null when absent.
+    """
     return (
         F.when(status.isNull(), F.lit(REQUEST_FAILED))
         .when(status != 200, F.lit(HTTP_ERROR))
-        .when(_data(body, record).isNull(), F.lit(NO_DATA))
+        .when(data.isNull(), F.lit(NO_DATA))
     )
 
 
+def _parsed(env: DataFrame, keys, status: str, body: str, record: T.DataType) -> DataFrame:
+    """Envelope keys, status and the parsed ``data`` array, the body parsed
+    once per row (a separate projection: Catalyst keeps a costly expression
+    that is referenced more than once in its own projection instead of
+    inlining it into every use)."""
+    return env.select(*keys, F.col(status).alias("__status"), _data(F.col(body), record).alias("__data"))
+
+
 def accepted_records(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
                      status: str = "status", body: str = "body") -> DataFrame:
     """One row per element of ``data`` in each accepted envelope.
@@ -43,7 +54,7 @@ def accepted_records(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
     # The body is parsed once: ``explode`` of null yields no rows, so a
     # non-200 or data-less envelope simply produces nothing (no separate
     # filter that would parse the body a second time).
-    parsed = env.select(*keys, F.col(status).alias("__status"), _data(F.col(body), record).alias("__data"))
+    parsed = _parsed(env, keys, status, body, record)
     accepted = F.when(F.col("__status") == 200, F.col("__data"))
     rec = parsed.select(*keys, F.explode(accepted).alias("r"))
     return rec.select(*keys, "r.*")
@@ -52,8 +63,9 @@ def accepted_records(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
 def rejected(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
              status: str = "status", body: str = "body") -> DataFrame:
     """Rejected envelopes with their reason (S9 reject branch, D3)."""
-    reason = reject_reason(F.col(status), F.col(body), record)
-    return env.select(*keys, F.col(status), reason.alias("reason")).where(F.col("reason").isNotNull())
+    p = _parsed(env, keys, status, body, record)
+    reason = reject_reason(F.col("__status"), F.col("__data"))
+    return p.select(*keys, F.col("__status").alias(status), reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def reject_summary(rejects: DataFrame, name: str = "n") -> DataFrame:
@@ -64,10 +76,10 @@ def reject_summary(rejects: DataFrame, name: str = "n") -> DataFrame:
 def per_route_status(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
                      status: str = "status", body: str = "body") -> DataFrame:
     """Records and outcome per requested route (A9): count, reason."""
-    data = _data(F.col(body), record)
-    reason = reject_reason(F.col(status), F.col(body), record)
-    n = F.when(reason.isNull(), F.size(data)).otherwise(F.lit(0))
-    return env.select(*keys, n.cast("bigint").alias("records"), F.coalesce(reason, F.lit("ok")).alias("outcome"))
+    p = _parsed(env, keys, status, body, record)
+    reason = reject_reason(F.col("__status"), F.col("__data"))
+    n = F.when(reason.isNull(), F.size("__data")).otherwise(F.lit(0))
+    return p.select(*keys, n.cast("bigint").alias("records"), F.coalesce(reason, F.lit("ok")).alias("outcome"))
 
 
 def wrap_responses(env: DataFrame, key: str = "city", query: str = "query",
