@@ -129,6 +129,9 @@ def test_envelopes_three_reasons(spark):  # case 16, S9, D3
     assert rej == {"ICN": ev.HTTP_ERROR, "SIN": ev.NO_DATA, "KUL": ev.REQUEST_FAILED}
     status = {r.arr: (r.records, r.outcome) for r in ev.per_route_status(env, rec).collect()}
     assert status["NRT"] == (2, "ok") and status["HND"] == (0, "ok") and status["KUL"] == (0, ev.REQUEST_FAILED)
+    # each body is parsed once per row, though reason and count both read it
+    for df in (ev.per_route_status(env, rec), acc):
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
     routes = spark.createDataFrame([("BKK", a) for a in ["NRT", "HND", "ICN", "SIN", "KUL", "TPE"]], "dep string, arr string")
     assert sorted(r.arr for r in ev.missing_routes(routes, env).collect()) == ["TPE"]
     wrapped = ev.wrap_responses(spark.createDataFrame(
