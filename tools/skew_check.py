@@ -10,6 +10,8 @@ reading the largest number of shuffle records one task read in any stage
   event's key set to null (a fifth of the rows), shuffled (no broadcast,
   AQE skew splitting and runtime broadcast off to show the raw layout);
   plain shuffled join vs ``left_join`` with null-key spreading.
+* copies: the same null-key rows made identical (one group of copies),
+  spread over 64 input splits; plain shuffled join vs ``left_join``;
 * hot key: every ``view`` event's key set to one customer (a fifth of the
   rows) over 64 input splits, shuffled left join with AQE's skew split off
   vs on (thresholds scaled down to the input size);
@@ -78,6 +80,14 @@ def main():
         "null keys: plain shuffled left join": lambda: fact.join(dim, fact.uid == dim.c_custkey, "left"),
         "null keys: left_join with null-key spreading": lambda: joins.left_join(fact, dim, "uid", "c_custkey", broadcast_max_rows=0),
     }
+    # a group of copies: every click event is the same row (null key), over
+    # 64 input splits as at cluster scale
+    copies = ev.select(
+        F.when(F.col("event_type") == "click", F.lit(0)).otherwise(F.col("event_id")).alias("event_id"),
+        F.when(F.col("event_type") == "click", F.lit(None)).otherwise(F.col("user_id")).alias("uid")).repartition(64)
+    runs["copies: plain shuffled left join"] = lambda: copies.join(dim, copies.uid == dim.c_custkey, "left")
+    runs["copies: left_join with null-key spreading"] = (
+        lambda: joins.left_join(copies, dim, "uid", "c_custkey", broadcast_max_rows=0))
     # 64 input splits: AQE splits a skewed partition along map-task boundaries
     hot = ev.select("event_id", F.when(F.col("event_type") == "view", F.lit(0)).otherwise(F.col("user_id")).alias("uid")) \
         .repartition(64)
