@@ -60,6 +60,16 @@ def max_task_records(log_dir: str, job_group: str) -> int:
     return best
 
 
+NOTES = """The plain join sends every null-key row to the null key's single partition; with the salt they spread over 64
+tasks (and still never match). The salt hashes the row together with its input split, so
+even identical null-key rows (the copies runs: every click event made the same row, over 64 input splits) spread
+— a hash of the row alone would send every copy to one bucket. A hot non-null key is left to AQE: with its skew split on, the hot partition is
+read by several tasks, each taking a range of map outputs (so it needs more than one input split — at cluster
+scale there are thousands). The single window gathers up to 100 rows per key from each of the 64 input splits in
+one task; the two-level cap gathers at most 100 rows from each of 8 split buckets per task at either level.
+Regenerate with `python tools/skew_check.py /root/testdata/sf0.1 SKEW.md`."""
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else None
@@ -122,7 +132,7 @@ def main():
              "| run | result rows | max shuffle records read by one task |", "| --- | --- | --- |"]
     for i, (name, n) in enumerate(rows):
         lines.append(f"| {name} | {n} | {max_task_records(log_dir, f'skew-{i}')} |")
-    text = "\n".join(lines) + "\n"
+    text = "\n".join(lines) + "\n\n" + NOTES + "\n"
     print(text)
     if out:
         with open(out, "w") as f:
