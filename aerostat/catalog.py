@@ -365,7 +365,7 @@ def q_partition_roundtrip(spark, sf):
     root = scratch_path(spark, "partitioned", "events")
     sinks.write_partitioned(e, root, "ingest_date")
     sinks.write_partitioned(e.where(F.col("ingest_date") == F.lit(D)), root, "ingest_date")
-    back = scan_parquet(spark, root)
+    back = scan_parquet(spark, root, schema=e.schema)
     return back.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -59,7 +59,7 @@ def serving_rows(clean: DataFrame) -> DataFrame:
 def read_clean(spark: SparkSession, clean_root: str, days: Sequence[str | dt.date] | None = None,
                part_glob: str | None = None) -> DataFrame:
     """Clean dataset, pruned to ``days`` by partition filter when given."""
-    df = scan_parquet(spark, clean_root, part_glob)
+    df = scan_parquet(spark, clean_root, part_glob, schemas.CLEAN_STORED)
     if days is not None:
         df = df.where(F.col("ingest_date").isin([dt.date.fromisoformat(str(d)) for d in days]))
     return df

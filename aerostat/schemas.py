@@ -44,6 +44,8 @@ FLIGHT = _struct(**{k: S for k in FLIGHT_FIELDS})
 WEATHER = _struct(city=S, iata=S, temp=F32, humidity=F32, weather=S, wind_speed=F32)
 
 CLEAN = T.StructType(FLIGHT.fields + WEATHER.fields)
+# the clean dataset as stored: the contract plus its day partition column
+CLEAN_STORED = T.StructType(CLEAN.fields + [T.StructField("ingest_date", T.DateType())])
 
 SERVING = T.StructType(
     [

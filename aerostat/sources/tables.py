@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def scan_parquet(spark: SparkSession, path: str, part_glob: str | None = None) -> DataFrame:
+def scan_parquet(spark: SparkSession, path: str, part_glob: str | None = None,
+                 schema: StructType | None = None) -> DataFrame:
     """All Parquet parts of a dataset (S5); only matching parts with a glob.
 
     ``part_glob="part-00000*.parquet"`` reproduces the ad-hoc reader that
     looked at the first part only (and so undercounted multi-part days).
     Partition directories (``ingest_date=...``) become columns and are
-    pruned by filters on them.
+    pruned by filters on them. A known ``schema`` (the dataset's contract,
+    partition columns included) skips the job that reads file footers to
+    infer one.
     """
     r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
     if part_glob:
         r = r.option("pathGlobFilter", part_glob)
     return r.parquet(path)
