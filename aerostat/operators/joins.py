@@ -155,11 +155,21 @@ def semi_join(
     broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int | None = DIM_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
-    """Rows of ``left`` with a key present in ``right`` (F6 as a set filter)."""
+    """Rows of ``left`` with a key present in ``right`` (F6 as a set filter).
+
+    Only the right keys are used. Within the size bound they are
+    broadcast; beyond it they are reduced to distinct keys first — a
+    partial aggregate in every map task, so a hot key on the right arrives
+    as one row per task instead of all its rows, and the aggregate's
+    hash partitioning on the keys is the one the join needs (no extra
+    exchange).
+    """
     lk, rk = _keys(left_keys, right_keys)
     r = right.select(*rk)
-    if broadcast_max_rows is not None:
-        r = checked_broadcast(r, broadcast_max_rows, broadcast_max_bytes)
+    if broadcast_max_rows is not None and at_most(r, broadcast_max_rows, broadcast_max_bytes):
+        r = F.broadcast(r)
+    else:
+        r = r.distinct()
     return left.join(r, _cond(left, r, lk, rk), "left_semi")
 
 

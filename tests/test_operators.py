@@ -67,6 +67,29 @@ def test_size_probe_of_a_large_side_reads_few_partitions(spark):
     assert joins.at_most(spark.range(0, 900, numPartitions=30), 1000)
 
 
+def test_shuffled_semi_join_reduces_right_keys_first(spark):
+    # a third of the right rows carry one key; beyond the broadcast bound the
+    # right side is cut to distinct keys before the join, in the join's own
+    # partitioning (one exchange per side)
+    left = spark.range(0, 2000, numPartitions=4).select("id", (F.col("id") % 50).alias("k"))
+    right = spark.range(0, 6000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 40).alias("rk"))
+    got = joins.semi_join(left, right, "k", "rk", broadcast_max_rows=10)
+    want = left.join(right, left.k == right.rk, "left_semi")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = joins.semi_join(left, right, "k", "rk", broadcast_max_rows=10)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "LeftSemi" in plan and plan.count("HashAggregate") == 2 and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_broadcast_refused_beyond_bound(spark):
     left = spark.range(100).withColumnRenamed("id", "k")
     right = spark.range(50).withColumnRenamed("id", "rk")
