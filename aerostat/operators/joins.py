@@ -127,15 +127,17 @@ def _shuffled_left_join(left: DataFrame, right: DataFrame, lk, rk, buckets: int)
     added to the join keys: 0 for every row that can match (and for every
     right row), a deterministic hash bucket in 1..buckets for a null-key
     left row. Matching pairs are unchanged; the unmatchable rows spread out.
-    The hash covers the row and its input partition, so a large group of
-    identical null-key rows spreads by input split as well; a retried task
-    recomputes the same bucket for every row.
+    The salt is a deterministic function of the row, so filters above the
+    join still reach the scan (a salt from the partition id or a random
+    number is nondeterministic and stops pushdown) and a retried task
+    recomputes the same buckets. Identical null-key rows share a bucket;
+    a large group of such copies is one hot partition of the preserved
+    side, which AQE's skew-join handling splits across tasks.
     """
     any_null = F.lit(False)
     for k in lk:
         any_null = any_null | F.col(k).isNull()
-    spread = F.lit(1) + F.pmod(
-        F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns]), F.lit(buckets)).cast("int")
+    spread = F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)).cast("int")
     lsalt = F.when(any_null, spread).otherwise(F.lit(0))
     l2 = left.withColumn(NULL_SALT, lsalt)
     rsalt_name = NULL_SALT + "_r"
