@@ -39,6 +39,11 @@ def cap_per_key(
     the result equals a single ``row_number() <= k`` over the key. A task
     sees at most ``k * max(tasks/fanout, fanout)`` rows of one key.
     ``order_by`` should be a total order (add a unique tie-break).
+
+    The bucket must be the input task (a hash bucket would let every task
+    feed every bucket), and a partition id is nondeterministic to Catalyst:
+    filters written after the cap are not pushed below it, so filter
+    before capping.
     """
     keys = list(keys)
     order = list(order_by)
