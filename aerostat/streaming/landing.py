@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,14 +32,20 @@ def default_checkpoint(spark: SparkSession, name: str) -> str:
 def _process(spark: SparkSession, raw_root: str, clean_root: str, multiline: bool, condition_mode: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_FROM_PATH, 1))
-        fl = flights(batch.withColumn("ingest_date", day))
-        # the distinct days of one micro-batch: a handful of keys, not data
-        days = [r[0] for r in fl.select("ingest_date").distinct().collect() if r[0] is not None]
-        if not days:
-            return
-        wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d, not multiline) for d in days], multiline,
-                          with_day=True, condition_mode=condition_mode)
-        write_partitioned(clean_rows(fl, wx), clean_root, "ingest_date")
+        # two actions read the batch (its days, then the write): persisted for
+        # the handler so the landed files are parsed once; a lost block is
+        # recomputed from the files
+        fl = flights(batch.withColumn("ingest_date", day)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # the distinct days of one micro-batch: a handful of keys, not data
+            days = [r[0] for r in fl.select("ingest_date").distinct().collect() if r[0] is not None]
+            if not days:
+                return
+            wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d, not multiline) for d in days], multiline,
+                              with_day=True, condition_mode=condition_mode)
+            write_partitioned(clean_rows(fl, wx), clean_root, "ingest_date")
+        finally:
+            fl.unpersist()
     return run
 
 
