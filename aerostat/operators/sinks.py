@@ -191,7 +191,9 @@ def backfill_date_partitions(spark: SparkSession, table: str, batches: DataFrame
     d, f = F.col(date_col), F.col(file_day_col)
     keep_new = f.between(date_literal(s), date_literal(e)) & (d.isNull() | ~((d > f) & (d <= date_literal(e))))
     survivors = batches.where(keep_new).drop(file_day_col)
-    survivors.write.mode("errorifexists").partitionBy(date_col).parquet(stage)
+    # clustered by date like every partitioned write: few files per date,
+    # and AQE splits a date holding a large share of the rows
+    survivors.hint("rebalance", date_col).write.mode("errorifexists").partitionBy(date_col).parquet(stage)
     staged = spark.read.schema(survivors.schema).parquet(stage).select(*survivors.columns)
     for i in range((e - s).days + 1):
         day = s + dt.timedelta(days=i)
