@@ -173,7 +173,7 @@ def replace_date_partition(spark: SparkSession, table: str, batch: DataFrame, da
     d = dt.date.fromisoformat(str(day))
     c = F.col(date_col)
     _overwrite_date(spark, table, batch.where(c == date_literal(d)), date_col, d)
-    batch.where(~c.eqNullSafe(date_literal(d))).write.insertInto(table)
+    batch.where(~c.eqNullSafe(date_literal(d))).hint("rebalance", date_col).write.insertInto(table)
 
 
 def backfill_date_partitions(spark: SparkSession, table: str, batches: DataFrame, file_day_col: str,
@@ -198,7 +198,8 @@ def backfill_date_partitions(spark: SparkSession, table: str, batches: DataFrame
     for i in range((e - s).days + 1):
         day = s + dt.timedelta(days=i)
         _overwrite_date(spark, table, staged.where(d == date_literal(day)), date_col, day)
-    staged.where(d.isNull() | ~d.between(date_literal(s), date_literal(e))).write.insertInto(table)
+    outside = staged.where(d.isNull() | ~d.between(date_literal(s), date_literal(e)))
+    outside.hint("rebalance", date_col).write.insertInto(table)
 
 
 # --- Q14: write a new version, then swap ---------------------------------
@@ -214,7 +215,7 @@ def publish_version(spark: SparkSession, df: DataFrame, table: str, root: str,
     location = os.path.join(root, f"v-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
     w = df.write.mode("errorifexists")
     if partition_cols:
-        w = w.partitionBy(*partition_cols)
+        w = df.hint("rebalance", *partition_cols).write.mode("errorifexists").partitionBy(*partition_cols)
     w.parquet(location)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
