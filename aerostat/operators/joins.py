@@ -96,6 +96,8 @@ def left_join(
     broadcast_max_bytes: int | None = DIM_BROADCAST_MAX_BYTES,
     spread_null_keys: bool = True,
     null_key_buckets: int = 64,
+    hot_right_rows: int | None = None,
+    hot_buckets: int = 32,
 ) -> DataFrame:
     """Left outer equi-join keeping both key columns.
 
@@ -104,12 +106,20 @@ def left_join(
     ``broadcast_max_rows=None`` to skip the probe. Beyond the bound the
     join is shuffled on the key, with null-key left rows spread over
     ``null_key_buckets`` partitions instead of piling into one; a hot
-    non-null key is split by AQE's skew-join handling.
+    non-null key of the left side is split by AQE's skew-join handling.
+
+    AQE cannot split the right side of a left outer join. When the right
+    side may hold hot keys (a fan-out side where one key has a large share
+    of the rows), pass ``hot_right_rows``: right keys with more rows than
+    that are spread over ``hot_buckets`` tasks (see
+    ``_left_join_split_hot_right``; it reads the left side twice).
     """
     lk, rk = _keys(left_keys, right_keys)
     if broadcast_max_rows is not None and at_most(right, broadcast_max_rows, broadcast_max_bytes):
         r = F.broadcast(right)
         return left.join(r, _cond(left, r, lk, rk), "left")
+    if hot_right_rows is not None:
+        return _left_join_split_hot_right(left, right, lk, rk, hot_right_rows, hot_buckets)
     if not spread_null_keys:
         return left.join(right, _cond(left, right, lk, rk), "left")
     return _shuffled_left_join(left, right, lk, rk, null_key_buckets)
@@ -148,6 +158,61 @@ def _shuffled_left_join(left: DataFrame, right: DataFrame, lk, rk, buckets: int)
     return l2.join(r2, cond, "left").drop(NULL_SALT, rsalt_name)
 
 
+HOT = "__hot"
+HOT_SALT = "__hot_salt"
+
+
+def _left_join_split_hot_right(left: DataFrame, right: DataFrame, lk, rk, threshold: int,
+                               buckets: int) -> DataFrame:
+    """Left outer join whose hot right keys are spread over ``buckets`` tasks.
+
+    Exact for any data:
+
+    * hot keys are the right keys with more than ``threshold`` rows, found
+      by a partial + final aggregate; there are at most
+      ``rows(right) / threshold`` of them, and they are broadcast only
+      behind the size probe;
+    * a right row of a hot key gets a bucket from a hash of the row, every
+      other right row bucket 0; a left row of a hot key is repeated once per
+      bucket, every other left row once with bucket 0; an inner join on
+      (keys, bucket) then yields every matching pair exactly once, and a
+      hot key's rows are read by ``buckets`` tasks instead of one;
+    * left rows with no match at all (null keys included) come from a
+      left anti join against the distinct right keys, with null right
+      columns.
+    """
+    overlap = set(left.columns) & set(right.columns)
+    if overlap:
+        raise ValueError(f"left and right share column names: {sorted(overlap)}")
+    hk = [f"__hk{i}" for i in range(len(rk))]
+    counts = right.groupBy(*rk).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > F.lit(threshold)).select(
+        *[F.col(k).alias(h) for k, h in zip(rk, hk)]).withColumn(HOT, F.lit(True))
+    hot = checked_broadcast(hot)
+
+    def mark(df: DataFrame, keys) -> DataFrame:
+        cond = None
+        for k, h in zip(keys, hk):
+            c = df[k] == hot[h]
+            cond = c if cond is None else cond & c
+        return df.join(hot, cond, "left").drop(*hk)
+
+    is_hot = F.coalesce(F.col(HOT), F.lit(False))
+    r = mark(right, rk)
+    r = r.withColumn(HOT_SALT, F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]),
+                                                      F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+    r = r.drop(HOT).withColumnRenamed(HOT_SALT, HOT_SALT + "_r")
+    lx = mark(left, lk)
+    lx = lx.withColumn(HOT_SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                           .otherwise(F.array(F.lit(0))))).drop(HOT)
+    cond = _cond(lx, r, lk, rk) & (lx[HOT_SALT] == r[HOT_SALT + "_r"])
+    matched = lx.join(r, cond, "inner").drop(HOT_SALT, HOT_SALT + "_r")
+    keys = right.select(*rk).distinct()
+    unmatched = left.join(keys, _cond(left, keys, lk, rk), "left_anti")
+    unmatched = unmatched.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+    return matched.select(*left.columns, *right.columns).unionByName(unmatched)
+
+
 def semi_join(
     left: DataFrame,
     right: DataFrame,

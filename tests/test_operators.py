@@ -90,6 +90,39 @@ def test_shuffled_semi_join_reduces_right_keys_first(spark):
     assert "LeftSemi" in plan and plan.count("HashAggregate") == 2 and plan.count("Exchange hashpartitioning") == 2
 
 
+def test_left_join_splits_hot_right_keys(spark):
+    # right: key 3 holds a third of the rows, key None some; left: every key
+    # 0..59, a null key, and keys with no right rows
+    right = spark.range(0, 3000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(3)).when(F.col("id") % 97 == 0, F.lit(None))
+        .otherwise(F.col("id") % 40).alias("rk"), F.col("id").alias("rv"))
+    left = spark.range(0, 120, numPartitions=4).select(
+        "id", F.when(F.col("id") == 7, F.lit(None)).otherwise(F.col("id") % 60).alias("k"))
+    got = joins.left_join(left, right, "k", "rk", broadcast_max_rows=5, hot_right_rows=200, hot_buckets=8)
+    want = left.join(right, left.k == right.rk, "left")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    # the hot key's pairs are produced by several tasks
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = joins.left_join(left, right, "k", "rk", broadcast_max_rows=5, hot_right_rows=200, hot_buckets=8)
+        parts = hot.where(F.col("rk") == 3).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert parts > 1
+    # two-column keys
+    r2 = right.select((F.col("rk") % 2).alias("a"), F.col("rk").alias("b"), "rv")
+    l2 = left.select("id", (F.col("k") % 2).alias("la"), F.col("k").alias("lb"))
+    got2 = joins.left_join(l2, r2, ["la", "lb"], ["a", "b"], broadcast_max_rows=5, hot_right_rows=200, hot_buckets=4)
+    want2 = l2.join(r2, (l2.la == r2.a) & (l2.lb == r2.b), "left")
+    assert sorted(map(tuple, got2.collect()), key=str) == sorted(map(tuple, want2.collect()), key=str)
+
+
 def test_broadcast_refused_beyond_bound(spark):
     left = spark.range(100).withColumnRenamed("id", "k")
     right = spark.range(50).withColumnRenamed("id", "rk")

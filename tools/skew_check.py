@@ -16,6 +16,10 @@ reading the largest number of shuffle records one task read in any stage
 * hot key: every ``view`` event's key set to one customer (a fifth of the
   rows) over 64 input splits, shuffled left join with AQE's skew split off
   vs on (thresholds scaled down to the input size);
+* hot right key: customers left-joined to events with every ``view``
+  event on one customer (a fifth of the right side); AQE's skew split on
+  (it cannot split the right side of a left outer join) vs ``left_join``
+  with ``hot_right_rows``;
 * per-key cap: first 100 events per ``event_type`` (5 keys, each a fifth
   of the rows) over 64 input splits; one ``row_number`` window vs the
   two-level ``cap_per_key``.
@@ -73,6 +77,11 @@ is left to AQE: with its skew split on, the hot partition is read by several tas
 outputs (so it needs more than one input split — at cluster scale there are thousands). The single window gathers
 up to 100 rows per key from each of the 64 input splits in one task; the two-level cap gathers at most 100 rows
 from each of 8 split buckets per task at either level.
+A hot key on the right (fan-out) side of a left join is
+not split by AQE, which may only split the preserved side; `left_join(..., hot_right_rows=n)` finds right keys with
+more than n rows (an aggregate; the hot-key list is broadcast behind the size probe), spreads their right rows over
+32 buckets, repeats the matching left rows once per bucket and joins on (key, bucket), and adds the unmatched left
+rows by an anti join — exact, at the cost of reading the left side twice.
 Regenerate with `python tools/skew_check.py /root/testdata/sf0.1 SKEW.md`."""
 
 
@@ -112,6 +121,16 @@ def main():
     runs["hot key: shuffled left join, AQE skew split off"] = lambda: joins.left_join(hot, dim, "uid", "c_custkey", broadcast_max_rows=0)
     runs["hot key: shuffled left join, AQE skew split on"] = (
         lambda: joins.left_join(hot, dim, "uid", "c_custkey", broadcast_max_rows=0), skew_on)
+    # a hot key on the fan-out (right) side: customers left-joined to their
+    # events, every view event on customer 1; AQE cannot split the right side
+    # of a left outer join, so only the hot-key split spreads it
+    fanout = ev.select(F.when(F.col("event_type") == "view", F.lit(1)).otherwise(F.col("user_id")).alias("uid"),
+                       "event_id").repartition(64)
+    custs = dim.select(F.col("c_custkey"))
+    runs["hot right key: shuffled left join, AQE skew split on"] = (
+        lambda: joins.left_join(custs, fanout, "c_custkey", "uid", broadcast_max_rows=0), skew_on)
+    runs["hot right key: left_join with hot-key split (> 5000 rows, 32 buckets)"] = (
+        lambda: joins.left_join(custs, fanout, "c_custkey", "uid", broadcast_max_rows=0, hot_right_rows=5000), skew_on)
     split = ev.select("event_type", "event_id").repartition(64)
     w = Window.partitionBy("event_type").orderBy("event_id")
     runs["copies: left_join with null-key spreading, AQE skew split off"] = (
