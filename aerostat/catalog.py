@@ -146,7 +146,10 @@ def q_left_join(spark, sf):
 def q_left_join_fanout(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return joins.left_join(c, o, "c_custkey", "o_custkey").select("c_custkey", "o_orderkey")
+    # orders is the fan-out side: beyond the broadcast bound, a customer with
+    # more than a million orders is spread over several tasks (the customer
+    # side, read twice, is the small one)
+    return joins.left_join(c, o, "c_custkey", "o_custkey", hot_right_rows=1_000_000).select("c_custkey", "o_orderkey")
 
 
 def _doc_label_keys(spark, sf):
