@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerostat.session import scratch_path
+
 # A side within both bounds is cheap to ship to every executor.
 DIM_BROADCAST_MAX_ROWS = 200_000
 DIM_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -112,14 +114,14 @@ def left_join(
     side may hold hot keys (a fan-out side where one key has a large share
     of the rows), pass ``hot_right_rows``: right keys with more rows than
     that are spread over ``hot_buckets`` tasks (see
-    ``_left_join_split_hot_right``; it reads the left side twice).
+    ``_left_join_split_hot_right``; one extra aggregate over the right).
     """
     lk, rk = _keys(left_keys, right_keys)
     if broadcast_max_rows is not None and at_most(right, broadcast_max_rows, broadcast_max_bytes):
         r = F.broadcast(right)
         return left.join(r, _cond(left, r, lk, rk), "left")
     if hot_right_rows is not None:
-        return _left_join_split_hot_right(left, right, lk, rk, hot_right_rows, hot_buckets)
+        return _left_join_split_hot_right(left, right, lk, rk, hot_right_rows, hot_buckets, null_key_buckets)
     if not spread_null_keys:
         return left.join(right, _cond(left, right, lk, rk), "left")
     return _shuffled_left_join(left, right, lk, rk, null_key_buckets)
@@ -160,57 +162,65 @@ def _shuffled_left_join(left: DataFrame, right: DataFrame, lk, rk, buckets: int)
 
 HOT = "__hot"
 HOT_SALT = "__hot_salt"
+RIGHT_ROW = "__right_row"
 
 
 def _left_join_split_hot_right(left: DataFrame, right: DataFrame, lk, rk, threshold: int,
-                               buckets: int) -> DataFrame:
+                               buckets: int, null_key_buckets: int = 64) -> DataFrame:
     """Left outer join whose hot right keys are spread over ``buckets`` tasks.
 
     Exact for any data:
 
     * hot keys are the right keys with more than ``threshold`` rows, found
-      by a partial + final aggregate; there are at most
-      ``rows(right) / threshold`` of them, and they are broadcast only
-      behind the size probe;
+      by one partial + final aggregate over the right side and written to
+      the shared folder (at most ``rows(right) / threshold`` keys); they
+      are broadcast from there behind the size probe;
     * a right row of a hot key gets a bucket from a hash of the row, every
       other right row bucket 0; a left row of a hot key is repeated once per
-      bucket, every other left row once with bucket 0; an inner join on
-      (keys, bucket) then yields every matching pair exactly once, and a
-      hot key's rows are read by ``buckets`` tasks instead of one;
-    * left rows with no match at all (null keys included) come from a
-      left anti join against the distinct right keys, with null right
+      bucket, a null-key left row gets a spread bucket (it never matches),
+      every other left row bucket 0; a left join on (keys, bucket) yields
+      every matching pair exactly once, and a hot key's rows are read by
+      ``buckets`` tasks instead of one;
+    * a hot key exists on the right by definition, so a repeated left row
+      is matched in some bucket: its unmatched repeats (empty buckets) are
+      dropped, and every other unmatched left row is kept with null right
       columns.
+
+    One read of the left side, two of the right (the aggregate, the join).
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"left and right share column names: {sorted(overlap)}")
+    spark = right.sparkSession
     hk = [f"__hk{i}" for i in range(len(rk))]
-    counts = right.groupBy(*rk).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > F.lit(threshold)).select(
-        *[F.col(k).alias(h) for k, h in zip(rk, hk)]).withColumn(HOT, F.lit(True))
-    hot = checked_broadcast(hot)
+    hot_keys = right.groupBy(*rk).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > F.lit(threshold))
+    hot_keys = hot_keys.select(*[F.col(k).alias(h) for k, h in zip(rk, hk)])
+    path = scratch_path(spark, "hot-keys")
+    hot_keys.write.mode("errorifexists").parquet(path)
+    hot = checked_broadcast(spark.read.schema(hot_keys.schema).parquet(path).withColumn(HOT, F.lit(True)))
 
     def mark(df: DataFrame, keys) -> DataFrame:
         cond = None
         for k, h in zip(keys, hk):
             c = df[k] == hot[h]
             cond = c if cond is None else cond & c
-        return df.join(hot, cond, "left").drop(*hk)
+        return df.join(hot, cond, "left").drop(*hk).withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
 
-    is_hot = F.coalesce(F.col(HOT), F.lit(False))
     r = mark(right, rk)
-    r = r.withColumn(HOT_SALT, F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]),
-                                                      F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
-    r = r.drop(HOT).withColumnRenamed(HOT_SALT, HOT_SALT + "_r")
+    r_bucket = F.when(F.col(HOT), F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets)))
+    r = r.select(*right.columns, r_bucket.otherwise(F.lit(0)).cast("int").alias(HOT_SALT + "_r"),
+                 F.lit(True).alias(RIGHT_ROW))
+    any_null = F.lit(False)
+    for k in lk:
+        any_null = any_null | F.col(k).isNull()
+    null_bucket = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(null_key_buckets)).cast("int")
     lx = mark(left, lk)
-    lx = lx.withColumn(HOT_SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                           .otherwise(F.array(F.lit(0))))).drop(HOT)
+    l_buckets = (F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                 .when(any_null, F.array(null_bucket)).otherwise(F.array(F.lit(0))))
+    lx = lx.withColumn(HOT_SALT, F.explode(l_buckets))
     cond = _cond(lx, r, lk, rk) & (lx[HOT_SALT] == r[HOT_SALT + "_r"])
-    matched = lx.join(r, cond, "inner").drop(HOT_SALT, HOT_SALT + "_r")
-    keys = right.select(*rk).distinct()
-    unmatched = left.join(keys, _cond(left, keys, lk, rk), "left_anti")
-    unmatched = unmatched.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return matched.select(*left.columns, *right.columns).unionByName(unmatched)
+    j = lx.join(r, cond, "left").where(~(F.col(HOT) & F.col(RIGHT_ROW).isNull()))
+    return j.select(*left.columns, *right.columns)
 
 
 def semi_join(

@@ -79,9 +79,10 @@ up to 100 rows per key from each of the 64 input splits in one task; the two-lev
 from each of 8 split buckets per task at either level.
 A hot key on the right (fan-out) side of a left join is
 not split by AQE, which may only split the preserved side; `left_join(..., hot_right_rows=n)` finds right keys with
-more than n rows (an aggregate; the hot-key list is broadcast behind the size probe), spreads their right rows over
-32 buckets, repeats the matching left rows once per bucket and joins on (key, bucket), and adds the unmatched left
-rows by an anti join — exact, at the cost of reading the left side twice.
+more than n rows (one aggregate, written to the shared folder and broadcast behind the size probe), spreads their
+right rows over 32 buckets, repeats the matching left rows once per bucket and left-joins on (key, bucket), dropping
+only the unmatched repeats of hot-key rows (a hot key exists on the right, so such a row matched in another bucket)
+— exact, with one read of the left side and two of the right.
 Regenerate with `python tools/skew_check.py /root/testdata/sf0.1 SKEW.md`."""
 
 
