@@ -187,6 +187,8 @@ def _left_join_split_hot_right(left: DataFrame, right: DataFrame, lk, rk, thresh
       columns.
 
     One read of the left side, two of the right (the aggregate, the join).
+    The buckets are deterministic hashes (retries and filter pushdown stay
+    intact), so identical right rows of a hot key share a bucket.
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
