@@ -252,6 +252,22 @@ def test_left_join_keeps_every_left_row(spark, left, right, bcast):
     assert sorted(((r.id, r.rid) for r in out), key=str) == sorted(want, key=str)
 
 
+@settings(max_examples=8, deadline=None)
+@given(left=st.lists(keys, max_size=15), right=st.lists(keys, max_size=20),
+       threshold=st.integers(0, 3), buckets=st.integers(1, 4))
+def test_hot_right_key_split_equals_left_join(spark, left, right, threshold, buckets):
+    # brute force, as above: every pair once, unmatched left rows once
+    ldf = spark.createDataFrame([(i, k) for i, k in enumerate(left)], "id int, k int")
+    rdf = spark.createDataFrame([(100 + j, k) for j, k in enumerate(right)], "rid int, rk int")
+    out = joins.left_join(ldf, rdf, "k", "rk", broadcast_max_rows=0, hot_right_rows=threshold,
+                          hot_buckets=buckets).collect()
+    want = []
+    for i, k in enumerate(left):
+        m = [100 + j for j, rk in enumerate(right) if k is not None and rk == k]
+        want += [(i, r) for r in m] or [(i, None)]
+    assert sorted(((r.id, r.rid) for r in out), key=str) == sorted(want, key=str)
+
+
 def test_broadcast_bound_counts_bytes(spark):
     wide_rows = spark.range(100).select("id", F.repeat(F.lit("x"), 10_000).alias("blob"))
     assert joins.at_most(wide_rows, 1000)                      # few rows ...
