@@ -22,6 +22,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # coalesce shuffle partitions to the advisory size rather than keeping
+    # at least the default parallelism: on a shared cluster small results
+    # then run as few tasks, and large stages are unaffected
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # No broadcast from plan estimates (compressed file sizes can understate a
     # side many times over): a side is broadcast only after the operators'
     # row/byte probe, or by AQE from the measured size of a finished stage.
