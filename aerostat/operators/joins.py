@@ -195,7 +195,12 @@ def _left_join_split_hot_right(left: DataFrame, right: DataFrame, lk, rk, thresh
         raise ValueError(f"left and right share column names: {sorted(overlap)}")
     spark = right.sparkSession
     hk = [f"__hk{i}" for i in range(len(rk))]
-    hot_keys = right.groupBy(*rk).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > F.lit(threshold))
+    nonnull = F.lit(True)
+    for k in rk:
+        nonnull = nonnull & F.col(k).isNotNull()
+    # null keys never match, so they are never hot
+    hot_keys = right.where(nonnull).groupBy(*rk).agg(F.count(F.lit(1)).alias("__n")) \
+        .where(F.col("__n") > F.lit(threshold))
     hot_keys = hot_keys.select(*[F.col(k).alias(h) for k, h in zip(rk, hk)])
     path = scratch_path(spark, "hot-keys")
     hot_keys.write.mode("errorifexists").parquet(path)
