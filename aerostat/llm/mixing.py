@@ -133,8 +133,8 @@ ranked AS (  -- sources in the order in which they reach three times their size
          coalesce(sum(3 * source_size) OVER o, 0) AS caps, coalesce(sum(w) OVER o, 0) AS cap_w
   FROM sources
   WINDOW o AS (ORDER BY 3.0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-level AS (  -- the first source that stays below it sets the level of all that follow
-  SELECT min(CAST(total - caps AS DOUBLE) / CAST(all_w - cap_w AS DOUBLE)) AS level
+level AS (  -- it peaks at the first source that stays below it
+  SELECT max(CAST(total - caps AS DOUBLE) / CAST(all_w - cap_w AS DOUBLE)) AS level
   FROM ranked WHERE w * (CAST(total - caps AS DOUBLE) / CAST(all_w - cap_w AS DOUBLE)) <= 3 * source_size),
 aims AS (
   SELECT source, source_size,
