@@ -42,6 +42,11 @@ def targets(sizes: dict[str | None, int], weights: Sequence[int] = (1, 2, 3), mo
     return {s: float(most * sizes[s]) if s in capped else weight[s] * level for s in order}
 
 
+def _small(rows: DataFrame, n: int, most: int = 100_000) -> DataFrame:
+    """One row per source; sent to all executors if there are no more than ``most``."""
+    return F.broadcast(rows) if n <= most else rows
+
+
 def _boundary(spark, sized: DataFrame, rest: dict[str, float]) -> dict[str, tuple[str, bool]]:
     """Per source the digest at which ``rest`` words are reached.
 
@@ -52,10 +57,9 @@ def _boundary(spark, sized: DataFrame, rest: dict[str, float]) -> dict[str, tupl
     digits = 0
     while state:
         digits += DIGITS
-        # one row per source
         here = spark.createDataFrame(
             [(s, p, b, rest[s]) for s, (p, b) in state.items()], "key string, prefix string, base long, rest double")
-        near = sized.join(here, "key").where(F.col("digest").startswith(F.col("prefix")))
+        near = sized.join(_small(here, len(state)), "key").where(F.col("digest").startswith(F.col("prefix")))
         by_bucket = near.groupBy("key", F.substring("digest", 1, digits).alias("bucket"), "base", "rest").agg(
             F.sum("size").alias("size"), F.min("digest").alias("low"), F.max("digest").alias("high"))
         running = Window.partitionBy("key").orderBy("bucket")  # at most 4,096 rows a source
@@ -113,7 +117,7 @@ def mix_sources(
         [(k, n, target[k], whole[k], *cut.get(k, ("", False))) for k, n in size.items()],
         "key string, source_size long, target double, copies int, cut string, with_cut boolean")
     once_more = (F.col("digest") < F.col("cut")) | (F.col("with_cut") & (F.col("digest") == F.col("cut")))
-    return sized.join(plan, "key").select(
+    return sized.join(_small(plan, len(size)), "key").select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * (F.col("copies") + once_more.cast("int"))).alias("taken"),
         *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)])

@@ -2,23 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from aerostat.llm.byte_bpe import decode, encode
 from aerostat.llm.mixing import MIX_SQL, mix_sources
+from aerostat.llm.quality import repetition_quality
 from aerostat.llm.sharding import shard_documents
+from aerostat.llm.simhash import near_duplicates
+from aerostat.llm.suffix_dedup import remove_repeats
 from aerostat.llm.topk import TOP_K_SQL, top_k
+from aerostat.llm.toxicity import score_toxicity, train
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_remainder(doc_id: str, n: int) -> Column:
+    """crc32 of the id as text, modulo ``n`` (null: of the empty text)."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % n
+
+
+def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_quality(table(spark, sf_dir, "documents"))
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 3) != 1)
+    return score_toxicity(docs, model).withColumn("held_out", id_remainder("doc_id", 3) == 1)
+
+
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), length=3, radius=3)
+
+
+def token_digests(docs: DataFrame, path: str) -> DataFrame:
+    """Ids and decoded bytes of each document as digests."""
+    whole = decode(encode(docs, path, public_tokenizers.PATTERN), path)
+    return whole.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=16)
 
@@ -28,7 +73,12 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_repetition_rules": repetition_rules,
+    "op3_toxicity": toxicity,
     "op4_exact_top_k": exact_top_k,
+    "op5_simhash": simhash,
+    "op6_byte_bpe": byte_bpe,
+    "op7_suffix_dedup": suffix_dedup,
     "op8_sharding": sharding,
     "op9_mixing": mixing,
 }
