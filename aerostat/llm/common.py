@@ -19,15 +19,15 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _MULT_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def staged(df: DataFrame, *name: str) -> DataFrame:
-    """Write ``df`` once under the cluster's shared folder and read it back.
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once under the cluster's shared folder, partitioned if asked for, and read it back.
 
     Cuts the lineage with a copy that outlives any executor.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "llm", *name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(spark, "llm", name)
+    df.write.partitionBy(*[by] * bool(by)).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def word_count(text: Column) -> Column:
@@ -96,6 +96,24 @@ class RangeHash:
         return mix(h + (end - start).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
 
 
+def words_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place as a big-endian number (``data`` has 8 spare bytes at its end)."""
+    return np.ndarray((len(data) - 7,), dtype=">u8", buffer=data, strides=(1,))[at].astype(np.uint64)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range, eight bytes a step (for short ranges; ``data`` as in ``words_at``)."""
+    h = (end - start).astype(np.uint64)
+    alive, at = np.arange(len(start)), start
+    while len(alive):
+        left = end[alive] - at
+        short = np.maximum(8 - left, 0).astype(np.uint64) * np.uint64(8)
+        h[alive] = mix(h[alive] * _MULT + (words_at(data, at) >> short))
+        stay = left > 8
+        alive, at = alive[stay], at[stay] + 8
+    return h
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word; a word never crosses a row."""
     inside = ~WHITE[data]

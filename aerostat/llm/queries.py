@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from aerostat.llm.byte_bpe import decode, encode
+from aerostat.llm.katz import score_texts
 from aerostat.llm.mixing import MIX_SQL, mix_sources
 from aerostat.llm.quality import repetition_quality
 from aerostat.llm.sharding import shard_documents
@@ -26,6 +27,10 @@ def id_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % n
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2, order=2)
+
+
 def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_katz_scores": lm_scores,
     "op2_repetition_rules": repetition_rules,
     "op3_toxicity": toxicity,
     "op4_exact_top_k": exact_top_k,

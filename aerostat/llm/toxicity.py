@@ -2,8 +2,9 @@
 
 Every token has a log-odds weight (toxic against clean documents) under a
 Dirichlet prior that is proportional to the token's overall frequency, less
-two standard errors, so that only tokens with evidence count. A linear-time
-scan finds all maximal segments of the weights. How high clean texts score
+two standard errors, so that only tokens with evidence count. A token that
+was hardly seen backs off to its leading letters, which covers inflected
+and compound forms. A linear-time scan finds all maximal segments of the weights. How high clean texts score
 by chance follows an extreme-value law in the length of the text; its two
 parameters are fitted on clean training documents, which turns each
 segment's score into a tail probability. The evidence of a document's
@@ -13,7 +14,9 @@ segments together is mapped to a probability on the training labels.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +25,9 @@ from pyspark.sql import functions as F
 
 from aerostat.llm.common import staged
 
-_EDGE = ".,;:!?\"'()[]{}«»“”‘’…*_-"
-TOKEN = r"[^\x20\x09-\x0D]+"
+_EDGE = ".,;:!?\"'()[]{}«»“”‘’…*_-#$%&|<>"
+STEMS = (4, 5, 6)  # leading letters that a token backs off to
+REMEMBERED = 200_000  # tokens whose weight a task keeps at hand
 
 
 @dataclass(frozen=True)
@@ -37,6 +41,13 @@ class Model:
     slope: float = 1.0  # of evidence to log-odds
     offset: float = 0.0
 
+    @cached_property
+    def of(self) -> _Weights:
+        return _Weights(self.weights)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "of"}
+
 
 def maximal_segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first token, last token, score), in linear time.
@@ -73,9 +84,29 @@ def tokens(text: str | None) -> list[str]:
     return [t.strip(_EDGE) for t in text.lower().split()] if text else []
 
 
+def forms(token: str) -> list[str]:
+    """The token and its stems, marked by a trailing blank."""
+    return [token, *(token[:n] + " " for n in STEMS if len(token) > n)]
+
+
+class _Weights(dict):
+    """Weight of a token: the strongest among its forms, 0 if none has one."""
+
+    def __init__(self, known: dict[str, float]):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, token: str) -> float:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = [self.known[f] for f in forms(token) if f in self.known]
+        self[token] = weight = max(found, key=abs, default=0.0)
+        return weight
+
+
 def segments_of(words: list[str], model: Model) -> list[tuple[int, int, float]]:
-    weights = model.weights
-    return maximal_segments([(i, weights[t]) for i, t in enumerate(words) if t in weights], model.drift)
+    weights = model.of
+    return maximal_segments([(i, w) for i, w in enumerate(map(weights.__getitem__, words)) if w], model.drift)
 
 
 def evidence(score: float, n_tokens: int, model: Model) -> float:
@@ -122,24 +153,40 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, most: in
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
 
 
+def _count_forms(batches):
+    """Documents of either label that hold a form: (form, y1, y0), summed per stretch of rows."""
+    def row(toxic, clean):
+        names = list(toxic.keys() | clean.keys())
+        return pa.RecordBatch.from_pydict({
+            "form": pa.array(names, pa.string()), "y1": pa.array([toxic[f] for f in names], pa.int64()),
+            "y0": pa.array([clean[f] for f in names], pa.int64())})
+
+    toxic, clean = Counter(), Counter()
+    for b in batches:
+        for text, y in zip(b.column("text"), b.column("toxic").to_pylist()):
+            (toxic if y else clean).update({f for t in set(tokens(text.as_py())) for f in forms(t)})
+            if len(toxic) + len(clean) > 300_000:
+                yield row(toxic, clean)
+                toxic, clean = Counter(), Counter()
+    yield row(toxic, clean)
+
+
 def _log_odds(sample: DataFrame, prior: float, least: int, most: int) -> dict[str, float]:
-    words = sample.select("toxic", F.explode(F.regexp_extract_all(
-        F.lower(F.coalesce("text", F.lit(""))), F.lit(TOKEN), F.lit(0))).alias("token"))
-    words = words.select("toxic", F.btrim("token", F.lit(_EDGE)).alias("token"))
-    counts = words.where("token <> ''").groupBy("token").agg(
-        F.sum("toxic").cast("double").alias("y1"), F.sum(1 - F.col("toxic")).cast("double").alias("y0"))
-    n = words.where("token <> ''").agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")).first()
+    n = sample.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")).first()
     n1, n0 = float(n["n1"] or 0), float(n["n0"] or 0)
     if not n1 or not n0:
         return {}
-    a = F.lit(prior) * (F.col("y1") + F.col("y0")) / F.lit(n1 + n0)
+    counts = sample.select("text", "toxic").mapInArrow(_count_forms, "form string, y1 long, y0 long") \
+        .groupBy("form").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).where(f"y1 + y0 >= {least} AND form <> ''")
+    mass = prior * (n1 + n0)
+    a = F.lit(prior) * (F.col("y1") + F.col("y0"))  # the form's part of the prior mass
     up, down = F.col("y1") + a, F.col("y0") + a
-    odds = F.log(up / (n1 + prior - up)) - F.log(down / (n0 + prior - down))
+    odds = F.log(up / (n1 + mass - up)) - F.log(down / (n0 + mass - down))
     error = F.sqrt(1 / up + 1 / down)
     sure = F.signum(odds) * F.greatest(F.abs(odds) - 2 * error, F.lit(0.0))
-    rows = counts.where(F.col("y1") + F.col("y0") >= least).select("token", sure.alias("weight")) \
-        .where("weight <> 0").orderBy(F.desc(F.abs("weight")), "token").limit(most).collect()
-    return {r["token"]: r["weight"] for r in rows}
+    rows = counts.select("form", sure.alias("weight")).where("weight <> 0") \
+        .orderBy(F.desc(F.abs("weight")), "form").limit(most).collect()
+    return {r["form"]: r["weight"] for r in rows}
 
 
 def _gumbel(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
@@ -171,12 +218,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, fl
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = 20_000, most_tokens: int = 50_000,
-          least: int = 5, prior: float = 1_000.0, drift: float = 0.5) -> Model:
+          least: int = 3, prior: float = 0.1, drift: float = 0.1) -> Model:
     """Fit the weights and the calibration on a bounded sample of labelled documents.
 
     ``most_rows`` bounds the labelled documents, ``most_tokens`` the weights
-    that are kept (the largest). ``usable`` picks the label rows that may
-    be learnt from. Without labels of both kinds the model finds nothing.
+    that are kept (the largest). ``least`` documents must hold a form;
+    ``prior`` is the prior's mass as a share of the documents. ``usable``
+    picks the label rows that may be learnt from. Without labels of both kinds the model finds nothing.
     """
     sample = staged(training_sample(docs, labels, usable, most_rows), "toxic_sample")
     model = Model(_log_odds(sample, prior, least, most_tokens), drift)
