@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aerostat.llm.byte_bpe import decode, encode
 from aerostat.llm.katz import score_texts
@@ -14,6 +17,7 @@ from aerostat.llm.quality import repetition_quality
 from aerostat.llm.sharding import shard_documents
 from aerostat.llm.simhash import near_duplicates
 from aerostat.llm.suffix_dedup import remove_repeats
+from aerostat.llm.token_files import read_token_files, vocabulary_size, write_token_files
 from aerostat.llm.topk import TOP_K_SQL, top_k
 from aerostat.llm.toxicity import score_toxicity, train
 
@@ -77,6 +81,23 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    files = write_token_files(table(spark, sf_dir, "documents"), path, end=1)
+
+    def digests(batches):
+        for b in batches:
+            ids = b.column("ids")
+            ends = ids.offsets.to_numpy()
+            flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
+            crc = [zlib.crc32(flat[s:e].tobytes()) for s, e in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), pa.array(np.diff(ends).astype(np.int64)),
+                                              pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return read_token_files(files, vocabulary_size(path)).mapInArrow(
+        digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
 QUERIES = {
     "op1_katz_scores": lm_scores,
     "op2_repetition_rules": repetition_rules,
@@ -87,6 +108,7 @@ QUERIES = {
     "op7_suffix_dedup": suffix_dedup,
     "op8_sharding": sharding,
     "op9_mixing": mixing,
+    "op10_token_files": token_files,
 }
 
 ORACLE_SQL = {
