@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostat.llm.common import staged, word_count
@@ -76,6 +76,42 @@ def _boundary(spark, sized: DataFrame, rest: dict[str, float]) -> dict[str, tupl
     return found
 
 
+def _marked(docs: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
+    """``docs`` with the key of the source, the number of words and the place in the source."""
+    ident = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
+    return docs.withColumns({
+        # a source's key is never null, so that it joins
+        "__mix_key": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("")),
+        "__mix_size": word_count(F.col(text)),
+        "__mix_digest": F.md5(ident),
+    })
+
+
+def _plan(sized: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+    """Per source its size, target, whole copies and the digest up to which one more is taken."""
+    spark = sized.sparkSession
+    size = {r["key"]: r["size"] for r in sized.groupBy("key").agg(F.sum("size").alias("size")).collect()}
+    target = {("s" + s if s is not None else ""): t
+              for s, t in targets({k[1:] if k else None: n for k, n in size.items()}, weights, most).items()}
+    whole = {k: int(target[k] // n) if n else 0 for k, n in size.items()}
+    rest = {k: target[k] - whole[k] * n if whole[k] < most else 0.0 for k, n in size.items()}
+    cut = _boundary(spark, sized, rest)
+    plan = spark.createDataFrame(
+        [(k, n, target[k], whole[k], *cut.get(k, ("", False))) for k, n in size.items()],
+        "key string, source_size long, target double, copies int, cut string, with_cut boolean")
+    return _small(plan, len(size))
+
+
+def _copies(digest: str) -> Column:
+    once_more = (F.col(digest) < F.col("cut")) | (F.col("with_cut") & (F.col(digest) == F.col("cut")))
+    return F.col("copies") + once_more.cast("int")
+
+
+def _sized(marked: DataFrame, doc_id: str) -> DataFrame:
+    return staged(marked.select(F.col(doc_id).alias("doc_id"), F.col("__mix_key").alias("key"),
+                                F.col("__mix_size").alias("size"), F.col("__mix_digest").alias("digest")), "mix_rows")
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[int] = (1, 2, 3),
@@ -83,44 +119,44 @@ def mix_sources(
     text: str = "text",
     doc_id: str = "doc_id",
     source: str = "source",
-    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Words that the mix takes of every document.
 
     Returns ``doc_id``, ``size`` (words), ``source_size``, ``target`` and
-    ``taken`` (``size`` times the copies, 0 to ``most``), then the columns
-    named in ``keep``. The outcome depends on the rows alone, so reruns
-    agree.
+    ``taken`` (``size`` times the copies, 0 to ``most``). The outcome
+    depends on the rows alone, so reruns agree.
 
     Null texts have no words; null sources are one source, the last; rows
     repeating id and text share a digest and are taken or left together;
     an empty table gives no rows. Other columns of ``docs`` are ignored.
     The driver holds one row per source.
     """
-    spark = docs.sparkSession
-    ident = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
-    sized = staged(docs.select(
-        F.col(doc_id).alias("doc_id"),
-        # a source's key is never null, so that it joins
-        F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("")).alias("key"),
-        word_count(F.col(text)).alias("size"),
-        F.md5(ident).alias("digest"),
-        *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)],
-    ), "mix_rows")
-    size = {r["key"]: r["size"] for r in sized.groupBy("key").agg(F.sum("size").alias("size")).collect()}
-    target = {("s" + s if s is not None else ""): t
-              for s, t in targets({k[1:] if k else None: n for k, n in size.items()}, weights, most).items()}
-    whole = {k: int(target[k] // n) if n else 0 for k, n in size.items()}
-    rest = {k: target[k] - whole[k] * n if whole[k] < most else 0.0 for k, n in size.items()}
-    cut = _boundary(spark, sized, rest)
-    plan = spark.createDataFrame(
-        [(k, n, target[k], whole[k], *cut.get(k, ("", False))) for k, n in size.items()],
-        "key string, source_size long, target double, copies int, cut string, with_cut boolean")
-    once_more = (F.col("digest") < F.col("cut")) | (F.col("with_cut") & (F.col("digest") == F.col("cut")))
-    return sized.join(_small(plan, len(size)), "key").select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * (F.col("copies") + once_more.cast("int"))).alias("taken"),
-        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)])
+    sized = _sized(_marked(docs, text, doc_id, source), doc_id)
+    return sized.join(_plan(sized, weights, most), "key").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * _copies("digest")).alias("taken"))
+
+
+def mix_documents(
+    docs: DataFrame,
+    weights: Sequence[int] = (1, 2, 3),
+    most: int = 3,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    source: str = "source",
+) -> DataFrame:
+    """The mix itself: each row of ``docs``, unchanged, as often as ``mix_sources`` takes it.
+
+    A document without words costs nothing; it goes by its digest like the
+    others. Texts are not shuffled.
+    """
+    marked = _marked(docs, text, doc_id, source)
+    plan = _plan(_sized(marked, doc_id), weights, most).select(
+        F.col("key").alias("__mix_key"), F.struct("copies", "cut", "with_cut").alias("__mix_plan"))
+    once_more = (F.col("__mix_digest") < F.col("__mix_plan.cut")) | (
+        F.col("__mix_plan.with_cut") & (F.col("__mix_digest") == F.col("__mix_plan.cut")))
+    copies = F.col("__mix_plan.copies") + once_more.cast("int")
+    return marked.join(plan, "__mix_key").withColumn(
+        "__mix_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
 
 
 MIX_SQL = r"""

@@ -53,15 +53,16 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, length: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint's bits as a signed long (no words: 0)."""
+    """``doc_id``, ``digest`` of the text and ``fp``, the fingerprint's bits as a signed long (no words: 0)."""
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(shingle_hashes(t.as_py(), length)) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(shingle_hashes(t.as_py(), length)) for t in b.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc_id", "digest", "fp"])
 
-    return docs.selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"`{text}` AS text") \
-        .mapInArrow(run, "doc_id long, fp long")
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(body).alias("digest"), body.alias("text")) \
+        .mapInArrow(run, "doc_id long, digest string, fp long")
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -125,6 +126,12 @@ def links(fps: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
     return pairs.repartition(F.xxhash64("a", "b")).mapInArrow(_compare(radius), "a long, b long")
 
 
+def _by_fingerprint(known: DataFrame, radius: int) -> DataFrame:
+    """``fp`` and ``root``, the fingerprint that names its component."""
+    found = components(links(known.select("fp"), radius))
+    return known.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 3, text: str = "text",
                     doc_id: str = "doc_id") -> DataFrame:
     """Component of every document under links of at most ``radius`` differing bits.
@@ -137,12 +144,27 @@ def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 3, text: str
     repeated rows each get a row; an empty table gives none; texts are read
     whole; other columns are ignored.
     """
-    own = staged(fingerprints(docs, length, text, doc_id), "fingerprints")
+    own = staged(fingerprints(docs, length, text, doc_id).drop("digest"), "fingerprints")
     known = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = components(links(known.select("fp"), radius))
-    rooted = known.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
+    rooted = _by_fingerprint(known, radius)
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return own.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, length: int = 3, radius: int = 3, text: str = "text",
+                         doc_id: str = "doc_id") -> DataFrame:
+    """One row of each component, unchanged: the smallest id (null last), of several the smallest text digest.
+
+    Rows that repeat that id and text are one document. Any columns and
+    names may stand beside; only the chosen keys meet the texts again.
+    """
+    own = staged(fingerprints(docs, length, text, doc_id), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    known = own.groupBy("fp").agg(first)
+    chosen = _by_fingerprint(known, radius).groupBy("root").agg(F.min("first").alias("first"))
+    key = lambda i, d: F.concat(F.coalesce(i.cast("string"), F.lit("")), F.lit(":"), d)
+    stay = chosen.select(key(F.col("first.doc_id"), F.col("first.digest")).alias("__row_key"))
+    whole = docs.withColumn("__row_key", key(F.col(doc_id).cast("long"), F.md5(F.coalesce(F.col(text), F.lit("")))))
+    return whole.join(stay, "__row_key", "left_semi").dropDuplicates(["__row_key"]).select(*docs.columns)

@@ -21,10 +21,13 @@ judged, in four steps:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostat.llm.common import RangeHash, mix, utf8
 
@@ -121,6 +124,7 @@ class Piece:
     def __init__(self, table: pa.Table, length: int, gram: int):
         table = table.combine_chunks().sort_by([("doc_id", "ascending"), ("digest", "ascending")])
         table = table.combine_chunks()
+        self.table = table
         self.ids = table.column("doc_id").combine_chunks()
         text = table.column("text").combine_chunks()
         if isinstance(text, pa.ChunkedArray):
@@ -436,31 +440,47 @@ def _merge_buckets(length: int):
 
 # --- cutting ------------------------------------------------------------------
 
-def _cut(length: int, gram: int, buckets: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int64())),
-                        ("ends", pa.list_(pa.int64())), ("kept", pa.binary())])
-
+def _removed(piece: Piece, found: pa.Table, buckets: int) -> np.ndarray:
+    """Which bytes of a piece go."""
+    masks = found.filter(found.column("shared").is_valid())
+    results = found.filter(found.column("runs").is_valid()).sort_by("bucket")
+    some = Candidates(piece, masks, buckets)
+    runs, sizes, least = (
+        np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for x in results.column(c).to_pylist()]])
+        for c, kind in (("runs", np.uint8), ("sizes", np.uint8), ("least", np.int64)))
+    runs, sizes = runs.astype(np.int64), sizes.astype(np.int64)
+    first, own = np.concatenate([[0], np.cumsum(runs)]), some.of
+    which = _spread(first[own], runs[own])  # runs of all candidate segments
+    opened = np.concatenate([[0], np.cumsum(sizes)])
+    start = np.repeat(piece.seg["start"][some.at] - opened[first[own]], runs[own]) + opened[which]
+    goes = least[which] < np.repeat(piece.key[piece.seg["row"][some.at]], runs[own])
+    edge = np.zeros(len(piece.data) + 1, np.int32)
+    np.add.at(edge, start[goes], 1)
+    np.add.at(edge, start[goes] + sizes[which][goes] + piece.length - 1, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Also drop the other bytes of a character of which a byte goes."""
+    character = np.cumsum((data & 0xC0) != 0x80)
+    hit = np.zeros(int(character[-1]) + 1 if len(character) else 1, bool)
+    hit[character[gone]] = True
+    return hit[character]
+
+
+_CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int64())),
+                  ("ends", pa.list_(pa.int64())), ("kept", pa.binary())])
+
+
+def _cut(length: int, gram: int, buckets: int, whole: bool, keep: list[str]):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        schema = pa.schema([*_CUT, *[docs.schema.field(c) for c in keep]])
         if not docs.num_rows:
             return schema.empty_table()
         piece = Piece(docs, length, gram)
-        masks = found.filter(found.column("shared").is_valid())
-        results = found.filter(found.column("runs").is_valid()).sort_by("bucket")
-        some = Candidates(piece, masks, buckets)
-        joined = [np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for x in results.column(c).to_pylist()]])
-                  for c, kind in (("runs", np.uint8), ("sizes", np.uint8), ("least", np.int64))]
-        runs, sizes, least = joined[0].astype(np.int64), joined[1].astype(np.int64), joined[2]
-        first = np.concatenate([[0], np.cumsum(runs)])
-        own = some.of
-        which = _spread(first[own], runs[own])  # runs of all candidate segments
-        opened = np.concatenate([[0], np.cumsum(sizes)])
-        offset = opened[which] - np.repeat(opened[first[own]], runs[own])
-        start = np.repeat(piece.seg["start"][some.at], runs[own]) + offset
-        goes = least[which] < np.repeat(piece.key[piece.seg["row"][some.at]], runs[own])
-        edge = np.zeros(len(piece.data) + 1, np.int32)
-        np.add.at(edge, start[goes], 1)
-        np.add.at(edge, start[goes] + sizes[which][goes] + length - 1, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = _removed(piece, found, buckets)
+        if whole:
+            gone = _whole_characters(piece.data, gone)
         turn = np.zeros(len(gone) + 1, np.int8)
         turn[:-1] += gone
         turn[1:] -= gone
@@ -477,18 +497,22 @@ def _cut(length: int, gram: int, buckets: int):
             [None, pa.py_buffer(kept_at.astype(np.int64).tobytes()), pa.py_buffer(piece.data[~gone].tobytes())])
         lists = [pa.ListArray.from_arrays(pa.array(per, pa.int32()), pa.array(x - piece.offsets[row]))
                  for x in (begins, ends)]
-        return pa.table([piece.ids, pa.array(np.diff(piece.offsets)), *lists, kept.cast(pa.binary())], schema=schema)
+        return pa.table([piece.ids, pa.array(np.diff(piece.offsets)), *lists, kept.cast(pa.binary()),
+                         *[piece.table.column(c) for c in keep]], schema=schema)
 
     return run
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: str = "text", doc_id: str = "doc_id",
-                   piece_bytes: int = PIECE) -> DataFrame:
+                   piece_bytes: int = PIECE, whole_characters: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """What is left of every text, and the removed runs.
 
     Returns ``doc_id``, ``n_bytes``, ``starts`` and ``ends`` (byte places of
-    the maximal removed runs), ``kept`` (the remaining bytes). ``gram`` is
-    the length of an anchor (8 bytes at least, ``length`` at most).
+    the maximal removed runs), ``kept`` (the remaining bytes) and
+    ``carried``, a struct of the columns named in ``keep``. ``gram`` is the
+    length of an anchor (8 bytes at least, ``length`` at most). With
+    ``whole_characters`` a character of which a byte goes goes whole, so
+    that ``kept`` is a valid text.
 
     Null texts count as empty; texts under ``length`` bytes stay whole. A
     null id is larger than all others, and rows with equal ids never remove
@@ -497,7 +521,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: st
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"),
+                       *[F.struct(*keep).alias("carried")] * bool(keep))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // piece_bytes))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * piece_bytes)))
@@ -509,6 +534,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: st
         _emit_segments(length, gram, buckets), _SEGMENTS).groupBy("bucket").applyInArrow(
         _merge_buckets(length), "piece long, bucket long, runs binary, sizes binary, least binary")
     found = masks.unionByName(least, allowMissingColumns=True)
+    result = T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
+        T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())),
+        T.StructField("kept", T.BinaryType()), *[f for f in rows.schema.fields if f.name == "carried"]])
     return dealt.groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
-        _cut(length, gram, buckets),
-        "doc_id long, n_bytes long, starts array<bigint>, ends array<bigint>, kept binary")
+        _cut(length, gram, buckets, whole_characters, ["carried"] * bool(keep)), result)

@@ -286,3 +286,15 @@ def score_toxicity(docs: DataFrame, model: Model, limit: float = 0.7, spans: boo
 
     schema = "doc_id long, score double, predicted int" + (f", passages {kind}" if spans else "")
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(run, schema)
+
+
+def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.7, text: str = "text") -> DataFrame:
+    """Rows of ``docs``, unchanged, whose score is below ``limit``; any columns, any names."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array([probability(tokens(t.as_py()), shared.value) < limit for t in b.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
