@@ -40,11 +40,12 @@ from aerostat.operators import aggregate as agg
 from aerostat.operators import filters, joins, sinks, topk
 from aerostat.operators.flatten import flatten
 from aerostat.operators.setops import union_all
+from aerostat.schemas import check_sink
 from aerostat.session import scratch_path
 from aerostat.sources import envelopes
 from aerostat.sources.feeds import read_flights
 from aerostat.sources.feeds import weather as shape_weather
-from aerostat.sources.tables import as_view, scan_parquet
+from aerostat.sources.tables import as_view, scan_day_folders, scan_parquet, scan_table
 from aerostat.testdata import table
 
 # Fixed test parameters.
@@ -83,12 +84,22 @@ def _events_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     """One landed response per event: route (event_type, user_id).
 
     status: 500 for ``error`` events, no response (null) when value < 5,
-    else 200; the body lacks ``data`` when 5 <= value < 20.
+    else 200. Bodies by value: cut off below 10, HTML below 15, without
+    ``data`` below 20, a text beside the record below 25, an id that is no
+    number below 30, else one good record.
     """
     e = table(spark, sf, "events")
     status = F.when(F.col("event_type") == "error", F.lit(500)).when(F.col("value") < 5, F.lit(None)).otherwise(F.lit(200))
-    payload = F.to_json(F.struct(F.array(F.struct(F.col("event_id").alias("id"), F.col("value"))).alias("data")))
-    body = F.when((F.col("value") >= 5) & (F.col("value") < 20), F.lit('{"error": {"code": 104}}')).otherwise(payload)
+    record = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("value")))
+    v = F.col("value")
+    body = (
+        F.when(v < 10, F.lit('{"data": [{"id": '))
+        .when(v < 15, F.lit("<html><body>busy</body></html>"))
+        .when(v < 20, F.lit('{"error": {"code": 104}}'))
+        .when(v < 25, F.concat(F.lit('{"data": ['), record, F.lit(', "oops"]}')))
+        .when(v < 30, F.concat(F.lit('{"data": [{"id": "x", "value": '), v.cast("string"), F.lit("}]}")))
+        .otherwise(F.concat(F.lit('{"data": ['), record, F.lit("]}")))
+    )
     return e.select(
         F.col("event_type").alias("dep"),
         F.col("user_id").cast("string").alias("arr"),
@@ -146,10 +157,17 @@ def q_left_join(spark, sf):
 def q_left_join_fanout(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    # orders is the fan-out side: beyond the broadcast bound, a customer with
-    # more than a million orders is spread over several tasks (the customer
-    # side, read twice, is the small one)
-    return joins.left_join(c, o, "c_custkey", "o_custkey", hot_right_rows=1_000_000).select("c_custkey", "o_orderkey")
+    # orders is the fan-out side; with eight rows a task most customers are
+    # hot and are split, at every size
+    return joins.left_join_split(c, o, "c_custkey", "o_custkey", spread_by=["o_orderkey"], rows_per_task=8) \
+        .select("c_custkey", "o_orderkey")
+
+
+def q_left_join_merge(spark, sf):
+    """The left join with the shuffled plan forced."""
+    e = table(spark, sf, "events").select("event_id", "user_id")
+    j = joins.left_join(e, _weather_dim(spark, sf).hint("merge"), "user_id", "c_custkey")
+    return j.select("event_id", "user_id", "c_custkey", "city", F.col("temp").cast("double").alias("temp"))
 
 
 def _doc_label_keys(spark, sf):
@@ -161,7 +179,7 @@ def _doc_label_keys(spark, sf):
 def q_left_join_null_key(spark, sf):
     a = _doc_label_keys(spark, sf)
     b = _doc_label_keys(spark, sf).select(F.col("doc_id").alias("m"), F.col("k").alias("bk"))
-    return joins.left_join(a, b, "k", "bk", broadcast_max_rows=None).select("doc_id", "m")
+    return joins.left_join(a, b.hint("merge"), "k", "bk").select("doc_id", "m")
 
 
 def q_filter_day_in(spark, sf):
@@ -209,7 +227,7 @@ def q_route_grid(spark, sf):
         F.col("r_name").alias("dep"), F.col("n_name").alias("arr"), "n_nationkey")
     e = table(spark, sf, "events").select("event_id", "user_id")
     c = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    facts = e.join(joins.checked_broadcast(c), e.user_id == c.c_custkey).select("event_id", "n_nationkey")
+    facts = e.join(c, e.user_id == c.c_custkey).select("event_id", "n_nationkey")
     grid = joins.route_grid(routes, facts, ["n_nationkey"], count_col="event_id", name="n")
     return grid.select("dep", "arr", "n")
 
@@ -272,7 +290,10 @@ def q_scan_all(spark, sf):
 def q_temp_view_scan(spark, sf):
     name = f"supplier_{uuid.uuid4().hex[:12]}"
     as_view(table(spark, sf, "supplier"), name)
-    return spark.sql(f"SELECT s_suppkey, s_name FROM {name}")
+    try:
+        return spark.sql(f"SELECT s_suppkey, s_name FROM {name}")
+    finally:
+        spark.catalog.dropTempView(name)  # the frame holds the resolved plan
 
 
 def q_default_unknown(spark, sf):
@@ -304,6 +325,14 @@ def q_union_routes(spark, sf):
     return union_all(e.where(F.col("event_type") == t) for t in ("click", "view"))
 
 
+def _then_dropped(spark: SparkSession, name: str, kind: str = "TABLE") -> DataFrame:
+    """Rows of a table that leaves the catalog now; its files stay under the shared folder."""
+    back = spark.table(name)
+    back.schema  # noqa: B018  resolves the relation
+    spark.sql(f"DROP {kind} {name}")
+    return back
+
+
 def q_ctas_replace(spark, sf):
     o = table(spark, sf, "orders")
     name = f"ctas_{uuid.uuid4().hex[:12]}"
@@ -311,7 +340,7 @@ def q_ctas_replace(spark, sf):
     first = agg.count_by_group(o.where(F.col("o_orderstatus") == "F"), "o_orderstatus", "n", ordered=False)
     sinks.create_or_replace_table(first, name, loc)
     sinks.create_or_replace_table(agg.count_by_group(o, "o_orderstatus", "n", ordered=False), name, loc)
-    return spark.table(name)
+    return _then_dropped(spark, name)
 
 
 def q_typed_insert(spark, sf):
@@ -322,7 +351,7 @@ def q_typed_insert(spark, sf):
     sinks.create_table_if_absent(spark, name, target, loc)
     text = o.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("t"))
     sinks.insert_typed(spark, text, name)
-    return spark.table(name)
+    return _then_dropped(spark, name)
 
 
 def q_envelope_accept(spark, sf):
@@ -332,11 +361,34 @@ def q_envelope_accept(spark, sf):
 
 def q_envelope_rejects(spark, sf):
     env = _events_envelopes(spark, sf)
-    return envelopes.reject_summary(envelopes.rejected(env, ENVELOPE_RECORD), "n")
+    return envelopes.reject_summary(envelopes.rejected(env), "n")
+
+
+def q_element_rejects(spark, sf):
+    env = _events_envelopes(spark, sf)
+    return envelopes.reject_summary(envelopes.element_rejects(env, ENVELOPE_RECORD), "n")
+
+
+def _weather_envelopes(spark, sf) -> DataFrame:
+    """One weather response per customer: by balance no response, an error status, a cut-off body, or a good one."""
+    c = table(spark, sf, "customer")
+    bal = F.col("c_acctbal")
+    status = F.when(bal < 0, F.lit(None)).when(bal < 2000, F.lit(401)).otherwise(F.lit(200)).cast("int")
+    body = F.when(bal < 4000, F.lit('{"main": {"temp": ')).otherwise(F.lit('{"main": {"temp": 3}}'))
+    return c.select(F.col("c_mktsegment").alias("city"), F.col("c_name").alias("query"), status.alias("status"), body.alias("body"))
+
+
+def q_weather_rejects(spark, sf):
+    return envelopes.reject_summary(envelopes.weather_rejects(_weather_envelopes(spark, sf)), "n")
+
+
+def q_weather_wrappers(spark, sf):
+    w = envelopes.wrap_responses(_weather_envelopes(spark, sf))
+    return w.select("city", "query", json_path("data", "$.main.temp", "int").alias("temp"))
 
 
 def q_route_status(spark, sf):
-    per_env = envelopes.per_route_status(_events_envelopes(spark, sf), ENVELOPE_RECORD)
+    per_env = envelopes.per_route_status(_events_envelopes(spark, sf))
     return per_env.groupBy("dep", "outcome").agg(
         F.count(F.lit(1)).alias("responses"), F.sum("records").alias("records"))
 
@@ -349,17 +401,21 @@ def q_days_ago(spark, sf):
 def q_flight_feed_roundtrip(spark, sf):
     """events as nested flight records, landed as JSON lines, read back and flattened."""
     e = table(spark, sf, "events")
-    nested = e.select(
+    path = scratch_path(spark, "landing", "flight")
+    sinks.land_json(_nested_flights(e).select("record.*"), path)
+    return read_flights(spark, path, multiline=False)
+
+
+def _nested_flights(e: DataFrame) -> DataFrame:
+    """``event_id`` and the event as a nested flight ``record``."""
+    return e.select("event_id", F.struct(
         F.struct(F.concat(F.lit("EV"), F.col("event_id").cast("string")).alias("iata")).alias("flight"),
         F.struct(F.lit("BKK").alias("iata")).alias("departure"),
         F.struct(F.col("user_id").cast("string").alias("iata"),
                  F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("scheduled"),
                  F.concat(F.col("event_type"), F.lit(" Intl")).alias("airport")).alias("arrival"),
         F.struct(F.col("event_type").alias("name")).alias("airline"),
-    )
-    path = scratch_path(spark, "landing", "flight")
-    sinks.land_json(nested, path)
-    return read_flights(spark, path, multiline=False)
+    ).alias("record"))
 
 
 def q_partition_roundtrip(spark, sf):
@@ -372,6 +428,140 @@ def q_partition_roundtrip(spark, sf):
     return back.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_partition_emptied(spark, sf):
+    """events written by day; two days written again, one of them now without rows."""
+    e = table(spark, sf, "events").select("event_id", to_day("ts").alias("ingest_date"))
+    root = scratch_path(spark, "partitioned", "events")
+    sinks.write_partitioned(e, root, "ingest_date")
+    again = e.where(F.col("ingest_date") == F.lit(D + dt.timedelta(days=1)))
+    sinks.write_partitioned(again, root, "ingest_date", [D, D + dt.timedelta(days=1)])
+    back = scan_parquet(spark, root, schema=e.schema)
+    return back.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _dated_table(spark: SparkSession, rows: DataFrame) -> str:
+    """A table of (event_id, date), partitioned by date, that holds ``rows``."""
+    name = f"dated_{uuid.uuid4().hex[:12]}"
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("date", T.DateType())])
+    sinks.create_table_if_absent(spark, name, schema, scratch_path(spark, "tables", name), ["date"])
+    rows.select("event_id", "date").hint("rebalance", "date").write.insertInto(name)
+    return name
+
+
+def _table_rows(spark: SparkSession, name: str) -> DataFrame:
+    """Rows of a partitioned table that leaves the catalog now."""
+    location = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return scan_parquet(spark, location, schema=schema)
+
+
+def _replacement(e: DataFrame) -> DataFrame:
+    return e.where(to_day("ts").between(F.lit(D), F.lit(D + dt.timedelta(days=1)))).select(
+        (F.col("event_id") + 1000000).alias("event_id"), to_day("ts").alias("date"))
+
+
+def q_replace_day_table(spark, sf):
+    """``replace_day`` on a table partitioned by date."""
+    e = table(spark, sf, "events")
+    name = _dated_table(spark, e.select("event_id", to_day("ts").alias("date")))
+    sinks.replace_date_partition(spark, name, _replacement(e), "date", D)
+    return _table_rows(spark, name)
+
+
+def q_replace_day_version(spark, sf):
+    """``replace_day`` as a new partitioned version, published twice."""
+    e = table(spark, sf, "events")
+    name, root = f"versioned_{uuid.uuid4().hex[:12]}", scratch_path(spark, "versions")
+    sinks.publish_version(spark, e.select("event_id", to_day("ts").alias("date")), name, root, ["date"])
+    location = sinks.publish_version(spark, sinks.replace_rows(spark.table(name), _replacement(e), "date", D), name, root, ["date"])
+    back = scan_parquet(spark, location, schema=spark.table(name).schema)
+    version = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == sinks.VERSION).first()["value"]
+    spark.sql(f"DROP VIEW {name}")
+    spark.sql(f"DROP TABLE {version}")
+    return back
+
+
+def q_backfill_table(spark, sf):
+    """``backfill_replay`` on a table partitioned by date."""
+    src = _backfill_src(spark, sf)
+    in_window = F.col("f").between(F.lit(BACKFILL_START), F.lit(BACKFILL_END))
+    name = _dated_table(spark, src.where(~in_window).select("event_id", F.col("a").alias("date")))
+    sinks.backfill_date_partitions(spark, name, src.where(in_window).withColumnRenamed("a", "date"), "f", "date",
+                                   BACKFILL_START, BACKFILL_END)
+    return _table_rows(spark, name).select("event_id", F.col("date").alias("a"))
+
+
+FOLDER_DAYS = [D + dt.timedelta(days=i) for i in range(3)]
+
+
+def _day_folders(spark, sf) -> str:
+    """Three days of events as the original lays them out, each in three parts: even ids, then odd ids in two."""
+    e = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    root = scratch_path(spark, "day-folders")
+    for day in FOLDER_DAYS:
+        own = e.where(filters.on_day("ts", day))
+        # one task a part, as the original writes a few parts a day
+        own.where("event_id % 2 = 0").coalesce(1).union(own.where("event_id % 2 = 1").repartition(2)) \
+            .write.parquet(f"{root}/{day}/flight_weather.parquet")
+    return root
+
+
+def q_day_folders(spark, sf):
+    return scan_day_folders(spark, _day_folders(spark, sf), FOLDER_DAYS).select("event_id", "event_type", "ingest_date")
+
+
+def q_day_folders_first_part(spark, sf):
+    first = scan_day_folders(spark, _day_folders(spark, sf), FOLDER_DAYS, part_glob="part-00000*")
+    return first.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_scan_table(spark, sf):
+    name = f"supplier_{uuid.uuid4().hex[:12]}"
+    sinks.create_or_replace_table(table(spark, sf, "supplier"), name, scratch_path(spark, "tables", name))
+    back = scan_table(spark, name).select("s_suppkey", "s_name", "s_nationkey")
+    spark.sql(f"DROP TABLE {name}")
+    return back
+
+
+def q_schema_fields(spark, sf):
+    """Columns of a table in order, as the schema names them."""
+    e = table(spark, sf, "events")
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(e.schema.fields)]
+    return spark.createDataFrame(rows, "position int, name string, type string")
+
+
+ORDER_CONTRACT = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderdate", T.DateType()),
+                               T.StructField("o_totalprice", T.DoubleType())])
+
+
+def q_contract(spark, sf):
+    """Rows shaped to a fixed contract and checked against it."""
+    o = table(spark, sf, "orders")
+    return check_sink(o.select(*[F.col(f.name).cast(f.dataType) for f in ORDER_CONTRACT.fields]), ORDER_CONTRACT)
+
+
+ROUTE_DEPARTURES, ROUTE_ARRIVALS = ("click", "view", "refund"), ("MACHINERY", "FURNITURE", "NOWHERE")
+
+
+def q_route_list_grid(spark, sf):
+    """Counts of a configured route list; some of its routes have no records."""
+    facts = wide(spark, sf).select(F.col("event_type").alias("dep"), F.col("city").alias("arr"), "event_id")
+    routes = joins.routes_from_lists(spark, ROUTE_DEPARTURES, ROUTE_ARRIVALS)
+    return joins.route_grid(routes, facts, ["dep", "arr"], count_col="event_id", name="n")
+
+
+def q_flight_array_feed(spark, sf):
+    """events as JSON arrays of a thousand records, one array a file, read as multi-line JSON."""
+    e = table(spark, sf, "events")
+    arrays = _nested_flights(e).groupBy(F.floor(F.col("event_id") / 1000).alias("file")).agg(
+        F.to_json(F.collect_list("record")).alias("value"))
+    path = scratch_path(spark, "landing", "arrays")
+    # one array a file: the option bounds a file to one row
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_flights(spark, path, multiline=True)
+
+
 def q_format_day(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", format_day("ts").alias("day"))
@@ -392,7 +582,8 @@ def _weather_wrappers(spark, sf) -> DataFrame:
     temp is a JSON number (AUTOMOBILE), a numeric string (FURNITURE), a
     blank-padded numeric string (HOUSEHOLD), a boolean (MACHINERY) or junk
     text (BUILDING); wind is absent for a negative balance; the condition
-    list holds the customer name for a positive balance and is empty else.
+    list holds the customer name for a positive balance (a number instead
+    for every third nation) and is empty else.
     """
     c = table(spark, sf, "customer")
     bal = F.col("c_acctbal").cast("string")
@@ -406,7 +597,8 @@ def _weather_wrappers(spark, sf) -> DataFrame:
     )
     nk = F.col("c_nationkey").cast("string")
     wind = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.concat(F.lit('"wind": {"speed": '), nk, F.lit("}, ")))
-    cond = F.when(F.col("c_acctbal") > 0, F.to_json(F.array(F.struct(F.col("c_name").alias("main")))))
+    main = F.when(F.col("c_nationkey") % 3 == 0, nk).otherwise(F.concat(F.lit('"'), F.col("c_name"), F.lit('"')))
+    cond = F.when(F.col("c_acctbal") > 0, F.concat(F.lit('[{"main": '), main, F.lit("}]")))
     body = F.concat(F.lit('{"main": {"temp": '), temp, F.lit(', "humidity": '), nk, F.lit("}, "), wind,
                     F.lit('"weather": '), F.coalesce(cond, F.lit("[]")), F.lit("}"))
     return c.select("c_custkey", seg.alias("city"), seg.alias("query"), F.try_parse_json(body).alias("data"))
@@ -461,6 +653,21 @@ QUERIES: dict[str, Query] = {
     "day_range": q_day_range,
     "weather_shape": q_weather_shape,
     "route_status": q_route_status,
+    "left_join_merge": q_left_join_merge,
+    "element_rejects": q_element_rejects,
+    "weather_rejects": q_weather_rejects,
+    "weather_wrappers": q_weather_wrappers,
+    "partition_emptied": q_partition_emptied,
+    "replace_day_table": q_replace_day_table,
+    "replace_day_version": q_replace_day_version,
+    "backfill_table": q_backfill_table,
+    "day_folders": q_day_folders,
+    "day_folders_first_part": q_day_folders_first_part,
+    "scan_table": q_scan_table,
+    "schema_fields": q_schema_fields,
+    "contract": q_contract,
+    "route_list_grid": q_route_list_grid,
+    "flight_array_feed": q_flight_array_feed,
 }
 
 
@@ -532,11 +739,16 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT event_id, event_type FROM events WHERE event_type = 'view'""",
     "ctas_replace": "SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1",
     "typed_insert": "SELECT o_orderkey, o_orderdate AS arrival_time FROM orders",
-    "envelope_accept": """SELECT event_type AS dep, CAST(user_id AS VARCHAR) AS arr, event_id AS id, value
+    "envelope_accept": """SELECT event_type AS dep, CAST(user_id AS VARCHAR) AS arr, CASE WHEN value >= 25 AND value < 30 THEN NULL ELSE event_id END AS id, value
         FROM events WHERE event_type <> 'error' AND value >= 20""",
     "envelope_rejects": """SELECT CASE WHEN event_type = 'error' THEN 'http_error'
-                    WHEN value < 5 THEN 'request_failed' ELSE 'no_data' END AS reason, COUNT(*) AS n
+                    WHEN value < 15 THEN 'request_failed' ELSE 'no_data' END AS reason, COUNT(*) AS n
         FROM events WHERE event_type = 'error' OR value < 20 GROUP BY 1""",
+    "element_rejects": """SELECT CASE WHEN value < 25 THEN 'not_an_object' ELSE 'bad_field' END AS reason, COUNT(*) AS n
+        FROM events WHERE event_type <> 'error' AND value >= 20 AND value < 30 GROUP BY 1""",
+    "weather_rejects": """SELECT CASE WHEN c_acctbal >= 0 AND c_acctbal < 2000 THEN 'http_error' ELSE 'request_failed' END AS reason,
+          COUNT(*) AS n FROM customer WHERE c_acctbal < 4000 GROUP BY 1""",
+    "weather_wrappers": "SELECT c_mktsegment AS city, c_name AS query, 3 AS temp FROM customer WHERE c_acctbal >= 4000",
     "format_day": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
     # Asia/Bangkok has kept UTC+7 without daylight saving since 1920
     "days_ago": "SELECT event_id, CAST(ts + INTERVAL 7 HOUR AS DATE) - 7 AS day FROM events",
@@ -550,7 +762,7 @@ ORACLE_SQL: dict[str, str] = {
     "route_status": """SELECT dep, outcome, COUNT(*) AS responses, CAST(SUM(records) AS BIGINT) AS records FROM (
           SELECT event_type AS dep,
                  CASE WHEN event_type <> 'error' AND value >= 20 THEN 1 ELSE 0 END AS records,
-                 CASE WHEN event_type = 'error' THEN 'http_error' WHEN value < 5 THEN 'request_failed'
+                 CASE WHEN event_type = 'error' THEN 'http_error' WHEN value < 15 THEN 'request_failed'
                       WHEN value < 20 THEN 'no_data' ELSE 'ok' END AS outcome
           FROM events) x GROUP BY dep, outcome""",
     "weather_shape": """SELECT c_custkey, c_mktsegment AS city,
@@ -560,11 +772,34 @@ ORACLE_SQL: dict[str, str] = {
                                        WHEN 'MACHINERY' THEN CASE WHEN c_acctbal > 0 THEN 1.0 ELSE 0.0 END
                                        ELSE CAST(c_acctbal AS FLOAT) END AS DOUBLE), 2) AS temp,
           CAST(c_nationkey AS DOUBLE) AS humidity,
-          CASE WHEN c_acctbal > 0 THEN c_name ELSE 'Unknown' END AS weather,
+          CASE WHEN c_acctbal > 0 AND c_nationkey % 3 <> 0 THEN c_name ELSE 'Unknown' END AS weather,
           CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_nationkey AS DOUBLE) END AS wind_speed
         FROM customer""",
 }
 
+ORACLE_SQL |= {
+    "left_join_merge": ORACLE_SQL["left_join"],
+    "replace_day_table": ORACLE_SQL["replace_day"],
+    "replace_day_version": ORACLE_SQL["replace_day"],
+    "backfill_table": ORACLE_SQL["backfill_replay"],
+    "flight_array_feed": ORACLE_SQL["flight_feed_roundtrip"],
+    "partition_emptied": f"""SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n FROM events
+        WHERE CAST(ts AS DATE) IS DISTINCT FROM {D_SQL} GROUP BY 1""",
+    "day_folders": f"""SELECT event_id, event_type, CAST(ts AS DATE) AS ingest_date FROM events
+        WHERE CAST(ts AS DATE) BETWEEN {D_SQL} AND {D_SQL} + INTERVAL 2 DAY""",
+    "day_folders_first_part": f"""SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n FROM events
+        WHERE event_id % 2 = 0 AND CAST(ts AS DATE) BETWEEN {D_SQL} AND {D_SQL} + INTERVAL 2 DAY GROUP BY 1""",
+    "scan_table": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
+    "schema_fields": """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name,
+          CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+                           WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END AS type
+        FROM (DESCRIBE events)""",
+    "contract": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders",
+    "route_list_grid": WIDE_SQL + """SELECT d.dep, a.arr, COUNT(w.event_id) AS n
+        FROM (VALUES ('click'), ('view'), ('refund')) d(dep) CROSS JOIN (VALUES ('MACHINERY'), ('FURNITURE'), ('NOWHERE')) a(arr)
+        LEFT JOIN wide w ON w.event_type = d.dep AND w.city = a.arr GROUP BY d.dep, a.arr""",
+}
+
 assert set(QUERIES) == set(ORACLE_SQL), set(QUERIES) ^ set(ORACLE_SQL)
 
 FLAGSHIP = "count_and_mean"

@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     rp.add_argument("--clean", required=True)
     rp.add_argument("--table", required=True)
     rp.add_argument("--table-root", required=True)
-    rp.add_argument("--mode", default="partition", choices=["partition", "version"])
+    rp.add_argument("--mode", default="version", choices=["partition", "version"])
     common(rp)
 
     bf = sub.add_parser("backfill")
@@ -81,7 +81,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     bf.add_argument("--table", required=True)
     bf.add_argument("--table-root", required=True)
     bf.add_argument("--end", help="last file day, default today in --zone")
-    bf.add_argument("--mode", default="partition", choices=["partition", "version"])
+    bf.add_argument("--mode", default="version", choices=["partition", "version"])
     bf.add_argument("--days-back", type=int, default=7)
     bf.add_argument("--zone", default=FEED_ZONE)
 
@@ -107,7 +107,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                       condition_mode=args.condition_mode)
         print(f"wrote {n} clean rows")
     elif args.cmd == "load":
-        serving.load(spark, args.clean, args.serving, _days(args))
+        n = serving.load(spark, args.clean, args.serving, _days(args))
+        print(f"loaded {n} serving rows")
     elif args.cmd == "replace":
         for d in _days(args):
             serving.replace_day(spark, args.table, args.table_root, args.clean, d, mode=args.mode)

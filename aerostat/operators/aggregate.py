@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -74,11 +75,25 @@ def row_counts(frames: Mapping[str, DataFrame], label: str = "t", name: str = "n
     return out
 
 
+def observed_values(obs: Observation) -> dict:
+    """What an observation saw in the action that has run; nothing if its plan was removed.
+
+    Spark drops an input that proves empty together with the observation on
+    it, which then never reports.
+    """
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if "AssertionError" in str(e.java_exception):
+            return {}
+        raise
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled by whatever action runs ``df``.
 
     Unlike a separate ``count()`` this costs no extra job: read
-    ``obs.get["rows"]`` after the write/collect.
+    ``observed_values(obs).get("rows", 0)`` after the write/collect.
     """
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -29,25 +29,12 @@ def in_list(col: str | Column, values: Sequence) -> Column:
     return c.isin(list(values))
 
 
-def not_null(df: DataFrame, *cols: str) -> DataFrame:
-    """Drop rows with a null in any of ``cols``."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return df.where(cond)
-
-
 def not_on_day(date_col: str | Column, day: str | dt.date) -> Column:
     """Rows a delete-by-date keeps: a null date is never deleted."""
     c = F.col(date_col) if isinstance(date_col, str) else date_col
     return ~c.eqNullSafe(date_literal(day))
 
 
-def route_filter(dep_col: str, arr_col: str, dep: str, arr: str) -> Column:
-    """Source-side equality on departure and arrival (F6, one route)."""
-    return (F.col(dep_col) == F.lit(dep)) & (F.col(arr_col) == F.lit(arr))
-
-
 def earliest_day(df: DataFrame, date_col: str) -> Column:
     """Scalar subquery ``(SELECT min(date) FROM df)`` (F7 default date).
 

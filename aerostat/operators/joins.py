@@ -1,72 +1,20 @@
 """Joins: fact-to-dimension left join, lookup, route grid, route semi join.
 
-Broadcast policy: a side is broadcast only after a bounded probe proves it
-has at most ``max_rows`` rows and at most ``max_bytes`` approximate bytes
-(the probe stops after ``max_rows + 1`` rows; see ``at_most``).
-Beyond the bound the join is shuffled on the key: null-key rows of the
-preserved side are salted over many tasks (they never match), and AQE's
-skew handling splits a hot non-null key across tasks.
+The operators state the join and nothing about its physical form, so rows,
+columns and types are the same at every size. Spark broadcasts a side whose
+files are under ``spark.sql.autoBroadcastJoinThreshold`` or whose finished
+stage AQE has measured as small, and shuffles otherwise (``session``). Left
+rows with a null key take no part in the shuffle; AQE splits a hot left key;
+``left_join_split`` also splits hot keys of the right side, which AQE cannot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from aerostat.session import scratch_path
-
-# A side within both bounds is cheap to ship to every executor.
-DIM_BROADCAST_MAX_ROWS = 200_000
-DIM_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
-                T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Approximate in-memory bytes of one row: string/binary lengths, fixed
-    widths for primitives, JSON length for nested values."""
-    total = F.lit(0).cast("long")
-    for f in df.schema.fields:
-        c, t = F.col(f"`{f.name}`"), f.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            size = F.octet_length(c)
-        elif isinstance(t, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            size = F.octet_length(F.to_json(c))
-        else:
-            size = F.lit(_FIXED_WIDTH.get(type(t), 8))
-        total = total + F.coalesce(size, F.lit(0)).cast("long") + F.lit(4)
-    return total
-
-
-def at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows (and, when given, at most
-    ``max_bytes`` approximate bytes).
-
-    The probe is a root-level ``limit(max_rows + 1)`` of one number per row
-    (its approximate size), collected: Spark runs it as an incremental take
-    that scans one partition, then a few times more, and stops as soon as
-    ``max_rows + 1`` rows are found. A small side is read once; a huge side
-    costs one or two partitions, never a task per input split, and at most
-    ``max_rows + 1`` numbers reach the driver. (A ``limit`` under an
-    aggregate would instead run every input task and gather up to
-    ``max_rows + 1`` rows from each into one task.)
-    """
-    size = _row_bytes(df) if max_bytes is not None else F.lit(0).cast("long")
-    sizes = df.select(size.alias("b")).limit(max_rows + 1).collect()
-    if len(sizes) > max_rows:
-        return False
-    return max_bytes is None or sum(r[0] for r in sizes) <= max_bytes
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS,
-                      max_bytes: int | None = DIM_BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its size is proven bounded, else ``df`` as is."""
-    return F.broadcast(df) if at_most(df, max_rows, max_bytes) else df
 
 
 def _keys(left_keys: str | Sequence[str], right_keys: str | Sequence[str] | None):
@@ -88,146 +36,80 @@ def _cond(left: DataFrame, right: DataFrame, lk, rk) -> Column:
     return cond
 
 
+def _any_null(df: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [df[k].isNull() for k in keys])
+
+
+def _with_unmatched(joined: DataFrame, left: DataFrame, right: DataFrame, lk: Sequence[str]) -> DataFrame:
+    """``joined`` plus the left rows with a null key, which match nothing."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    rest = left.where(_any_null(left, lk)).select(*[F.col(f"`{c}`") for c in left.columns], *nulls)
+    return joined.union(rest)
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
     left_keys: str | Sequence[str],
     right_keys: str | Sequence[str] | None = None,
-    *,
-    broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS,
-    broadcast_max_bytes: int | None = DIM_BROADCAST_MAX_BYTES,
-    spread_null_keys: bool = True,
-    null_key_buckets: int = 64,
-    hot_right_rows: int | None = None,
-    hot_buckets: int = 32,
 ) -> DataFrame:
     """Left outer equi-join keeping both key columns.
 
     Null keys never match; duplicate right keys fan a left row out; no
-    dedup. The right side is broadcast only behind the size probe; pass
-    ``broadcast_max_rows=None`` to skip the probe. Beyond the bound the
-    join is shuffled on the key, with null-key left rows spread over
-    ``null_key_buckets`` partitions instead of piling into one; a hot
-    non-null key of the left side is split by AQE's skew-join handling.
-
-    AQE cannot split the right side of a left outer join. When the right
-    side may hold hot keys (a fan-out side where one key has a large share
-    of the rows), pass ``hot_right_rows``: right keys with more rows than
-    that are spread over ``hot_buckets`` tasks (see
-    ``_left_join_split_hot_right``; one extra aggregate over the right).
+    dedup. Left rows with a null key are united with the result instead of
+    joined, so they are neither shuffled nor gathered in the partition of
+    the null key; both reads of the left side push their null test to the
+    scan. A left column that cannot be null costs no second read.
     """
     lk, rk = _keys(left_keys, right_keys)
-    if broadcast_max_rows is not None and at_most(right, broadcast_max_rows, broadcast_max_bytes):
-        r = F.broadcast(right)
-        return left.join(r, _cond(left, r, lk, rk), "left")
-    if hot_right_rows is not None:
-        return _left_join_split_hot_right(left, right, lk, rk, hot_right_rows, hot_buckets, null_key_buckets)
-    if not spread_null_keys:
-        return left.join(right, _cond(left, right, lk, rk), "left")
-    return _shuffled_left_join(left, right, lk, rk, null_key_buckets)
-
-
-NULL_SALT = "__null_salt"
-
-
-def _shuffled_left_join(left: DataFrame, right: DataFrame, lk, rk, buckets: int) -> DataFrame:
-    """Shuffled left join whose null-key rows are spread over ``buckets`` tasks.
-
-    A left row with a null in any key can never match, yet a plain
-    hash-partitioned join sends every such row to the one partition of the
-    null key — a hot partition when many keys are missing. A salt column is
-    added to the join keys: 0 for every row that can match (and for every
-    right row), a deterministic hash bucket in 1..buckets for a null-key
-    left row. Matching pairs are unchanged; the unmatchable rows spread out.
-    The salt is a deterministic function of the row, so filters above the
-    join still reach the scan (a salt from the partition id or a random
-    number is nondeterministic and stops pushdown) and a retried task
-    recomputes the same buckets. Identical null-key rows share a bucket;
-    a large group of such copies is one hot partition of the preserved
-    side, which AQE's skew-join handling splits across tasks.
-    """
-    any_null = F.lit(False)
-    for k in lk:
-        any_null = any_null | F.col(k).isNull()
-    spread = F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)).cast("int")
-    lsalt = F.when(any_null, spread).otherwise(F.lit(0))
-    l2 = left.withColumn(NULL_SALT, lsalt)
-    rsalt_name = NULL_SALT + "_r"
-    # non-foldable 0 on the right so the salt stays a shuffle key
-    rsalt = F.when(F.col(rk[0]).isNull(), F.lit(-1)).otherwise(F.lit(0))
-    r2 = right.withColumn(rsalt_name, rsalt)
-    cond = _cond(l2, r2, lk, rk) & (l2[NULL_SALT] == r2[rsalt_name])
-    return l2.join(r2, cond, "left").drop(NULL_SALT, rsalt_name)
-
-
-HOT = "__hot"
-HOT_SALT = "__hot_salt"
-RIGHT_ROW = "__right_row"
-
-
-def _left_join_split_hot_right(left: DataFrame, right: DataFrame, lk, rk, threshold: int,
-                               buckets: int, null_key_buckets: int = 64) -> DataFrame:
-    """Left outer join whose hot right keys are spread over ``buckets`` tasks.
-
-    Exact for any data:
-
-    * hot keys are the right keys with more than ``threshold`` rows, found
-      by one partial + final aggregate over the right side and written to
-      the shared folder (at most ``rows(right) / threshold`` keys); they
-      are broadcast from there behind the size probe;
-    * a right row of a hot key gets a bucket from a hash of the row, every
-      other right row bucket 0; a left row of a hot key is repeated once per
-      bucket, a null-key left row gets a spread bucket (it never matches),
-      every other left row bucket 0; a left join on (keys, bucket) yields
-      every matching pair exactly once, and a hot key's rows are read by
-      ``buckets`` tasks instead of one;
-    * a hot key exists on the right by definition, so a repeated left row
-      is matched in some bucket: its unmatched repeats (empty buckets) are
-      dropped, and every other unmatched left row is kept with null right
-      columns.
-
-    One read of the left side, two of the right (the aggregate, the join).
-    The buckets are deterministic hashes (retries and filter pushdown stay
-    intact), so identical right rows of a hot key share a bucket.
+    keyed = left.where(~_any_null(left, lk))
+    return _with_unmatched(keyed.join(right, _cond(keyed, right, lk, rk), "left"), left, right, lk)
+
+
+PART, PARTS = "__part", "__parts"
+
+
+def left_join_split(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: str | Sequence[str],
+    right_keys: str | Sequence[str] | None = None,
+    *,
+    spread_by: Sequence[str],
+    rows_per_task: int = 1_000_000,
+) -> DataFrame:
+    """``left_join`` for a right side that may hold hot keys.
+
+    AQE cannot split the right side of a left outer join. A right key with
+    more than ``rows_per_task`` rows is dealt into as many parts as its rows
+    need, by a hash of the right columns ``spread_by`` (an id, say); a left
+    row of that key is repeated once a part, and each pair meets in exactly
+    one part. Repeats that match nothing in their part are dropped: a hot
+    key exists on the right, so its left rows match somewhere.
+
+    The same rows and columns as ``left_join`` for any data and parameters.
+    Costs one more aggregate over the right keys; the hot keys are at most
+    ``rows(right) / rows_per_task``.
     """
-    overlap = set(left.columns) & set(right.columns)
-    if overlap:
-        raise ValueError(f"left and right share column names: {sorted(overlap)}")
-    spark = right.sparkSession
-    hk = [f"__hk{i}" for i in range(len(rk))]
-    nonnull = F.lit(True)
-    for k in rk:
-        nonnull = nonnull & F.col(k).isNotNull()
-    # null keys never match, so they are never hot
-    hot_keys = right.where(nonnull).groupBy(*rk).agg(F.count(F.lit(1)).alias("__n")) \
-        .where(F.col("__n") > F.lit(threshold))
-    hot_keys = hot_keys.select(*[F.col(k).alias(h) for k, h in zip(rk, hk)])
-    path = scratch_path(spark, "hot-keys")
-    hot_keys.write.mode("errorifexists").parquet(path)
-    hot = checked_broadcast(spark.read.schema(hot_keys.schema).parquet(path).withColumn(HOT, F.lit(True)))
-
-    def mark(df: DataFrame, keys) -> DataFrame:
-        cond = None
-        for k, h in zip(keys, hk):
-            c = df[k] == hot[h]
-            cond = c if cond is None else cond & c
-        return df.join(hot, cond, "left").drop(*hk).withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
-
-    r = mark(right, rk)
-    r_bucket = F.when(F.col(HOT), F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets)))
-    r = r.select(*right.columns, r_bucket.otherwise(F.lit(0)).cast("int").alias(HOT_SALT + "_r"),
-                 F.lit(True).alias(RIGHT_ROW))
-    any_null = F.lit(False)
-    for k in lk:
-        any_null = any_null | F.col(k).isNull()
-    null_bucket = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(null_key_buckets)).cast("int")
-    lx = mark(left, lk)
-    l_buckets = (F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                 .when(any_null, F.array(null_bucket)).otherwise(F.array(F.lit(0))))
-    lx = lx.withColumn(HOT_SALT, F.explode(l_buckets))
-    cond = _cond(lx, r, lk, rk) & (lx[HOT_SALT] == r[HOT_SALT + "_r"])
-    j = lx.join(r, cond, "left").where(~(F.col(HOT) & F.col(RIGHT_ROW).isNull()))
-    return j.select(*left.columns, *right.columns)
+    lk, rk = _keys(left_keys, right_keys)
+    names = [f"__k{i}" for i in range(len(rk))]
+    shared = {c: f"__right_{i}" for i, c in enumerate(right.columns)}
+    right = right.select(*[F.col(f"`{c}`").alias(n) for c, n in shared.items()])
+    rk, spread = [shared[k] for k in rk], [shared[c] for c in spread_by]
+    hot = right.where(~_any_null(right, rk)).groupBy(*[F.col(k).alias(n) for k, n in zip(rk, names)]).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias(PARTS)).where(F.col(PARTS) > 1)
+
+    def marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return df.join(hot, _cond(df, hot, keys, names), "left").drop(*names).withColumn(PARTS, F.coalesce(PARTS, F.lit(1)))
+
+    r = marked(right, rk).select(*right.columns, F.pmod(F.xxhash64(*spread), F.col(PARTS)).cast("int").alias("__right_part"))
+    keyed = left.where(~_any_null(left, lk))
+    lx = marked(keyed, lk).withColumn(PART, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1)))
+    joined = lx.join(r, _cond(lx, r, lk, rk) & (lx[PART] == r["__right_part"]), "left")
+    joined = joined.where((F.col(PARTS) == 1) | F.col("__right_part").isNotNull())
+    out = joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(n).alias(c) for c, n in shared.items()])
+    named = right.select(*[F.col(n).alias(c) for c, n in shared.items()])
+    return _with_unmatched(out, left, named, lk)
 
 
 def semi_join(
@@ -235,25 +117,16 @@ def semi_join(
     right: DataFrame,
     left_keys: str | Sequence[str],
     right_keys: str | Sequence[str] | None = None,
-    *,
-    broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS,
-    broadcast_max_bytes: int | None = DIM_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Rows of ``left`` with a key present in ``right`` (F6 as a set filter).
 
-    Only the right keys are used. Within the size bound they are
-    broadcast; beyond it they are reduced to distinct keys first — a
-    partial aggregate in every map task, so a hot key on the right arrives
-    as one row per task instead of all its rows, and the aggregate's
-    hash partitioning on the keys is the one the join needs (no extra
-    exchange).
+    Only the right keys are used, reduced to distinct keys first: a partial
+    aggregate in every map task, so a hot key on the right arrives as one
+    row a task, and the aggregate's partitioning is the one a shuffled join
+    needs.
     """
     lk, rk = _keys(left_keys, right_keys)
-    r = right.select(*rk)
-    if broadcast_max_rows is not None and at_most(r, broadcast_max_rows, broadcast_max_bytes):
-        r = F.broadcast(r)
-    else:
-        r = r.distinct()
+    r = right.select(*rk).distinct()
     return left.join(r, _cond(left, r, lk, rk), "left_semi")
 
 

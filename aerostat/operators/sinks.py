@@ -4,8 +4,8 @@ Plain Parquet has no row delete, so the serving table is maintained two
 ways:
 
 * by ``ingest_date`` partition with dynamic partition overwrite — a rerun
-  of a day replaces exactly that day's partition (idempotent, no read of
-  the rest of the table);
+  of a day replaces exactly that day's partition, by nothing if it is now
+  empty (idempotent, no read of the rest of the table);
 * the original delete-by-``date`` + append semantics, either on a table
   partitioned by ``date`` (``replace_date_partition`` /
   ``backfill_date_partitions``: only the affected date partitions are
@@ -19,12 +19,14 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostat.functions.scalars import date_literal, wall_clock_timestamp
+from aerostat.operators.aggregate import observed_values
 from aerostat.operators.filters import not_on_day
 
 
@@ -45,22 +47,34 @@ def land_json(df: DataFrame, path: str, partition_col: str | None = None) -> Non
     w.json(path)
 
 
-def write_partitioned(df: DataFrame, root: str, partition_col: str = "ingest_date") -> None:
-    """Overwrite only the partitions present in ``df`` (K1).
+def write_partitioned(df: DataFrame, root: str, partition_col: str = "ingest_date",
+                      days: Sequence[str | dt.date] | None = None) -> int:
+    """Overwrite the partitions of ``days`` by ``df`` and return its rows.
 
-    Dynamic partition overwrite keeps every other day (and the null
-    partition) untouched. The ``rebalance`` hint clusters rows by the
-    partition column so each task writes few files per partition, while
-    AQE splits a partition that is too large — one day holding a third of
-    all rows is written by many tasks, not one.
+    Dynamic partition overwrite keeps every other partition (and the null
+    one) untouched. A requested day without rows is overwritten by an empty
+    part file: stale rows go, and the folder records that the day was
+    written. Without ``days`` only the partitions present in ``df`` change.
+
+    The ``rebalance`` hint clusters rows by the partition column so each
+    task writes few files per partition, while AQE splits a partition that
+    is too large: one day holding a third of all rows is written by many
+    tasks, not one. Rows and days are counted inside the write job.
     """
+    counted = Observation(f"write_{uuid.uuid4().hex[:8]}")
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"),
+                      F.collect_set(F.col(partition_col).cast("string")).alias("days"))
     (
-        df.hint("rebalance", partition_col)
+        rows.hint("rebalance", partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(root)
     )
+    found = observed_values(counted)
+    for day in sorted({str(d) for d in days or ()} - set(found.get("days", ()))):
+        df.drop(partition_col).limit(0).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{partition_col}={day}")
+    return int(found.get("rows", 0))
 
 
 # --- K4 / K3 / K5 ---------------------------------------------------------
@@ -68,14 +82,26 @@ def write_partitioned(df: DataFrame, root: str, partition_col: str = "ingest_dat
 def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType, location: str,
                            partition_cols: list[str] | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet`` with a fixed schema (K4)."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    last = partition_cols or []
+    fields = sorted(schema.fields, key=lambda f: f.name in last)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part} LOCATION '{location}'")
 
 
-def create_or_replace_table(df: DataFrame, name: str, location: str) -> None:
-    """Create-or-replace a table from a query result (K3)."""
-    df.write.mode("overwrite").option("path", location).saveAsTable(name)
+def create_or_replace_table(df: DataFrame, name: str, location: str) -> str:
+    """Create-or-replace a table from a query result (K3); returns where its rows are.
+
+    The result is written aside, in a folder of its own under ``location``;
+    the table is only replaced once that has succeeded, so a failed query
+    leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    path = os.path.join(location, uuid.uuid4().hex)
+    df.write.mode("errorifexists").parquet(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_table_if_absent(spark, name, df.schema, path)
+    return path
 
 
 def store_assign(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -177,53 +203,90 @@ def replace_date_partition(spark: SparkSession, table: str, batch: DataFrame, da
 
 
 def backfill_date_partitions(spark: SparkSession, table: str, batches: DataFrame, file_day_col: str,
-                             date_col: str, start: str | dt.date, end: str | dt.date, stage: str) -> None:
+                             date_col: str, start: str | dt.date, end: str | dt.date) -> None:
     """``backfill_rows`` on a table partitioned by ``date_col`` (K7).
 
     Every date partition in [start, end] would be deleted by its replay
     step, so each becomes exactly the surviving batch rows of that date;
     surviving rows dated outside the window (or null) are appended. The
-    survivors are staged once under ``stage`` (a shared location), then
-    each window partition is rewritten from a pruned read of the stage.
-    The table is never read, and never written outside those partitions.
+    survivors are staged once in a managed table, dropped at the end; one
+    dynamic overwrite replaces all window partitions that have survivors,
+    and only existing partitions of the window without any are emptied one
+    by one. The table is never read, and never written outside of that.
     """
     s, e = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
     d, f = F.col(date_col), F.col(file_day_col)
     keep_new = f.between(date_literal(s), date_literal(e)) & (d.isNull() | ~((d > f) & (d <= date_literal(e))))
     survivors = batches.where(keep_new).drop(file_day_col)
-    # clustered by date like every partitioned write: few files per date,
-    # and AQE splits a date holding a large share of the rows
-    survivors.hint("rebalance", date_col).write.mode("errorifexists").partitionBy(date_col).parquet(stage)
-    staged = spark.read.schema(survivors.schema).parquet(stage).select(*survivors.columns)
-    for i in range((e - s).days + 1):
-        day = s + dt.timedelta(days=i)
-        _overwrite_date(spark, table, staged.where(d == date_literal(day)), date_col, day)
-    outside = staged.where(d.isNull() | ~d.between(date_literal(s), date_literal(e)))
-    outside.hint("rebalance", date_col).write.insertInto(table)
+    stage = f"stage_{uuid.uuid4().hex}"
+    columns = spark.table(table).columns
+    try:
+        # clustered by date like every partitioned write: few files per date,
+        # and AQE splits a date holding a large share of the rows
+        survivors.hint("rebalance", date_col).write.partitionBy(date_col).saveAsTable(stage)
+        staged = spark.table(stage).select(*columns)
+        inside = d.between(date_literal(s), date_literal(e))
+        in_window = staged.where(inside)
+        have = {r[0] for r in in_window.select(date_col).distinct().collect()}  # at most the window's days
+        if have:
+            _overwrite_partitions(spark, table, in_window.hint("rebalance", date_col))
+        there = {r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").where(
+            F.split("partition", "=")[1].between(str(s), str(e))).collect()}
+        for day in sorted(there - {str(x) for x in have}):
+            _overwrite_date(spark, table, staged.limit(0), date_col, dt.date.fromisoformat(day))
+        staged.where(d.isNull() | ~inside).hint("rebalance", date_col).write.insertInto(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
+
+def _overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Replace every partition that ``rows`` has rows of, in one job."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, before)
 
 
 # --- Q14: write a new version, then swap ---------------------------------
 
-def publish_version(spark: SparkSession, df: DataFrame, table: str, root: str,
+VERSION = "aerostat.version"
+
+
+def _current_version(spark: SparkSession, name: str) -> str | None:
+    """Table behind a published name; None if the name is free."""
+    if not spark.catalog.tableExists(name):
+        return None
+    if spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table of its own, not a published version; use the partition mode")
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == VERSION).collect()
+    return rows[0]["value"] if rows else None
+
+
+def publish_version(spark: SparkSession, df: DataFrame, name: str, root: str,
                     partition_cols: list[str] | None = None) -> str:
-    """Write ``df`` to a fresh version folder under ``root`` and point ``table`` at it.
+    """Write ``df`` as a new version under ``root`` and let ``name`` show it.
 
-    Readers of the table see either the old or the new version, never a
-    half-deleted one; the old version's files are left for a retention job.
-    Returns the new location.
+    A version is a table of its own; ``name`` is a view on it, replaced in
+    one step, so readers see the old or the new version and never part of
+    one. The old version's table is dropped from the catalog; its files are
+    left for a retention job. Returns the new location. A ``name`` that is
+    a table itself raises ``ValueError`` before anything is written.
     """
-    location = os.path.join(root, f"v-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
+    old = _current_version(spark, name)
+    version = f"v{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
+    location, own = os.path.join(root, version), f"{name}__{version}"
     w = df.write.mode("errorifexists")
     if partition_cols:
         w = df.hint("rebalance", *partition_cols).write.mode("errorifexists").partitionBy(*partition_cols)
     w.parquet(location)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(table)
-        if partition_cols:
-            spark.sql(f"MSCK REPAIR TABLE {table}")
-    else:
-        spark.catalog.createTable(table, path=location, source="parquet")
-        if partition_cols:
-            spark.sql(f"MSCK REPAIR TABLE {table}")
+    create_table_if_absent(spark, own, df.schema, location, partition_cols)
+    if partition_cols:
+        spark.sql(f"MSCK REPAIR TABLE {own}")
+    cols = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{own}') AS SELECT {cols} FROM {own}")
+    if old:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
     return location

@@ -3,8 +3,8 @@
 One job for any number of days: both feeds are scanned for all requested
 days at once, tagged with ``ingest_date`` from their folder, and joined on
 (``ingest_date``, arrival code) so each day's flights meet that day's
-weather only. The weather side is bounded by the city list per day and is
-broadcast behind the size probe; flights are never shuffled for the join.
+weather only. The weather side is bounded by the city list per day; its
+files are far under the broadcast threshold, so flights are not shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostat import schemas
-from aerostat.operators.aggregate import observed
 from aerostat.operators.joins import left_join
 from aerostat.operators.sinks import write_partitioned
 from aerostat.sources.feeds import day_path, read_flights, read_weather
@@ -67,9 +66,8 @@ def run(
 ) -> int:
     """Transform ``days`` and overwrite exactly those ``ingest_date`` partitions (K1).
 
-    Returns the number of rows written, counted inside the write job.
+    A day whose feed is empty becomes an empty partition. Returns the number
+    of rows written, counted inside the write job.
     """
     clean = schemas.check_sink(transform(spark, raw_root, days, multiline, condition_mode), schemas.CLEAN, ("ingest_date",))
-    clean, obs = observed(clean, "clean_rows")
-    write_partitioned(clean, clean_root, "ingest_date")
-    return int(obs.get.get("rows", 0))
+    return write_partitioned(clean, clean_root, "ingest_date", days)

@@ -11,11 +11,15 @@ Two forms:
   deleted by the next step, and re-running a day duplicates rows dated
   other than that day. Two physical modes:
 
-  - ``mode="partition"`` (default): the table is partitioned by ``date``;
-    a delete is a partition drop and the batch is appended, so the cost
-    is proportional to the batch, never the table;
-  - ``mode="version"``: the whole table is rewritten as a new version and
-    swapped in — atomic for readers, cost proportional to the table.
+  - ``mode="version"`` (default): the whole table is rewritten as a new
+    version and swapped in — atomic for readers, cost proportional to the
+    table;
+  - ``mode="partition"``: the table is partitioned by ``date``; a delete is
+    a partition overwrite and the batch is appended, so the cost is
+    proportional to the batch, never the table, but a reader (or a failure)
+    between the statements sees a half-done state.
+
+  A name keeps the mode it was created in; the other mode raises.
 """
 
 from __future__ import annotations
@@ -28,8 +32,6 @@ from pyspark.sql import functions as F
 
 from aerostat import schemas
 from aerostat.functions.scalars import to_day, wall_clock_timestamp
-from aerostat.operators.aggregate import observed
-from aerostat.session import scratch_path
 from aerostat.operators.sinks import (
     backfill_date_partitions,
     backfill_rows,
@@ -39,7 +41,7 @@ from aerostat.operators.sinks import (
     replace_rows,
     write_partitioned,
 )
-from aerostat.sources.tables import scan_parquet
+from aerostat.sources.tables import scan_parquet, scan_partitions
 
 
 def serving_rows(clean: DataFrame) -> DataFrame:
@@ -58,32 +60,43 @@ def serving_rows(clean: DataFrame) -> DataFrame:
 
 def read_clean(spark: SparkSession, clean_root: str, days: Sequence[str | dt.date] | None = None,
                part_glob: str | None = None) -> DataFrame:
-    """Clean dataset, pruned to ``days`` by partition filter when given."""
-    df = scan_parquet(spark, clean_root, part_glob, schemas.CLEAN_STORED)
-    if days is not None:
-        df = df.where(F.col("ingest_date").isin([dt.date.fromisoformat(str(d)) for d in days]))
-    return df
+    """Clean dataset, or only the folders of ``days``.
+
+    A requested day that was never written fails at analysis
+    (``PATH_NOT_FOUND``, S4); a day written without rows reads as no rows.
+    """
+    if days is None:
+        return scan_parquet(spark, clean_root, part_glob, schemas.CLEAN_STORED)
+    return scan_partitions(spark, clean_root, "ingest_date", days, part_glob, schemas.CLEAN_STORED)
 
 
 def load(spark: SparkSession, clean_root: str, serving_root: str, days: Sequence[str | dt.date]) -> int:
     """Idempotent load: overwrite the serving partitions of ``days``.
 
-    Returns the rows written, counted inside the write job (A8).
+    Raises before the first write if a day was never landed; a day landed
+    without rows empties its partition. Returns the rows written, counted
+    inside the write job (A8).
     """
     rows = schemas.check_sink(serving_rows(read_clean(spark, clean_root, days)), schemas.SERVING, ("ingest_date",))
-    rows, obs = observed(rows, "serving_rows")
-    write_partitioned(rows, serving_root, "ingest_date")
-    return int(obs.get.get("rows", 0))
+    return write_partitioned(rows, serving_root, "ingest_date", days)
 
 
 def ensure_serving_table(spark: SparkSession, table: str, location: str) -> None:
-    """The 13-column serving table, partitioned by ``date`` (K4)."""
+    """The 13-column serving table, partitioned by ``date`` (K4).
+
+    Raises ``ValueError`` if the name shows a published version instead.
+    """
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW":
+        raise ValueError(f"{table} shows a published version; use the version mode")
     create_table_if_absent(spark, table, schemas.SERVING, location, ["date"])
 
 
 def replace_day(spark: SparkSession, table: str, table_root: str, clean_root: str, day: str | dt.date,
-                mode: str = "partition") -> str:
-    """Original single-day load: delete rows with ``date = day``, append the day's batch (K2)."""
+                mode: str = "version") -> str:
+    """Original single-day load: delete rows with ``date = day``, append the day's batch (K2).
+
+    Raises before the first write if the day was never landed.
+    """
     batch = schemas.check_sink(serving_rows(read_clean(spark, clean_root, [day])).drop("ingest_date"), schemas.SERVING)
     if mode == "partition":
         ensure_serving_table(spark, table, table_root)
@@ -100,11 +113,12 @@ def replace_day(spark: SparkSession, table: str, table_root: str, clean_root: st
 
 
 def backfill(spark: SparkSession, table: str, table_root: str, clean_root: str,
-             start: str | dt.date, end: str | dt.date, mode: str = "partition") -> str:
+             start: str | dt.date, end: str | dt.date, mode: str = "version") -> str:
     """Original backfill: ``replace_day`` for each day start..end ascending (K7).
 
     Computed in one set-based job by the closed form in
-    ``operators.sinks.backfill_rows`` rather than one job per day.
+    ``operators.sinks.backfill_rows`` rather than one job per day. Raises
+    before the first write if any day of the window was never landed.
     """
     s, e = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
     days = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
@@ -112,8 +126,7 @@ def backfill(spark: SparkSession, table: str, table_root: str, clean_root: str,
     batches = batches.withColumnRenamed("ingest_date", "file_day")
     if mode == "partition":
         ensure_serving_table(spark, table, table_root)
-        backfill_date_partitions(spark, table, batches, "file_day", "date", s, e,
-                                 scratch_path(spark, "stage", table))
+        backfill_date_partitions(spark, table, batches, "file_day", "date", s, e)
         return table_root
     if mode != "version":
         raise ValueError(f"unknown mode {mode!r}")

@@ -84,8 +84,3 @@ def check_sink(df: DataFrame, contract: T.StructType, extra: tuple[str, ...] = (
     must equal ``contract``; returns ``df`` unchanged. Schema only, no job."""
     check_contract(df.drop(*extra), contract)
     return df
-
-
-def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Project/cast ``df`` onto the contract by name (``DataFrame.to``)."""
-    return df.to(contract)

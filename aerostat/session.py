@@ -26,10 +26,11 @@ RUNTIME_CONF = {
     # at least the default parallelism: on a shared cluster small results
     # then run as few tasks, and large stages are unaffected
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    # No broadcast from plan estimates (compressed file sizes can understate a
-    # side many times over): a side is broadcast only after the operators'
-    # row/byte probe, or by AQE from the measured size of a finished stage.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Spark broadcasts a join side whose files are under this size (compressed
+    # sizes understate a side, hence the low bound), or one whose finished
+    # stage AQE has measured; every other join is shuffled. The operators
+    # themselves say nothing about it, so they behave alike at every size.
+    "spark.sql.autoBroadcastJoinThreshold": "4m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
@@ -65,10 +66,10 @@ def shared_dir(spark: SparkSession) -> str:
     to a private directory; on a cluster an unset value is an error, since
     a machine-local folder is not visible to other executors.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
@@ -82,10 +83,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique location under the shared folder (never reused)."""
     return os.path.join(shared_dir(spark), "aerostat", *parts, uuid.uuid4().hex)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable: point it at the shared folder."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_dir(spark))

@@ -4,6 +4,7 @@ Fetching is out of scope; responses are landed as rows
 ``(dep, arr, status, body)`` and processed set-wise: a ``status = 200``
 body with a ``data`` array is exploded into records; everything else is a
 reject with one reason. ``accepted + rejected envelopes = all envelopes``.
+Bodies are parsed as variants, so one bad element or leaf costs only itself.
 """
 
 from __future__ import annotations
@@ -13,59 +14,85 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Reject reasons.
-NO_DATA = "no_data"          # 200 but the body has no "data" member
+NO_DATA = "no_data"          # 200 but the body has no "data" array
 HTTP_ERROR = "http_error"    # any non-200 status
-REQUEST_FAILED = "request_failed"  # no response at all (null status)
+REQUEST_FAILED = "request_failed"  # no response at all (null status), or a 200 body that is not JSON
+NOT_AN_OBJECT = "not_an_object"  # an element of "data" that is no object
+BAD_FIELD = "bad_field"      # an element with a value that its field cannot hold
 
 
-def _data(body: Column, record: T.DataType) -> Column:
-    schema = T.StructType([T.StructField("data", T.ArrayType(record), True)])
-    return F.from_json(body, schema).getField("data")
-
-
-def reject_reason(status: Column, data: Column) -> Column:
+def reject_reason(status: Column, body: Column, data: Column) -> Column:
     """Reason an envelope is rejected, null when it is accepted.
 
-    ``data`` is the parsed ``data`` array (``_data``), null when absent.
+    ``body`` is the parsed body (null when it does not parse), ``data`` its
+    array of elements (null when there is none).
     """
     return (
         F.when(status.isNull(), F.lit(REQUEST_FAILED))
         .when(status != 200, F.lit(HTTP_ERROR))
+        .when(body.isNull(), F.lit(REQUEST_FAILED))
         .when(data.isNull(), F.lit(NO_DATA))
     )
 
 
-def _parsed(env: DataFrame, keys, status: str, body: str, record: T.DataType) -> DataFrame:
-    """Envelope keys, status and the parsed ``data`` array, the body parsed
-    once per row (a separate projection: Catalyst keeps a costly expression
-    that is referenced more than once in its own projection instead of
-    inlining it into every use)."""
-    return env.select(*keys, F.col(status).alias("__status"), _data(F.col(body), record).alias("__data"))
+def _parsed(env: DataFrame, keys, status: str, body: str) -> DataFrame:
+    """Envelope keys, status, reason and the elements of ``data``.
+
+    The body is parsed once per row, in a projection of its own: Catalyst
+    does not inline a costly expression that is used more than once.
+    """
+    v = env.select(*keys, F.col(status).alias("__status"), F.try_parse_json(F.col(body)).alias("__body"))
+    v = v.withColumn("__data", F.try_variant_get("__body", "$.data", "array<variant>"))
+    reason = reject_reason(F.col("__status"), F.col("__body"), F.col("__data"))
+    return v.select(*keys, "__status", "__data", reason.alias("__reason"))
+
+
+def _elements(env: DataFrame, keys, status: str, body: str) -> DataFrame:
+    """One row per element of ``data`` in each accepted envelope."""
+    data = F.when(F.col("__reason").isNull(), F.col("__data"))
+    return _parsed(env, keys, status, body).select(*keys, F.explode(data).alias("__r"))
+
+
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
 
+def _field(name: str) -> str:
+    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"$['{escaped}']"
 
-def accepted_records(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
+
+def accepted_records(env: DataFrame, record: T.StructType, keys=("dep", "arr"),
                      status: str = "status", body: str = "body") -> DataFrame:
-    """One row per element of ``data`` in each accepted envelope.
+    """One row per object in ``data`` of each accepted envelope.
 
-    Output: the envelope ``keys`` followed by the record's fields.
-    ``explode`` drops an accepted envelope whose array is empty, as the
-    request loop appended nothing for it.
+    Output: the envelope ``keys`` followed by the record's fields, each cast
+    by itself; a value that its field cannot hold is null and the rest of
+    the record stays. An accepted envelope whose array is empty gives no
+    rows, as the request loop appended nothing for it. ``element_rejects``
+    counts what is left out or nulled.
     """
-    # The body is parsed once: ``explode`` of null yields no rows, so a
-    # non-200 or data-less envelope simply produces nothing (no separate
-    # filter that would parse the body a second time).
-    parsed = _parsed(env, keys, status, body, record)
-    accepted = F.when(F.col("__status") == 200, F.col("__data"))
-    rec = parsed.select(*keys, F.explode(accepted).alias("r"))
-    return rec.select(*keys, "r.*")
+    objects = _elements(env, keys, status, body).where(_is_object(F.col("__r")))
+    return objects.select(*keys, *[
+        F.try_variant_get("__r", _field(f.name), f.dataType.simpleString()).alias(f.name) for f in record.fields])
+
 
+def element_rejects(env: DataFrame, record: T.StructType, keys=("dep", "arr"),
+                    status: str = "status", body: str = "body") -> DataFrame:
+    """Elements of accepted envelopes that are no objects or hold a bad value, with their reason (D3)."""
+    bad = F.lit(False)
+    for f in record.fields:
+        there = F.try_variant_get("__r", _field(f.name), "string").isNotNull()
+        bad = bad | (there & F.try_variant_get("__r", _field(f.name), f.dataType.simpleString()).isNull())
+    reason = F.when(~_is_object(F.col("__r")), F.lit(NOT_AN_OBJECT)).when(bad, F.lit(BAD_FIELD))
+    return _elements(env, keys, status, body).select(*keys, reason.alias("reason")).where(F.col("reason").isNotNull())
 
-def rejected(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
-             status: str = "status", body: str = "body") -> DataFrame:
+
+def rejected(env: DataFrame, keys=("dep", "arr"), status: str = "status", body: str = "body") -> DataFrame:
     """Rejected envelopes with their reason (S9 reject branch, D3)."""
-    p = _parsed(env, keys, status, body, record)
-    reason = reject_reason(F.col("__status"), F.col("__data"))
-    return p.select(*keys, F.col("__status").alias(status), reason.alias("reason")).where(F.col("reason").isNotNull())
+    p = _parsed(env, keys, status, body)
+    return p.select(*keys, F.col("__status").alias(status), F.col("__reason").alias("reason")).where(
+        F.col("reason").isNotNull())
 
 
 def reject_summary(rejects: DataFrame, name: str = "n") -> DataFrame:
@@ -73,25 +100,36 @@ def reject_summary(rejects: DataFrame, name: str = "n") -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias(name))
 
 
-def per_route_status(env: DataFrame, record: T.DataType, keys=("dep", "arr"),
-                     status: str = "status", body: str = "body") -> DataFrame:
-    """Records and outcome per requested route (A9): count, reason."""
-    p = _parsed(env, keys, status, body, record)
-    reason = reject_reason(F.col("__status"), F.col("__data"))
-    n = F.when(reason.isNull(), F.size("__data")).otherwise(F.lit(0))
-    return p.select(*keys, n.cast("bigint").alias("records"), F.coalesce(reason, F.lit("ok")).alias("outcome"))
+def per_route_status(env: DataFrame, keys=("dep", "arr"), status: str = "status", body: str = "body") -> DataFrame:
+    """Records and outcome per requested route (A9): count of objects, reason."""
+    p = _parsed(env, keys, status, body)
+    objects = F.size(F.filter("__data", _is_object))
+    n = F.when(F.col("__reason").isNull(), objects).otherwise(F.lit(0))
+    return p.select(*keys, n.cast("bigint").alias("records"), F.coalesce("__reason", F.lit("ok")).alias("outcome"))
+
+
+def _weather(env: DataFrame, key: str, query: str, status: str, body: str) -> DataFrame:
+    v = env.select(F.col(key).alias("city"), F.col(query).alias("query"), F.col(status).alias("__status"),
+                   F.try_parse_json(F.col(body)).alias("data"))
+    reason = reject_reason(F.col("__status"), F.col("data"), F.col("data"))
+    return v.withColumn("reason", reason)
 
 
 def wrap_responses(env: DataFrame, key: str = "city", query: str = "query",
                    status: str = "status", body: str = "body") -> DataFrame:
     """Accepted weather responses as ``{city, query, data}`` wrappers.
 
-    Any ``200`` response is kept; its body becomes a variant, so loosely
-    typed leaves stay as they were sent.
+    Any ``200`` response that parses is kept; its body becomes a variant, so
+    loosely typed leaves stay as they were sent.
     """
-    ok = env.where(F.col(status) == 200)
-    return ok.select(F.col(key).alias("city"), F.col(query).alias("query"),
-                     F.try_parse_json(F.col(body)).alias("data"))
+    return _weather(env, key, query, status, body).where(F.col("reason").isNull()).select("city", "query", "data")
+
+
+def weather_rejects(env: DataFrame, key: str = "city", query: str = "query",
+                    status: str = "status", body: str = "body") -> DataFrame:
+    """Weather responses that give no wrapper, with their reason."""
+    r = _weather(env, key, query, status, body).where(F.col("reason").isNotNull())
+    return r.select("city", "query", F.col("__status").alias(status), "reason")
 
 
 def missing_routes(routes: DataFrame, env: DataFrame, keys=("dep", "arr")) -> DataFrame:

