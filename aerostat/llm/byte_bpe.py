@@ -1,33 +1,28 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
-Documents are packed into chunks of bounded text. A chunk explodes into its
-distinct pre-tokens; the positions stay with the chunk, as numbers into that
-list. The pre-tokens of all chunks meet by word, where each distinct word is
-encoded once; the ids are joined back to their chunks, and every document is
-reassembled by position. Decoding joins the token-byte table to the ids.
-
-A word comes from a chunk at most once, so no word is more than one row per
-chunk, however often it stands in the corpus.
+Texts explode into pre-tokens with positions; each distinct pre-token of the
+corpus is encoded once (``distinct_words``), its ids are joined back, and
+every document is reassembled by position. Decoding joins the token-byte
+table to the ids.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from array import array
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import staged
+from aerostat.llm.common import press_texts
+from aerostat.llm.distinct_words import Piece, encoded_words
 
-CHUNK = 16 << 20  # bytes of text in a chunk; a longer text is a chunk of its own
+PIECE = 8 << 20  # text bytes of a piece, about
 
 # The split pattern for which a faster equal form is known, and that form
 # for texts that hold only ASCII and the letters of these Latin blocks.
@@ -69,120 +64,56 @@ def splitter(pattern: str):
     return lambda text: wide(text) if _BEYOND(text) else _NARROW(text)
 
 
-class _Numbers(dict):
-    """Numbers words in the order in which they are first seen."""
+def _byte_splitter(pattern: str):
+    split = splitter(pattern)
+    return lambda raw: list(map(str.encode, split(raw.decode())))
 
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
 
+def _word_encoder(path: str, pattern: str):
+    known, encode = ranks(path), _encoding(path, pattern).encode_ordinary
 
-_CHUNKS = "chunk long, ids array<bigint>, counts array<int>, codes binary, words array<string>"
-
-
-def _chunks(pattern: str, most: int):
-    def run(batches):
-        split, task, seq = splitter(pattern), TaskContext.get().partitionId(), 0
-
-        def row():
-            return pa.RecordBatch.from_arrays([
-                pa.array([(task << 32) | seq], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                pa.array([counts], pa.list_(pa.int32())), pa.array([codes.tobytes()], pa.binary()),
-                pa.array([list(words)], pa.list_(pa.string()))], ["chunk", "ids", "counts", "codes", "words"])
-
-        ids, counts, codes, words, size = [], [], array("i"), _Numbers(), 0
-        for b in batches:
-            for doc_id, text in zip(b.column(0), b.column(1)):
-                text = text.as_py() or ""
-                if ids and size + len(text) > most:
-                    yield row()
-                    ids, counts, codes, words, size, seq = [], [], array("i"), _Numbers(), 0, seq + 1
-                found = split(text)
-                ids.append(doc_id.as_py())
-                counts.append(len(found))
-                codes.extend(map(words.__getitem__, found))
-                size += len(text)
-        if ids:
-            yield row()
-
-    return run
-
-
-def _encode_words(path: str, pattern: str, kind: type):
-    """Rows (word, chunk, code), sorted by word, to (chunk, code, ids of the word)."""
-
-    def run(batches):
-        known, encode = ranks(path), _encoding(path, pattern).encode_ordinary
-        last, packed = None, b""
-        for b in batches:
-            out = []
-            for word in b.column(0).to_pylist():
-                if word != last:
-                    last, one = word, known.get(word.encode())
-                    packed = np.array(encode(word) if one is None else [one], dtype=kind).tobytes()
-                out.append(packed)
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(out, pa.binary())],
-                                             ["chunk", "code", "word_ids"])
+    def run(words: list[str]) -> list[list[int]]:
+        return [encode(w) if (one := known.get(w.encode())) is None else [one] for w in words]
 
     return run
 
 
-def _reassemble(kind: type):
+def _reassemble(make_split, buckets: int, kind: type):
     result = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        if left.num_rows:
-            right = right.combine_chunks()
-            order = np.argsort(right.column("code").to_numpy())
-            words = right.column("word_ids").take(pa.array(order)).combine_chunks().cast(pa.large_binary())
-            if isinstance(words, pa.ChunkedArray):
-                words = pa.concat_arrays(words.chunks) if words.num_chunks else pa.array([], pa.large_binary())
-            width = np.dtype(kind).itemsize
-            ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1] // width \
-                if len(words) else np.zeros(1, np.int64)
-            flat = np.frombuffer(words.buffers()[2], kind) if len(words) else np.zeros(0, kind)
-            start, length = ends[:-1], np.diff(ends)
-            for doc_id, counts, codes in zip(*(left.column(c) for c in ("ids", "counts", "codes"))):
-                codes = np.frombuffer(codes.as_py(), np.int32)
-                upto = np.concatenate([[0], np.cumsum(counts.values.to_numpy(zero_copy_only=False))]).astype(np.int64)
-                # a million words at a time bounds the index arrays
-                at, ids, tokens = 0, doc_id.values, [0]
-                parts = []
-                while at < len(codes):
-                    some = codes[at:at + (1 << 20)]
-                    n = length[some]
-                    to = np.cumsum(n)
-                    parts.append(flat[np.repeat(start[some] - to + n, n) + np.arange(to[-1])].astype(np.int32))
-                    at += len(some)
-                total = np.concatenate([[0], np.cumsum(length[codes])])
-                tokens = total[upto]
-                out.append(pa.table([ids, pa.ListArray.from_arrays(
-                    pa.array(tokens, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))], schema=result))
-        return pa.concat_tables(out) if out else result.empty_table()
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return result.empty_table()
+        piece = Piece(docs, make_split(), buckets)
+        ids, ends = piece.reassemble(words, kind)
+        return pa.table([piece.ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))], schema=result)
 
     return run
 
 
 def encode(docs: DataFrame, path: str, pattern: str = KNOWN, text: str = "text", doc_id: str = "doc_id",
-           chunk: int = CHUNK) -> DataFrame:
+           piece_bytes: int = PIECE) -> DataFrame:
     """Token ids of every whole text: ``doc_id``, ``ids``.
 
     ``path`` names a rank file, ``pattern`` cuts texts into pre-tokens, each
     of which is encoded by itself. There are no special tokens.
 
     Null and empty texts have no ids. Repeated rows and null document ids
-    each get a row; an empty table gives none; a text longer than a chunk is
-    a chunk of its own; other columns are ignored.
+    each get a row; an empty table gives none; a long text makes its piece
+    as long as it is; other columns are ignored.
     """
-    kind = np.uint16 if len(ranks(path)) <= 1 << 16 else np.uint32
-    chunks = staged(docs.selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"`{text}` AS text")
-                    .mapInArrow(_chunks(pattern, chunk), _CHUNKS), "bpe_chunks")
-    words = chunks.select("chunk", F.posexplode("words").alias("code", "word")).select("word", "chunk", "code")
-    encoded = words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        _encode_words(path, pattern, kind), "chunk long, code int, word_ids binary")
-    return chunks.drop("words").groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(
-        _reassemble(kind), "doc_id long, ids array<int>")
+    spark = docs.sparkSession
+    kind = np.uint16 if max(ranks(path).values()) < 1 << 16 else np.uint32
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"))
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces, buckets = max(least, -(-total // piece_bytes)), max(least, -(-total // (4 * piece_bytes)))
+    dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
+    split = partial(_byte_splitter, pattern)
+    encoded = encoded_words(dealt, split, partial(_word_encoder, path, pattern), buckets, kind)
+    return dealt.groupBy("piece").cogroup(encoded.groupBy("piece")).applyInArrow(
+        _reassemble(split, buckets, kind), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:

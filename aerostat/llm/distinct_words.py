@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from aerostat.llm.common import pressed, unpress_texts, unpressed
+
 WORDS = "bucket long, piece long, words binary, sizes binary"
 ENCODED = "piece long, bucket long, ids binary, counts binary"
 
@@ -27,7 +29,7 @@ ENCODED = "piece long, bucket long, ids binary, counts binary"
 class _Numbers(dict):
     """Numbers words in the order in which they are first seen."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self)
         return n
 
@@ -39,15 +41,17 @@ class Piece:
     to buckets by a checksum; ``order`` lists their numbers bucket by bucket.
     """
 
-    def __init__(self, table: pa.Table, split: Callable[[str], list[str]], buckets: int):
+    def __init__(self, table: pa.Table, split: Callable[[bytes], list[bytes]], buckets: int):
         table = table.sort_by([("doc_id", "ascending"), ("digest", "ascending")])
         numbers = _Numbers()
         self.ids = table.column("doc_id")
-        self.codes = [array("i", map(numbers.__getitem__, split(t.as_py()))) for t in table.column("text")]
-        self.words = [w.encode() for w in numbers]
-        bucket = np.fromiter((zlib.crc32(w) % buckets for w in self.words), np.int64, len(self.words))
-        self.order = np.argsort(bucket, kind="stable")
-        self.bucket = bucket[self.order]
+        self.codes = [array("i", map(numbers.__getitem__, split(t))) for t in unpress_texts(table.column("text"))]
+        self.words = list(numbers)
+        in_order = sorted(numbers)  # neighbours share letters, which packs better
+        number = np.fromiter(map(numbers.__getitem__, in_order), np.int64, len(in_order))
+        bucket = np.fromiter(map(zlib.crc32, in_order), np.int64, len(in_order)) % buckets
+        by_bucket = np.argsort(bucket, kind="stable")
+        self.order, self.bucket = number[by_bucket], bucket[by_bucket]
 
     def stretches(self):
         """(bucket, numbers of its words)."""
@@ -59,8 +63,9 @@ class Piece:
     def reassemble(self, encoded: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents one after another, and where each ends (with a leading 0)."""
         got = encoded.sort_by("bucket")
-        flat = np.frombuffer(b"".join(got.column("ids").to_pylist()), kind)
-        counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.uint32).astype(np.int64)
+        flat, counts = (np.frombuffer(b"".join(map(unpressed, got.column(c).to_pylist())), k)
+                        for c, k in (("ids", kind), ("counts", np.uint32)))
+        counts = counts.astype(np.int64)
         start, length = np.empty(len(counts), np.int64), np.empty(len(counts), np.int64)
         start[self.order], length[self.order] = np.cumsum(counts) - counts, counts
         parts, ends = [np.zeros(0, np.int32)], [0]
@@ -84,8 +89,8 @@ def _emit(make_split: Callable, buckets: int):
         rows = []
         for bucket, own in piece.stretches():
             words = [piece.words[i] for i in own.tolist()]
-            rows.append({"bucket": bucket, "piece": number, "words": b"".join(words),
-                         "sizes": np.fromiter(map(len, words), np.uint32, len(words)).tobytes()})
+            rows.append({"bucket": bucket, "piece": number, "words": pressed(b"".join(words)),
+                         "sizes": pressed(np.fromiter(map(len, words), np.uint32, len(words)).tobytes())})
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -97,19 +102,20 @@ def _encode(make_encode: Callable, kind: type):
     def run(table: pa.Table) -> pa.Table:
         sent = []
         for raw, sizes in zip(table.column("words").to_pylist(), table.column("sizes").to_pylist()):
-            ends = np.cumsum(np.frombuffer(sizes, np.uint32), dtype=np.int64).tolist()
+            raw = unpressed(raw)
+            ends = np.cumsum(np.frombuffer(unpressed(sizes), np.uint32), dtype=np.int64).tolist()
             sent.append([raw[s:e] for s, e in zip([0, *ends], ends)])
         distinct = list(dict.fromkeys(w for words in sent for w in words))
-        packed = {}
+        packed, code = {}, np.dtype(kind).char
         encode = make_encode()
         for at in range(0, len(distinct), 10_000):
             some = distinct[at:at + 10_000]
-            packed.update((w, np.array(ids, kind).tobytes()) for w, ids in zip(some, encode([w.decode() for w in some])))
+            packed.update((w, array(code, ids).tobytes()) for w, ids in zip(some, encode([w.decode() for w in some])))
         width, rows = np.dtype(kind).itemsize, []
         for piece, bucket, words in zip(table.column("piece").to_pylist(), table.column("bucket").to_pylist(), sent):
             ids = [packed[w] for w in words]
-            rows.append({"piece": piece, "bucket": bucket, "ids": b"".join(ids),
-                         "counts": (np.fromiter(map(len, ids), np.uint32, len(ids)) // width).tobytes()})
+            rows.append({"piece": piece, "bucket": bucket, "ids": pressed(b"".join(ids)),
+                         "counts": pressed((np.fromiter(map(len, ids), np.uint32, len(ids)) // width).tobytes())})
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -118,10 +124,10 @@ def _encode(make_encode: Callable, kind: type):
 def encoded_words(dealt: DataFrame, make_split: Callable, make_encode: Callable, buckets: int, kind: type) -> DataFrame:
     """Ids of the distinct words of each piece (``ENCODED``), to be cogrouped with its documents.
 
-    ``dealt`` has ``doc_id``, ``text``, ``digest`` and ``piece``.
+    ``dealt`` has ``doc_id``, ``text`` (compressed), ``digest`` and ``piece``.
     ``make_split`` and ``make_encode`` are called in the tasks and return
-    the function that cuts a text into words, and the one that maps a list
-    of words to their lists of ids.
+    the function that cuts the bytes of a text into words, and the one that
+    maps a list of words to their lists of ids.
     """
     return dealt.groupBy("piece").applyInArrow(_emit(make_split, buckets), WORDS).groupBy("bucket").applyInArrow(
         _encode(make_encode, kind), ENCODED)

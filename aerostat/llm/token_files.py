@@ -15,6 +15,7 @@ id of every block at a time.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from functools import lru_cache, partial
@@ -26,12 +27,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from aerostat.llm.common import staged
+from aerostat.llm.common import press_texts, staged
 from aerostat.llm.distinct_words import Piece, encoded_words
 
 BLOCK = 2048  # ids of a block
 SEGMENT = 8 << 20  # ids of a segment, about; a longer document is a segment of its own
-PIECE = 16 << 20  # text bytes of a piece, about
+PIECE = 8 << 20  # text bytes of a piece, about
 MAGIC = b"IDRC"
 _HEAD = struct.Struct("<4sII")  # of a segment: mark, ids of a block, blocks
 _BLOCK = struct.Struct("<III")  # of a block: ids, coded 16-bit words, checksum
@@ -309,13 +310,14 @@ def vocabulary_size(path: str) -> int:
 
 
 def _encoder(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # its threads would compete with the executor's other tasks
     batch = _tokenizer(path).encode_batch_fast
     return lambda words: [e.ids for e in batch(words, add_special_tokens=False)]
 
 
 def _ascii_words():
     """Splits at ASCII white space, which every tokenizer that drops white space does, too."""
-    return lambda text: [w.decode() for w in text.encode().split()]
+    return bytes.split
 
 
 FILES = "piece long, seq int, docs array<bigint>, counts array<int>, data binary"
@@ -386,8 +388,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int, text: str = "te
         return pd.Series(np.searchsorted(bounds.value, ids.to_numpy(), side="right"))
 
     spare = max(1, -(-(unnamed or 0) // piece_bytes))
-    dealt = rows.withColumn("piece", F.when(F.col("doc_id").isNull(), F.pmod("digest", F.lit(spare)) - spare).otherwise(
-        piece_of(F.coalesce("doc_id", F.lit(0)))).cast("long"))
+    dealt = press_texts(rows.withColumn("piece", F.when(F.col("doc_id").isNull(), F.pmod("digest", F.lit(spare)) - spare).otherwise(
+        piece_of(F.coalesce("doc_id", F.lit(0)))).cast("long")))
     words = encoded_words(dealt, _ascii_words, partial(_encoder, tokenizer), buckets, kind)
     return staged(dealt.groupBy("piece").cogroup(words.groupBy("piece")).applyInArrow(
         _write(_ascii_words, buckets, end, vocabulary, kind, segment), FILES), "token_files")
