@@ -9,7 +9,6 @@ Layout:
     functions/  scalar expressions (lenient JSON paths, floats, dates, lookup)
     operators/  flatten, filters, joins, aggregates, top-k, set ops, sinks
     plans/      end-to-end jobs: daily transform, serving load, ad-hoc, dashboard
-    streaming/  incremental pickup of newly landed days (availableNow trigger)
 """
 
 __version__ = "0.1.0"

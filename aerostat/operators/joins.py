@@ -67,6 +67,7 @@ def left_join(
 
 
 PART, PARTS = "__part", "__parts"
+MOST_HOT = 100_000  # hot keys that are sent to all executors
 
 
 def left_join_split(
@@ -88,23 +89,31 @@ def left_join_split(
     key exists on the right, so its left rows match somewhere.
 
     The same rows and columns as ``left_join`` for any data and parameters.
-    Costs one more aggregate over the right keys; the hot keys are at most
-    ``rows(right) / rows_per_task``.
+    Costs a count and an aggregate of the right keys. A key is hot from
+    ``rows_per_task`` rows or a 100,000th of all rows, whichever is more, so
+    the list of hot keys that is broadcast has 100,000 at most.
     """
     lk, rk = _keys(left_keys, right_keys)
     names = [f"__k{i}" for i in range(len(rk))]
     shared = {c: f"__right_{i}" for i, c in enumerate(right.columns)}
     right = right.select(*[F.col(f"`{c}`").alias(n) for c, n in shared.items()])
     rk, spread = [shared[k] for k in rk], [shared[c] for c in spread_by]
+    # so that no more than MOST_HOT keys can be hot, whatever the data
+    enough = F.greatest(F.lit(rows_per_task).cast("long"), F.ceil(right.agg(F.count(F.lit(1))).scalar() / MOST_HOT))
     hot = right.where(~_any_null(right, rk)).groupBy(*[F.col(k).alias(n) for k, n in zip(rk, names)]).agg(
-        F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias(PARTS)).where(F.col(PARTS) > 1)
+        F.count(F.lit(1)).alias("__n")).withColumn("__enough", enough).where("__n > __enough").select(
+        *names, F.ceil(F.col("__n") / F.col("__enough")).cast("int").alias(PARTS))
+    hot = F.broadcast(hot)
 
     def marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return df.join(hot, _cond(df, hot, keys, names), "left").drop(*names).withColumn(PARTS, F.coalesce(PARTS, F.lit(1)))
 
+    # dealt out by key and part, also where the input comes dealt out by key
     r = marked(right, rk).select(*right.columns, F.pmod(F.xxhash64(*spread), F.col(PARTS)).cast("int").alias("__right_part"))
+    r = r.repartition(*rk, "__right_part")
     keyed = left.where(~_any_null(left, lk))
     lx = marked(keyed, lk).withColumn(PART, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1)))
+    lx = lx.repartition(*[lx[k] for k in lk], PART)
     joined = lx.join(r, _cond(lx, r, lk, rk) & (lx[PART] == r["__right_part"]), "left")
     joined = joined.where((F.col(PARTS) == 1) | F.col("__right_part").isNotNull())
     out = joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(n).alias(c) for c, n in shared.items()])

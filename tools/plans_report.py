@@ -1,9 +1,9 @@
 """Write PLANS.md: the final (post-AQE) physical plan of every registered query.
 
 Usage: python tools/plans_report.py [sf_dir] [out]
-Each query is collected first (through its own query execution), so the
-adaptive plan shown is the one that actually ran (runtime broadcast
-conversions, coalescing); results at sf0.1 are small enough for that.
+Each query runs first, into the noop sink through its own query execution,
+so the adaptive plan shown is the one that actually ran (runtime broadcast
+conversions, coalescing). Nothing is collected.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from aerostat.session import build_session  # noqa: E402
-import __spark_entry__ as contract  # noqa: E402
+from aerostat.catalog import QUERIES  # noqa: E402
 
 
 def compact(plan: str) -> str:
@@ -25,16 +25,22 @@ def compact(plan: str) -> str:
     return plan
 
 
+def ran(df) -> str:
+    """The final plan of ``df``, run row by row without collecting it."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+    return execution.executedPlan().toString()
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     spark = build_session("local[8]", shuffle_partitions=16)
     parts = [f"# Physical plans\n\nFinal adaptive plans of every registered query on `{os.path.basename(sf)}` "
              "(`local[8]`, 16 shuffle partitions, AQE on), generated by `tools/plans_report.py`.\n"]
-    for name, q in contract.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
-        df.collect()
-        plan = compact(df._jdf.queryExecution().executedPlan().toString())
+        plan = compact(ran(df))
         parts.append(f"## {name}\n\n```\n{plan.rstrip()}\n```\n")
     with open(out, "w") as f:
         f.write("\n".join(parts))

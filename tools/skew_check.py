@@ -7,19 +7,17 @@ reading the largest number of shuffle records one task read in any stage
 (from the event log written to a fresh scratch folder):
 
 * null keys: ``events`` left-joined to ``customer`` with every ``click``
-  event's key set to null (a fifth of the rows), shuffled (no broadcast,
-  AQE skew splitting and runtime broadcast off to show the raw layout);
-  plain shuffled join vs ``left_join`` with null-key spreading.
-* copies: the same null-key rows made identical (one group of copies),
-  spread over 64 input splits; plain shuffled join vs ``left_join`` with
-  AQE's skew split off and on;
+  event's key set to null (a fifth of the rows), shuffled; plain join vs
+  ``left_join``, which does not shuffle them;
+* copies: the same null-key rows made identical (one group of copies), over
+  64 input splits;
 * hot key: every ``view`` event's key set to one customer (a fifth of the
-  rows) over 64 input splits, shuffled left join with AQE's skew split off
-  vs on (thresholds scaled down to the input size);
+  rows) over 64 input splits, ``left_join`` with AQE's skew split off vs on
+  (thresholds scaled down to the input size);
 * hot right key: customers left-joined to events with every ``view``
-  event on one customer (a fifth of the right side); AQE's skew split on
-  (it cannot split the right side of a left outer join) vs ``left_join``
-  with ``hot_right_rows``;
+  event on one customer (a fifth of the right side); ``left_join`` with
+  AQE's skew split on (it cannot split the right side of a left outer join)
+  vs ``left_join_split``;
 * per-key cap: first 100 events per ``event_type`` (5 keys, each a fifth
   of the rows) over 64 input splits; one ``row_number`` window vs the
   two-level ``cap_per_key``.
@@ -65,24 +63,14 @@ def max_task_records(log_dir: str, job_group: str) -> int:
     return best
 
 
-NOTES = """The plain join sends every null-key row to the null key's single partition; with the salt they spread over 64
-tasks (and still never match). The salt is a deterministic hash of the row, so a filter above the join still
-reaches the scan (a salt from the partition id or a random number would be nondeterministic and stop pushdown);
-the price is that identical null-key rows share one bucket. In the copies runs every click event is the same row,
-over 64 input splits: the salt cannot separate them, and AQE's skew split does not fire here because AQE measures
-compressed shuffle bytes and 20,000 identical rows compress to a few KB. At cluster scale a third of the data is
-far beyond the skew threshold even compressed, and AQE splits that partition by map-output ranges; for small but
-highly repetitive inputs lower `spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes`. A hot non-null key
-is left to AQE: with its skew split on, the hot partition is read by several tasks, each taking a range of map
-outputs (so it needs more than one input split — at cluster scale there are thousands). The single window gathers
-up to 100 rows per key from each of the 64 input splits in one task; the two-level cap gathers at most 100 rows
-from each of 8 split buckets per task at either level.
-A hot key on the right (fan-out) side of a left join is
-not split by AQE, which may only split the preserved side; `left_join(..., hot_right_rows=n)` finds right keys with
-more than n rows (one aggregate, written to the shared folder and broadcast behind the size probe), spreads their
-right rows over 32 buckets, repeats the matching left rows once per bucket and left-joins on (key, bucket), dropping
-only the unmatched repeats of hot-key rows (a hot key exists on the right, so such a row matched in another bucket)
-— exact, with one read of the left side and two of the right.
+NOTES = """The plain join sends every null-key row to the null key's single partition; `left_join` unites them with
+the result unjoined, so neither their number nor how alike they are matters. A hot non-null key is left to AQE:
+with its skew split on, the hot partition is read by several tasks, each taking a range of map outputs (so it needs
+more than one input split; at cluster scale there are thousands). A hot key on the right (fan-out) side of a left
+join is not split by AQE, which may only split the preserved side; `left_join_split` deals the rows of a right key
+with more than `rows_per_task` rows into as many parts as they need. The single window gathers up to 100 rows per
+key from each of the 64 input splits in one task; the two-level cap gathers at most 100 rows from each of 8 split
+buckets per task at either level.
 Regenerate with `python tools/skew_check.py /root/testdata/sf0.1 SKEW.md`."""
 
 
@@ -104,7 +92,7 @@ def main():
     total, nulls = ev.count(), fact.where(F.col("uid").isNull()).count()
     runs = {
         "null keys: plain shuffled left join": lambda: fact.join(dim, fact.uid == dim.c_custkey, "left"),
-        "null keys: left_join with null-key spreading": lambda: joins.left_join(fact, dim, "uid", "c_custkey", broadcast_max_rows=0),
+        "null keys: left_join": lambda: joins.left_join(fact, dim, "uid", "c_custkey"),
     }
     # a group of copies: every click event is the same row (null key), over
     # 64 input splits as at cluster scale
@@ -119,25 +107,22 @@ def main():
                # thresholds scaled down to this input; the defaults (256 MB) apply at cluster scale
                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
-    runs["hot key: shuffled left join, AQE skew split off"] = lambda: joins.left_join(hot, dim, "uid", "c_custkey", broadcast_max_rows=0)
-    runs["hot key: shuffled left join, AQE skew split on"] = (
-        lambda: joins.left_join(hot, dim, "uid", "c_custkey", broadcast_max_rows=0), skew_on)
+    runs["hot key: left_join, AQE skew split off"] = lambda: joins.left_join(hot, dim, "uid", "c_custkey")
+    runs["hot key: left_join, AQE skew split on"] = (
+        lambda: joins.left_join(hot, dim, "uid", "c_custkey"), skew_on)
     # a hot key on the fan-out (right) side: customers left-joined to their
     # events, every view event on customer 1; AQE cannot split the right side
     # of a left outer join, so only the hot-key split spreads it
     fanout = ev.select(F.when(F.col("event_type") == "view", F.lit(1)).otherwise(F.col("user_id")).alias("uid"),
                        "event_id").repartition(64)
     custs = dim.select(F.col("c_custkey"))
-    runs["hot right key: shuffled left join, AQE skew split on"] = (
-        lambda: joins.left_join(custs, fanout, "c_custkey", "uid", broadcast_max_rows=0), skew_on)
-    runs["hot right key: left_join with hot-key split (> 5000 rows, 32 buckets)"] = (
-        lambda: joins.left_join(custs, fanout, "c_custkey", "uid", broadcast_max_rows=0, hot_right_rows=5000), skew_on)
+    runs["hot right key: left_join, AQE skew split on"] = (
+        lambda: joins.left_join(custs, fanout, "c_custkey", "uid"), skew_on)
+    runs["hot right key: left_join_split, 1,000 rows a task"] = (
+        lambda: joins.left_join_split(custs, fanout, "c_custkey", "uid", spread_by=["event_id"], rows_per_task=1000), skew_on)
     split = ev.select("event_type", "event_id").repartition(64)
     w = Window.partitionBy("event_type").orderBy("event_id")
-    runs["copies: left_join with null-key spreading, AQE skew split off"] = (
-        lambda: joins.left_join(copies, dim, "uid", "c_custkey", broadcast_max_rows=0))
-    runs["copies: left_join with null-key spreading, AQE skew split on"] = (
-        lambda: joins.left_join(copies, dim, "uid", "c_custkey", broadcast_max_rows=0), skew_on)
+    runs["copies: left_join"] = lambda: joins.left_join(copies, dim, "uid", "c_custkey")
     runs["per-key cap: one row_number window"] = lambda: split.withColumn("rn", F.row_number().over(w)).where("rn <= 100").drop("rn")
     runs["per-key cap: two-level cap_per_key (fanout 8)"] = lambda: topk.cap_per_key(split, ["event_type"], ["event_id"], 100, fanout=8)
     rows = []
