@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -210,7 +210,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, fl
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
         gradient = design.T @ (y - p) - 1e-3 * w
         curve = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        step = np.linalg.solve(curve, gradient)
+        step = np.clip(np.linalg.solve(curve, gradient), -5, 5)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -228,30 +228,29 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = 2
     """
     sample = staged(training_sample(docs, labels, usable, most_rows), "toxic_sample")
     model = Model(_log_odds(sample, prior, least, most_tokens), drift)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def best(batches):
-        for b in batches:
-            rows = []
-            for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                words = tokens(text)
-                rows.append((y, len(words), [s for _, _, s in segments_of(words, shared.value)]))
-            yield pa.RecordBatch.from_pydict({
-                "toxic": pa.array([r[0] for r in rows], pa.int32()), "n": pa.array([r[1] for r in rows], pa.int64()),
-                "scores": pa.array([r[2] for r in rows], pa.list_(pa.float64()))})
-
-    # at most most_rows rows
-    got = sample.select("text", "toxic").mapInArrow(best, "toxic int, n long, scores array<double>").collect()
     if not model.weights:
         return Model({}, drift, offset=-5.0)
-    y = np.array([r["toxic"] for r in got], dtype=float)
-    top = np.array([max(r["scores"], default=0.0) for r in got])
-    n = np.array([r["n"] for r in got], dtype=float)
-    scale, place = _gumbel(top[y == 0], n[y == 0])
-    fitted = Model(model.weights, drift, scale, place)
-    x = np.array([min(50.0, sum(max(0.0, evidence(s, int(r["n"]), fitted)) for s in r["scores"])) for r in got])
-    slope, offset = _logistic(x, y)
-    return Model(model.weights, drift, scale, place, slope, offset)
+    rows = sample.select("text", "toxic")
+    top = np.array(_per_document(rows, model, lambda words, m: max((s for _, _, s in segments_of(words, m)), default=0.0)))
+    scale, place = _gumbel(top[top[:, 0] == 0, 2], top[top[:, 0] == 0, 1])
+    fitted = replace(model, scale=scale, place=place)
+    x = np.array(_per_document(rows, fitted, document_evidence))
+    slope, offset = _logistic(x[:, 2], x[:, 0])
+    return replace(fitted, slope=slope, offset=offset)
+
+
+def _per_document(rows: DataFrame, model: Model, value) -> list[tuple[int, int, float]]:
+    """Label, number of tokens and ``value(words, model)`` of each row of the bounded sample."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            found = [(len(words), value(words, shared.value)) for words in (tokens(t.as_py()) for t in b.column("text"))]
+            yield pa.RecordBatch.from_arrays([
+                b.column("toxic").cast(pa.int32()), pa.array([n for n, _ in found], pa.int64()),
+                pa.array([v for _, v in found], pa.float64())], ["toxic", "n", "value"])
+
+    return [tuple(r) for r in rows.mapInArrow(run, "toxic int, n long, value double").collect()]
 
 
 def score_toxicity(docs: DataFrame, model: Model, limit: float = 0.7, spans: bool = False) -> DataFrame:
