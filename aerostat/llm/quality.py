@@ -158,3 +158,55 @@ def repetition_quality(docs: DataFrame, rules: RepetitionRules = RepetitionRules
             yield pa.RecordBatch.from_arrays([piece.column(0), *[pa.array(got[c]) for c in names]], ["doc_id", *names])
 
     return docs.selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"`{text}` AS text").mapInArrow(run, schema)
+
+
+def _gram_sql(n: int) -> str:
+    """Flags of the words of window ``n``: later repeats of an n-gram start here; any repeat starts here."""
+    gram = " || ' ' || ".join(["w"] + [f"lead(w, {k}) OVER o" for k in range(1, n)])
+    return f"""g{n} AS (SELECT id, p, c, {gram} AS g FROM words WINDOW o AS (PARTITION BY id ORDER BY p)),
+r{n} AS (
+  SELECT id, p, c, g IS NOT NULL AND row_number() OVER (PARTITION BY id, g ORDER BY p) > 1 AS again,
+         g IS NOT NULL AND count(*) OVER (PARTITION BY id, g) > 1 AS twice FROM g{n}),
+c{n} AS (
+  SELECT id, CAST(sum(CASE WHEN inside THEN c ELSE 0 END) AS BIGINT) AS later_chars,
+         CAST(sum(CASE WHEN any_inside THEN 1 ELSE 0 END) AS BIGINT) AS any_words
+  FROM (SELECT id, c, bool_or(again) OVER o AS inside, bool_or(twice) OVER o AS any_inside FROM r{n}
+        WINDOW o AS (PARTITION BY id ORDER BY p ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW))
+  GROUP BY id)"""
+
+
+def quality_sql(rules: RepetitionRules = RepetitionRules()) -> str:
+    """``repetition_quality`` of ``documents`` in DuckDB's SQL."""
+    lengths = sorted(rules.ngram_chars)
+    grams = ",\n".join(_gram_sql(n) for n in [rules.window, *lengths])
+    chars = ", ".join(f"coalesce(c{n}.later_chars, 0) AS chars_{n}" for n in lengths)
+    joins = " ".join(f"LEFT JOIN c{n} ON c{n}.id = d.id" for n in [rules.window, *lengths])
+    limits = " AND ".join(f"chars_{n} <= {limit} * word_chars" for n, limit in sorted(rules.ngram_chars.items()))
+    word = r"[^\x20\x09-\x0D]+"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+found AS (SELECT id, regexp_extract_all(text, '{word}') AS ws FROM d),
+words AS (SELECT id, p, ws[p] AS w, length(ws[p]) AS c FROM (SELECT id, ws, unnest(range(1, len(ws) + 1)) AS p FROM found)),
+{grams},
+split AS (SELECT id, string_split(text, chr(10)) AS ls FROM d),
+lines AS (
+  SELECT id, length(l) AS c, row_number() OVER (PARTITION BY id, l ORDER BY p) > 1 AS again
+  FROM (SELECT id, p, ls[p] AS l FROM (SELECT id, ls, unnest(range(1, len(ls) + 1)) AS p FROM split))
+  WHERE regexp_matches(l, '{word}')),
+line_sums AS (
+  SELECT id, count(*) AS n_lines, CAST(sum(c) AS BIGINT) AS line_chars, CAST(sum(CASE WHEN again THEN 1 ELSE 0 END) AS BIGINT) AS n_dup_lines,
+         CAST(sum(CASE WHEN again THEN c ELSE 0 END) AS BIGINT) AS dup_line_chars
+  FROM lines GROUP BY id),
+word_sums AS (SELECT id, count(*) AS n_words, CAST(sum(c) AS BIGINT) AS word_chars FROM words GROUP BY id),
+measured AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(c{rules.window}.any_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+         coalesce(line_chars, 0) AS line_chars, coalesce(dup_line_chars, 0) AS dup_line_chars, {chars}
+  FROM d LEFT JOIN word_sums ON word_sums.id = d.id LEFT JOIN line_sums ON line_sums.id = d.id {joins}),
+judged AS (
+  SELECT *, n_words < {rules.least_words} OR n_repeat_words > {rules.most_repeat_words} * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND n_symbols <= {rules.symbols} * n_words AND dup_line_chars <= {rules.line_chars} * line_chars
+  AND {limits} AS kept
+FROM judged
+"""
