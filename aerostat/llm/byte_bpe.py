@@ -19,10 +19,10 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import press_texts
+from aerostat.llm.common import press_texts, small_batches, tidied
 from aerostat.llm.distinct_words import Piece, encoded_words
 
-PIECE = 8 << 20  # text bytes of a piece, about
+PIECE = 4 << 20  # text bytes of a piece, about
 
 # The split pattern for which a faster equal form is known, and that form
 # for texts that hold only ASCII and the letters of these Latin blocks.
@@ -103,25 +103,27 @@ def encode(docs: DataFrame, path: str, pattern: str = KNOWN, text: str = "text",
     as long as it is; other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     kind = np.uint16 if max(ranks(path).values()) < 1 << 16 else np.uint32
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces, buckets = max(least, -(-total // piece_bytes)), max(least, -(-total // (4 * piece_bytes)))
+    pieces, buckets = max(least, -(-total // piece_bytes)), max(least, -(-total // (2 * piece_bytes)))
     dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
     split = partial(_byte_splitter, pattern)
     encoded = encoded_words(dealt, split, partial(_word_encoder, path, pattern), buckets, kind)
     return dealt.groupBy("piece").cogroup(encoded.groupBy("piece")).applyInArrow(
-        _reassemble(split, buckets, kind), "doc_id long, ids array<int>")
+        tidied(_reassemble(split, buckets, kind)), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """Add ``decoded``, the bytes of the ids in order (null ids: null).
+    """Add ``decoded`` (in place of a column of that name), the bytes of the ids in order (null ids: null).
 
     The token-byte table is as long as the vocabulary, whatever the input.
     An id outside of it fails the job.
     """
+    tokens = tokens.drop("decoded")
     keep = tokens.schema
 
     def run(batches):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,6 +50,39 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0]:ends[-1]], ends - ends[0]
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Let Arrow batches between the JVM and Python hold about ``most`` bytes.
+
+    The default is 10,000 rows whatever their size, which the JVM, the
+    worker and each step in between hold at a time.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
+def give_back() -> None:
+    """Return unused memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidied(run):
+    """``run``, after which a worker gives memory back that it no longer uses.
+
+    Workers serve many tasks; freed arrays would stay with the allocators
+    and add up over the steps of a job.
+    """
+    def wrapper(*tables):
+        try:
+            return run(*tables)
+        finally:
+            give_back()
+
+    # Spark looks at the number of arguments
+    return (lambda a, b: wrapper(a, b)) if run.__code__.co_argcount == 2 else (lambda a: wrapper(a))
+
+
 def pressed(raw: bytes) -> bytes:
     """Compressed bytes, for what is shuffled."""
     return zstandard.ZstdCompressor(level=1).compress(raw)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aerostat.llm.common import pressed, unpress_texts, unpressed
+from aerostat.llm.common import pressed, tidied, unpress_texts, unpressed
 
 WORDS = "bucket long, piece long, words binary, sizes binary"
 ENCODED = "piece long, bucket long, ids binary, counts binary"
@@ -129,5 +129,5 @@ def encoded_words(dealt: DataFrame, make_split: Callable, make_encode: Callable,
     the function that cuts the bytes of a text into words, and the one that
     maps a list of words to their lists of ids.
     """
-    return dealt.groupBy("piece").applyInArrow(_emit(make_split, buckets), WORDS).groupBy("bucket").applyInArrow(
-        _encode(make_encode, kind), ENCODED)
+    return dealt.groupBy("piece").applyInArrow(tidied(_emit(make_split, buckets)), WORDS).groupBy("bucket").applyInArrow(
+        tidied(_encode(make_encode, kind)), ENCODED)

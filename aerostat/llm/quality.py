@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aerostat.llm.common import RangeHash, mix, sliced, utf8, word_spans
+from aerostat.llm.common import RangeHash, mix, sliced, small_batches, utf8, word_spans
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -157,6 +157,7 @@ def repetition_quality(docs: DataFrame, rules: RepetitionRules = RepetitionRules
             got = measure(*utf8(piece.column(1)), rules)
             yield pa.RecordBatch.from_arrays([piece.column(0), *[pa.array(got[c]) for c in names]], ["doc_id", *names])
 
+    small_batches(docs.sparkSession)
     return docs.selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"`{text}` AS text").mapInArrow(run, schema)
 
 

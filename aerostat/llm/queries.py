@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from aerostat.llm.byte_bpe import decode, encode
 from aerostat.llm.katz import score_texts
 from aerostat.llm.mixing import MIX_SQL, mix_sources
-from aerostat.llm.quality import repetition_quality
+from aerostat.llm.quality import quality_sql, repetition_quality
 from aerostat.llm.sharding import shard_documents
 from aerostat.llm.simhash import near_duplicates
-from aerostat.llm.suffix_dedup import remove_repeats
+from aerostat.llm.suffix_dedup import REPEATS_SQL, remove_repeats
 from aerostat.llm.token_files import read_token_files, vocabulary_size, write_token_files
 from aerostat.llm.topk import TOP_K_SQL, top_k
 from aerostat.llm.toxicity import score_toxicity, train
@@ -112,6 +112,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_repetition_rules": quality_sql(),
+    "op7_suffix_dedup": REPEATS_SQL,
     "op4_exact_top_k": TOP_K_SQL,
     "op9_mixing": MIX_SQL,
 }

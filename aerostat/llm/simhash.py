@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import staged
+from aerostat.llm.common import small_batches, staged
 from aerostat.llm.components import components
 
 TILE = 4096  # fingerprints of a tile, about
@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, length: int = 3, text: str = "text", doc_id: s
             fps = np.array([fingerprint(shingle_hashes(t.as_py(), length)) for t in b.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc_id", "digest", "fp"])
 
+    small_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(body).alias("digest"), body.alias("text")) \
         .mapInArrow(run, "doc_id long, digest string, fp long")

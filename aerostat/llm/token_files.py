@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from aerostat.llm.common import press_texts, staged
+from aerostat.llm.common import press_texts, small_batches, staged, tidied
 from aerostat.llm.distinct_words import Piece, encoded_words
 
 BLOCK = 2048  # ids of a block
@@ -369,6 +369,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int, text: str = "te
     nothing; long texts are coded whole; other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     vocabulary = vocabulary_size(tokenizer)
     if not 0 <= end < vocabulary:
         raise ValueError("the end id is not in the vocabulary")
@@ -392,7 +393,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int, text: str = "te
         piece_of(F.coalesce("doc_id", F.lit(0)))).cast("long")))
     words = encoded_words(dealt, _ascii_words, partial(_encoder, tokenizer), buckets, kind)
     return staged(dealt.groupBy("piece").cogroup(words.groupBy("piece")).applyInArrow(
-        _write(_ascii_words, buckets, end, vocabulary, kind, segment), FILES), "token_files")
+        tidied(_write(_ascii_words, buckets, end, vocabulary, kind, segment)), FILES), "token_files")
 
 
 def read_token_files(files: DataFrame, vocabulary: int) -> DataFrame:

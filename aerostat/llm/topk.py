@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import staged
+from aerostat.llm.common import small_batches, staged
 
 CANDIDATES, QUERIES = 4096, 256  # vectors in a packed block
 BLOCKS = 8  # packed blocks that a task takes of either side
@@ -129,6 +129,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, vec
 
     A task holds up to 8 blocks of 4,096 candidates and 8 of 256 queries.
     """
+    small_batches(vectors.sparkSession)
     whole = F.transform(F.col(embedding), lambda x: F.floor(x.cast("double") * scale))
     ok = ~F.exists(F.col(embedding), lambda x: x.isNull() | F.isnan(x.cast("double"))
                    | (F.abs(x.cast("double") * scale) > float(LARGEST)))

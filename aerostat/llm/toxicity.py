@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import staged
+from aerostat.llm.common import small_batches, staged
 
 _EDGE = ".,;:!?\"'()[]{}«»“”‘’…*_-#$%&|<>"
 STEMS = (4, 5, 6)  # leading letters that a token backs off to
@@ -226,6 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = 2
     ``prior`` is the prior's mass as a share of the documents. ``usable``
     picks the label rows that may be learnt from. Without labels of both kinds the model finds nothing.
     """
+    small_batches(docs.sparkSession)
     sample = staged(training_sample(docs, labels, usable, most_rows), "toxic_sample")
     model = Model(_log_odds(sample, prior, least, most_tokens), drift)
     if not model.weights:
@@ -264,6 +265,7 @@ def score_toxicity(docs: DataFrame, model: Model, limit: float = 0.7, spans: boo
     Rows are scored one by one and whole: repeated rows and null ids each
     get a row, an empty table gives none, other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "array<struct<first:int,last:int,score:double,tail:double>>"
 
@@ -289,6 +291,7 @@ def score_toxicity(docs: DataFrame, model: Model, limit: float = 0.7, spans: boo
 
 def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.7, text: str = "text") -> DataFrame:
     """Rows of ``docs``, unchanged, whose score is below ``limit``; any columns, any names."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
