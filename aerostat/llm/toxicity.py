@@ -2,7 +2,9 @@
 
 Every token has a log-odds weight (toxic against clean documents) under a
 Dirichlet prior that is proportional to the token's overall frequency, less
-two standard errors, so that only tokens with evidence count. A token that
+a standard error. Only tokens whose split between the labels is significant
+among all tokens tested have one, and a token counts once per label and pair
+of neighbours, so that copies of a text prove nothing twice. A token that
 was hardly seen backs off to its leading letters, which covers inflected
 and compound forms. A linear-time scan finds all maximal segments of the weights. How high clean texts score
 by chance follows an extreme-value law in the length of the text; its two
@@ -14,7 +16,7 @@ segments together is mapped to a probability on the training labels.
 from __future__ import annotations
 
 import math
-from collections import Counter
+import zlib
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -153,38 +155,51 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, most: in
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
 
 
-def _count_forms(batches):
-    """Documents of either label that hold a form: (form, y1, y0), summed per stretch of rows."""
-    def row(toxic, clean):
-        names = list(toxic.keys() | clean.keys())
-        return pa.RecordBatch.from_pydict({
-            "form": pa.array(names, pa.string()), "y1": pa.array([toxic[f] for f in names], pa.int64()),
-            "y0": pa.array([clean[f] for f in names], pa.int64())})
-
-    toxic, clean = Counter(), Counter()
+def _contexts(batches):
+    """Every token of the sample with a checksum of its neighbours: (token, context, toxic)."""
     for b in batches:
         for text, y in zip(b.column("text"), b.column("toxic").to_pylist()):
-            (toxic if y else clean).update({f for t in set(tokens(text.as_py())) for f in forms(t)})
-            if len(toxic) + len(clean) > 300_000:
-                yield row(toxic, clean)
-                toxic, clean = Counter(), Counter()
-    yield row(toxic, clean)
-
-
-def _log_odds(sample: DataFrame, prior: float, least: int, most: int) -> dict[str, float]:
-    n = sample.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")).first()
+            words = tokens(text.as_py())
+            around = zip(["", *words], [*words[1:], ""])
+            context = [zlib.crc32(f"{left} {right}".encode()) for left, right in around]
+            for at in range(0, len(words), 1 << 16):
+                own = words[at:at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(own, pa.string()), pa.array(context[at:at + len(own)], pa.int64()),
+                    pa.array([y] * len(own), pa.int32())], ["token", "context", "toxic"])
+
+
+def _log_odds(sample: DataFrame, prior: float, least: int, most: int, level: float = 0.05) -> dict[str, float]:
+    """Weights of the significant forms.
+
+    A token counts once per label and pair of neighbours, so copies and near
+    copies of a text count once, and long texts weigh no more than their
+    words do.
+    """
+    seen = sample.select("text", "toxic").mapInArrow(_contexts, "token string, context long, toxic int") \
+        .where("token <> ''").distinct().groupBy("token").agg(
+            F.sum("toxic").alias("y1"), F.sum(1 - F.col("toxic")).alias("y0"))
+    stems = [F.when(F.char_length("token") > n, F.concat(F.substring("token", 1, n), F.lit(" "))) for n in STEMS]
+    counts = staged(seen.select(F.explode(F.array_compact(F.array("token", *stems))).alias("form"), "token", "y1", "y0").groupBy(
+        "form").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"),
+                    F.bool_or(F.col("form") == F.col("token")).alias("is_token")), "toxic_forms")
+    n = counts.where("is_token").agg(F.sum("y1").alias("n1"), F.sum("y0").alias("n0")).first()
     n1, n0 = float(n["n1"] or 0), float(n["n0"] or 0)
     if not n1 or not n0:
         return {}
-    counts = sample.select("text", "toxic").mapInArrow(_count_forms, "form string, y1 long, y0 long") \
-        .groupBy("form").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).where(f"y1 + y0 >= {least} AND form <> ''")
+    counts = counts.where(f"y1 + y0 >= {least}")
+    tested = max(1, counts.count())
     mass = prior * (n1 + n0)
     a = F.lit(prior) * (F.col("y1") + F.col("y0"))  # the form's part of the prior mass
     up, down = F.col("y1") + a, F.col("y0") + a
     odds = F.log(up / (n1 + mass - up)) - F.log(down / (n0 + mass - down))
     error = F.sqrt(1 / up + 1 / down)
-    sure = F.signum(odds) * F.greatest(F.abs(odds) - 2 * error, F.lit(0.0))
-    rows = counts.select("form", sure.alias("weight")).where("weight <> 0") \
+    sure = F.signum(odds) * F.greatest(F.abs(odds) - error, F.lit(0.0))
+    # Chernoff's bound on the chance of such a split, times the forms tested
+    n, rate = F.col("y1") + F.col("y0"), n1 / (n1 + n0)
+    part = lambda y, q: F.when(y > 0, y * F.log(y / n / q)).otherwise(0.0)
+    apart = part(F.col("y1"), rate) + part(F.col("y0"), 1 - rate) >= math.log(tested / level)
+    rows = counts.where(apart).select("form", sure.alias("weight")).where("weight <> 0") \
         .orderBy(F.desc(F.abs("weight")), "form").limit(most).collect()
     return {r["form"]: r["weight"] for r in rows}
 
@@ -222,8 +237,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = 2
     """Fit the weights and the calibration on a bounded sample of labelled documents.
 
     ``most_rows`` bounds the labelled documents, ``most_tokens`` the weights
-    that are kept (the largest). ``least`` documents must hold a form;
-    ``prior`` is the prior's mass as a share of the documents. ``usable``
+    that are kept (the largest). A form must be seen ``least`` times;
+    ``prior`` is the prior's mass as a share of all counts. ``usable``
     picks the label rows that may be learnt from. Without labels of both kinds the model finds nothing.
     """
     small_batches(docs.sparkSession)
