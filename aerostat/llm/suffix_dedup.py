@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerostat.llm.common import RangeHash, mix, utf8
+from aerostat.llm.common import RangeHash, joined, mix, press_texts, pressed, small_batches, tidied, unpress_texts, unpressed
 
-PIECE = 8 << 20  # text bytes of a piece, about
+PIECE = 4 << 20  # text bytes of a piece, about
 GRAM = 24  # bytes of an anchor
 SHARD = 1 << 20  # bytes of segments in a shard
-STEP = 1 << 20  # windows looked at together
+STEP = 1 << 18  # windows or bytes looked at together
 NO_ID = np.iinfo(np.int64).max  # a null id is smaller than none
 
 _C = np.uint32(0x9E3779B1)
@@ -126,10 +126,7 @@ class Piece:
         table = table.combine_chunks()
         self.table = table
         self.ids = table.column("doc_id").combine_chunks()
-        text = table.column("text").combine_chunks()
-        if isinstance(text, pa.ChunkedArray):
-            text = pa.concat_arrays(text.chunks)
-        self.data, self.offsets = utf8(text)
+        self.data, self.offsets = joined(unpress_texts(table.column("text")))
         self.seg = segments(self.data, self.offsets, length, gram)
         self.length = length
         ids = self.ids.fill_null(NO_ID)
@@ -233,8 +230,8 @@ def _emit_segments(length: int, gram: int, buckets: int):
         for b, s, e in _by_bucket(some.bucketed):
             where = _spread(seg["start"][s:e], seg["windows"][s:e] + length - 1)
             rows.append({"bucket": b, "piece": number, "anchors": seg["anchor"][s:e].tobytes(),
-                         "windows": seg["windows"][s:e].astype(np.uint8).tobytes(), "ids": ids[s:e].tobytes(),
-                         "texts": piece.data[where].tobytes()})
+                         "windows": pressed(seg["windows"][s:e].astype(np.uint32).tobytes()), "ids": pressed(ids[s:e].tobytes()),
+                         "texts": pressed(piece.data[where].tobytes())})
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -349,15 +346,16 @@ def least_ids(anchors: np.ndarray, windows: np.ndarray, ids: np.ndarray, texts:
     size = windows + length - 1
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
     # equal segments, byte for byte: sorted by a hash, compared with the one before
-    h = RangeHash(texts).of(start, start + size) if len(texts) < 1 << 22 else np.concatenate(
-        [RangeHash(texts[start[a]:start[b - 1] + size[b - 1]]).of(start[a:b] - start[a], start[a:b] - start[a] + size[a:b])
-         for a, b in _stretches(size, 1 << 21)])
+    h = np.zeros(len(size), np.uint64)
+    for a, b in _stretches(size, STEP):
+        own = start[a:b] - start[a]
+        h[a:b] = RangeHash(texts[start[a]:start[b - 1] + size[b - 1]]).of(own, own + size[a:b])
     order = np.lexsort((h, anchors))
     a, t, s = anchors[order], h[order], size[order]
     same = np.zeros(len(order), bool)
     same[1:] = (a[1:] == a[:-1]) & (t[1:] == t[:-1]) & (s[1:] == s[:-1])
-    for lo in range(0, len(order), 1 << 14):
-        pair = lo + np.flatnonzero(same[lo:lo + (1 << 14)])
+    for lo in range(0, len(order), 1 << 12):
+        pair = lo + np.flatnonzero(same[lo:lo + (1 << 12)])
         if len(pair):
             n = s[pair]
             differ = texts[_spread(start[order[pair]], n)] != texts[_spread(start[order[pair - 1]], n)]
@@ -411,11 +409,10 @@ def _merge_buckets(length: int):
                         ("least", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
-        def get(name, kind):
-            return [np.frombuffer(x.as_py(), kind) for x in table.column(name)]
-
-        anchors, windows = get("anchors", np.uint64), [w.astype(np.int64) for w in get("windows", np.uint8)]
-        ids, texts = get("ids", np.int64), get("texts", np.uint8)
+        anchors = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("anchors")]
+        windows, ids, texts = ([np.frombuffer(unpressed(x.as_py()), kind) for x in table.column(c)]
+                               for c, kind in (("windows", np.uint32), ("ids", np.int64), ("texts", np.uint8)))
+        windows = [w.astype(np.int64) for w in windows]
         all_windows = np.concatenate(windows)
         low = least_ids(np.concatenate(anchors), all_windows, np.concatenate(ids), np.concatenate(texts), length)
         # per segment runs of windows with one smallest id
@@ -424,14 +421,14 @@ def _merge_buckets(length: int):
         opens[1:] = low[1:] != low[:-1]
         opens[first[:-1]] = True
         at = np.flatnonzero(opens)
-        sizes = np.diff(np.append(at, len(low))).astype(np.uint8)
+        sizes = np.diff(np.append(at, len(low))).astype(np.uint32)
         total = np.concatenate([[0], np.cumsum(opens)])
         runs = total[first[1:]] - total[first[:-1]]
         rows, seg = [], 0
         for bucket, piece, own in zip(table.column("bucket").to_pylist(), table.column("piece").to_pylist(), windows):
             lo, hi = total[first[seg]], total[first[seg + len(own)]]
-            rows.append({"piece": piece, "bucket": bucket, "runs": runs[seg:seg + len(own)].astype(np.uint8).tobytes(),
-                         "sizes": sizes[lo:hi].tobytes(), "least": low[at[lo:hi]].tobytes()})
+            rows.append({"piece": piece, "bucket": bucket, "runs": pressed(runs[seg:seg + len(own)].astype(np.uint32).tobytes()),
+                         "sizes": pressed(sizes[lo:hi].tobytes()), "least": pressed(low[at[lo:hi]].tobytes())})
             seg += len(own)
         return pa.Table.from_pylist(rows, schema)
 
@@ -446,8 +443,8 @@ def _removed(piece: Piece, found: pa.Table, buckets: int) -> np.ndarray:
     results = found.filter(found.column("runs").is_valid()).sort_by("bucket")
     some = Candidates(piece, masks, buckets)
     runs, sizes, least = (
-        np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for x in results.column(c).to_pylist()]])
-        for c, kind in (("runs", np.uint8), ("sizes", np.uint8), ("least", np.int64)))
+        np.concatenate([np.zeros(0, kind), *[np.frombuffer(unpressed(x), kind) for x in results.column(c).to_pylist()]])
+        for c, kind in (("runs", np.uint32), ("sizes", np.uint32), ("least", np.int64)))
     runs, sizes = runs.astype(np.int64), sizes.astype(np.int64)
     first, own = np.concatenate([[0], np.cumsum(runs)]), some.of
     which = _spread(first[own], runs[own])  # runs of all candidate segments
@@ -457,12 +454,12 @@ def _removed(piece: Piece, found: pa.Table, buckets: int) -> np.ndarray:
     edge = np.zeros(len(piece.data) + 1, np.int32)
     np.add.at(edge, start[goes], 1)
     np.add.at(edge, start[goes] + sizes[which][goes] + piece.length - 1, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
     """Also drop the other bytes of a character of which a byte goes."""
-    character = np.cumsum((data & 0xC0) != 0x80)
+    character = np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)
     hit = np.zeros(int(character[-1]) + 1 if len(character) else 1, bool)
     hit[character[gone]] = True
     return hit[character]
@@ -491,7 +488,8 @@ def _cut(length: int, gram: int, buckets: int, whole: bool, keep: list[str]):
         ends = np.sort(np.concatenate([np.flatnonzero(turn < 0), both]))
         row = np.searchsorted(piece.offsets, begins, side="right") - 1
         per = np.searchsorted(row, np.arange(len(piece.ids) + 1))
-        kept_at = np.concatenate([[0], np.cumsum(~gone)])[piece.offsets]
+        kept_at = np.zeros(len(piece.offsets), np.int64)
+        kept_at[1:] = np.cumsum(np.diff(piece.offsets)) - np.diff(np.searchsorted(np.flatnonzero(gone), piece.offsets)).cumsum()
         kept = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(piece.ids),
             [None, pa.py_buffer(kept_at.astype(np.int64).tobytes()), pa.py_buffer(piece.data[~gone].tobytes())])
@@ -519,24 +517,52 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: st
     from each other. An empty table gives no rows; other columns are
     ignored. Texts are cut as bytes, so a character may be split.
     """
+    if not 8 <= gram <= length:
+        raise ValueError("an anchor has 8 bytes at least and is no longer than a window")
     spark = docs.sparkSession
+    small_batches(spark)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"),
                        *[F.struct(*keep).alias("carried")] * bool(keep))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // piece_bytes))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * piece_bytes)))
-    dealt = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long"))
+    dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
     masks = dealt.groupBy("piece").applyInArrow(
-        _emit_anchors(length, gram, buckets), "bucket long, piece long, anchors binary").groupBy("bucket").applyInArrow(
-        _shared, "piece long, bucket long, shared binary")
+        tidied(_emit_anchors(length, gram, buckets)), "bucket long, piece long, anchors binary").groupBy("bucket").applyInArrow(
+        tidied(_shared), "piece long, bucket long, shared binary")
     least = dealt.groupBy("piece").cogroup(masks.groupBy("piece")).applyInArrow(
-        _emit_segments(length, gram, buckets), _SEGMENTS).groupBy("bucket").applyInArrow(
-        _merge_buckets(length), "piece long, bucket long, runs binary, sizes binary, least binary")
+        tidied(_emit_segments(length, gram, buckets)), _SEGMENTS).groupBy("bucket").applyInArrow(
+        tidied(_merge_buckets(length)), "piece long, bucket long, runs binary, sizes binary, least binary")
     found = masks.unionByName(least, allowMissingColumns=True)
     result = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
         T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())),
         T.StructField("kept", T.BinaryType()), *[f for f in rows.schema.fields if f.name == "carried"]])
     return dealt.groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
-        _cut(length, gram, buckets, whole_characters, ["carried"] * bool(keep)), result)
+        tidied(_cut(length, gram, buckets, whole_characters, ["carried"] * bool(keep))), result)
+
+
+REPEATS_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, p, b[p + 1:p + 50] AS w
+  FROM (SELECT doc_id, b, unnest(range(0, greatest(octet_length(b) - 49, 0))) AS p FROM d)),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+gone AS (SELECT doc_id, p FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+marked AS (
+  SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS opens FROM gone),
+numbered AS (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(p) AS s, max(p) + 50 AS e FROM numbered GROUP BY doc_id, run),
+parts AS (  -- what stands before each run, and after the last
+  SELECT d.doc_id, r.s, substr(h, 2 * coalesce(lag(r.e) OVER o, 0) + 1, 2 * (r.s - coalesce(lag(r.e) OVER o, 0))) AS part,
+         r.e - r.s AS n, r.e = max(r.e) OVER (PARTITION BY d.doc_id) AS is_last, substr(h, 2 * r.e + 1) AS rest
+  FROM runs r JOIN d USING (doc_id) WINDOW o AS (PARTITION BY d.doc_id ORDER BY r.s)),
+cut AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_removed, count(*) AS n_spans,
+         string_agg(part, '' ORDER BY s) || max(CASE WHEN is_last THEN rest END) AS kept
+  FROM parts GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
+"""

@@ -66,6 +66,21 @@ def test_shards_merge_to_the_smallest_id():
     assert [x.tolist() for x in suffix_dedup.merge_shards([a, b])] == [[5, 3], [3, 1]]
 
 
+@pytest.mark.parametrize("length, gram", [(300, 8), (8, 8), (400, 24)])
+def test_other_lengths(spark, length, gram):
+    rng = random.Random(length)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    rows = [(i, passage[rng.randrange(300):] + "".join(rng.choice("xyz") for _ in range(40)) + passage[:rng.randrange(500)])
+            for i in range(8)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), length, gram=gram)
+
+
+def test_anchors_fit_into_windows(no_docs):
+    for gram in (7, 51):
+        with pytest.raises(ValueError):
+            remove_repeats(no_docs, 50, gram=gram)
+
+
 def test_equal_ids_and_null_ids(spark):
     long = "one passage that is longer than fifty bytes, certainly it is " * 2
     rows = [(5, long), (5, long), (None, long), (None, long + "x"), (2, "x" + long[:-30])]
