@@ -68,7 +68,7 @@ def main():
     t["serving_load_all_days"] = time.perf_counter() - s
     s = time.perf_counter()
     tbl = f"fw_{uuid.uuid4().hex[:8]}"
-    serving.backfill(spark, tbl, f"{root}/table", f"{root}/clean", day_list[-8], day_list[-1])
+    serving.backfill(spark, tbl, f"{root}/table", f"{root}/clean", day_list[-8], day_list[-1], mode="partition")
     t["backfill_8_days"] = time.perf_counter() - s
     s = time.perf_counter()
     frames = reports.dashboard(spark.read.parquet(f"{root}/serving"), day_list[-1], list(CITY_TO_IATA))
