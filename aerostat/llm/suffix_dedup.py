@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerostat.llm.common import RangeHash, joined, mix, press_texts, pressed, small_batches, tidied, unpress_texts, unpressed
+from aerostat.llm.common import (RangeHash, joined, mix, press_texts, pressed, small_batches, tidied, unpress_texts, unpressed,
+                                 words_at)
 
 PIECE = 4 << 20  # text bytes of a piece, about
 GRAM = 24  # bytes of an anchor
@@ -42,12 +43,6 @@ _C = np.uint32(0x9E3779B1)
 
 # --- anchors and segments ---------------------------------------------------
 
-def _words_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place, as a big-endian number (data has 8 spare bytes)."""
-    view = np.ndarray((len(data) - 7,), dtype=">u8", buffer=data, strides=(1,))
-    return view[at].astype(np.uint64)
-
-
 def _gram_hash(data: np.ndarray, n: int, gram: int) -> np.ndarray:
     """32-bit hash of the ``gram`` bytes from each of the first ``n`` places."""
     mult, size, have = _C, 1, _BYTE32[data[:n + gram - 1]]
@@ -108,7 +103,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> d
         places = anchor[start] + at
         h = np.zeros(len(start), np.uint64)
         for j in range(0, gram, 8):
-            h = mix(h * np.uint64(0x9FB21C651E98DF25) + _words_at(spare, places + min(j, gram - 8)))
+            h = mix(h * np.uint64(0x9FB21C651E98DF25) + words_at(spare, places + min(j, gram - 8)))
         out["start"].append(start + at)
         out["windows"].append(windows)
         out["row"].append(row[start])
@@ -246,7 +241,7 @@ def suffix_ranks(data: np.ndarray, n: int, depth: int) -> np.ndarray:
     bytes further on refines each group that is not yet a single suffix,
     and h doubles. Finished suffixes are not sorted again.
     """
-    key = _words_at(data, np.arange(n))
+    key = words_at(data, np.arange(n))
     order = np.argsort(key)
     opens = np.ones(n, bool)
     opens[1:] = key[order][1:] != key[order][:-1]
