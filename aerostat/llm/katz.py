@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import mix, staged, utf8, word_hashes, word_spans
+from aerostat.llm.common import (joined, mix, press_texts, small_batches, staged, tidied, unpress_texts, word_hashes,
+                                 word_spans)
 
 PIECE = 8 << 20  # text bytes of a piece, about
 CUTOFF = 5  # counts above are not discounted
@@ -132,10 +133,7 @@ class Piece:
 
     def __init__(self, table: pa.Table, order: int, buckets: int):
         table = table.sort_by([("doc_id", "ascending"), ("digest", "ascending")]).combine_chunks()
-        text = table.column("text").combine_chunks()
-        if isinstance(text, pa.ChunkedArray):
-            text = pa.concat_arrays(text.chunks)
-        data, offsets = utf8(text)
+        data, offsets = joined(unpress_texts(table.column("text")))
         self.docs, self.order = table, order
         start, end, row = word_spans(data, offsets)
         n = len(offsets) - 1
@@ -350,6 +348,7 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2, text: str = "
     without training rows every token is unknown; other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(True)).alias("held_out"),
                        body.alias("text"), F.xxhash64(body).alias("digest"))
@@ -357,24 +356,24 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2, text: str = "
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = max(least, -(-total // piece_bytes))
     buckets = min(1 << 16, max(least, -(-total // (2 * piece_bytes))))
-    dealt = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long"))
+    dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
     counts = staged(dealt.groupBy("piece").applyInArrow(
-        _emit(order, buckets), "n int, bucket long, piece long, keys binary, counts binary").groupBy("n", "bucket").applyInArrow(
-        _total, "n int, bucket long, piece long, totals binary, owner binary, stats array<bigint>"), "ngrams", by="n")
+        tidied(_emit(order, buckets)), "n int, bucket long, piece long, keys binary, counts binary").groupBy("n", "bucket").applyInArrow(
+        tidied(_total), "n int, bucket long, piece long, totals binary, owner binary, stats array<bigint>"), "ngrams", by="n")
     figures = counts.where("stats IS NOT NULL").groupBy("n").agg(
         F.array(*[F.sum(F.col("stats")[i]) for i in range(CUTOFF + 3)]).alias("stats")).collect()  # a row an order
     model = totals(figures, order)
     found = counts.where("piece IS NOT NULL").drop("stats")
     for m in range(1, order):
         masses = dealt.groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
-            _contexts(order, buckets, m, model),
+            tidied(_contexts(order, buckets, m, model)),
             "bucket long, piece long, keys binary, high binary, low binary, asked binary").groupBy("bucket").applyInArrow(
-            _masses(m), _FOUND)
+            tidied(_masses(m)), _FOUND)
         if m < order - 1:
             masses = staged(masses, "backoff")
         found = found.unionByName(masses, allowMissingColumns=True)
     if order == 1:
         found = found.withColumns({c: F.lit(None).cast("binary") for c in ("keys", "high", "low")})
     return dealt.groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
-        _scores(order, buckets, model), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
+        tidied(_scores(order, buckets, model)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
         "score double").withColumn("train_tokens", F.lit(model.tokens).cast("long"))
