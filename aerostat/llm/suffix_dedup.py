@@ -10,7 +10,10 @@ judged, in four steps:
    whose anchor stands in no other document is done.
 2. The other segments go, once per piece and text, to a bucket of their
    anchor. A copy, or a passage that a third of all documents share, is one
-   row of a piece there, however often it stands in it.
+   row of a piece there, however often it stands in it. An anchor with
+   many distinct segments (a phrase in ever new surroundings) is hot: its
+   segments go as single windows, each dealt by a hash of its own bytes, so
+   that they spread over all buckets.
 3. In a bucket, anchors with more than one distinct segment are cut into
    shards of bounded size. A shard gets a suffix array (Larsson-Sadakane
    refinement), common prefixes (Kasai) show which windows are equal, and
@@ -35,6 +38,7 @@ from aerostat.llm.common import (RangeHash, joined, mix, press_texts, pressed, s
 PIECE = 4 << 20  # text bytes of a piece, about
 GRAM = 24  # bytes of an anchor
 SHARD = 1 << 20  # bytes of segments in a shard
+HOT = 1 << 15  # distinct segments of an anchor, summed over the pieces, that stay together
 STEP = 1 << 18  # windows or bytes looked at together
 NO_ID = np.iinfo(np.int64).max  # a null id is smaller than none
 
@@ -75,6 +79,14 @@ def _first_smallest(values: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(low[:n], low[width - size:width - size + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def _hashes_at(spare: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hash of the ``n`` bytes from each place (``spare`` as in ``words_at``)."""
+    h = np.zeros(len(places), np.uint64)
+    for j in range(0, n, 8):
+        h = mix(h * np.uint64(0x9FB21C651E98DF25) + words_at(spare, places + min(j, n - 8)))
+    return h
+
+
 def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> dict[str, np.ndarray]:
     """Runs of windows with one anchor: first byte, windows, row, hash of the anchor, hash of the bytes.
 
@@ -100,14 +112,10 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> d
         # windows of a run: up to the next run or the next window that crosses a row
         total = np.concatenate([[0], np.cumsum(good)])
         windows = total[np.append(start[1:], n)] - total[start]
-        places = anchor[start] + at
-        h = np.zeros(len(start), np.uint64)
-        for j in range(0, gram, 8):
-            h = mix(h * np.uint64(0x9FB21C651E98DF25) + words_at(spare, places + min(j, gram - 8)))
         out["start"].append(start + at)
         out["windows"].append(windows)
         out["row"].append(row[start])
-        out["anchor"].append(h)
+        out["anchor"].append(_hashes_at(spare, anchor[start] + at, gram))
         out["text"].append(RangeHash(part).of(start, start + windows + length - 1))
     return {c: np.concatenate(v) if v else np.zeros(0, np.uint64 if c in ("anchor", "text") else np.int64)
             for c, v in out.items()}
@@ -137,6 +145,23 @@ class Piece:
         np.maximum.at(high, of, own)
         return found, of, low < high
 
+    def windows_of(self, at: np.ndarray) -> dict[str, np.ndarray]:
+        """The windows of these segments, each as a segment that is its own anchor."""
+        count = self.seg["windows"][at]
+        start = _spread(self.seg["start"][at], count)
+        h = _hashes_at(np.concatenate([self.data, np.zeros(8, np.uint8)]), start, self.length) if len(at) else np.zeros(0, np.uint64)
+        return {"start": start, "windows": np.ones(len(start), np.int64), "row": np.repeat(self.seg["row"][at], count),
+                "anchor": h, "text": h}
+
+
+def _distinct(number: np.ndarray, text: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by number and text, stable, and which of that order open a new one."""
+    order = np.lexsort((text, number))
+    n, t, w = number[order], text[order], windows[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (n[1:] != n[:-1]) | (t[1:] != t[:-1]) | (w[1:] != w[:-1])
+    return order, first
+
 
 def _dealt(anchor: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket in the upper, value in the lower half."""
@@ -153,51 +178,64 @@ def _by_bucket(dealt: np.ndarray):
 
 
 def _emit_anchors(length: int, gram: int, buckets: int):
-    schema = pa.schema([("bucket", pa.int64()), ("piece", pa.int64()), ("anchors", pa.binary())])
+    schema = pa.schema([("bucket", pa.int64()), ("piece", pa.int64()), ("anchors", pa.binary()), ("counts", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
-        piece = table.column("piece")[0].as_py()
-        found, _, _ = Piece(table, length, gram).anchors(buckets)
+        number = table.column("piece")[0].as_py()
+        piece = Piece(table, length, gram)
+        found, of, _ = piece.anchors(buckets)
         low = found.astype(np.uint32)
-        rows = [{"bucket": b, "piece": piece, "anchors": low[s:e].tobytes()} for b, s, e in _by_bucket(found)]
+        order, first = _distinct(of, piece.seg["text"], piece.seg["windows"])
+        counts = np.bincount(of[order[first]], minlength=len(found)).astype(np.uint32)  # distinct segments
+        rows = [{"bucket": b, "piece": number, "anchors": low[s:e].tobytes(), "counts": pressed(counts[s:e].tobytes())}
+                for b, s, e in _by_bucket(found)]
         return pa.Table.from_pylist(rows, schema)
 
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Per piece one bit per anchor: whether another piece has it, too."""
-    parts = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("anchors")]
-    values = np.sort(np.concatenate(parts))
-    twice = np.unique(values[1:][values[1:] == values[:-1]])
-    rows = []
-    for bucket, piece, own in zip(table.column("bucket").to_pylist(), table.column("piece").to_pylist(), parts):
-        at = np.minimum(np.searchsorted(twice, own), max(len(twice) - 1, 0))
-        bits = twice[at] == own if len(twice) else np.zeros(len(own), bool)
-        rows.append({"piece": piece, "bucket": bucket, "shared": np.packbits(bits).tobytes()})
-    return pa.Table.from_pylist(rows, pa.schema([("piece", pa.int64()), ("bucket", pa.int64()), ("shared", pa.binary())]))
+def _shared(hot: int):
+    """Per piece one bit per anchor: whether another piece has it, too; and one: whether it has more than ``hot`` segments."""
+    schema = pa.schema([("piece", pa.int64()), ("bucket", pa.int64()), ("shared", pa.binary()), ("hot", pa.binary())])
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("anchors")]
+        counts = np.concatenate([np.frombuffer(unpressed(x.as_py()), np.uint32) for x in table.column("counts")])
+        values = np.concatenate(parts)
+        order = np.argsort(values)
+        opens = np.flatnonzero(np.concatenate([[True], np.diff(values[order]) != 0]))
+        distinct = values[order[opens]]
+        twice = np.diff(np.append(opens, len(values))) > 1
+        many = np.add.reduceat(counts[order].astype(np.int64), opens) > hot
+        rows = []
+        for bucket, piece, own in zip(table.column("bucket").to_pylist(), table.column("piece").to_pylist(), parts):
+            at = np.searchsorted(distinct, own)
+            rows.append({"piece": piece, "bucket": bucket, "shared": np.packbits(twice[at]).tobytes(),
+                         "hot": pressed(np.packbits(many[at]).tobytes())})
+        return pa.Table.from_pylist(rows, schema)
+
+    return run
 
 
 class Candidates:
-    """Segments of a piece that may have equals, one per distinct text, in bucket order."""
+    """Segments of a piece that may have equals, one per distinct text, in bucket order; those of hot anchors as single windows."""
 
     def __init__(self, piece: Piece, masks: pa.Table, buckets: int):
         found, of, here = piece.anchors(buckets)
-        bits = {b: m for b, m in zip(masks.column("bucket").to_pylist(), masks.column("shared").to_pylist())}
-        shared = here.copy()
+        shared, hot = here.copy(), np.zeros(len(found), bool)
+        bits = {b: (m, unpressed(x)) for b, m, x in zip(*(masks.column(c).to_pylist() for c in ("bucket", "shared", "hot")))}
         for b, s, e in _by_bucket(found):
-            shared[s:e] |= np.unpackbits(np.frombuffer(bits[b], np.uint8), count=e - s).astype(bool)
-        seg = piece.seg
-        self.at = np.flatnonzero(shared[of])  # all such segments
-        number, windows, text = of[self.at], seg["windows"][self.at], seg["text"][self.at]
-        order = np.lexsort((self.at, text, number))  # equal texts: the smallest id first
-        n, t, w = number[order], text[order], windows[order]
-        first = np.ones(len(order), bool)
-        first[1:] = (n[1:] != n[:-1]) | (t[1:] != t[:-1]) | (w[1:] != w[:-1])
-        self.unique = order[first]  # into self.at
+            more, many = (np.unpackbits(np.frombuffer(x, np.uint8), count=e - s).astype(bool) for x in bits[b])
+            shared[s:e] |= more
+            hot[s:e] = many
+        whole, single = np.flatnonzero((shared & ~hot)[of]), piece.windows_of(np.flatnonzero((shared & hot)[of]))
+        self.seg = {c: np.concatenate([v[whole], single[c]]) for c, v in piece.seg.items()}  # all such segments
+        dealt = _dealt(self.seg["anchor"], buckets)
+        order, first = _distinct(dealt, self.seg["text"], self.seg["windows"])  # equal texts: the smallest id first
+        self.unique = order[first]  # into self.seg
         self.of = np.empty(len(order), np.int64)  # unique number of each such segment
         self.of[order] = np.cumsum(first) - 1
-        self.bucketed = found[number[self.unique]]
+        self.bucketed = dealt[self.unique]
 
 
 def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -219,7 +257,7 @@ def _emit_segments(length: int, gram: int, buckets: int):
         number = docs.column("piece")[0].as_py()
         piece = Piece(docs, length, gram)
         some = Candidates(piece, masks, buckets)
-        seg = {c: v[some.at[some.unique]] for c, v in piece.seg.items()}
+        seg = {c: v[some.unique] for c, v in some.seg.items()}
         ids = piece.key[seg["row"]]
         rows = []
         for b, s, e in _by_bucket(some.bucketed):
@@ -444,8 +482,8 @@ def _removed(piece: Piece, found: pa.Table, buckets: int) -> np.ndarray:
     first, own = np.concatenate([[0], np.cumsum(runs)]), some.of
     which = _spread(first[own], runs[own])  # runs of all candidate segments
     opened = np.concatenate([[0], np.cumsum(sizes)])
-    start = np.repeat(piece.seg["start"][some.at] - opened[first[own]], runs[own]) + opened[which]
-    goes = least[which] < np.repeat(piece.key[piece.seg["row"][some.at]], runs[own])
+    start = np.repeat(some.seg["start"] - opened[first[own]], runs[own]) + opened[which]
+    goes = least[which] < np.repeat(piece.key[some.seg["row"]], runs[own])
     edge = np.zeros(len(piece.data) + 1, np.int32)
     np.add.at(edge, start[goes], 1)
     np.add.at(edge, start[goes] + sizes[which][goes] + piece.length - 1, -1)
@@ -497,7 +535,8 @@ def _cut(length: int, gram: int, buckets: int, whole: bool, keep: list[str]):
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: str = "text", doc_id: str = "doc_id",
-                   piece_bytes: int = PIECE, whole_characters: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+                   piece_bytes: int = PIECE, whole_characters: bool = False, keep: Sequence[str] = (),
+                   hot: int = HOT) -> DataFrame:
     """What is left of every text, and the removed runs.
 
     Returns ``doc_id``, ``n_bytes``, ``starts`` and ``ends`` (byte places of
@@ -505,7 +544,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: st
     ``carried``, a struct of the columns named in ``keep``. ``gram`` is the
     length of an anchor (8 bytes at least, ``length`` at most). With
     ``whole_characters`` a character of which a byte goes goes whole, so
-    that ``kept`` is a valid text.
+    that ``kept`` is a valid text. ``hot`` is the number of distinct
+    segments of an anchor beyond which they are dealt window by window.
 
     Null texts count as empty; texts under ``length`` bytes stay whole. A
     null id is larger than all others, and rows with equal ids never remove
@@ -524,8 +564,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: st
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * piece_bytes)))
     dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
     masks = dealt.groupBy("piece").applyInArrow(
-        tidied(_emit_anchors(length, gram, buckets)), "bucket long, piece long, anchors binary").groupBy("bucket").applyInArrow(
-        tidied(_shared), "piece long, bucket long, shared binary")
+        tidied(_emit_anchors(length, gram, buckets)), "bucket long, piece long, anchors binary, counts binary") \
+        .groupBy("bucket").applyInArrow(tidied(_shared(hot)), "piece long, bucket long, shared binary, hot binary")
     least = dealt.groupBy("piece").cogroup(masks.groupBy("piece")).applyInArrow(
         tidied(_emit_segments(length, gram, buckets)), _SEGMENTS).groupBy("bucket").applyInArrow(
         tidied(_merge_buckets(length)), "piece long, bucket long, runs binary, sizes binary, least binary")

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from aerostat.llm import suffix_dedup
@@ -37,6 +39,40 @@ def test_random_texts_in_many_shards(spark, seed, monkeypatch):
     check(spark.createDataFrame(rows, "doc_id long, text string"), 20, gram=8, piece_bytes=300)
 
 
+def common_phrase(n):
+    """Texts that share a phrase in surroundings of their own, and some of them these, too."""
+    rng = random.Random(n)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(60)) + " all rights reserved by the owners " +
+             "".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(n)]
+    return [(i, texts[i if i % 5 else i // 2]) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [1, 20, 150])
+def test_hot_anchors(spark, hot):
+    check(spark.createDataFrame(common_phrase(200), "doc_id long, text string"), 50, piece_bytes=2000, hot=hot)
+
+
+def test_a_hot_anchor_goes_to_many_buckets():
+    rows, buckets = common_phrase(400), 16
+    pieces = [pa.table({"piece": pa.array([k] * len(own), pa.int64()), "doc_id": pa.array([i for i, _ in own], pa.int64()),
+                        "text": [suffix_dedup.pressed(t.encode()) for _, t in own], "digest": pa.array([i for i, _ in own], pa.int64())})
+              for k, own in enumerate(rows[k::8] for k in range(8))]
+    anchors = pa.concat_tables([suffix_dedup._emit_anchors(50, 24, buckets)(p) for p in pieces])
+
+    def load(hot):
+        """Windows of the fullest bucket over those of all."""
+        masks = pa.concat_tables([suffix_dedup._shared(hot)(anchors.filter(pa.compute.equal(anchors["bucket"], b)))
+                                  for b in range(buckets)])
+        sent = pa.concat_tables([suffix_dedup._emit_segments(50, 24, buckets)(
+            p, masks.filter(pa.compute.equal(masks["piece"], k))) for k, p in enumerate(pieces)])
+        size = np.zeros(buckets)
+        for b, w in zip(sent["bucket"].to_pylist(), sent["windows"].to_pylist()):
+            size[b] += np.frombuffer(suffix_dedup.unpressed(w), np.uint32).sum()
+        return size.max() / size.sum()
+
+    assert load(1 << 15) > 0.2 and load(50) < 0.15
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(4)
     for _ in range(20):
