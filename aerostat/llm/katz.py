@@ -9,9 +9,10 @@ Documents are dealt into pieces of bounded size. A piece sends each distinct
 n-gram it holds, as a digest with its training count, to a bucket of that
 digest; the bucket returns the corpus count to every piece that asked. The
 counts are kept in a table partitioned by order. A second round sums, per
-context, the mass of its seen words. A frequent word, word pair or copied
-document is one entry a piece, however often it stands there, and n-grams
-are dealt by their own digest and not by their context, so nothing is hot.
+context, the mass of its seen words; a context that stands in one piece only
+is summed there. A frequent word, word pair or copied document is one entry
+a piece, however often it stands there, and n-grams are dealt by their own
+digest and not by their context, so nothing is hot.
 
 Digests have 48 bits inside a bucket; the number of buckets grows with the
 corpus.
@@ -26,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import (joined, mix, press_texts, small_batches, staged, tidied, unpress_texts, word_hashes,
-                                 word_spans)
+from aerostat.llm.common import (joined, mix, press_texts, pressed, small_batches, staged, tidied, unpress_texts, unpressed,
+                                 word_hashes, word_spans)
 
 PIECE = 8 << 20  # text bytes of a piece, about
 CUTOFF = 5  # counts above are not discounted
@@ -93,26 +94,44 @@ def totals(rows: list, order: int) -> Totals:
 # --- packing --------------------------------------------------------------------
 
 def _pack_keys(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    """Number of keys, then the steps between the sorted 48-bit keys, byte by byte; the upper two compressed."""
+    planes = np.diff(keys & _LOW, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return len(keys).to_bytes(8, "little") + planes[:4].tobytes() + pressed(planes[4:6].tobytes())
 
 
 def _unpack_keys(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+    n = int.from_bytes(raw[:8], "little")
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :4] = np.frombuffer(raw, np.uint8, 4 * n, offset=8).reshape(4, n).T
+    out[:, 4:6] = np.frombuffer(unpressed(raw[8 + 4 * n:]), np.uint8).reshape(2, n).T
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
 
 
 def _pack_counts(counts: np.ndarray) -> bytes:
-    """One byte a count; counts of 255 and more follow in full."""
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+    """One byte a count; counts of 255 and more follow in full; compressed."""
+    return pressed(np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes())
 
 
 def _unpack_counts(raw: bytes, n: int) -> np.ndarray:
+    raw = unpressed(raw)
     out = np.frombuffer(raw, np.uint8, n).astype(np.int64)
     out[out == 255] = np.frombuffer(raw, "<i8", offset=n)
     return out
 
 
+def _pack_masses(masses: np.ndarray) -> bytes:
+    """Number of distinct masses, these, and the number of each, byte by byte and compressed; most masses repeat."""
+    values, of = np.unique(masses, return_inverse=True)
+    return len(values).to_bytes(8, "little") + values.tobytes() + pressed(
+        of.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack_masses(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    of = np.frombuffer(unpressed(raw[8 + 8 * n:]), np.uint8).reshape(4, -1).T
+    return np.frombuffer(raw, np.float64, n, offset=8)[np.ascontiguousarray(of).view("<u4").ravel()]
+
+
 def _stretches(dealt: np.ndarray):
     """(bucket, from, to) of each bucket in sorted keys."""
     bucket = (dealt >> np.uint64(48)).astype(np.int64)
@@ -167,21 +186,58 @@ class Piece:
 class Answers:
     """What the buckets returned to a piece."""
 
-    def __init__(self, piece: Piece, table: pa.Table):
+    def __init__(self, piece: Piece, table: pa.Table, model: Totals):
         self.count = {m: np.zeros(len(g), np.int64) for m, g in piece.grams.items()}
         self.own = {m: np.zeros(len(g), bool) for m, g in piece.grams.items()}
-        self.seen = {m: np.full((2, len(g)), np.nan) for m, g in piece.grams.items()}  # masses of a context
+        self.alone = {m: np.zeros(len(g), bool) for m, g in piece.grams.items()}  # in no other piece
+        self.weight = {m: np.full(len(g), np.nan) for m, g in piece.grams.items()}  # of the contexts asked for
         where = {m: {b: (s, e) for b, s, e in _stretches(g)} for m, g in piece.grams.items()}
-        for r in table.to_pylist():
-            m = r["n"]
-            s, e = where[m][r["bucket"]]
+        rows = table.to_pylist()
+        for r in rows:
             if r["totals"] is not None:
+                m = r["n"]
+                s, e = where[m][r["bucket"]]
                 self.count[m][s:e] = _unpack_counts(r["totals"], e - s)
-                self.own[m][s:e] = np.unpackbits(np.frombuffer(r["owner"], np.uint8), count=e - s)
-            else:
-                asked = s + np.searchsorted(piece.grams[m][s:e] & _LOW, _unpack_keys(r["keys"]))
-                self.seen[m][0, asked] = np.frombuffer(r["high"])
-                self.seen[m][1, asked] = np.frombuffer(r["low"])
+                for bits, c in ((self.own, "owner"), (self.alone, "alone")):
+                    bits[m][s:e] = np.unpackbits(np.frombuffer(r[c], np.uint8), count=e - s)
+        asked = {}
+        for r in rows:
+            if r["totals"] is None:
+                m = r["n"]
+                if m not in asked:
+                    asked[m] = _asked(piece, self, model, m)
+                s, e = where[m][r["bucket"]]
+                self.weight[m][s + np.flatnonzero(asked[m][s:e])] = np.frombuffer(r["weights"])
+
+
+def _asked(piece: Piece, got: Answers, model: Totals, m: int) -> np.ndarray:
+    """Which contexts of order ``m`` a piece needs the masses of and cannot sum itself."""
+    at = np.flatnonzero(piece.of[m + 1] >= 0)
+    count, context = got.count[m + 1][piece.of[m + 1][at]], piece.of[m][at - 1]
+    need = np.zeros(len(piece.grams[m]), bool)
+    whole = (count == 0) | (model.factor(m + 1, count) == 1)  # its context's sums decide
+    need[context[(got.count[m][context] > 0) & whole]] = True
+    return need & ~got.alone[m]
+
+
+def _weights(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Backoff weight of contexts by their masses; negative and per count if no count was discounted."""
+    full = high >= 1 - 1e-12
+    weight = np.where(full, 1, 1 - high) / np.maximum(1 - low, 1e-300)  # all words seen: never asked for
+    return np.where(full, -weight, weight)
+
+
+def _sums(piece: Piece, got: Answers, model: Totals, m: int, p: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Masses of the seen words of each context of order ``m``, over the longer n-grams that are ``mine``."""
+    at = np.flatnonzero(piece.of[m + 1] >= 0)
+    gram = piece.of[m + 1][at]
+    one = np.zeros(len(mine), np.int64)
+    one[gram] = at  # a place of each
+    one = one[mine & (got.count[m + 1] > 0)]
+    c, own = got.count[m + 1][piece.of[m + 1][one]], piece.of[m][one - 1]
+    n = len(piece.grams[m])
+    return (np.bincount(own, model.factor(m + 1, c) * c / got.count[m][own], minlength=n),
+            np.bincount(own, p[one], minlength=n))
 
 
 def evaluate(piece: Piece, got: Answers, model: Totals, order: int) -> np.ndarray:
@@ -195,13 +251,14 @@ def evaluate(piece: Piece, got: Answers, model: Totals, order: int) -> np.ndarra
     count = got.count[order][piece.of[order][at]]
     context = piece.of[order - 1][at - 1]
     total = got.count[order - 1][context]
-    high, low = got.seen[order - 1][0, context], got.seen[order - 1][1, context]
-    full = high >= 1 - 1e-12  # no count was discounted: the context counts once more
+    alone = got.alone[order - 1]  # all n-grams of such a context are here
+    sums = _sums(piece, got, model, order - 1, p, np.ones(len(piece.grams[order]), bool))
+    weight = np.where(alone, _weights(*sums), got.weight[order - 1])[context]
+    full = weight < 0  # no count was discounted: the context counts once more
     base = total + full
     with np.errstate(divide="ignore", invalid="ignore"):
         seen = model.factor(order, count) * count / base
-        left = np.where(full, 1 / base, 1 - high)
-        unseen = left / (1 - low) * p[at]
+        unseen = np.where(full, -weight / base, weight) * p[at]
     p[at] = np.where(total == 0, p[at], np.where(count > 0, seen, unseen))
     return p
 
@@ -232,24 +289,25 @@ def _total(table: pa.Table) -> pa.Table:
     count = np.bincount(number, weights=np.concatenate(counts)).astype(np.int64)
     own = np.zeros(len(number), bool)
     own[first] = True  # one piece speaks for each n-gram
+    alone = (np.bincount(number) == 1)[number]
     seen = count[count > 0]
     stats = [*np.bincount(np.minimum(seen, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2].tolist(),
              len(seen), int(seen.sum())]
     n, bucket, at, rows = table.column("n")[0].as_py(), table.column("bucket")[0].as_py(), 0, []
     for piece, k in zip(table.column("piece").to_pylist(), keys):
         rows.append({"n": n, "bucket": bucket, "piece": piece, "totals": _pack_counts(count[number[at:at + len(k)]]),
-                     "owner": np.packbits(own[at:at + len(k)]).tobytes()})
+                     "owner": np.packbits(own[at:at + len(k)]).tobytes(), "alone": np.packbits(alone[at:at + len(k)]).tobytes()})
         at += len(k)
     rows.append({"n": n, "bucket": bucket, "stats": stats})
     return pa.Table.from_pylist(rows, pa.schema([
         ("n", pa.int32()), ("bucket", pa.int64()), ("piece", pa.int64()), ("totals", pa.binary()),
-        ("owner", pa.binary()), ("stats", pa.list_(pa.int64()))]))
+        ("owner", pa.binary()), ("alone", pa.binary()), ("stats", pa.list_(pa.int64()))]))
 
 
-def _contexts(order: int, buckets: int, m: int, model: Totals):
+def _contexts(buckets: int, m: int, model: Totals):
     """Masses of the seen words of the contexts of order ``m``, from the piece that speaks for each n-gram.
 
-    Also names the contexts whose sums this piece will need (``asked``).
+    Contexts that stand in one piece only are left to that piece. Also names the contexts whose sums this piece will need (``asked``).
     """
     schema = pa.schema([("bucket", pa.int64()), ("piece", pa.int64()), ("keys", pa.binary()), ("high", pa.binary()),
                         ("low", pa.binary()), ("asked", pa.binary())])
@@ -257,24 +315,16 @@ def _contexts(order: int, buckets: int, m: int, model: Totals):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        number, piece = docs.column("piece")[0].as_py(), Piece(docs, order, buckets)
-        got = Answers(piece, found)
+        number, piece = docs.column("piece")[0].as_py(), Piece(docs, m + 1, buckets)
+        got = Answers(piece, found, model)
         p = evaluate(piece, got, model, m)
-        at = np.flatnonzero(piece.of[m + 1] >= 0)
-        gram, context = piece.of[m + 1][at], piece.of[m][at - 1]
-        count = got.count[m + 1][gram]
-        need = np.zeros(len(piece.grams[m]), bool)
-        whole = (count == 0) | (model.factor(m + 1, count) == 1)  # its context's sums decide
-        need[context[(got.count[m][context] > 0) & whole]] = True
-        _, one = np.unique(gram, return_index=True)
-        one = one[(count[one] > 0) & got.own[m + 1][gram[one]]]
-        own, c = context[one], count[one]
-        high = np.bincount(own, model.factor(m + 1, c) * c / got.count[m][own], minlength=len(need))
-        low = np.bincount(own, p[at][one], minlength=len(need))
-        some = np.flatnonzero(need | (high > 0))
+        need = _asked(piece, got, model, m)
+        high, low = _sums(piece, got, model, m, p, got.own[m + 1])
+        some = np.flatnonzero((need | (high > 0)) & ~got.alone[m])
         keys = piece.grams[m][some]
-        rows = [{"bucket": b, "piece": number, "keys": _pack_keys(keys[s:e]), "high": high[some[s:e]].tobytes(),
-                 "low": low[some[s:e]].tobytes(), "asked": np.packbits(need[some[s:e]]).tobytes()}
+        high, low = high[some], low[some]
+        rows = [{"bucket": b, "piece": number, "keys": _pack_keys(keys[s:e]), "high": _pack_masses(high[s:e]),
+                 "low": low[s:e][high[s:e] > 0].tobytes(), "asked": np.packbits(need[some[s:e]]).tobytes()}
                 for b, s, e in _stretches(keys)]
         return pa.Table.from_pylist(rows, schema)
 
@@ -282,15 +332,17 @@ def _contexts(order: int, buckets: int, m: int, model: Totals):
 
 
 def _masses(m: int):
-    schema = pa.schema([("n", pa.int32()), ("bucket", pa.int64()), ("piece", pa.int64()), ("keys", pa.binary()),
-                        ("high", pa.binary()), ("low", pa.binary())])
+    schema = pa.schema([("n", pa.int32()), ("bucket", pa.int64()), ("piece", pa.int64()), ("weights", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("piece")  # sums in one order, so reruns agree
         keys = [_unpack_keys(x) for x in table.column("keys").to_pylist()]
         _, number = np.unique(np.concatenate(keys), return_inverse=True)
-        high, low = (np.bincount(number, np.concatenate([np.frombuffer(x) for x in table.column(c).to_pylist()]))
-                     for c in ("high", "low"))
+        mass = np.concatenate([_unpack_masses(x) for x in table.column("high").to_pylist()])
+        high = np.bincount(number, mass)
+        low = np.bincount(number[mass > 0], np.concatenate([np.frombuffer(x) for x in table.column("low").to_pylist()]),
+                          minlength=len(high))
+        weight = _weights(high, low)
         rows, at = [], 0
         for bucket, piece, k, asked in zip(*(table.column(c).to_pylist() for c in ("bucket", "piece")), keys,
                                            table.column("asked").to_pylist()):
@@ -298,8 +350,7 @@ def _masses(m: int):
             of = number[at:at + len(k)][mine]
             at += len(k)
             if len(of):
-                rows.append({"n": m, "bucket": bucket, "piece": piece, "keys": _pack_keys(k[mine]),
-                             "high": high[of].tobytes(), "low": low[of].tobytes()})
+                rows.append({"n": m, "bucket": bucket, "piece": piece, "weights": weight[of].tobytes()})
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -313,7 +364,7 @@ def _scores(order: int, buckets: int, model: Totals):
         if not docs.num_rows:
             return schema.empty_table()
         piece = Piece(docs, order, buckets)
-        got = Answers(piece, found)
+        got = Answers(piece, found, model)
         n = len(piece.length)
         count = got.count[1][piece.of[1]]
         base = np.log10((count + 1) / (model.tokens + model.types + 1))
@@ -327,7 +378,7 @@ def _scores(order: int, buckets: int, model: Totals):
     return run
 
 
-_FOUND = "n int, bucket long, piece long, keys binary, high binary, low binary"
+_FOUND = "n int, bucket long, piece long, weights binary"
 
 
 def score_texts(docs: DataFrame, held_out: Column, order: int = 2, text: str = "text", doc_id: str = "doc_id",
@@ -359,21 +410,19 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2, text: str = "
     dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
     counts = staged(dealt.groupBy("piece").applyInArrow(
         tidied(_emit(order, buckets)), "n int, bucket long, piece long, keys binary, counts binary").groupBy("n", "bucket").applyInArrow(
-        tidied(_total), "n int, bucket long, piece long, totals binary, owner binary, stats array<bigint>"), "ngrams", by="n")
+        tidied(_total), "n int, bucket long, piece long, totals binary, owner binary, alone binary, stats array<bigint>"), "ngrams", by="n")
     figures = counts.where("stats IS NOT NULL").groupBy("n").agg(
         F.array(*[F.sum(F.col("stats")[i]) for i in range(CUTOFF + 3)]).alias("stats")).collect()  # a row an order
     model = totals(figures, order)
     found = counts.where("piece IS NOT NULL").drop("stats")
     for m in range(1, order):
-        masses = dealt.groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
-            tidied(_contexts(order, buckets, m, model)),
+        masses = dealt.groupBy("piece").cogroup(found.where(F.col("n") <= m + 1).groupBy("piece")).applyInArrow(
+            tidied(_contexts(buckets, m, model)),
             "bucket long, piece long, keys binary, high binary, low binary, asked binary").groupBy("bucket").applyInArrow(
             tidied(_masses(m)), _FOUND)
-        if m < order - 1:
-            masses = staged(masses, "backoff")
         found = found.unionByName(masses, allowMissingColumns=True)
     if order == 1:
-        found = found.withColumns({c: F.lit(None).cast("binary") for c in ("keys", "high", "low")})
+        found = found.withColumn("weights", F.lit(None).cast("binary"))
     return dealt.groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(
         tidied(_scores(order, buckets, model)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
         "score double").withColumn("train_tokens", F.lit(model.tokens).cast("long"))

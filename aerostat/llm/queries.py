@@ -32,7 +32,7 @@ def id_remainder(doc_id: str, n: int) -> Column:
 
 
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_texts(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2, order=2)
+    return score_texts(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2, order=3)
 
 
 def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from aerostat.llm.queries import ORACLE_SQL, QUERIES
+from aerostat.llm.katz import score_texts
+from aerostat.llm.queries import ORACLE_SQL, QUERIES, id_remainder
 
 from .conftest import SF
 
@@ -30,3 +31,11 @@ def test_query_matches_its_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_answers_for_every_row(spark, name):
     assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_katz_query_is_a_model_of_three_words(spark):
+    scores = lambda df: {r["doc_id"]: pytest.approx(r["score"], rel=1e-9) for r in df.collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    three, two = (scores(score_texts(docs, id_remainder("doc_id", 7) == 2, order)) for order in (3, 2))
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op1_katz_scores"](spark, SF).collect()}
+    assert got == three and got != two
