@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostat.llm.byte_bpe import decode, encode
+from aerostat.llm.fill_in_middle import FIM_SQL, fill_in_middle, restored
+from aerostat.llm.filter_audit import AUDIT_SQL, audit_documents
 from aerostat.llm.katz import score_texts
 from aerostat.llm.mixing import MIX_SQL, mix_sources
 from aerostat.llm.quality import quality_sql, repetition_quality
@@ -20,6 +22,7 @@ from aerostat.llm.suffix_dedup import REPEATS_SQL, remove_repeats
 from aerostat.llm.token_files import read_token_files, vocabulary_size, write_token_files
 from aerostat.llm.topk import TOP_K_SQL, top_k
 from aerostat.llm.toxicity import score_toxicity, train
+from aerostat.llm.warc import WARC_SQL, read_warc, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +101,21 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def fill_in_the_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = restored(fill_in_middle(table(spark, sf_dir, "documents"), unit="token", rate=50, spm_rate=80, seed=42))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = write_warc(table(spark, sf_dir, "pages"))
+    return read_warc(spark, root, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_katz_scores": lm_scores,
     "op2_repetition_rules": repetition_rules,
@@ -109,6 +127,9 @@ QUERIES = {
     "op8_sharding": sharding,
     "op9_mixing": mixing,
     "op10_token_files": token_files,
+    "op11_fill_in_middle": fill_in_the_middle,
+    "op12_warc_archive": warc_archive,
+    "op13_filter_audit": filter_interactions,
 }
 
 ORACLE_SQL = {
@@ -116,4 +137,7 @@ ORACLE_SQL = {
     "op7_suffix_dedup": REPEATS_SQL,
     "op4_exact_top_k": TOP_K_SQL,
     "op9_mixing": MIX_SQL,
+    "op11_fill_in_middle": FIM_SQL,
+    "op12_warc_archive": WARC_SQL,
+    "op13_filter_audit": AUDIT_SQL,
 }
