@@ -37,16 +37,17 @@ from aerostat.functions.scalars import (
     wall_clock_timestamp,
 )
 from aerostat.operators import aggregate as agg
-from aerostat.operators import filters, joins, sinks, topk
+from aerostat.operators import buckets, filters, joins, sinks, topk
 from aerostat.operators.flatten import flatten
 from aerostat.operators.setops import union_all
+from aerostat.plans import reports
 from aerostat.schemas import check_sink
 from aerostat.session import scratch_path
-from aerostat.sources import envelopes
-from aerostat.sources.feeds import read_flights
+from aerostat.sources import envelopes, footers
+from aerostat.sources.feeds import read_flights, read_landed_weather
 from aerostat.sources.feeds import weather as shape_weather
-from aerostat.sources.tables import as_view, scan_day_folders, scan_parquet, scan_table
-from aerostat.testdata import table
+from aerostat.sources.tables import absent_days, as_view, landed_days, rows_on_days, scan_day_folders, scan_parquet, scan_table
+from aerostat.testdata import SCHEMAS, table
 
 # Fixed test parameters.
 D = dt.date(2024, 1, 3)
@@ -311,7 +312,8 @@ def q_count_by_condition(spark, sf):
 
 
 def q_default_selection(spark, sf):
-    return filters.default_selection(wide(spark, sf), "date", "city").select("event_id")
+    dated = table(spark, sf, "events").select(to_day("ts").alias("date"))
+    return filters.default_selection(wide(spark, sf), "date", "city", dated).select("event_id")
 
 
 def q_route_semi_join(spark, sf):
@@ -492,28 +494,184 @@ def q_backfill_table(spark, sf):
     return _table_rows(spark, name).select("event_id", F.col("date").alias("a"))
 
 
-FOLDER_DAYS = [D + dt.timedelta(days=i) for i in range(3)]
+DAY_ROW = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
 
 
-def _day_folders(spark, sf) -> str:
-    """Three days of events as the original lays them out, each in three parts: even ids, then odd ids in two."""
-    e = table(spark, sf, "events").select("event_id", "event_type", "ts")
+def _day_folders(spark, sf) -> tuple[str, list[str]]:
+    """All days of events as the original lays them out, written in one job."""
+    e = table(spark, sf, "events").select("event_id", "event_type", to_day("ts").alias("ingest_date"))
     root = scratch_path(spark, "day-folders")
-    for day in FOLDER_DAYS:
-        own = e.where(filters.on_day("ts", day))
-        # one task a part, as the original writes a few parts a day
-        own.where("event_id % 2 = 0").coalesce(1).union(own.where("event_id % 2 = 1").repartition(2)) \
-            .write.parquet(f"{root}/{day}/flight_weather.parquet")
-    return root
+    return root, sinks.write_day_folders(e, root)
 
 
 def q_day_folders(spark, sf):
-    return scan_day_folders(spark, _day_folders(spark, sf), FOLDER_DAYS).select("event_id", "event_type", "ingest_date")
+    root, days = _day_folders(spark, sf)
+    return scan_day_folders(spark, root, days, schema=DAY_ROW).select("event_id", "event_type", "ingest_date")
 
 
 def q_day_folders_first_part(spark, sf):
-    first = scan_day_folders(spark, _day_folders(spark, sf), FOLDER_DAYS, part_glob="part-00000*")
-    return first.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+    """Rows of each day, and whether the part glob finds just those in files of that name."""
+    root, days = _day_folders(spark, sf)
+    named = F.col("_metadata.file_name").startswith("part-00000")
+    every = scan_day_folders(spark, root, days, schema=DAY_ROW).groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(named).alias("named"))
+    first = scan_day_folders(spark, root, days, part_glob="part-00000*", schema=DAY_ROW).groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("found"))
+    return every.join(first, "ingest_date", "left").select(
+        "ingest_date", "n", (F.coalesce("found", F.lit(0)) == F.col("named")).alias("parts_agree"))
+
+
+def _by_day(spark, sf, *columns: str) -> tuple[str, T.StructType]:
+    """events partitioned by day: where, and with which columns."""
+    e = table(spark, sf, "events").select(*columns, to_day("ts").alias("ingest_date"))
+    root = scratch_path(spark, "partitioned", "events")
+    sinks.write_partitioned(e, root, "ingest_date")
+    return root, e.schema
+
+
+def q_days_by_query(spark, sf):
+    """Events on the days that have more errors than the mean day; only their folders are read."""
+    root, schema = _by_day(spark, sf, "event_id", "event_type")
+    per_day = table(spark, sf, "events").where("event_type = 'error'").groupBy(to_day("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    busy = per_day.where(F.col("n") > per_day.select(F.avg("n")).scalar()).select("day")
+    return rows_on_days(scan_parquet(spark, root, schema=schema), busy).select("event_id", "event_type", "ingest_date")
+
+
+def q_absent_days(spark, sf):
+    """Days from three before the first event to three after the last that have no folder."""
+    root, _ = _by_day(spark, sf, "event_id")
+    span = table(spark, sf, "events").agg(F.min(to_day("ts")).alias("s"), F.max(to_day("ts")).alias("e"))
+    wanted = span.select(F.explode(F.sequence(F.date_sub("s", 3), F.date_add("e", 3))).alias("day"))
+    return absent_days(wanted, landed_days(spark, root))
+
+
+def q_flight_array_ranges(spark, sf):
+    """events landed as one JSON array a day, read by byte ranges."""
+    e = table(spark, sf, "events")
+    path = scratch_path(spark, "landing", "day-arrays")
+    nested = _nested_flights(e).join(e.select("event_id", to_day("ts").alias("day")), "event_id")
+    sinks.land_arrays(nested.select("day", "event_id", "record.*"), path, "day", ["event_id"])
+    return read_flights(spark, path, split=True)
+
+
+SERVING_ROW = T.StructType([T.StructField("airline", T.StringType()), T.StructField("flight_iata", T.StringType()),
+                            T.StructField("city", T.StringType()), T.StructField("temp", T.FloatType()), T.StructField("date", T.DateType())])
+
+
+def q_dashboard_frames(spark, sf):
+    """The three dashboard frames of the default selection, from one scan of a serving dataset."""
+    rows = wide(spark, sf).select(F.col("event_type").alias("airline"), F.concat(F.lit("EV"), F.col("event_id")).alias("flight_iata"),
+                                  "city", "temp", "date", "event_id")
+    path = scratch_path(spark, "serving")
+    rows.repartitionByRange("date", "event_id").drop("event_id").write.parquet(path)
+    return reports.default_dashboard(spark, path, SERVING_ROW).withColumn("mean", F.round("mean", 4))
+
+
+FOOTER_COLUMNS = {"orders": "o_orderkey", "events": "event_id", "customer": "c_custkey", "lineitem": "l_orderkey"}
+
+
+def q_footer_audit(spark, sf):
+    """Rows, non-null keys and the least and greatest key of the large tables, from their footers."""
+    parts = []
+    for name, c in FOOTER_COLUMNS.items():
+        stats = footers.footer_stats(spark, f"{sf.rstrip('/')}/{name}.parquet", table(spark, sf, name).schema, [c])
+        parts.append(stats.select(F.lit(name).alias("t"), "n", F.col(f"{c}_filled").alias("filled"), F.col(f"{c}_low").alias("low"),
+                                  F.col(f"{c}_high").alias("high")))
+    return union_all(parts)
+
+
+def q_footer_days(spark, sf):
+    """Rows and ids of each day folder, from the footers of its files."""
+    root, schema = _by_day(spark, sf, "event_id", "user_id")
+    stats = footers.footer_stats(spark, root, schema, ["event_id", "user_id"], by="ingest_date")
+    return stats.select("ingest_date", "n", F.col("user_id_filled").alias("users"), F.col("event_id_low").alias("low"),
+                        F.col("event_id_high").alias("high"))
+
+
+def _loose_orders(spark, sf) -> DataFrame:
+    """Orders as text, some of it bad: keys of returned orders, urgent dates, small prices; blank low dates."""
+    o = table(spark, sf, "orders")
+    key = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("K"), F.col("o_orderkey"))).otherwise(F.col("o_orderkey").cast("string"))
+    day = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("2001-13-45T00:00:00")).when(
+        F.col("o_orderpriority") == "5-LOW", F.lit(" ")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+    price = F.when(F.col("o_totalprice") < 50000, F.lit("n/a")).when(F.col("o_totalprice") < 90000, F.lit(None)).otherwise(
+        F.col("o_totalprice").cast("string"))
+    return o.select(key.alias("key"), day.alias("at"), price.alias("price"))
+
+
+LOOSE_TARGET = T.StructType([T.StructField("o_orderkey", T.LongType(), False), T.StructField("arrival_time", T.TimestampNTZType()),
+                             T.StructField("o_totalprice", T.DoubleType(), False)])
+
+
+def _judged(spark, sf) -> str:
+    root = scratch_path(spark, "judged")
+    sinks.load_judged(_loose_orders(spark, sf), LOOSE_TARGET, root)
+    return root
+
+
+def q_judged_accepted(spark, sf):
+    return sinks.accepted_rows(spark, _judged(spark, sf), LOOSE_TARGET)
+
+
+def q_judged_rejects(spark, sf):
+    rejects = sinks.rejected_rows(spark, _judged(spark, sf), LOOSE_TARGET)
+    return rejects.groupBy(F.concat_ws("; ", "reasons").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.get_json_object("source_row", "$.at")).alias("with_time"))
+
+
+def q_content_audit(spark, sf):
+    """Copies of three tables, and whether what is read back has the content that was written."""
+    parts = []
+    for name, by in (("orders", ["o_orderstatus"]), ("events", []), ("customer", ["c_mktsegment"])):
+        df, path = table(spark, sf, name), scratch_path(spark, "audited", name)
+        rows, content = sinks.write_audited(df, path, by)
+        back = scan_parquet(spark, path, schema=df.schema).select(*df.columns).agg(*agg.content_sums(df))
+        parts.append(back.select(F.lit(name).alias("t"), F.lit(rows).cast("long").alias("written"), F.col("rows").alias("read"),
+                                 (F.col("content") == F.lit(str(content)).cast("decimal(38,0)")).alias("same")))
+    return union_all(parts)
+
+
+def q_weather_shredded(spark, sf):
+    """The weather frame from bodies landed as shredded variants."""
+    w = _weather_bodies(spark, sf)
+    env = w.select("city", F.col("c_name").alias("query"), F.lit(200).alias("status"), "body")
+    path = scratch_path(spark, "landing", "weather")
+    envelopes.land_wrappers(env, path)
+    return _rounded_weather(read_landed_weather(spark, path, "intent", SEGMENT_CODES, keep=["query"]), "query")
+
+
+def q_route_gaps(spark, sf):
+    """Runs of days without an event, per route of event type and user, over the days of all events."""
+    e = table(spark, sf, "events").select(F.col("event_type").alias("dep"), F.col("user_id").alias("arr"), to_day("ts").alias("day"))
+    start, end = e.select(F.min("day")).scalar(), e.select(F.max("day")).scalar()
+    return envelopes.missing_days(e.select("dep", "arr"), e, start, end)
+
+
+def q_missing_routes(spark, sf):
+    """Configured routes without any record."""
+    facts = wide(spark, sf).select(F.col("event_type").alias("dep"), F.col("city").alias("arr"))
+    return envelopes.missing_routes(joins.routes_from_lists(spark, ROUTE_DEPARTURES, ROUTE_ARRIVALS), facts)
+
+
+def q_column_profile(spark, sf):
+    """Exact parts of the profile of events, merged from one profile a day."""
+    e = table(spark, sf, "events").withColumn("day", to_day("ts"))
+    return agg.merged_profile(agg.profile(e, ["day"])).drop("distinct")
+
+
+def q_bucketed_join(spark, sf):
+    """``left_join`` on tables bucketed by the arrival code."""
+    facts, dimension = f"facts_{uuid.uuid4().hex[:12]}", f"dimension_{uuid.uuid4().hex[:12]}"
+    e = table(spark, sf, "events").select("event_id", "user_id")
+    # with eight rows a part many users are hot, at every size
+    buckets.create_bucketed_tables(e, _weather_dim(spark, sf), facts, dimension, scratch_path(spark, "tables", facts),
+                                   scratch_path(spark, "tables", dimension), "user_id", "c_custkey", ["event_id"], 16, 8)
+    out = buckets.bucketed_left_join(spark, facts, dimension, "user_id", "c_custkey").select(
+        "event_id", "user_id", "c_custkey", "city", F.col("temp").cast("double").alias("temp"))
+    out.schema  # noqa: B018  resolves the relations
+    for name in (facts, dimension):
+        spark.sql(f"DROP TABLE {name}")  # leaves the files
+    return out
 
 
 def q_scan_table(spark, sf):
@@ -525,10 +683,9 @@ def q_scan_table(spark, sf):
 
 
 def q_schema_fields(spark, sf):
-    """Columns of a table in order, as its files have them."""
-    e = scan_parquet(spark, f"{sf.rstrip('/')}/events.parquet")
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(e.schema.fields)]
-    return spark.createDataFrame(rows, "position int, name string, type string")
+    """Columns of a table in order, as its files have them, with the values that its rows have in them."""
+    fields = agg.merged_profile(agg.profile(scan_parquet(spark, f"{sf.rstrip('/')}/events.parquet")))
+    return fields.select("position", "name", "type", (F.col("n") - F.col("nulls")).alias("filled"))
 
 
 ORDER_CONTRACT = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderdate", T.DateType()),
@@ -576,8 +733,8 @@ def q_day_range(spark, sf):
 SEGMENT_CODES = {"AUTOMOBILE": "AUT", "FURNITURE": "FUR", "HOUSEHOLD": "HOU", "MACHINERY": "MAC"}
 
 
-def _weather_wrappers(spark, sf) -> DataFrame:
-    """Weather responses built from customer rows, with loosely typed leaves.
+def _weather_bodies(spark, sf) -> DataFrame:
+    """Bodies of weather responses built from customer rows, with loosely typed leaves.
 
     temp is a JSON number (AUTOMOBILE), a numeric string (FURNITURE), a
     blank-padded numeric string (HOUSEHOLD), a boolean (MACHINERY) or junk
@@ -601,16 +758,21 @@ def _weather_wrappers(spark, sf) -> DataFrame:
     cond = F.when(F.col("c_acctbal") > 0, F.concat(F.lit('[{"main": '), main, F.lit("}]")))
     body = F.concat(F.lit('{"main": {"temp": '), temp, F.lit(', "humidity": '), nk, F.lit("}, "), wind,
                     F.lit('"weather": '), F.coalesce(cond, F.lit("[]")), F.lit("}"))
-    return c.select("c_custkey", seg.alias("city"), seg.alias("query"), F.try_parse_json(body).alias("data"))
+    return c.select("c_custkey", "c_name", seg.alias("city"), body.alias("body"))
 
 
-def q_weather_shape(spark, sf):
-    w = shape_weather(_weather_wrappers(spark, sf), "intent", SEGMENT_CODES, keep=["c_custkey"])
-    return w.select("c_custkey", "city", "iata", F.round(F.col("temp").cast("double"), 2).alias("temp"),
+def _rounded_weather(w: DataFrame, key: str) -> DataFrame:
+    return w.select(key, "city", "iata", F.round(F.col("temp").cast("double"), 2).alias("temp"),
                     F.col("humidity").cast("double").alias("humidity"), "weather",
                     F.col("wind_speed").cast("double").alias("wind_speed"))
 
 
+def q_weather_shape(spark, sf):
+    bodies = _weather_bodies(spark, sf)
+    wrappers = bodies.select("c_custkey", "city", F.col("city").alias("query"), F.try_parse_json("body").alias("data"))
+    return _rounded_weather(shape_weather(wrappers, "intent", SEGMENT_CODES, keep=["c_custkey"]), "c_custkey")
+
+
 QUERIES: dict[str, Query] = {
     "json_path": q_json_path,
     "json_path_default": q_json_path_default,
@@ -668,6 +830,20 @@ QUERIES: dict[str, Query] = {
     "contract": q_contract,
     "route_list_grid": q_route_list_grid,
     "flight_array_feed": q_flight_array_feed,
+    "days_by_query": q_days_by_query,
+    "absent_days": q_absent_days,
+    "flight_array_ranges": q_flight_array_ranges,
+    "dashboard_frames": q_dashboard_frames,
+    "footer_audit": q_footer_audit,
+    "footer_days": q_footer_days,
+    "judged_accepted": q_judged_accepted,
+    "judged_rejects": q_judged_rejects,
+    "content_audit": q_content_audit,
+    "weather_shredded": q_weather_shredded,
+    "route_gaps": q_route_gaps,
+    "missing_routes": q_missing_routes,
+    "column_profile": q_column_profile,
+    "bucketed_join": q_bucketed_join,
 }
 
 
@@ -785,21 +961,79 @@ ORACLE_SQL |= {
     "flight_array_feed": ORACLE_SQL["flight_feed_roundtrip"],
     "partition_emptied": f"""SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n FROM events
         WHERE CAST(ts AS DATE) IS DISTINCT FROM {D_SQL} GROUP BY 1""",
-    "day_folders": f"""SELECT event_id, event_type, CAST(ts AS DATE) AS ingest_date FROM events
-        WHERE CAST(ts AS DATE) BETWEEN {D_SQL} AND {D_SQL} + INTERVAL 2 DAY""",
-    "day_folders_first_part": f"""SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n FROM events
-        WHERE event_id % 2 = 0 AND CAST(ts AS DATE) BETWEEN {D_SQL} AND {D_SQL} + INTERVAL 2 DAY GROUP BY 1""",
+    "day_folders": "SELECT event_id, event_type, CAST(ts AS DATE) AS ingest_date FROM events",
+    "day_folders_first_part": "SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n, TRUE AS parts_agree FROM events GROUP BY 1",
     "scan_table": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
-    "schema_fields": """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name,
-          CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-                           WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END AS type
-        FROM (DESCRIBE events)""",
     "contract": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders",
     "route_list_grid": WIDE_SQL + """SELECT d.dep, a.arr, COUNT(w.event_id) AS n
         FROM (VALUES ('click'), ('view'), ('refund')) d(dep) CROSS JOIN (VALUES ('MACHINERY'), ('FURNITURE'), ('NOWHERE')) a(arr)
         LEFT JOIN wide w ON w.event_type = d.dep AND w.city = a.arr GROUP BY d.dep, a.arr""",
 }
 
+_EVENT_FIELDS = [f.split() for f in SCHEMAS["events"].split(", ")]
+
+
+def _event_fields(columns: Callable[[str, str], str]) -> str:
+    """One row per column of events, with what ``columns`` says of it."""
+    rows = [f"SELECT {i} AS position, '{c}' AS name, '{t}' AS type, {columns(c, t)} FROM events"
+            for i, (c, t) in enumerate(_EVENT_FIELDS)]
+    return " UNION ALL ".join(rows)
+
+
+def _as_text(column: str, kind: str) -> str:
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')" if kind == "timestamp_ntz" else f"CAST({column} AS VARCHAR)"
+
+
+_JUDGED = """WITH loose AS (
+          SELECT o_orderkey, o_orderdate, o_totalprice, o_orderstatus = 'P' AS bad_key, o_orderpriority = '1-URGENT' AS bad_time,
+                 o_orderpriority = '5-LOW' AS no_time, o_totalprice < 50000 AS bad_price, o_totalprice >= 50000 AND o_totalprice < 90000 AS no_price
+          FROM orders)
+"""
+
+ORACLE_SQL |= {
+    "schema_fields": _event_fields(lambda c, t: f"COUNT({c}) AS filled"),
+    "column_profile": _event_fields(lambda c, t: f"""COUNT(*) AS n, COUNT(*) - COUNT({c}) AS nulls,
+          {_as_text(f"MIN({c})", t)} AS low, {_as_text(f"MAX({c})", t)} AS high"""),
+    "days_by_query": """WITH errors AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1)
+        SELECT event_id, event_type, CAST(ts AS DATE) AS ingest_date FROM events
+        WHERE CAST(ts AS DATE) IN (SELECT day FROM errors WHERE n > (SELECT AVG(n) FROM errors))""",
+    "absent_days": """SELECT day FROM (SELECT CAST(unnest(generate_series(MIN(CAST(ts AS DATE)) - INTERVAL 3 DAY,
+          MAX(CAST(ts AS DATE)) + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM events) w
+        WHERE day NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE ts IS NOT NULL)""",
+    "flight_array_ranges": ORACLE_SQL["flight_feed_roundtrip"],
+    "dashboard_frames": WIDE_SQL + """, picked AS (
+          SELECT * FROM wide WHERE date = (SELECT MIN(CAST(ts AS DATE)) FROM events) AND city IS NOT NULL)
+        SELECT 'flights_per_airline' AS frame, event_type AS key, COUNT(*) AS n, CAST(NULL AS DOUBLE) AS mean
+        FROM picked WHERE event_type IS NOT NULL GROUP BY event_type
+        UNION ALL SELECT 'avg_temp_by_city', city, NULL, ROUND(AVG(temp), 4) FROM picked GROUP BY city
+        UNION ALL SELECT 'flights_vs_temp', city, COUNT(event_id), ROUND(AVG(temp), 4) FROM picked GROUP BY city""",
+    "footer_audit": " UNION ALL ".join(
+        f"SELECT '{t}' AS t, COUNT(*) AS n, COUNT({c}) AS filled, MIN({c}) AS low, MAX({c}) AS high FROM {t}"
+        for t, c in FOOTER_COLUMNS.items()),
+    "footer_days": """SELECT CAST(ts AS DATE) AS ingest_date, COUNT(*) AS n, COUNT(user_id) AS users, MIN(event_id) AS low,
+          MAX(event_id) AS high FROM events GROUP BY 1""",
+    "judged_accepted": _JUDGED + """SELECT o_orderkey, CASE WHEN no_time THEN NULL ELSE o_orderdate END AS arrival_time, o_totalprice
+        FROM loose WHERE NOT (bad_key OR bad_time OR bad_price OR no_price)""",
+    "judged_rejects": _JUDGED + """SELECT concat_ws('; ', CASE WHEN bad_key THEN 'o_orderkey: bad value' END,
+            CASE WHEN bad_time THEN 'arrival_time: bad value' END, CASE WHEN bad_price THEN 'o_totalprice: bad value'
+            WHEN no_price THEN 'o_totalprice: missing' END) AS reasons, COUNT(*) AS n, COUNT(*) AS with_time
+        FROM loose WHERE bad_key OR bad_time OR bad_price OR no_price GROUP BY 1""",
+    "content_audit": " UNION ALL ".join(
+        f"SELECT '{t}' AS t, COUNT(*) AS written, COUNT(*) AS read, TRUE AS same FROM {t}" for t in ("orders", "events", "customer")),
+    "weather_shredded": ORACLE_SQL["weather_shape"].replace("SELECT c_custkey,", "SELECT c_name AS query,"),
+    "route_gaps": """WITH seen AS (SELECT DISTINCT event_type AS dep, user_id AS arr, CAST(ts AS DATE) AS day FROM events),
+        span AS (SELECT MIN(day) AS s, MAX(day) AS e FROM seen),
+        grid AS (SELECT dep, arr, CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+                 FROM (SELECT DISTINCT dep, arr FROM seen) r, span),
+        missing AS (SELECT g.*, day - CAST(row_number() OVER (PARTITION BY dep, arr ORDER BY day) AS INT) AS run
+                    FROM grid g ANTI JOIN seen USING (dep, arr, day))
+        SELECT dep, arr, MIN(day) AS first_day, MAX(day) AS last_day, CAST(COUNT(*) AS INT) AS days FROM missing GROUP BY dep, arr, run""",
+    "missing_routes": WIDE_SQL + """SELECT d.dep, a.arr
+        FROM (VALUES ('click'), ('view'), ('refund')) d(dep) CROSS JOIN (VALUES ('MACHINERY'), ('FURNITURE'), ('NOWHERE')) a(arr)
+        WHERE NOT EXISTS (SELECT 1 FROM wide w WHERE w.event_type = d.dep AND w.city = a.arr)""",
+    "bucketed_join": ORACLE_SQL["left_join"],
+}
+
 assert set(QUERIES) == set(ORACLE_SQL), set(QUERIES) ^ set(ORACLE_SQL)
 
 FLAGSHIP = "count_and_mean"

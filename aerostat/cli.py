@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     t.add_argument("--raw", required=True)
     t.add_argument("--clean", required=True)
     t.add_argument("--jsonlines", action="store_true", help="raw files are JSON lines, not one array")
+    t.add_argument("--split-arrays", action="store_true", help="read each flight array by several tasks")
     t.add_argument("--condition-mode", default="intent", choices=["intent", "reference"])
     common(t)
 
@@ -104,7 +105,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     if args.cmd == "transform":
         n = daily.run(spark, args.raw, args.clean, _days(args), multiline=not args.jsonlines,
-                      condition_mode=args.condition_mode)
+                      condition_mode=args.condition_mode, split_arrays=args.split_arrays)
         print(f"wrote {n} clean rows")
     elif args.cmd == "load":
         n = serving.load(spark, args.clean, args.serving, _days(args))

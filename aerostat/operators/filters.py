@@ -43,9 +43,14 @@ def earliest_day(df: DataFrame, date_col: str) -> Column:
     return df.select(F.min(date_col)).scalar()
 
 
-def default_selection(df: DataFrame, date_col: str, city_col: str) -> DataFrame:
-    """Default dashboard selection: earliest date, every non-null city."""
-    return df.where((F.col(date_col) == earliest_day(df, date_col)) & F.col(city_col).isNotNull())
+def default_selection(df: DataFrame, date_col: str, city_col: str, facts: DataFrame | None = None) -> DataFrame:
+    """Default dashboard selection: earliest date, every non-null city.
+
+    ``facts`` is the frame that ``df`` was enriched from, if it has the date:
+    the date is then found there, without the joins behind ``df``.
+    """
+    first = earliest_day(df if facts is None else facts, date_col)
+    return df.where((F.col(date_col) == first) & F.col(city_col).isNotNull())
 
 
 def select_day_cities(df: DataFrame, date_col: str, day, city_col: str, cities: Sequence) -> DataFrame:

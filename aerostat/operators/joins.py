@@ -52,6 +52,7 @@ def left_join(
     right: DataFrame,
     left_keys: str | Sequence[str],
     right_keys: str | Sequence[str] | None = None,
+    null_keys_apart: bool = True,
 ) -> DataFrame:
     """Left outer equi-join keeping both key columns.
 
@@ -59,9 +60,14 @@ def left_join(
     dedup. Left rows with a null key are united with the result instead of
     joined, so they are neither shuffled nor gathered in the partition of
     the null key; both reads of the left side push their null test to the
-    scan. A left column that cannot be null costs no second read.
+    scan. A left column that cannot be null costs no second read. Without
+    ``null_keys_apart`` the left side is read once and they are joined like
+    others: the form for a left side that is costly to read, such as JSON,
+    and a right side that is broadcast. The rows are the same.
     """
     lk, rk = _keys(left_keys, right_keys)
+    if not null_keys_apart:
+        return left.join(right, _cond(left, right, lk, rk), "left")
     keyed = left.where(~_any_null(left, lk))
     return _with_unmatched(keyed.join(right, _cond(keyed, right, lk, rk), "left"), left, right, lk)
 

@@ -5,6 +5,7 @@ days at once, tagged with ``ingest_date`` from their folder, and joined on
 (``ingest_date``, arrival code) so each day's flights meet that day's
 weather only. The weather side is bounded by the city list per day; its
 files are far under the broadcast threshold, so flights are not shuffled.
+The flight feed is scanned and parsed once.
 """
 
 from __future__ import annotations
@@ -29,10 +30,12 @@ def clean_rows(flights: DataFrame, weather: DataFrame) -> DataFrame:
     Both frames carry ``ingest_date``; it is part of the join key so a
     multi-day run never mixes days. Null codes never match; two weather
     rows for one city fan the flight out; HND (not in the lookup) keeps
-    null weather.
+    null weather. Null codes take part in the join: setting them apart would
+    parse the feed twice, and they are not shuffled where weather is
+    broadcast; should it be too large for that, AQE splits their partition.
     """
     w = weather.withColumnRenamed("ingest_date", "w_ingest_date")
-    j = left_join(flights, w, ["ingest_date", "arrival_iata"], ["w_ingest_date", "iata"])
+    j = left_join(flights, w, ["ingest_date", "arrival_iata"], ["w_ingest_date", "iata"], null_keys_apart=False)
     return j.select(*[F.col(f.name) for f in schemas.CLEAN.fields], "ingest_date")
 
 
@@ -42,15 +45,18 @@ def transform(
     days: Sequence[str | dt.date],
     multiline: bool = True,
     condition_mode: str = "intent",
+    split_arrays: bool = False,
 ) -> DataFrame:
     """Clean rows for ``days`` (lazy). Missing day files fail at analysis.
 
-    ``multiline=True`` reads one JSON array per day (``{day}/data.json``);
-    ``False`` reads day-partitioned JSON lines (``ingest_date={day}/``).
+    ``multiline=True`` reads one JSON array per day (``{day}/data.json``),
+    with ``split_arrays`` the flights' by several tasks a file; ``False``
+    reads day-partitioned JSON lines (``ingest_date={day}/``).
     """
     days = [str(d) for d in days]
     jl = not multiline
-    fl = read_flights(spark, [day_path(raw_root, FLIGHT_FEED, d, jl) for d in days], multiline, with_day=True)
+    fl = read_flights(spark, [day_path(raw_root, FLIGHT_FEED, d, jl) for d in days], multiline, with_day=True,
+                      split=split_arrays)
     wx = read_weather(spark, [day_path(raw_root, WEATHER_FEED, d, jl) for d in days], multiline, with_day=True,
                       condition_mode=condition_mode)
     return clean_rows(fl, wx)
@@ -63,11 +69,13 @@ def run(
     days: Sequence[str | dt.date],
     multiline: bool = True,
     condition_mode: str = "intent",
+    split_arrays: bool = False,
 ) -> int:
     """Transform ``days`` and overwrite exactly those ``ingest_date`` partitions (K1).
 
     A day whose feed is empty becomes an empty partition. Returns the number
     of rows written, counted inside the write job.
     """
-    clean = schemas.check_sink(transform(spark, raw_root, days, multiline, condition_mode), schemas.CLEAN, ("ingest_date",))
+    clean = schemas.check_sink(transform(spark, raw_root, days, multiline, condition_mode, split_arrays),
+                               schemas.CLEAN, ("ingest_date",))
     return write_partitioned(clean, clean_root, "ingest_date", days)

@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostat.operators import aggregate as agg
 from aerostat.operators import filters, topk
 from aerostat.operators.flatten import rename
+from aerostat.sources import footers
 
 
 def sample(clean: DataFrame, rows: int = 5) -> DataFrame:
@@ -42,6 +44,35 @@ def options(serving: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+# frame -> key, what is counted, what is averaged: the three dashboard frames
+DASHBOARD_FRAMES = {
+    "flights_per_airline": ("airline", "*", None),
+    "avg_temp_by_city": ("city", None, "temp"),
+    "flights_vs_temp": ("city", "flight_iata", "temp"),
+}
+
+
+def dashboard_frames(serving: DataFrame, day: str | dt.date, cities: Sequence[str] | None = None) -> DataFrame:
+    """The three dashboard frames of a day as one frame, from one scan.
+
+    Rows are ``frame``, ``key``, ``n`` and ``mean``. Without ``cities``
+    every non-null city is selected.
+    """
+    chosen = filters.in_list("city", cities) if cities is not None else serving["city"].isNotNull()
+    return agg.frames_in_one_pass(serving.where(filters.on_day("date", day) & chosen), DASHBOARD_FRAMES)
+
+
+def default_dashboard(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``dashboard_frames`` of the default selection of a serving dataset.
+
+    The earliest date comes from the file footers, so the rows are scanned
+    once and only where they have that date. No dates, no rows.
+    """
+    serving = spark.read.schema(schema).parquet(path)
+    first = footers.earliest_day(spark, path, schema, "date")
+    return dashboard_frames(serving if first else serving.limit(0), first or dt.date(1970, 1, 1))
+
+
 def dashboard(serving: DataFrame, day: str | dt.date | None = None,
               cities: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The three dashboard frames for one day and a city selection.

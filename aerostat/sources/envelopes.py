@@ -9,7 +9,7 @@ Bodies are parsed as variants, so one bad element or leaf costs only itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,3 +141,35 @@ def missing_routes(routes: DataFrame, env: DataFrame, keys=("dep", "arr")) -> Da
     """
     seen = env.select(*keys).distinct()
     return routes.join(seen, list(keys), "left_anti")
+
+
+def missing_days(routes: DataFrame, seen: DataFrame, start: Column, end: Column, keys=("dep", "arr"), day: str = "day") -> DataFrame:
+    """Runs of days from ``start`` to ``end`` on which a route has no response (S9, A9 over days).
+
+    Returns the keys, ``first_day``, ``last_day`` and ``days`` of every
+    run; a route that was never seen is one run. ``seen`` has the keys and
+    the day of each response and is first reduced to distinct pairs, at most
+    one row per route and day of the calendar; a run then lies between
+    neighbouring days, so the grid of routes and days is never made.
+    """
+    keys = list(keys)
+    wanted = routes.select(*keys).distinct().withColumns({"__start": start, "__end": end})
+    days = seen.select(*keys, F.col(day).alias("__day")).distinct()
+    known = wanted.join(days, keys).where(F.col("__day").between(F.col("__start"), F.col("__end")))
+    # so that a run at the beginning, and a route without any day, has a neighbour
+    every = known.unionByName(wanted.withColumn("__day", F.date_sub("__start", 1)))
+    following = F.lead("__day").over(Window.partitionBy(*keys).orderBy("__day"))
+    gaps = every.withColumn("first_day", F.date_add("__day", 1)).withColumn(
+        "last_day", F.date_sub(F.coalesce(following, F.date_add("__end", 1)), 1))
+    return gaps.where("first_day <= last_day").select(
+        *keys, "first_day", "last_day", (F.date_diff("last_day", "first_day") + 1).alias("days"))
+
+
+def land_wrappers(env: DataFrame, path: str, key: str = "city", query: str = "query", status: str = "status", body: str = "body") -> None:
+    """Land the accepted weather responses as Parquet with a variant column.
+
+    Spark shreds the variant: paths that most bodies share become typed
+    columns of the file, the rest of a body stays beside them. A reader
+    (``feeds.read_landed_weather``) then scans the paths that it uses.
+    """
+    wrap_responses(env, key, query, status, body).write.mode("errorifexists").parquet(path)

@@ -3,9 +3,9 @@
 Feeds are read with an explicit schema (no inference job, no analysis
 failure on an empty array or a missing object) in FAILFAST mode, so a
 truncated file raises instead of turning into an all-null row.
-Multi-line JSON arrays (the landing format of the original feed) are not
-splittable — one task per file; ``multiline=False`` reads JSON-lines
-landings, which split across tasks.
+Multi-line JSON arrays (the landing format of the original feed) are read by
+one task per file, or with ``split`` by byte ranges (``sources.arrays``);
+``multiline=False`` reads JSON-lines landings, which split across tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from aerostat import schemas
 from aerostat.functions.lookup import CITY_TO_IATA, lookup
 from aerostat.functions.scalars import default_unknown, variant_float, variant_string
 from aerostat.operators.flatten import flatten
+from aerostat.sources.arrays import read_arrays
 
 # the day folder of a landed file: ``.../2025-04-02/data.json`` (one JSON
 # array per day) or ``.../ingest_date=2025-04-02/part-*.json`` (JSON lines)
@@ -44,16 +45,22 @@ def read_json_records(
     schema: T.StructType,
     multiline: bool = True,
     with_day: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """Scan JSON arrays (or JSON lines) with a fixed schema.
 
     A missing path fails at analysis (PATH_NOT_FOUND, S4); a corrupt file
     fails the job (FAILFAST). ``with_day`` adds ``ingest_date`` taken from
     the ``YYYY-MM-DD`` folder of each file, so many days scan in one job.
+    ``split`` reads a large array by several tasks.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise FileNotFoundError("no input paths given")
+    if multiline and split:
+        day = F.regexp_extract(F.col("_metadata.file_path"), DAY_FROM_PATH, 1)
+        rows = read_arrays(spark, paths, schema, day if with_day else None)
+        return rows.withColumn("ingest_date", F.to_date(F.nullif("tag", F.lit("")))).drop("tag") if with_day else rows
     df = (
         spark.read.schema(schema)
         .option("multiLine", multiline)
@@ -75,9 +82,10 @@ def flights(raw: DataFrame) -> DataFrame:
     return flatten(raw, schemas.FLIGHT_FIELDS, keep)
 
 
-def read_flights(spark: SparkSession, paths, multiline: bool = True, with_day: bool = False) -> DataFrame:
+def read_flights(spark: SparkSession, paths, multiline: bool = True, with_day: bool = False,
+                 split: bool = False) -> DataFrame:
     """Raw flight feed -> flight frame (S1 + P1)."""
-    return flights(read_json_records(spark, paths, schemas.FLIGHT_RAW, multiline, with_day))
+    return flights(read_json_records(spark, paths, schemas.FLIGHT_RAW, multiline, with_day, split))
 
 
 def weather(raw: DataFrame, condition_mode: str = "intent", city_to_iata=CITY_TO_IATA,
@@ -114,6 +122,16 @@ def weather(raw: DataFrame, condition_mode: str = "intent", city_to_iata=CITY_TO
     )
 
 
+def read_landed_weather(spark: SparkSession, path: str, condition_mode: str = "intent", city_to_iata=CITY_TO_IATA,
+                        keep: Sequence[str] = ()) -> DataFrame:
+    """Weather landed by ``envelopes.land_wrappers`` -> weather frame.
+
+    The scan reads the four paths of the bodies that are used, as typed
+    columns where the files have them shredded, and no whole body.
+    """
+    return weather(spark.read.schema(schemas.WEATHER_RAW).parquet(path), condition_mode, city_to_iata, keep)
+
+
 def read_weather(
     spark: SparkSession,
     paths,

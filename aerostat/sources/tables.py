@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,40 @@ def scan_day_folders(spark: SparkSession, root: str, days: Sequence, dataset: st
     return df.withColumn("ingest_date", F.to_date(day))
 
 
+def rows_on_days(facts: DataFrame, days: DataFrame, day_col: str = "ingest_date") -> DataFrame:
+    """Rows of a day-partitioned dataset on days that are data themselves (S3, F1).
+
+    ``days`` is any frame whose first column is a day: the result of a
+    query, a calendar, a work list. It is reduced to distinct days, at most
+    one row per day of the calendar, and broadcast; dynamic partition
+    pruning then reads the folders of these days only. Null days select
+    nothing.
+    """
+    chosen = days.select(F.col(f"`{days.columns[0]}`").cast("date").alias("__chosen_day")).distinct()
+    # always true; pruning is only planned for a side that is filtered
+    chosen = chosen.where(F.col("__chosen_day") >= F.lit("0001-01-01").cast("date"))
+    return facts.join(F.broadcast(chosen), F.col(day_col) == F.col("__chosen_day"), "left_semi")
+
+
+def landed_days(spark: SparkSession, root: str) -> DataFrame:
+    """The days that have a folder under ``root`` (``2025-04-02`` or ``ingest_date=2025-04-02``), one row a day.
+
+    Folder names are listed on the driver, as many as there are days. A day
+    written without rows has a folder. A root that does not exist has none.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in store.listStatus(path) if f.isDirectory()] if store.exists(path) else []
+    found = [m.group(1) for m in (re.fullmatch(r"(?:\w+=)?(\d{4}-\d{2}-\d{2})", n) for n in names) if m]
+    return spark.createDataFrame([(dt.date.fromisoformat(d),) for d in sorted(set(found))], "day date")
+
+
+def absent_days(requested: DataFrame, landed: DataFrame) -> DataFrame:
+    """Requested days that were never landed (S4), as a report instead of a failure."""
+    wanted = requested.select(F.col(f"`{requested.columns[0]}`").cast("date").alias("day")).where("day IS NOT NULL").distinct()
+    return wanted.join(landed.select("day").distinct(), "day", "left_anti")
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """Full scan of a catalog table."""
     return spark.table(name)
