@@ -31,7 +31,12 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
     df.write.partitionBy(*[by] * bool(by)).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one struct ``row``, so that nothing beside it can clash; ``row.*`` brings them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
 
 
 def word_count(text: Column) -> Column:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import staged, word_count
+from aerostat.llm.common import staged, whole_row, word_count
 
 DIGITS = 3  # hex digits added per level: 4,096 buckets a source
 
@@ -77,14 +77,13 @@ def _boundary(spark, sized: DataFrame, rest: dict[str, float]) -> dict[str, tupl
 
 
 def _marked(docs: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
-    """``docs`` with the key of the source, the number of words and the place in the source."""
+    """Each row with the key of its source, its number of words and its place in the source."""
     ident = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
-    return docs.withColumns({
+    return docs.select(
+        whole_row(docs), F.col(doc_id).alias("doc_id"),
         # a source's key is never null, so that it joins
-        "__mix_key": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("")),
-        "__mix_size": word_count(F.col(text)),
-        "__mix_digest": F.md5(ident),
-    })
+        F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("")).alias("key"),
+        word_count(F.col(text)).alias("size"), F.md5(ident).alias("digest"))
 
 
 def _plan(sized: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
@@ -107,9 +106,8 @@ def _copies(digest: str) -> Column:
     return F.col("copies") + once_more.cast("int")
 
 
-def _sized(marked: DataFrame, doc_id: str) -> DataFrame:
-    return staged(marked.select(F.col(doc_id).alias("doc_id"), F.col("__mix_key").alias("key"),
-                                F.col("__mix_size").alias("size"), F.col("__mix_digest").alias("digest")), "mix_rows")
+def _sized(marked: DataFrame) -> DataFrame:
+    return staged(marked.select("doc_id", "key", "size", "digest"), "mix_rows")
 
 
 def mix_sources(
@@ -131,7 +129,7 @@ def mix_sources(
     an empty table gives no rows. Other columns of ``docs`` are ignored.
     The driver holds one row per source.
     """
-    sized = _sized(_marked(docs, text, doc_id, source), doc_id)
+    sized = _sized(_marked(docs, text, doc_id, source))
     return sized.join(_plan(sized, weights, most), "key").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * _copies("digest")).alias("taken"))
 
@@ -147,16 +145,11 @@ def mix_documents(
     """The mix itself: each row of ``docs``, unchanged, as often as ``mix_sources`` takes it.
 
     A document without words costs nothing; it goes by its digest like the
-    others. Texts are not shuffled.
+    others. Texts are not shuffled. Columns may have any names and types.
     """
     marked = _marked(docs, text, doc_id, source)
-    plan = _plan(_sized(marked, doc_id), weights, most).select(
-        F.col("key").alias("__mix_key"), F.struct("copies", "cut", "with_cut").alias("__mix_plan"))
-    once_more = (F.col("__mix_digest") < F.col("__mix_plan.cut")) | (
-        F.col("__mix_plan.with_cut") & (F.col("__mix_digest") == F.col("__mix_plan.cut")))
-    copies = F.col("__mix_plan.copies") + once_more.cast("int")
-    return marked.join(plan, "__mix_key").withColumn(
-        "__mix_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    taken = marked.join(_plan(_sized(marked), weights, most), "key")
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), _copies("digest"))).alias("copy")).select("row.*")
 
 
 MIX_SQL = r"""

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import small_batches, staged
+from aerostat.llm.common import small_batches, staged, whole_row
 from aerostat.llm.components import components
 
 TILE = 4096  # fingerprints of a tile, about
@@ -158,14 +158,18 @@ def drop_near_duplicates(docs: DataFrame, length: int = 3, radius: int = 3, text
                          doc_id: str = "doc_id") -> DataFrame:
     """One row of each component, unchanged: the smallest id (null last), of several the smallest text digest.
 
-    Rows that repeat that id and text are one document. Any columns and
-    names may stand beside; only the chosen keys meet the texts again.
+    Rows that repeat that id and text are one document: of those that differ
+    in other columns the least by these, as text, stays, so reruns agree.
+    Columns may have any names and types; only the chosen keys meet the
+    texts again.
     """
     own = staged(fingerprints(docs, length, text, doc_id), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
     known = own.groupBy("fp").agg(first)
     chosen = _by_fingerprint(known, radius).groupBy("root").agg(F.min("first").alias("first"))
     key = lambda i, d: F.concat(F.coalesce(i.cast("string"), F.lit("")), F.lit(":"), d)
-    stay = chosen.select(key(F.col("first.doc_id"), F.col("first.digest")).alias("__row_key"))
-    whole = docs.withColumn("__row_key", key(F.col(doc_id).cast("long"), F.md5(F.coalesce(F.col(text), F.lit("")))))
-    return whole.join(stay, "__row_key", "left_semi").dropDuplicates(["__row_key"]).select(*docs.columns)
+    stay = chosen.select(key(F.col("first.doc_id"), F.col("first.digest")).alias("key"))
+    others = F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (doc_id, text)]))
+    body = F.coalesce(F.col(text), F.lit(""))
+    whole = docs.select(whole_row(docs), key(F.col(doc_id).cast("long"), F.md5(body)).alias("key"), others.alias("others"))
+    return whole.join(stay, "key", "left_semi").groupBy("key").agg(F.min_by("row", "others").alias("row")).select("row.*")

@@ -558,7 +558,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, text: st
     small_batches(spark)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"),
-                       *[F.struct(*keep).alias("carried")] * bool(keep))
+                       *[F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried")] * bool(keep))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // piece_bytes))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * piece_bytes)))

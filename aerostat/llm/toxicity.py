@@ -314,4 +314,5 @@ def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.7, text: str = "t
         for b in batches:
             yield b.filter(pa.array([probability(tokens(t.as_py()), shared.value) < limit for t in b.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # mapInArrow takes no names with dots
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
