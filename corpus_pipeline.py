@@ -15,7 +15,8 @@ source and n_chars:
 5. byte-level BPE: ids of every text, and the text decoded from them.
 
 Null texts count as empty, null ids are ids of their own kind (see the
-operators), repeated rows stay repeated, and an empty table passes through.
+operators), rows that repeat id and text are one document from stage 2 on,
+and an empty table passes through. Columns may have any names.
 """
 
 from __future__ import annotations
