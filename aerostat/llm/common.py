@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,16 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps.
+
+    It does so when the driver's JVM finds that nothing refers to them,
+    which a driver with memory to spare may not look for in hours.
+    """
+    gc.collect()  # Python's references to the steps' plans
+    spark.sparkContext._jvm.System.gc()
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of a row as one struct ``row``, so that nothing beside it can clash; ``row.*`` brings them back."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")

@@ -19,7 +19,7 @@ from aerostat.llm.quality import quality_sql, repetition_quality
 from aerostat.llm.sharding import shard_documents
 from aerostat.llm.simhash import near_duplicates
 from aerostat.llm.suffix_dedup import REPEATS_SQL, remove_repeats
-from aerostat.llm.token_files import read_token_files, vocabulary_size, write_token_files
+from aerostat.llm.token_files import read_token_files, write_token_files
 from aerostat.llm.topk import TOP_K_SQL, top_k
 from aerostat.llm.toxicity import score_toxicity, train
 from aerostat.llm.warc import WARC_SQL, read_warc, write_warc
@@ -86,7 +86,7 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    files = write_token_files(table(spark, sf_dir, "documents"), path, end=1)
+    root, manifest = write_token_files(table(spark, sf_dir, "documents"), path, end=1)
 
     def digests(batches):
         for b in batches:
@@ -97,7 +97,7 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), pa.array(np.diff(ends).astype(np.int64)),
                                               pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_token_files(files, vocabulary_size(path)).mapInArrow(
+    return read_token_files(root, manifest).mapInArrow(
         digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -1,16 +1,18 @@
 """Compressed token-id files: an adaptive context-mixing range coder.
 
 A file holds segments of whole documents. A segment's ids form one stream,
-cut into blocks of a fixed number of ids. Each block is coded by itself,
-from a fresh model, and carries a checksum, so any block can be read alone.
-
-Order 1 and order 2 predict the next id from the last one and the last two
-ids; order 0 is an adaptive distribution over groups of ids. How likely each
-order's prediction is right is learnt per state of confidence of both, which
-mixes the orders; the outcome (order 2 right, order 1 right, neither) is one
-step of the range coder, and an id that no order predicted is a second step
-under order 0. All blocks of a segment are coded side by side in numpy, one
-id of every block at a time.
+cut into blocks of a fixed number of ids. Each block is coded by itself and
+carries a checksum, so any block can be read alone: it begins with the
+distribution of the segment's ids, which its head holds, and with nothing
+learnt.
+
+Order 0 is that distribution. Order 1 keeps, per last id, the two next ids
+that it has counted most, order 2 the one per last two ids, in hashed slots.
+What the counts of a slot are worth as a probability is learnt as well, per
+state of the counts: these are the weights by which the three orders are
+mixed. The probability of an id is the sum of what all orders give it, and
+one step of the range coder. All blocks of a segment are coded side by side
+in numpy, one id of every block at a time.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -29,85 +32,143 @@ from tokenizers import Tokenizer
 
 from aerostat.llm.common import press_texts, small_batches, staged, tidied
 from aerostat.llm.distinct_words import Piece, encoded_words
+from aerostat.llm.files import filesystem, write_whole
+from aerostat.llm.ranges import byte_ranges, range_of
+from aerostat.session import scratch_path
 
 BLOCK = 2048  # ids of a block
 SEGMENT = 8 << 20  # ids of a segment, about; a longer document is a segment of its own
 PIECE = 8 << 20  # text bytes of a piece, about
-MAGIC = b"IDRC"
-_HEAD = struct.Struct("<4sII")  # of a segment: mark, ids of a block, blocks
+MAGIC = b"IDR2"
+_HEAD = struct.Struct("<4sIII")  # of a segment: mark, ids of a block, blocks, bytes of the packed distribution
 _BLOCK = struct.Struct("<III")  # of a block: ids, coded 16-bit words, checksum
 
-_ONE, _TWO = 1 << 10, 1 << 11  # slots of the tables of order 1 and 2
-_SIDE = 1 << 16  # sum of the order-0 weights
+_ONE, _TWO = 1 << 10, 1 << 11  # slots of the tables of order 1 and 2, per block
+_SURE = 7  # counts of a slot stop here
+_MIX = 12  # bits of the weights of the mixture
+# chances of being right, of 4,096, that a block begins with, by the counts: of order 2; of order 1 by the counts of
+# its first guess (0, 1, more) and its second (0, 1, more)
+START_TWO = np.array([160, 230, 1300, 1600, 1600, 1700, 1900, 2400])
+_FIRST = np.array([[96, 96, 96], [360, 110, 110], [680, 220, 530]])
+_SECOND = np.array([[40, 40, 40], [110, 160, 160], [240, 170, 310]])
+_N = np.minimum(np.arange(8), 2)
+START_ONE = (_FIRST[_N[:, None], _N] << 16 | _SECOND[_N[:, None], _N]).ravel()
 _U = np.uint64
-_TOP, _BOTTOM = _U(1 << 48), _U(1 << 32)
+_TOP, _BOTTOM = _U(1 << 48), _U(1 << 44)
+
+
+class Distribution:
+    """Order 0: the ids of a segment by falling frequency, and their shares of ``1 << bits``."""
+
+    def __init__(self, ids: np.ndarray, shares: np.ndarray):
+        self.ids, self.shares = ids, shares
+        self.bits = int(shares.sum()).bit_length() - 1
+        self.upto = np.concatenate([[0], np.cumsum(shares)])
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Distribution:
+        found, n = np.unique(ids, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        found, n = found[order], n[order]
+        total = 1 << max(20, len(found).bit_length() + 2)
+        shares = 1 + n * (total - len(found)) // n.sum()
+        shares[0] += total - shares.sum()
+        return cls(found, shares)
+
+    def packed(self) -> bytes:
+        """Differences of the shares, which fall after the first, and the ids."""
+        return zlib.compress(b"".join(x.astype("<u4").tobytes() for x in (
+            np.array([len(self.ids)]), self.ids, self.shares[:1], -np.diff(self.shares))))
+
+    @classmethod
+    def unpacked(cls, raw: bytes) -> Distribution:
+        flat = np.frombuffer(zlib.decompress(raw), "<u4").astype(np.int64)
+        n = int(flat[0])
+        return cls(flat[1:n + 1], np.concatenate([flat[n + 1:n + 2], flat[n + 1] - np.cumsum(flat[n + 2:])]))
 
 
 class _Model:
-    """Prediction state of all blocks ("lanes") of a segment. Tables of all lanes are laid end to end."""
+    """What all blocks ("lanes") of a segment have learnt. Ids are ranks by frequency; tables are laid end to end."""
 
-    def __init__(self, lanes: int, vocabulary: int):
-        self.shift = max(0, (vocabulary - 1).bit_length() - 8)  # ids of a group, as a power of two
-        self.groups = ((vocabulary - 1) >> self.shift) + 1
-        self.bits = _U(16 + self.shift)  # of the second step's total
+    def __init__(self, lanes: int, prior: Distribution):
+        self.prior = prior
         lane = np.arange(lanes)
-        self.one, self.two = np.zeros(lanes * _ONE, np.int32), np.zeros(lanes * _TWO, np.int32)
-        self.all_one, self.all_two, self.all_state = lane * _ONE, lane * _TWO, lane * 32
-        self.all_count, self.all_upto = lane * self.groups, lane * (self.groups + 1)
-        # chance of order 2, and of order 1 if order 2 is wrong, of 4,096
-        self.right_two = np.full(lanes * 32, 512, np.int32)
-        self.right_one = np.full(lanes * 32, 512, np.int32)
-        self.count = np.zeros(lanes * self.groups, np.int32)
-        self.upto = np.zeros(lanes * (self.groups + 1), np.int32)
-        self.refresh()
+        # a slot: rank << 3 | count; of order 1 two of them, the lower half the more frequent
+        self.one, self.two = np.zeros(lanes * _ONE, np.int64), np.zeros(lanes * _TWO, np.int32)
+        self.all_one, self.all_two, self.all_state_one, self.all_state_two = lane * _ONE, lane * _TWO, lane * 64, lane * 8
+        # chance of being right by the counts, of 4,096: order 2; order 1, its first guess << 16 | its second
+        self.right_two = np.tile(START_TWO, lanes)
+        self.right_one = np.tile(START_ONE, lanes)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.step = 0
 
     def narrow(self, n: int) -> None:
         """Go on with the first ``n`` lanes."""
-        for name in ("all_one", "all_two", "all_state", "all_count", "all_upto", "last", "before"):
+        for name in ("all_one", "all_two", "all_state_one", "all_state_two", "last", "before"):
             setattr(self, name, getattr(self, name)[:n])
 
-    def refresh(self) -> None:
-        """Weights of the groups from their counts so far; each keeps one at least."""
-        count = self.count.reshape(-1, self.groups)
-        even = (_SIDE - self.groups) // 64 // self.groups + 1  # a part is spread evenly
-        free = _SIDE - even * self.groups
-        upto = self.upto.reshape(-1, self.groups + 1)
-        np.cumsum(count, axis=1, out=upto[:, 1:])
-        total = np.maximum(upto[:, -1:].astype(np.int64), 1)
-        seen = upto[:, 1:] * free // total
-        seen[upto[:, -1] == 0] = free * np.arange(1, self.groups + 1) // self.groups
-        upto[:, 1:] = seen + even * np.arange(1, self.groups + 1)
-
     def predict(self) -> None:
+        """Guesses ``g`` and weights ``w`` of order 2 and order 1 (two), and the weight ``rest`` of order 0."""
         last = self.last * 0x9E3779B1
-        self.at_one = self.all_one + ((last >> 12) & (_ONE - 1))
+        self.at_one = self.all_one + ((last >> 9) & (_ONE - 1))
         self.at_two = self.all_two + ((last + self.before * 0x85EBCA6B >> 11) & (_TWO - 1))
-        self.say_one, self.say_two = self.one.take(self.at_one), self.two.take(self.at_two)
-        self.id_one, self.id_two = self.say_one >> 2, self.say_two >> 2
-        self.sure_one, self.sure_two = self.say_one & 3, self.say_two & 3
-        self.at_state = self.all_state + (self.sure_two << 2) + self.sure_one + ((self.id_one == self.id_two) << 4)
-        self.p_two, self.p_one = self.right_two.take(self.at_state), self.right_one.take(self.at_state)
-        self.two_width = self.p_two << 12
-        self.one_width = (4096 - self.p_two) * self.p_one
-
-    def learn(self, ids: np.ndarray, hit_two: np.ndarray, right_one: np.ndarray, missed: np.ndarray) -> None:
-        """``right_one``: order 1 was right; ``missed``: the lanes in which no order was, with the group below."""
-        p = self.p_two
-        self.right_two[self.at_state] = p + ((hit_two * 4000 + 56 - p) >> 4)
-        p = self.p_one
-        self.right_one[self.at_state] = p + np.where(hit_two, 0, (right_one * 4000 + 56 - p) >> 4)
-        fresh = (ids << 2) | 1
-        self.one[self.at_one] = np.where(right_one, self.say_one + (self.sure_one < 3),
-                                         np.where(self.sure_one > 0, self.say_one - 1, fresh))
-        self.two[self.at_two] = np.where(hit_two, self.say_two + (self.sure_two < 3),
-                                         np.where(self.sure_two > 0, self.say_two - 1, fresh))
-        self.count[self.all_count[missed] + (ids[missed] >> self.shift)] += 1
+        one = self.one.take(self.at_one)
+        self.say_two = self.two.take(self.at_two).astype(np.int64)
+        self.first, self.second = one & 0xFFFFFFFF, one >> 32
+        self.n = self.say_two & 7, self.first & 7, self.second & 7
+        self.g = self.say_two >> 3, self.first >> 3, self.second >> 3
+        self.state_two = self.all_state_two + self.n[0]
+        self.state_one = self.all_state_one + (self.n[1] << 3) + self.n[2]
+        self.p_two, p_one = self.right_two.take(self.state_two), self.right_one.take(self.state_one)
+        self.p_first, self.p_second = p_one >> 16, p_one & 0xFFFF
+        rest = (1 << _MIX) - self.p_two
+        first = rest * self.p_first >> _MIX
+        rest = rest - first
+        second = rest * self.p_second >> _MIX
+        self.rest = rest - second  # 1 at least: 4096 less 4032, and of that twice no more than 15/16
+        self.w = self.p_two, first, second
+
+    def learn(self, ids: np.ndarray) -> None:
+        hit_two, hit_first, hit_second = (g == ids for g in self.g)
+        n_two, n_first, n_second = self.n
+        self.right_two[self.state_two] = self.p_two + ((hit_two * 4000 + 32 - self.p_two) >> 4)
+        # order 1 answers for what order 2 does not know
+        open_two = ~hit_two
+        first = self.p_first + ((hit_first * 3800 + 32 - self.p_first) >> 4) * open_two
+        second = self.p_second + ((hit_second * 3800 + 32 - self.p_second) >> 4) * (open_two & ~hit_first)
+        self.right_one[self.state_one] = first << 16 | second
+        fresh = ids << 3 | 1
+        self.two[self.at_two] = np.where(hit_two, self.say_two + (n_two < _SURE), np.where(n_two > 1, self.say_two - 1, fresh))
+        second = np.where(hit_second, self.second + (n_second < _SURE), np.where(
+            hit_first, self.second, np.where(n_second > 1, self.second - 1, fresh)))
+        first = self.first + (hit_first & (n_first < _SURE))
+        swap = (second & 7) > (first & 7)
+        self.one[self.at_one] = np.where(swap, second | first << 32, first | second << 32)
         self.before, self.last = self.last, ids
-        self.step += 1
-        if self.step % 256 == 0 or self.step in (8, 16, 32, 64, 128):
-            self.refresh()
+
+    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of each id in the mixture, of a total of ``1 << _MIX + prior.bits``."""
+        start, width = np.zeros_like(ids), np.zeros_like(ids)
+        for g, w in zip(self.g, self.w):
+            start += w * (g < ids)
+            width += w * (g == ids)
+        bits = self.prior.bits
+        return (start << bits) + self.rest * self.prior.upto.take(ids), (width << bits) + self.rest * self.prior.shares.take(ids)
+
+    def find(self, value: np.ndarray, rank_of: np.ndarray) -> np.ndarray:
+        """Ids whose intervals hold the values. ``rank_of`` maps a place in order 0 to its id."""
+        bits, upto = self.prior.bits, self.prior.upto
+        found, below = None, np.zeros_like(value)  # below: weights of the guesses before the value
+        for g, w in zip(self.g, self.w):
+            less, own = np.zeros_like(value), np.zeros_like(value)
+            for g2, w2 in zip(self.g, self.w):
+                less += w2 * (g2 < g)
+                own += w2 * (g2 <= g)
+            passed = (own << bits) + self.rest * upto.take(g + 1) <= value
+            here = ((less << bits) + self.rest * upto.take(g) <= value) & ~passed
+            below += w * passed
+            found = np.where(here, g, -1 if found is None else found)
+        other = rank_of.take((value - (below << bits)) // self.rest, mode="clip")  # clipped where a guess is right
+        return np.where(found < 0, other, found)
 
 
 class _Coder:
@@ -120,9 +181,9 @@ class _Coder:
     def __init__(self, lanes: int, shifted):
         self.low, self.span, self.shifted = np.zeros(lanes, _U), np.full(lanes, ~_U(0)), shifted
 
-    def settle(self, some: np.ndarray | None = None) -> None:
-        """Shift out what is certain, in all lanes or those listed."""
-        a, b = (self.low, self.span) if some is None else (self.low[some], self.span[some])
+    def settle(self) -> None:
+        """Shift out what is certain; then every interval is ``_BOTTOM`` wide at least."""
+        a, b, some = self.low, self.span, None
         while True:
             sure = (a ^ (a + b)) < _TOP
             small = b < _BOTTOM
@@ -142,34 +203,27 @@ class _Coder:
     def narrow(self, n: int) -> None:
         self.low, self.span = self.low[:n], self.span[:n]
 
-    def first(self, start: np.ndarray, width: np.ndarray) -> None:
-        """Take a part of every lane, of a total of 2**24."""
-        unit = self.span >> _U(24)
+    def take(self, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
         self.low += unit * start.astype(_U)
         self.span = unit * width.astype(_U)
 
-    def ready(self, some: np.ndarray, bits: np.uint64) -> None:
-        """Make room for a second part in the lanes listed."""
-        tight = some[self.span[some] < (_U(1) << (bits + _U(8)))]
-        if len(tight):
-            self.settle(tight)
-
-    def second(self, some: np.ndarray, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        self.low[some] += unit * start.astype(_U)
-        self.span[some] = unit * width.astype(_U)
-
 
-def encode_segment(ids: np.ndarray, vocabulary: int, block: int = BLOCK) -> bytes:
-    """Code a stream of ids below ``vocabulary``."""
+def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
+    """Code a stream of ids below 2**32."""
     lanes = -(-len(ids) // block)
-    out = [_HEAD.pack(MAGIC, block, lanes)]
     if not lanes:
-        return out[0]
+        return _HEAD.pack(MAGIC, block, 0, 0)
+    prior = Distribution.of(ids)
+    packed = prior.packed()
+    out = [_HEAD.pack(MAGIC, block, lanes, len(packed)), packed]
+    by_id = np.argsort(prior.ids)
     last = len(ids) - block * (lanes - 1)
-    flat = np.zeros(lanes * block, np.int32)
-    flat[:len(ids)] = ids
-    grid = np.ascontiguousarray(flat.reshape(lanes, block)[:, :block if lanes > 1 else last].T).astype(np.int64)
-    model = _Model(lanes, vocabulary)
+    flat = np.zeros(lanes * block, np.int64)
+    flat[:len(ids)] = by_id[np.searchsorted(prior.ids, ids, sorter=by_id)]
+    grid = np.ascontiguousarray(flat.reshape(lanes, block)[:, :block if lanes > 1 else last].T)
+    del flat
+    model = _Model(lanes, prior)
+    total = _U(_MIX + prior.bits)
     room = len(grid) + 64
     words, at = np.zeros(lanes * room, np.uint16), np.zeros(lanes, np.int64)
 
@@ -180,7 +234,6 @@ def encode_segment(ids: np.ndarray, vocabulary: int, block: int = BLOCK) -> byte
 
     coder = _Coder(lanes, shifted)
     rest = []  # of the last lane, when it is over
-    mask = (1 << model.shift) - 1
     for step, row in enumerate(grid):
         if lanes > 1 and step == last:
             rest.append(coder.low[-1])
@@ -188,21 +241,9 @@ def encode_segment(ids: np.ndarray, vocabulary: int, block: int = BLOCK) -> byte
             coder.narrow(lanes - 1)
         row = row[:len(coder.low)]
         model.predict()
-        hit_two, right_one = model.id_two == row, model.id_one == row
-        two, one = model.two_width, model.one_width
-        both = two + one
-        coder.first(np.where(hit_two, 0, np.where(right_one, two, both)),
-                    np.where(hit_two, two, np.where(right_one, one, (1 << 24) - both)))
-        missed = np.flatnonzero(~(hit_two | right_one))
-        if len(missed):
-            coder.ready(missed, model.bits)
-            own = row[missed]
-            place = model.all_upto[missed] + (own >> model.shift)
-            first = model.upto.take(place).astype(np.int64)
-            weight = model.upto.take(place + 1) - first
-            coder.second(missed, coder.span[missed] >> model.bits, (first << model.shift) + weight * (own & mask), weight)
+        coder.take(coder.span >> total, *model.interval(row))
         coder.settle()
-        model.learn(row, hit_two, right_one, missed)
+        model.learn(row)
         if step % 16 == 0 and at.max() + 64 > room:
             words, room = np.concatenate([words.reshape(lanes, room), np.zeros((lanes, room), np.uint16)], axis=1).ravel(), \
                 2 * room
@@ -218,24 +259,35 @@ def encode_segment(ids: np.ndarray, vocabulary: int, block: int = BLOCK) -> byte
     return b"".join(out)
 
 
-def decode_segment(raw: bytes, vocabulary: int) -> np.ndarray:
-    """Ids of a segment; a damaged block raises ``ValueError``."""
-    mark, block, lanes = _HEAD.unpack_from(raw)
-    if mark != MAGIC:
-        raise ValueError("not a segment of token ids")
-    if not lanes:
+def _blocks(raw: bytes) -> tuple[Distribution | None, list[tuple[int, np.ndarray, int]]]:
+    """The distribution of a segment, and ids, coded words and checksum of its blocks."""
+    try:
+        mark, _, lanes, packed = _HEAD.unpack_from(raw)
+        if mark != MAGIC:
+            raise ValueError("not a segment of token ids")
+        prior = Distribution.unpacked(raw[_HEAD.size:_HEAD.size + packed]) if lanes else None
+        at, blocks = _HEAD.size + packed, []
+        for _ in range(lanes):
+            size, n, crc = _BLOCK.unpack_from(raw, at)
+            at += _BLOCK.size
+            blocks.append((size, np.frombuffer(raw, "<u2", n, at), crc))
+            at += 2 * n
+    except (struct.error, zlib.error) as e:
+        raise ValueError("not a segment of token ids, or a damaged one") from e
+    return prior, blocks
+
+
+def decode_segment(raw: bytes, only: int | None = None) -> np.ndarray:
+    """Ids of a segment, or of one of its blocks; a damaged block raises ``ValueError``."""
+    prior, blocks = _blocks(raw)
+    if only is not None:
+        blocks = blocks[only:only + 1]
+    if not blocks:
         return np.zeros(0, np.int64)
-    at, sizes, coded, sums = _HEAD.size, [], [], []
-    for _ in range(lanes):
-        size, n, crc = _BLOCK.unpack_from(raw, at)
-        at += _BLOCK.size
-        sizes.append(size)
-        coded.append(np.frombuffer(raw, "<u2", n, at))
-        sums.append(crc)
-        at += 2 * n
-    room = max(map(len, coded)) + 8
+    sizes, lanes = [b[0] for b in blocks], len(blocks)
+    room = max(len(b[1]) for b in blocks) + 8
     words = np.zeros((lanes, room), np.uint16)
-    for k, own in enumerate(coded):
+    for k, (_, own, _) in enumerate(blocks):
         words[k, :len(own)] = own
     words, last = words.ravel(), sizes[-1]
     code = np.zeros(lanes, _U)
@@ -250,50 +302,29 @@ def decode_segment(raw: bytes, vocabulary: int) -> np.ndarray:
         code[some] = (code[some] << _U(16)) | words.take(np.minimum(place, limit[some])).astype(_U)
         next_word[some] = place + 1
 
-    model, coder = _Model(lanes, vocabulary), _Coder(lanes, shifted)
+    model, coder = _Model(lanes, prior), _Coder(lanes, shifted)
+    total = _U(_MIX + prior.bits)
+    most = (_U(1) << total) - _U(1)
+    rank_of = np.repeat(np.arange(len(prior.ids)), prior.shares)
     grid = np.zeros((max(sizes), lanes), np.int32)
-    search = []
-    while 1 << len(search) < model.groups:
-        search.insert(0, 1 << len(search))
     for step, row in enumerate(grid):
         if lanes > 1 and step == last:
             model.narrow(lanes - 1)
             coder.narrow(lanes - 1)
         n = len(coder.low)
         model.predict()
-        value = np.minimum((code[:n] - coder.low) // (coder.span >> _U(24)), _U((1 << 24) - 1)).astype(np.int64)
-        two, one = model.two_width, model.one_width
-        both = two + one
-        hit_two = value < two
-        hit_one = value < both
-        coder.first(np.where(hit_two, 0, np.where(hit_one, two, both)),
-                    np.where(hit_two, two, np.where(hit_one, one, (1 << 24) - both)))
-        ids = np.where(hit_two, model.id_two, model.id_one).astype(np.int64)
-        missed = np.flatnonzero(~hit_one)
-        if len(missed):
-            coder.ready(missed, model.bits)
-            unit = coder.span[missed] >> model.bits
-            value = np.minimum((code[missed] - coder.low[missed]) // unit, (_U(1) << model.bits) - _U(1)).astype(np.int64)
-            place, base = value >> model.shift, model.all_upto[missed]
-            end, group = base + model.groups - 1, base
-            for size in search:  # the last group that starts at or before the place
-                other = np.minimum(group + size, end)
-                group = np.where(model.upto.take(other) <= place, other, group)
-            first = model.upto.take(group).astype(np.int64)
-            weight = model.upto.take(group + 1) - first
-            first <<= model.shift
-            inside = np.minimum((value - first) // weight, (1 << model.shift) - 1)
-            coder.second(missed, unit, first + weight * inside, weight)
-            ids[missed] = ((group - base) << model.shift) | inside
+        unit = coder.span >> total
+        ids = model.find(np.minimum((code[:n] - coder.low) // unit, most).astype(np.int64), rank_of)
+        coder.take(unit, *model.interval(ids))
         coder.settle()
-        model.learn(ids, hit_two, model.id_one == ids, missed)
+        model.learn(ids)
         row[:n] = ids
     out = np.ascontiguousarray(grid.T)
-    flat = np.concatenate([out[k, :size] for k, size in enumerate(sizes)])
+    flat = prior.ids[np.concatenate([out[k, :size] for k, size in enumerate(sizes)])]
     plain, done = flat.astype("<u4"), 0
-    for k, size in enumerate(sizes):
-        if zlib.crc32(plain[done:done + size].tobytes()) != sums[k]:
-            raise ValueError(f"block {k} is damaged")
+    for k, (size, _, crc) in enumerate(blocks):
+        if zlib.crc32(plain[done:done + size].tobytes()) != crc:
+            raise ValueError(f"block {k if only is None else only} is damaged")
         done += size
     return flat
 
@@ -320,12 +351,42 @@ def _ascii_words():
     return bytes.split
 
 
-FILES = "piece long, seq int, docs array<bigint>, counts array<int>, data binary"
+# --- files ------------------------------------------------------------------------
+
+_PART = struct.Struct("<4sIII")  # of a segment in a file: mark, bytes of the packed documents, of the coded ids, checksum of the former
+PART = b"DOCS"
+NULL = -(1 << 63)  # written for a document without an id, which has a mask of its own
+
 
+def pack_part(docs: list[int | None], counts: np.ndarray, coded: bytes) -> bytes:
+    """A segment as it stands in a file: its documents, their numbers of ids, and the coded ids."""
+    names = np.array([NULL if d is None else d for d in docs], "<i8")
+    missing = np.array([d is None for d in docs], np.uint8)
+    known = zlib.compress(b"".join((struct.pack("<I", len(docs)), missing.tobytes(), names.tobytes(), counts.astype("<u4").tobytes())))
+    return _PART.pack(PART, len(known), len(coded), zlib.crc32(known)) + known + coded
 
-def _write(make_split, buckets: int, end: int, vocabulary: int, kind: type, segment: int):
-    schema = pa.schema([("piece", pa.int64()), ("seq", pa.int32()), ("docs", pa.list_(pa.int64())),
-                        ("counts", pa.list_(pa.int32())), ("data", pa.binary())])
+
+def read_parts(stream) -> Iterator[tuple[pa.Array, np.ndarray, bytes]]:
+    """Documents, numbers of ids and coded ids of the segments of a file, one after another."""
+    while head := stream.read(_PART.size):
+        if len(head) < _PART.size:
+            raise ValueError("a file of token ids is cut off")
+        mark, size, length, crc = _PART.unpack(head)
+        known, coded = stream.read(size), stream.read(length)
+        if mark != PART or len(coded) < length or zlib.crc32(known) != crc:
+            raise ValueError("a file of token ids is damaged")
+        flat = zlib.decompress(known)
+        n = struct.unpack_from("<I", flat)[0]
+        missing = np.frombuffer(flat, np.uint8, n, 4).astype(bool)
+        names = np.frombuffer(flat, "<i8", n, 4 + n)
+        yield pa.array(names, pa.int64(), mask=missing), np.frombuffer(flat, "<u4", n, 4 + 9 * n).astype(np.int64), coded
+
+
+MANIFEST = "file string, piece int, documents long, ids long, bytes long"
+
+
+def _write(make_split, buckets: int, end: int, kind: type, segment: int, root: str):
+    schema = pa.schema([("file", pa.string()), ("piece", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -335,38 +396,40 @@ def _write(make_split, buckets: int, end: int, vocabulary: int, kind: type, segm
         ids, ends = piece.reassemble(words, kind)
         counts = np.diff(ends) + 1
         ids = np.insert(ids, ends[1:], end)
-        upto, names, at, rows = np.cumsum(counts), piece.ids.to_pylist(), 0, []
-        while at < len(counts):
-            base = int(upto[at - 1]) if at else 0
-            to = max(at + 1, int(np.searchsorted(upto, base + segment, side="right")))
-            rows.append({"piece": number, "seq": len(rows), "docs": names[at:to], "counts": counts[at:to].tolist(),
-                         "data": encode_segment(ids[base:int(upto[to - 1])], vocabulary)})
-            at = to
-        return pa.Table.from_pylist(rows, schema)
+        upto, names = np.cumsum(counts), piece.ids.to_pylist()
+        total = len(ids)
+        del piece
+
+        def parts():
+            at = 0
+            while at < len(counts):
+                base = int(upto[at - 1]) if at else 0
+                to = max(at + 1, int(np.searchsorted(upto, base + segment, side="right")))
+                yield pack_part(names[at:to], counts[at:to], encode_segment(ids[base:int(upto[to - 1])]))
+                at = to
+
+        name = f"{number:08d}.ids"
+        row = {"file": name, "piece": number, "documents": len(counts), "ids": total, "bytes": write_whole(root, name, parts())}
+        return pa.Table.from_pylist([row], schema)
 
     return run
 
 
-def _bounds(rows: DataFrame, n: int) -> list[int]:
-    """Ids that cut the documents into about ``n`` runs."""
-    if n < 2:
-        return []
-    got = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000)).first()[0]
-    return sorted(set(got or []))
-
-
 def write_token_files(docs: DataFrame, tokenizer: str, end: int, text: str = "text", doc_id: str = "doc_id",
-                      piece_bytes: int = PIECE, segment: int = SEGMENT) -> DataFrame:
+                      piece_bytes: int = PIECE, segment: int = SEGMENT) -> tuple[str, DataFrame]:
     """Encode every whole text, append ``end``, and write the ids in ascending order of document ids.
 
     ``tokenizer`` names a file of the tokenizers library whose pre-tokenizer
-    drops white space. Returns the written table, one row per segment:
-    ``piece`` and ``seq`` (their order is that of the ids), the documents,
-    their id counts and the coded ``data``.
+    drops white space. Returns the folder and its manifest, one row per
+    file: ``file``, ``piece`` (their order is that of the ids) and the
+    numbers of ``documents``, ``ids`` and ``bytes``. A file holds a range of
+    ids of about ``piece_bytes`` of text, in segments, is written under a
+    temporary name and renamed; the manifest is stored last.
 
     Null and empty texts are an end alone. Null document ids come first;
-    rows with equal ids stand by a digest of the text. An empty table writes
-    nothing; long texts are coded whole; other columns are ignored.
+    rows with equal ids stand by a digest of the text, and a heavy id is cut
+    by it. An empty table writes nothing; long texts are coded whole; other
+    columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -374,52 +437,54 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int, text: str = "te
     if not 0 <= end < vocabulary:
         raise ValueError("the end id is not in the vocabulary")
     kind = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+    root = scratch_path(spark, "llm", "token_files")
+    fs, folder = filesystem(root)
+    fs.create_dir(folder, recursive=True)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"))
-    total, unnamed = rows.agg(F.sum(F.octet_length("text").cast("long")), F.sum(
-        F.when(F.col("doc_id").isNull(), F.octet_length("text").cast("long")))).first()
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.unhex(F.md5(body)).alias("digest"))
+    narrow = staged(rows.select(F.col("doc_id").alias("id"), "digest", F.octet_length("text").cast("long").alias("size")), "token_rows")
+    total = narrow.agg(F.sum("size")).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # no more than 100,000 bounds, whatever the input
-    pieces = min(100_000, max(least, -(-(total or 0) // piece_bytes)))
-    buckets = max(least, -(-(total or 0) // (4 * piece_bytes)))
-    bounds = spark.sparkContext.broadcast(np.array(_bounds(rows.where("doc_id IS NOT NULL"), pieces), np.int64))
-
-    @F.pandas_udf("long")
-    def piece_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds.value, ids.to_numpy(), side="right"))
-
-    spare = max(1, -(-(unnamed or 0) // piece_bytes))
-    dealt = press_texts(rows.withColumn("piece", F.when(F.col("doc_id").isNull(), F.pmod("digest", F.lit(spare)) - spare).otherwise(
-        piece_of(F.coalesce("doc_id", F.lit(0)))).cast("long")))
+    buckets = max(least, -(-total // (4 * piece_bytes)))
+    # a place per piece; smaller pieces where there would be fewer than tasks
+    places = spark.sparkContext.broadcast(byte_ranges(narrow, max(1, min(piece_bytes, total // least))))
+
+    @F.pandas_udf("long")  # like the words' piece: equal numbers of two types are dealt apart
+    def piece_of(ids: pd.Series, digests: pd.Series) -> pd.Series:
+        return pd.Series([range_of(places.value, None if pd.isna(i) else int(i), d) for i, d in zip(ids, digests)], dtype="int64")
+
+    dealt = press_texts(rows.withColumn("piece", piece_of(F.col("doc_id").cast("decimal(20,0)"), "digest")))
     words = encoded_words(dealt, _ascii_words, partial(_encoder, tokenizer), buckets, kind)
-    return staged(dealt.groupBy("piece").cogroup(words.groupBy("piece")).applyInArrow(
-        tidied(_write(_ascii_words, buckets, end, vocabulary, kind, segment)), FILES), "token_files")
-
-
-def read_token_files(files: DataFrame, vocabulary: int) -> DataFrame:
-    """``doc_id``, ``start`` (ids of all documents before), ``ids`` of every document, from the files."""
-    size = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
-    sizes = files.select("piece", "seq", size.alias("size"))
-    by_piece = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    in_piece = Window.partitionBy("piece").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = sizes.groupBy("piece").agg(F.sum("size").alias("size")).select(
-        "piece", F.coalesce(F.sum("size").over(by_piece), F.lit(0)).alias("base"))  # one row a piece
-    starts = sizes.join(pieces, "piece").select(
-        "piece", "seq", (F.col("base") + F.coalesce(F.sum("size").over(in_piece), F.lit(0))).alias("start"))
+    files = dealt.groupBy("piece").cogroup(words.groupBy("piece")).applyInArrow(
+        tidied(_write(_ascii_words, buckets, end, kind, segment, root)), MANIFEST)
+    return root, staged(files, "token_manifest")
+
+
+def read_token_files(root: str, manifest: DataFrame) -> DataFrame:
+    """``doc_id``, ``start`` (ids of all documents before), ``ids`` of every document, from the files.
+
+    Where a file starts follows from the manifest alone; a task reads one
+    file, segment by segment. One that is missing, cut off or changed fails.
+    """
+    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    starts = manifest.select("file", "documents", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
+        fs, folder = filesystem(root)
         for b in batches:
-            for r in range(b.num_rows):
-                docs, counts, data, start = (b.column(c)[r] for c in ("docs", "counts", "data", "start"))
-                ids = decode_segment(data.as_py(), vocabulary).astype(np.int32)
-                ends = np.concatenate([[0], np.cumsum(counts.values.to_numpy(zero_copy_only=False))])
-                for at in range(0, len(docs), 2048):
-                    some = slice(at, min(at + 2048, len(docs)) + 1)
-                    own = ends[some]
-                    yield pa.RecordBatch.from_arrays([
-                        docs.values.slice(at, len(own) - 1), pa.array(start.as_py() + own[:-1]),
-                        pa.ListArray.from_arrays(pa.array(own - own[0], pa.int32()), pa.array(ids[own[0]:own[-1]]))], schema=schema)
-
-    return files.join(starts, ["piece", "seq"]).select("docs", "counts", "data", "start").mapInArrow(
-        run, "doc_id long, start long, ids array<int>")
+            for name, documents, start in zip(*[c.to_pylist() for c in b.columns]):
+                with fs.open_input_stream(f"{folder}/{name}", compression=None) as stream:
+                    for docs, counts, coded in read_parts(stream):
+                        ids = decode_segment(coded).astype(np.int32)
+                        ends = np.concatenate([[0], np.cumsum(counts)])
+                        for at in range(0, len(docs), 2048):
+                            own = ends[at:at + 2049]
+                            yield pa.RecordBatch.from_arrays([
+                                docs.slice(at, len(own) - 1), pa.array(start + own[:-1]), pa.ListArray.from_arrays(
+                                    pa.array(own - own[0], pa.int32()), pa.array(ids[own[0]:own[-1]]))], schema=schema)
+                        start, documents = start + int(ends[-1]), documents - len(docs)
+                if documents:
+                    raise ValueError(f"{name} is cut off")
+
+    return starts.repartition(max(1, manifest.count())).mapInArrow(run, "doc_id long, start long, ids array<int>")

@@ -26,7 +26,6 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +33,7 @@ from pyspark.sql import functions as F
 
 from aerostat.llm.common import small_batches, staged, unpressed
 from aerostat.llm.copies import with_group_value
+from aerostat.llm.files import filesystem
 from aerostat.llm.ranges import byte_ranges, range_of
 from aerostat.session import scratch_path
 
@@ -53,15 +53,6 @@ RECORDS = ("page_id long, url string, record_type string, payload_bytes long, pa
            "refers_to long, payload binary")
 
 
-def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path as Spark writes it, and the path in it."""
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    if "://" not in path:
-        return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-
-
 def base32(sha1: bytes) -> str:
     return base64.b32encode(sha1).decode()
 
