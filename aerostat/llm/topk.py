@@ -20,7 +20,8 @@ from aerostat.llm.common import small_batches, staged
 CANDIDATES, QUERIES = 4096, 256  # vectors in a packed block
 BLOCKS = 8  # packed blocks that a task takes of either side
 STEP = 8  # dimensions added before candidates are compacted
-LARGEST = 1 << 26  # of a component; keeps inner products of 2,048 dimensions in a long
+LARGEST = 1 << 62  # a component from here on fails the job: no score of it could be a long
+SAFE = float(1 << 62)  # bound of the inner products that are summed as longs; others are summed as Python integers
 
 PACKED = "block long, dims int, ids binary, vectors binary"
 
@@ -88,6 +89,12 @@ def best_of(query: np.ndarray, own_rest: np.ndarray, vectors: np.ndarray, rest:
     return alive, score
 
 
+def _exact(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Inner products of any size; one that no long can hold raises ``OverflowError``."""
+    whole = [sum(a * b for a, b in zip(query.tolist(), v)) for v in vectors.T.tolist()]
+    return np.array(whole, np.int64)
+
+
 def _search(k: int):
     result = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -101,8 +108,14 @@ def _search(k: int):
                 queries = np.pad(queries, ((0, dims - len(queries)), (0, 0)))
                 there = np.pad(vectors, ((0, dims - len(vectors)), (0, 0)))
                 rest, own_rest = _remaining(there), _remaining(queries)
+                largest, own_largest = (np.abs(x).max(axis=0, initial=0).astype(np.float64) * max(dims, 1) ** 0.5 for x in (there, queries))
                 for i, one in enumerate(mine):
-                    at, score = best_of(queries[:, i], own_rest[:, i], there, rest, ids == one, k)
+                    wide = largest * own_largest[i] >= SAFE
+                    at, score = best_of(queries[:, i], own_rest[:, i], there, rest, (ids == one) | wide, k)
+                    if wide.any():
+                        more = np.flatnonzero(wide & (ids != one))
+                        at = np.concatenate([at, more])
+                        score = np.concatenate([score, _exact(queries[:, i], there[:, more])])
                     top = np.lexsort((ids[at], -score))[:k]
                     out["query"].append(np.full(len(top), block.column("block")[0].as_py() * QUERIES + i, np.int64))
                     out["query_id"].append(np.full(len(top), one, np.int64))
@@ -122,17 +135,19 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, vec
     the smaller id. Returns ``query_id``, ``rank`` (from 1), ``vec_id``,
     ``score``; fewer than ``k`` rows if there are fewer candidates.
 
-    Null ids, null vectors and vectors with a null, non-finite or larger
-    than 2**26 component (after scaling) take no part. Shorter vectors count
-    as padded with zeros. Rows that repeat an id are queries and candidates
+    Null ids, null vectors and vectors with a null or non-finite component
+    take no part. Large components are scored exactly; the job fails if a
+    score, or a scaled component, does not fit in a long. Shorter vectors
+    count as padded with zeros. Rows that repeat an id are queries and candidates
     of their own. An empty table gives no rows; other columns are ignored.
 
     A task holds up to 8 blocks of 4,096 candidates and 8 of 256 queries.
     """
     small_batches(vectors.sparkSession)
-    whole = F.transform(F.col(embedding), lambda x: F.floor(x.cast("double") * scale))
+    whole = F.transform(F.col(embedding), lambda x: F.when(F.abs(x.cast("double") * scale) < float(LARGEST), F.floor(
+        x.cast("double") * scale)).otherwise(F.raise_error(F.lit("a component is too large for a score"))))
     ok = ~F.exists(F.col(embedding), lambda x: x.isNull() | F.isnan(x.cast("double"))
-                   | (F.abs(x.cast("double") * scale) > float(LARGEST)))
+                   | (F.abs(x.cast("double")) == float("inf")))
     rows = vectors.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & ok).select(
         F.col(vec_id).cast("long").alias("vec_id"), whole.cast("array<bigint>").alias("vector"), queries.alias("asks"))
     pairs = rows.select("vec_id", "vector")

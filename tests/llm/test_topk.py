@@ -43,6 +43,20 @@ def test_fewer_candidates_than_asked(spark):
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 256 * 512)]
 
 
+def test_large_components_are_scored_exactly(spark):
+    rng = random.Random(8)
+    sizes = [1.0, 300_000.0, 3e6, 1e12]  # the last with small ones only
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * sizes[rng.choice([0, 0, 0, 1, 2])] for _ in range(9)]) for i in range(60)]
+    rows += [(60 + i, [0.0, 1e12 + i, 0.5]) for i in range(2)] + [(50, [0.25, 0.5 ** 8, -0.25])]
+    rows += [(63, [300_000.0]), (64, [300_000.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asks = (F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(r) for r in topk.top_k(df, asks, k=5).collect()) == brute(rows, 5)
+    for bad in (1e30, 4e12):  # a component that no long holds, a score that no long holds
+        with pytest.raises(Exception, match="too large|OverflowError|int too big"):
+            topk.top_k(spark.createDataFrame([(0, [bad, bad]), (1, [bad, bad])], "vec_id long, embedding array<double>"), asks).collect()
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 50 == 0).collect() == []
