@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -187,6 +188,37 @@ class RangeHash:
         return mix(h + (end - start).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
 
 
+_CHUNK = 1 << 20
+
+
+@lru_cache(maxsize=1)
+def _chunk_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_MULT, _CHUNK), _powers(_MULT_INV, _CHUNK)
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges that stand in order and apart, a chunk of the data at a time.
+
+    Equal bytes have equal hashes, wherever they stand. Beside the result
+    only tables of a chunk are held, however long the data are.
+    """
+    powers, inverse = _chunk_powers()
+    out = np.zeros(len(start), np.uint64)
+    for at in range(0, len(data), _CHUNK):
+        to = min(at + _CHUNK, len(data))
+        some = slice(int(np.searchsorted(end, at, side="right")), int(np.searchsorted(start, to, side="left")))
+        s, e = np.maximum(start[some], at) - at, np.minimum(end[some], to) - at
+        if not len(s):
+            continue
+        sums = np.zeros(to - at + 1, np.uint64)
+        np.cumsum(_BYTE[data[at:to]] * powers[:to - at], out=sums[1:])
+        part = (sums[e] - sums[s]) * inverse[s]
+        if start[some][0] < at:  # it began in an earlier chunk
+            part[:1] *= np.array([pow(int(_MULT), int(at - start[some][0]), 1 << 64)], np.uint64)
+        out[some] += part
+    return mix(out + (end - start).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+
+
 def words_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The eight bytes from each place as a big-endian number (``data`` has 8 spare bytes at its end)."""
     return np.ndarray((len(data) - 7,), dtype=">u8", buffer=data, strides=(1,))[at].astype(np.uint64)

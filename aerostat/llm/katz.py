@@ -9,8 +9,10 @@ Documents are dealt into pieces of bounded size. A piece sends each distinct
 n-gram it holds, as a digest with its training count, to a bucket of that
 digest; the bucket returns the corpus count to every piece that asked. The
 counts are kept in a table partitioned by order. A second round sums, per
-context, the mass of its seen words; a context that stands in one piece only
-is summed there. A frequent word, word pair or copied document is one entry
+context, the mass of its seen words, and keeps the backoff weights in
+another such table; a context that stands in one piece only is summed there.
+Every round is a job of its own, whose shuffle files go when its table is
+written. A frequent word, word pair or copied document is one entry
 a piece, however often it stands there, and n-grams are dealt by their own
 digest and not by their context, so nothing is hot.
 
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import (joined, mix, press_texts, pressed, small_batches, staged, tidied, unpress_texts, unpressed,
+from aerostat.llm.common import (free_shuffles, joined, mix, press_texts, pressed, small_batches, staged, tidied, unpress_texts, unpressed,
                                  word_hashes, word_spans)
 
 PIECE = 8 << 20  # text bytes of a piece, about
@@ -414,13 +416,15 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2, text: str = "
     figures = counts.where("stats IS NOT NULL").groupBy("n").agg(
         F.array(*[F.sum(F.col("stats")[i]) for i in range(CUTOFF + 3)]).alias("stats")).collect()  # a row an order
     model = totals(figures, order)
+    free_shuffles(spark)
     found = counts.where("piece IS NOT NULL").drop("stats")
     for m in range(1, order):
         masses = dealt.groupBy("piece").cogroup(found.where(F.col("n") <= m + 1).groupBy("piece")).applyInArrow(
             tidied(_contexts(buckets, m, model)),
             "bucket long, piece long, keys binary, high binary, low binary, asked binary").groupBy("bucket").applyInArrow(
             tidied(_masses(m)), _FOUND)
-        found = found.unionByName(masses, allowMissingColumns=True)
+        found = found.unionByName(staged(masses, "weights", by="n"), allowMissingColumns=True)
+        free_shuffles(spark)
     if order == 1:
         found = found.withColumn("weights", F.lit(None).cast("binary"))
     return dealt.groupBy("piece").cogroup(found.groupBy("piece")).applyInArrow(

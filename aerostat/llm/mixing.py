@@ -11,6 +11,7 @@ returns one row per source.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,12 +48,19 @@ def _small(rows: DataFrame, n: int, most: int = 100_000) -> DataFrame:
     return F.broadcast(rows) if n <= most else rows
 
 
-def _boundary(spark, sized: DataFrame, rest: dict[str, float]) -> dict[str, tuple[str, bool]]:
-    """Per source the digest at which ``rest`` words are reached.
+def _nearest(before: int, each: int, rows: int, rest: float) -> int:
+    """How many of some equal rows bring the sum nearest to ``rest``."""
+    k = min(rows, max(0, math.ceil((rest - before) / each + 0.5) - 1))
+    while k < rows and 2 * before + (2 * k + 1) * each < 2 * rest:  # the k-th is taken while its middle is below
+        k += 1
+    while k and not 2 * before + (2 * k - 1) * each < 2 * rest:
+        k -= 1
+    return k
 
-    The flag says whether taking that document brings the sum nearer.
-    """
-    found: dict[str, tuple[str, bool]] = {}
+
+def _boundary(spark, sized: DataFrame, rest: dict[str, float]) -> dict[str, tuple[str, int, int]]:
+    """Per source the digest at which ``rest`` words are reached, and how many of its rows are taken, of how many."""
+    found: dict[str, tuple[str, int, int]] = {}
     state = {s: ("", 0) for s, r in rest.items() if r > 0}
     digits = 0
     while state:
@@ -61,16 +69,17 @@ def _boundary(spark, sized: DataFrame, rest: dict[str, float]) -> dict[str, tupl
             [(s, p, b, rest[s]) for s, (p, b) in state.items()], "key string, prefix string, base long, rest double")
         near = sized.join(_small(here, len(state)), "key").where(F.col("digest").startswith(F.col("prefix")))
         by_bucket = near.groupBy("key", F.substring("digest", 1, digits).alias("bucket"), "base", "rest").agg(
-            F.sum("size").alias("size"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+            F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"), F.min("digest").alias("low"), F.max("digest").alias("high"))
         running = Window.partitionBy("key").orderBy("bucket")  # at most 4,096 rows a source
         reached = by_bucket.withColumn("upto", F.col("base") + F.sum("size").over(running)) \
             .where(F.col("upto") > F.col("rest")).groupBy("key").agg(
-                F.min(F.struct("bucket", "upto", "size", "low", "high")).alias("b")).select("key", "b.*").collect()
+                F.min(F.struct("bucket", "upto", "size", "rows", "low", "high")).alias("b")).select("key", "b.*").collect()
         state = {}
         for r in reached:
             before = r["upto"] - r["size"]
             if r["low"] == r["high"]:
-                found[r["key"]] = (r["low"], before + r["upto"] < 2 * rest[r["key"]])
+                taken = _nearest(before, r["size"] // r["rows"], r["rows"], rest[r["key"]])  # equal digests, equal sizes
+                found[r["key"]] = (r["low"], taken, r["rows"])
             else:
                 state[r["key"]] = (r["bucket"], before)
     return found
@@ -87,7 +96,10 @@ def _marked(docs: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
 
 
 def _plan(sized: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
-    """Per source its size, target, whole copies and the digest up to which one more is taken."""
+    """Per source its size, target, whole copies, and the digest up to which one more is taken.
+
+    ``cut_taken`` of the ``cut_rows`` rows of that digest get the one more.
+    """
     spark = sized.sparkSession
     size = {r["key"]: r["size"] for r in sized.groupBy("key").agg(F.sum("size").alias("size")).collect()}
     target = {("s" + s if s is not None else ""): t
@@ -96,18 +108,29 @@ def _plan(sized: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
     rest = {k: target[k] - whole[k] * n if whole[k] < most else 0.0 for k, n in size.items()}
     cut = _boundary(spark, sized, rest)
     plan = spark.createDataFrame(
-        [(k, n, target[k], whole[k], *cut.get(k, ("", False))) for k, n in size.items()],
-        "key string, source_size long, target double, copies int, cut string, with_cut boolean")
+        [(k, n, target[k], whole[k], *cut.get(k, ("", 0, 0))) for k, n in size.items()],
+        "key string, source_size long, target double, copies int, cut string, cut_taken long, cut_rows long")
     return _small(plan, len(size))
 
 
-def _copies(digest: str) -> Column:
-    once_more = (F.col(digest) < F.col("cut")) | (F.col("with_cut") & (F.col(digest) == F.col("cut")))
+def _copies(of_cut: Column) -> Column:
+    """Copies of a row; ``of_cut`` says whether a row of the boundary digest gets one more."""
+    once_more = (F.col("digest") < F.col("cut")) | ((F.col("digest") == F.col("cut")) & of_cut)
     return F.col("copies") + once_more.cast("int")
 
 
 def _sized(marked: DataFrame) -> DataFrame:
-    return staged(marked.select("doc_id", "key", "size", "digest"), "mix_rows")
+    # the task that wrote a row is stored with it, so that equal rows can be numbered task by task
+    return staged(marked.select("doc_id", "key", "size", "digest", F.spark_partition_id().alias("task")), "mix_rows")
+
+
+def _numbered(equal: DataFrame) -> DataFrame:
+    """The rows of a boundary digest with a number ``nth`` (from 1) per source; no task gathers them."""
+    before = Window.partitionBy("key").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
+    offsets = equal.groupBy("key", "task").agg(F.count(F.lit(1)).alias("n")).select(
+        "key", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    local = F.row_number().over(Window.partitionBy("key", "task").orderBy("digest"))
+    return equal.withColumn("local", local).join(offsets, ["key", "task"]).withColumn("nth", F.col("offset") + F.col("local"))
 
 
 def mix_sources(
@@ -124,14 +147,18 @@ def mix_sources(
     ``taken`` (``size`` times the copies, 0 to ``most``). The outcome
     depends on the rows alone, so reruns agree.
 
-    Null texts have no words; null sources are one source, the last; rows
-    repeating id and text share a digest and are taken or left together;
-    an empty table gives no rows. Other columns of ``docs`` are ignored.
-    The driver holds one row per source.
+    Null texts have no words; null sources are one source, the last; of rows
+    repeating id and text as many are taken as come nearest to the target
+    (which of them does not matter); an empty table gives no rows. Other
+    columns of ``docs`` are ignored. The driver holds one row per source.
     """
     sized = _sized(_marked(docs, text, doc_id, source))
-    return sized.join(_plan(sized, weights, most), "key").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * _copies("digest")).alias("taken"))
+    planned = sized.join(_plan(sized, weights, most), "key")
+    part = (F.col("digest") == F.col("cut")) & (F.col("cut_taken") > 0) & (F.col("cut_taken") < F.col("cut_rows"))
+    result = lambda rows, of_cut: rows.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * _copies(of_cut)).alias("taken"))
+    return result(planned.where(~part), F.col("cut_taken") > 0).unionByName(
+        result(_numbered(planned.where(part)), F.col("nth") <= F.col("cut_taken")))
 
 
 def mix_documents(
@@ -144,12 +171,14 @@ def mix_documents(
 ) -> DataFrame:
     """The mix itself: each row of ``docs``, unchanged, as often as ``mix_sources`` takes it.
 
-    A document without words costs nothing; it goes by its digest like the
+    Rows that repeat id and text are taken or left together here, whichever
+    is nearer to the target. A document without words costs nothing; it goes by its digest like the
     others. Texts are not shuffled. Columns may have any names and types.
     """
     marked = _marked(docs, text, doc_id, source)
     taken = marked.join(_plan(_sized(marked), weights, most), "key")
-    return taken.select("row", F.explode(F.array_repeat(F.lit(0), _copies("digest"))).alias("copy")).select("row.*")
+    return taken.select("row", F.explode(F.array_repeat(
+        F.lit(0), _copies(2 * F.col("cut_taken") > F.col("cut_rows")))).alias("copy")).select("row.*")
 
 
 MIX_SQL = r"""
@@ -179,10 +208,9 @@ rests AS (
   SELECT *, CASE WHEN copies < 3 THEN target - copies * source_size ELSE 0 END AS rest FROM budgets),
 placed AS (
   SELECT s.doc_id, s.size, r.source_size, r.target, r.copies, r.rest,
-         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.digest) AS upto,
-         sum(s.size) OVER (PARTITION BY s.source, s.digest) AS own
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.digest ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM sized s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(size * (copies + CASE WHEN rest > 0 AND upto + upto - own < 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+       CAST(size * (copies + CASE WHEN rest > 0 AND upto + upto - size < 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM placed
 """

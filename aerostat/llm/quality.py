@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aerostat.llm.common import RangeHash, mix, sliced, small_batches, utf8, word_spans
+from aerostat.llm.common import mix, range_hashes, sliced, small_batches, utf8, word_spans
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -64,7 +64,14 @@ def _covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
     edge = np.zeros(n + 1, dtype=np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + length, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
+
+
+def _counted(mask: np.ndarray) -> np.ndarray:
+    """Number of set places before each place."""
+    out = np.zeros(len(mask) + 1, np.int32)  # a batch is shorter than 2**31 bytes
+    np.cumsum(mask, dtype=np.int32, out=out[1:])
+    return out
 
 
 def _per_row(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -75,16 +82,16 @@ def measure(data: np.ndarray, offsets: np.ndarray, rules: RepetitionRules) -> di
     """All measures of the texts in ``data``; one entry per text."""
     n = len(offsets) - 1
     start, end, row = word_spans(data, offsets)
-    ranges = RangeHash(data)
-    opens_char = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    row = row.astype(np.int32)
+    symbols = _counted(_SYMBOL[data])[offsets]
+    opens_char = _counted((data & 0xC0) != 0x80)
     chars = opens_char[end] - opens_char[start]
     words = np.bincount(row, minlength=n).astype(np.int64)
     word_chars = _per_row(chars, row, n)
-    symbols = np.concatenate([[0], np.cumsum(_SYMBOL[data])])
-    out = {"n_words": words, "word_chars": word_chars, "n_symbols": symbols[offsets[1:]] - symbols[offsets[:-1]]}
+    out = {"n_words": words, "word_chars": word_chars, "n_symbols": np.diff(symbols).astype(np.int64)}
 
     # n-grams
-    word = ranges.of(start, end)
+    word = range_hashes(data, start, end)
     alive, gram, length = np.arange(len(word)), word, 1
     lengths = sorted({rules.window, *rules.ngram_chars})
     for want in lengths:
@@ -114,7 +121,7 @@ def measure(data: np.ndarray, offsets: np.ndarray, rules: RepetitionRules) -> di
     line_start, line_end = line_start[has_word], line_end[has_word]
     line_row = np.searchsorted(offsets, line_start, side="right") - 1
     line_chars = opens_char[line_end] - opens_char[line_start]
-    place, first = repeats(ranges.of(line_start, line_end), line_row)
+    place, first = repeats(range_hashes(data, line_start, line_end), line_row)
     later = np.zeros(len(line_start), dtype=bool)
     later[place[~first]] = True
     out["n_dup_lines"] = _per_row(later, line_row, n)

@@ -115,8 +115,10 @@ def shard_documents(
     a group above the fair share fills a shard alone. Other columns of
     ``docs`` are ignored. Texts are read once; only digests are shuffled.
 
-    Slots are numbered in cells (a hash of id and digest within the shard),
-    so that neither a shard nor a group of copies is sorted in one task.
+    Slots are numbered in cells (a hash of id, digest and the task that read
+    the row, within the shard), so that neither a shard nor a group of
+    copies or of equal rows is sorted in one task. The cells' offsets that
+    are broadcast are a row of 24 bytes per ``rows_per_cell`` rows.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = staged(docs.select(
@@ -124,16 +126,16 @@ def shard_documents(
         (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
         F.md5(body).alias("group"),
+        F.spark_partition_id().alias("task"),  # stored, so that it is the same in all that follows
     ), "shard_rows")
     cuts = minimax_cuts(rows, n_shards)
     shard: Column = F.lit(0)
     for cut in cuts:
         shard = shard + (F.col("group") >= F.lit(cut)).cast("int")
-    cells = min(4096, max(256, rows.count() // (n_shards * rows_per_cell)))
+    cells = max(256, -(-rows.count() // (n_shards * rows_per_cell)))
     placed = rows.withColumn("shard", shard).withColumn(
-        "cell", F.pmod(F.xxhash64("doc_id", "group"), F.lit(cells)).cast("int"))
+        "cell", F.pmod(F.xxhash64("doc_id", "group", "task"), F.lit(cells)).cast("int"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    # at most n_shards * 4096 rows
     offsets = placed.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n")).select(
         "shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("shard", "cell").orderBy("doc_id", "group")

@@ -151,8 +151,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, most: in
     ids = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & usable) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    # at most ``most`` rows of two numbers
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
+    # at most ``most`` rows of two numbers; of rows that repeat an id one is taken, so the sample is bounded as well
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.md5("text")).alias("text"), F.first("toxic").alias("toxic"))
 
 
 def _contexts(batches):
@@ -169,8 +170,8 @@ def _contexts(batches):
                     pa.array([y] * len(own), pa.int32())], ["token", "context", "toxic"])
 
 
-def _log_odds(sample: DataFrame, prior: float, least: int, most: int, level: float = 0.05) -> dict[str, float]:
-    """Weights of the significant forms.
+def _log_odds(sample: DataFrame, prior: float, least: int, level: float = 0.05) -> dict[str, float]:
+    """Weights of all significant forms; as many as the bounded sample has.
 
     A token counts once per label and pair of neighbours, so copies and near
     copies of a text count once, and long texts weigh no more than their
@@ -199,8 +200,7 @@ def _log_odds(sample: DataFrame, prior: float, least: int, most: int, level: flo
     n, rate = F.col("y1") + F.col("y0"), n1 / (n1 + n0)
     part = lambda y, q: F.when(y > 0, y * F.log(y / n / q)).otherwise(0.0)
     apart = part(F.col("y1"), rate) + part(F.col("y0"), 1 - rate) >= math.log(tested / level)
-    rows = counts.where(apart).select("form", sure.alias("weight")).where("weight <> 0") \
-        .orderBy(F.desc(F.abs("weight")), "form").limit(most).collect()
+    rows = counts.where(apart).select("form", sure.alias("weight")).where("weight <> 0").collect()
     return {r["form"]: r["weight"] for r in rows}
 
 
@@ -232,18 +232,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, fl
     return max(float(w[0]), 0.0), float(w[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = 20_000, most_tokens: int = 50_000,
-          least: int = 3, prior: float = 0.1, drift: float = 0.1) -> Model:
+def train(docs: DataFrame, labels: DataFrame, usable: Column, most_rows: int = 20_000, least: int = 3,
+          prior: float = 0.1, drift: float = 0.1) -> Model:
     """Fit the weights and the calibration on a bounded sample of labelled documents.
 
-    ``most_rows`` bounds the labelled documents, ``most_tokens`` the weights
-    that are kept (the largest). A form must be seen ``least`` times;
+    ``most_rows`` bounds the labelled documents. A form must be seen ``least`` times;
     ``prior`` is the prior's mass as a share of all counts. ``usable``
     picks the label rows that may be learnt from. Without labels of both kinds the model finds nothing.
     """
     small_batches(docs.sparkSession)
     sample = staged(training_sample(docs, labels, usable, most_rows), "toxic_sample")
-    model = Model(_log_odds(sample, prior, least, most_tokens), drift)
+    model = Model(_log_odds(sample, prior, least), drift)
     if not model.weights:
         return Model({}, drift, offset=-5.0)
     rows = sample.select("text", "toxic")

@@ -32,15 +32,11 @@ def expected(docs):
         own = sorted((r for r in rows if r[1] == s), key=lambda r: r[3])
         whole = int(aim[s] // size[s]) if size[s] else 0
         rest = aim[s] - whole * size[s] if whole < 3 else 0
-        by_digest = defaultdict(int)
-        for r in own:
-            by_digest[r[3]] += r[2]
         upto = 0
-        more = {}
-        for d in sorted(by_digest):
-            more[d] = rest > 0 and 2 * upto + by_digest[d] < 2 * rest
-            upto += by_digest[d]
-        out += [(r[0], r[2], size[s], round(aim[s], 6), r[2] * (whole + more[r[3]])) for r in own]
+        for r in own:
+            more = rest > 0 and 2 * upto + r[2] < 2 * rest
+            upto += r[2]
+            out.append((r[0], r[2], size[s], round(aim[s], 6), r[2] * (whole + more)))
     return Counter(out)
 
 
@@ -50,6 +46,16 @@ def test_documents(with_null_ids):
     assert Counter((r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"]) for r in got) == expected(docs)
 
 
+def test_equal_rows_come_near_the_target(spark):
+    rows = [(1, "a b c d", "x")] * 10 + [(2, "e f g h i j", "y")] * 31 + [(3, "k", "y"), (4, "l m", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    got = mix_sources(docs).collect()
+    assert Counter((r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"]) for r in got) == expected(rows)
+    for source in (1, 2):
+        own = [r for r in got if r["doc_id"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 4
+
+
 def test_rows_of_the_mix(odd_docs):
     taken = Counter()
     for r in mix_sources(odd_docs).where("size > 0").collect():

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import tracemalloc
+
+import numpy as np
 import pyarrow as pa
 
 from aerostat.llm.common import utf8
@@ -33,3 +36,33 @@ def test_verdict():
 
 def test_empty(no_docs):
     assert repetition_quality(no_docs).collect() == []
+
+
+def test_range_hashes_across_chunks(monkeypatch):
+    from aerostat.llm import common
+
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 4, 900).astype(np.uint8)
+    cuts = np.sort(rng.choice(900, 120, replace=False))
+    start, end = cuts[::2], cuts[1::2]
+    whole = common.range_hashes(data, start, end)
+    by_bytes = {}
+    for s, e, h in zip(start, end, whole):
+        assert by_bytes.setdefault(data[s:e].tobytes(), h) == h
+    assert len(set(by_bytes.values())) == len(by_bytes)
+    for size in (1, 7, 64, 899):
+        monkeypatch.setattr(common, "_CHUNK", size)
+        common._chunk_powers.cache_clear()
+        assert (common.range_hashes(data, start, end) == whole).all()
+    common._chunk_powers.cache_clear()
+
+
+def test_a_long_text_takes_bounded_memory():
+    rng = np.random.default_rng(4)
+    words = [bytes(w) for w in rng.integers(97, 123, (50_000, 6)).astype(np.uint8)]
+    data = np.frombuffer(b" ".join(words[i] for i in rng.integers(0, 50_000, 1_200_000)), np.uint8)
+    tracemalloc.start()
+    measure(data, np.array([0, len(data)]), RepetitionRules())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 24 * len(data)
