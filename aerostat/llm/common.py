@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 from functools import lru_cache
 
 import numpy as np
@@ -40,10 +41,13 @@ def free_shuffles(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished steps.
 
     It does so when the driver's JVM finds that nothing refers to them,
-    which a driver with memory to spare may not look for in hours.
+    which a driver with memory to spare may not look for in hours. The
+    first time, listeners may still hold the plan of the step that has ended.
     """
-    gc.collect()  # Python's references to the steps' plans
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()  # Python's references to plans
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def whole_row(df: DataFrame) -> Column:
