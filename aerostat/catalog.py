@@ -408,9 +408,9 @@ def q_flight_feed_roundtrip(spark, sf):
     return read_flights(spark, path, multiline=False)
 
 
-def _nested_flights(e: DataFrame) -> DataFrame:
-    """``event_id`` and the event as a nested flight ``record``."""
-    return e.select("event_id", F.struct(
+def _nested_flights(e: DataFrame, *more: F.Column) -> DataFrame:
+    """``event_id``, further columns and the event as a nested flight ``record``."""
+    return e.select("event_id", *more, F.struct(
         F.struct(F.concat(F.lit("EV"), F.col("event_id").cast("string")).alias("iata")).alias("flight"),
         F.struct(F.lit("BKK").alias("iata")).alias("departure"),
         F.struct(F.col("user_id").cast("string").alias("iata"),
@@ -549,7 +549,7 @@ def q_flight_array_ranges(spark, sf):
     """events landed as one JSON array a day, read by byte ranges."""
     e = table(spark, sf, "events")
     path = scratch_path(spark, "landing", "day-arrays")
-    nested = _nested_flights(e).join(e.select("event_id", to_day("ts").alias("day")), "event_id")
+    nested = _nested_flights(e, to_day("ts").alias("day"))
     sinks.land_arrays(nested.select("day", "event_id", "record.*"), path, "day", ["event_id"])
     return read_flights(spark, path, split=True)
 

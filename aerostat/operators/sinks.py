@@ -241,10 +241,10 @@ def judged_rows(df: DataFrame, target: T.StructType) -> DataFrame:
         values.append(value.alias(f.name))
         why.append(bad)
     reasons = F.array_compact(F.array(*why)).alias(REASONS)
-    came = F.to_json(F.struct(*[F.col(f"`{n}`") for n in df.columns])).alias(SOURCE)
+    came = F.struct(*[F.col(f"`{n}`") for n in df.columns]).alias(SOURCE)
     ok = F.size(REASONS) == 0
     return df.select(*values, reasons, came).select(
-        *[F.col(f"`{f.name}`") for f in target.fields], REASONS, F.when(~ok, F.col(SOURCE)).alias(SOURCE),
+        *[F.col(f"`{f.name}`") for f in target.fields], REASONS, F.when(~ok, F.to_json(SOURCE)).alias(SOURCE),
         F.when(ok, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)).alias(OUTCOME))
 
 
@@ -398,7 +398,7 @@ def _staged(rows: DataFrame, date_col: str) -> DataFrame:
     """
     path = scratch_path(rows.sparkSession, "stage")
     rows.hint("rebalance", date_col).write.partitionBy(date_col).parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def _overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
