@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostat.llm.common import press_texts, small_batches, tidied
-from aerostat.llm.distinct_words import Piece, encoded_words
+from aerostat.llm.distinct_words import BUCKET, Piece, encoded_words
 
 PIECE = 4 << 20  # text bytes of a piece, about
 
@@ -109,7 +109,7 @@ def encode(docs: DataFrame, path: str, pattern: str = KNOWN, text: str = "text",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces, buckets = max(least, -(-total // piece_bytes)), max(least, -(-total // (2 * piece_bytes)))
+    pieces, buckets = max(least, -(-total // piece_bytes)), max(least, -(-total // BUCKET))
     dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
     split = partial(_byte_splitter, pattern)
     encoded = encoded_words(dealt, split, partial(_word_encoder, path, pattern), buckets, kind)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from aerostat.llm.common import press_texts, small_batches, staged, tidied
-from aerostat.llm.distinct_words import Piece, encoded_words
+from aerostat.llm.distinct_words import BUCKET, Piece, encoded_words
 from aerostat.llm.files import filesystem, write_whole
 from aerostat.llm.ranges import byte_ranges, range_of
 from aerostat.session import scratch_path
@@ -445,7 +445,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int, text: str = "te
     narrow = staged(rows.select(F.col("doc_id").alias("id"), "digest", F.octet_length("text").cast("long").alias("size")), "token_rows")
     total = narrow.agg(F.sum("size")).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(least, -(-total // (4 * piece_bytes)))
+    buckets = max(least, -(-total // BUCKET))
     # a place per piece; smaller pieces where there would be fewer than tasks
     places = spark.sparkContext.broadcast(byte_ranges(narrow, max(1, min(piece_bytes, total // least))))
 

@@ -3,14 +3,17 @@ from __future__ import annotations
 import base64
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from aerostat.llm.byte_bpe import KNOWN, decode, encode, splitter
+from aerostat.llm import distinct_words
+from aerostat.llm.byte_bpe import KNOWN, _byte_splitter, decode, encode, splitter
 
-from .conftest import texts_of
+from .conftest import SF, texts_of
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -61,3 +64,19 @@ def test_decode_of_odd_ids(spark):
 
 def test_empty(no_docs):
     assert decode(encode(no_docs, PATH), PATH).collect() == []
+
+
+def test_what_a_piece_sends_grows_little_with_the_buckets(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("text IS NOT NULL").collect()]
+    press = zstandard.ZstdCompressor(level=1).compress
+    piece = pa.table({"doc_id": list(range(len(texts))), "text": pa.array([press(t.encode()) for t in texts], pa.binary()),
+                      "digest": list(range(len(texts))), "piece": [0] * len(texts)})
+    total = sum(len(t.encode()) for t in texts)
+
+    def sent(buckets):
+        out = distinct_words._emit(lambda: _byte_splitter(public_tokenizers.PATTERN), buckets)(piece)
+        return sum(len(x) for c in ("words", "sizes") for x in out.column(c).to_pylist())
+
+    # as many words a message as a piece of 4 MiB has at 0.5 GB and at 30 GB of documents
+    few, many, as_before = (max(1, round(n * total / (4 << 20))) for n in (51, 1_060, 6_400))
+    assert sent(many) < 1.4 * sent(few) and sent(many) < 0.8 * sent(as_before)
