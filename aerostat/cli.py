@@ -6,6 +6,9 @@
     python -m aerostat.cli backfill  --clean CLEAN --table T --table-root P [--days-back 7] [--end D]
     python -m aerostat.cli report    --clean CLEAN [--day D] [--part-glob GLOB]
     python -m aerostat.cli dashboard --table T [--day D] [--city C ...]
+    python -m aerostat.cli dashboard --serving S [--day D] [--city C ...]    all frames from one scan
+    python -m aerostat.cli absent    --clean CLEAN [--days-back 7] [--end D]  days that were never landed
+    python -m aerostat.cli profile   --clean CLEAN [--day D]                  columns, merged over days
 
 The day defaults to today in the feed's time zone (Asia/Bangkok), computed
 once on the driver as a job parameter. Reports print bounded aggregate
@@ -93,15 +96,31 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     common(rep)
 
     db = sub.add_parser("dashboard")
-    db.add_argument("--table", required=True)
+    shown = db.add_mutually_exclusive_group(required=True)
+    shown.add_argument("--table")
+    shown.add_argument("--serving", help="folder of a serving dataset")
     db.add_argument("--day")
     db.add_argument("--city", action="append")
     db.add_argument("--rows", type=int, default=20)
 
+    ab = sub.add_parser("absent")
+    ab.add_argument("--clean", required=True)
+    ab.add_argument("--end", help="last day, default today in --zone")
+    ab.add_argument("--days-back", type=int, default=7)
+    ab.add_argument("--zone", default=FEED_ZONE)
+
+    pr = sub.add_parser("profile")
+    pr.add_argument("--clean", required=True)
+    pr.add_argument("--rows", type=int, default=50)
+    common(pr)
+
     args = p.parse_args(argv)
     spark = spark or build_session(app_name=f"aerostat-{args.cmd}")
 
+    from aerostat import schemas
+    from aerostat.operators import aggregate
     from aerostat.plans import daily, reports, serving
+    from aerostat.sources import tables
 
     if args.cmd == "transform":
         n = daily.run(spark, args.raw, args.clean, _days(args), multiline=not args.jsonlines,
@@ -120,6 +139,22 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.cmd == "report":
         days = _days(args) if args.day else None
         _show(reports.adhoc(serving.read_clean(spark, args.clean, days, args.part_glob)), args.rows)
+    elif args.cmd == "absent":
+        end = dt.date.fromisoformat(args.end) if args.end else day_in_zone(0, args.zone)
+        first, last = window(args.days_back, end)
+        wanted = spark.sql(f"SELECT explode(sequence(DATE '{first}', DATE '{last}')) AS day")
+        _show({"absent days": tables.absent_days(wanted, tables.landed_days(spark, args.clean)).orderBy("day")}, args.days_back + 1)
+    elif args.cmd == "profile":
+        rows = serving.read_clean(spark, args.clean, _days(args) if args.day else None)
+        merged = aggregate.merged_profile(aggregate.profile(rows, ["ingest_date"])).orderBy("position")
+        _show({"columns": merged}, args.rows)
+    elif args.cmd == "dashboard" and args.serving:
+        schema = schemas.SERVING_STORED
+        if args.day:
+            frames = reports.dashboard_frames(spark.read.schema(schema).parquet(args.serving), args.day, args.city)
+        else:
+            frames = reports.default_dashboard(spark, args.serving, schema, args.city)
+        _show({"frames": frames.orderBy("frame", "key")}, args.rows)
     elif args.cmd == "dashboard":
         frames = reports.dashboard(spark.table(args.table), args.day, args.city)
         _show({**reports.options(spark.table(args.table)), **frames}, args.rows)

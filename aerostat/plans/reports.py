@@ -62,15 +62,15 @@ def dashboard_frames(serving: DataFrame, day: str | dt.date, cities: Sequence[st
     return agg.frames_in_one_pass(serving.where(filters.on_day("date", day) & chosen), DASHBOARD_FRAMES)
 
 
-def default_dashboard(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """``dashboard_frames`` of the default selection of a serving dataset.
+def default_dashboard(spark: SparkSession, path: str, schema: T.StructType, cities: Sequence[str] | None = None) -> DataFrame:
+    """``dashboard_frames`` of the earliest date of a serving dataset, by default of every city.
 
     The earliest date comes from the file footers, so the rows are scanned
     once and only where they have that date. No dates, no rows.
     """
     serving = spark.read.schema(schema).parquet(path)
     first = footers.earliest_day(spark, path, schema, "date")
-    return dashboard_frames(serving if first else serving.limit(0), first or dt.date(1970, 1, 1))
+    return dashboard_frames(serving if first else serving.limit(0), first or dt.date(1970, 1, 1), cities)
 
 
 def dashboard(serving: DataFrame, day: str | dt.date | None = None,

@@ -55,6 +55,9 @@ SERVING = T.StructType(
     + [T.StructField("date", T.DateType(), True)]
 )
 
+# the serving dataset as stored by file day
+SERVING_STORED = T.StructType(SERVING.fields + [T.StructField("ingest_date", T.DateType())])
+
 # Landed HTTP responses: status is null when the request itself failed.
 ENVELOPE = _struct(dep=S, arr=S, status=T.IntegerType(), body=S)
 

@@ -30,5 +30,16 @@ def test_jobs_chain(spark, workdir, capsys):
     assert spark.table(table).count() == 4
     assert cli.main(["report", "--clean", clean], spark) == 0
     assert cli.main(["dashboard", "--table", table, "--day", "2025-04-02", "--city", "Tokyo"], spark) == 0
+    assert cli.main(["dashboard", "--serving", f"{workdir}/serving"], spark) == 0
+    assert cli.main(["dashboard", "--serving", f"{workdir}/serving", "--day", "2025-04-02", "--city", "Tokyo"], spark) == 0
+    assert cli.main(["absent", "--clean", clean, "--end", "2025-04-03", "--days-back", "3"], spark) == 0
+    assert cli.main(["profile", "--clean", clean], spark) == 0
+    assert cli.main(["transform", "--raw", workdir, "--clean", f"{workdir}/again", "--split-arrays", *days], spark) == 0
     out = capsys.readouterr().out
+    said = [[c.strip() for c in line.split("|")[1:-1]] for line in out.splitlines() if line.startswith("|")]
+    assert ["flights_vs_temp", "Tokyo", "1", "10.0"] in said and ["flights_per_airline", "ANA", "1", "NULL"] in said
+    absent = out.partition("== absent days")[2].partition("==")[0]
+    assert [x.strip("| ") for x in absent.splitlines() if x.startswith("|2025-")] == ["2025-03-31", "2025-04-03"]
+    assert [r[:7] for r in said if r[1:2] == ["airline"]] == [["4", "airline", "string", "4", "2", "ANA", "ANA"]]
+    assert out.count("wrote 4 clean rows") == 2
     assert "wrote 4 clean rows" in out and "flights_per_airline" in out and "by_airline" in out
