@@ -1,8 +1,10 @@
 """Large landed JSON arrays, each read by several tasks.
 
 Spark reads a multi-line JSON file in one task. Here a file is read by byte
-ranges, as lines that end at ``}``, and the borders of the array's elements
-are found by a scan of quotes, escapes and nesting:
+ranges, as lines that end at what stands between its first two elements (or
+at ``}``); a line may end anywhere, that only decides how many there are.
+The borders of the elements are found by a scan of quotes, escapes and
+nesting:
 
 1. every range reports its quotes, and how far it changes the nesting if it
    begins outside or inside a string (one row a range);
@@ -18,6 +20,7 @@ batches; a task holds a batch and the element that is open.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +93,9 @@ WHOLE = "tag string, alone boolean, values int, element string"
 class _Cutter:
     """Elements and pieces of elements in one range. ``depth`` is 1 between the elements of an array."""
 
-    def __init__(self, key: tuple):
+    def __init__(self, key: tuple, separator: bytes):
         self.file, self.start, self.tag, self.inside, self.depth = key
+        self.separator = separator  # the last line of a file has got one too many
         self.opens, self.bracket, self.closed = False, False, False  # how what is being read has begun
         self.nth, self.values, self.parts = 0, 0, []
         self.whole: list[tuple] = []
@@ -139,11 +143,11 @@ class _Cutter:
         """The range is over."""
         if self.depth > 0:
             self._row(False, False)
-        elif self._text().strip(_WHITE + b"}"):
+        elif self._text().removesuffix(self.separator).strip(_WHITE):
             raise ValueError("a file holds something else than one JSON array")
 
 
-def _cut(which: str, columns: str):
+def _cut(which: str, columns: str, separator: str):
     types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
     schema = pa.schema([(name, types[kind]) for name, kind in (c.split() for c in columns.split(", "))])
 
@@ -162,7 +166,7 @@ def _cut(which: str, columns: str):
                 if here:
                     here.end()
                     yield from out()
-                here = _Cutter(key)
+                here = _Cutter(key, separator.encode())
             here.read(data)
             yield from out()
         if here:
@@ -172,7 +176,43 @@ def _cut(which: str, columns: str):
     return run
 
 
-def _begins(ranges: DataFrame) -> DataFrame:
+PEEK_FILES, PEEK_LINES = 64, 50
+
+
+def _between(text: bytes) -> str | None:
+    """What stands between the first two elements of an array of objects, from brace to brace."""
+    data = np.frombuffer(text, np.uint8)
+    at = marks(data, quotes(data), 0)
+    depth = np.cumsum(_DELTA[data[at]])
+    comma = np.flatnonzero((depth == 1) & (data[at] == 0x2C))
+    if not len(comma):
+        return None
+    place = int(at[comma[0]])
+    end = text.find(b"{", place)
+    found = text[text.rfind(b"}", 0, place):end + 1]
+    return found.decode() if end > 0 and not found[1:-1].replace(b",", b"", 1).strip(_WHITE) else None
+
+
+def _separator(spark: SparkSession, paths: list[str]) -> str:
+    """The line end to read files by: what is between their elements if that is the same in all, else a brace.
+
+    The driver looks at the first lines of up to 64 files; where there are
+    more, they are many tasks anyway.
+    """
+    files = spark.read.option("lineSep", "}").text(paths).inputFiles()
+    if not 0 < len(files) <= PEEK_FILES:
+        return "}"
+    heads = [spark.read.option("lineSep", "}").text(f).where(F.col("_metadata.file_block_start") == 0).limit(PEEK_LINES).select(
+        F.lit(i).alias("file"), F.substring("value", 1, 4096).alias("value")) for i, f in enumerate(files)]
+    seen: dict[int, list[str]] = {}
+    for r in reduce(DataFrame.unionAll, heads).collect():
+        seen.setdefault(r["file"], []).append(r["value"])
+    found = {_between("".join(v + "}" for v in lines).encode()) for lines in seen.values()}
+    one = found.pop() if len(found) == 1 else None
+    return one or "}"
+
+
+def _begins(ranges: DataFrame, separator: str) -> DataFrame:
     """Per range whether it begins in a string and how deep; one row a range, so a file's ranges are few."""
     summary = ranges.mapInArrow(_summaries, "file long, start long, quotes long, outside long, inside long")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -180,8 +220,9 @@ def _begins(ranges: DataFrame) -> DataFrame:
     begun = summary.withColumn("begins_inside", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).cast("int")).withColumn(
         "change", F.when(F.col("begins_inside") == 1, F.col("inside")).otherwise(F.col("outside"))).withColumn(
         "begins_depth", F.coalesce(F.sum("change").over(before), F.lit(0))).withColumn("from_last", F.row_number().over(last))
-    # the last line has no brace of its own, so a whole file ends one below its beginning
-    whole = ((F.col("begins_inside") + F.col("quotes")) % 2 == 0) & (F.col("begins_depth") + F.col("change") == -1)
+    # the last line has no separator of its own, so a whole file ends off its beginning by that
+    off = separator.count("{") - separator.count("}")
+    whole = ((F.col("begins_inside") + F.col("quotes")) % 2 == 0) & (F.col("begins_depth") + F.col("change") == off)
     broken = (F.col("from_last") == 1) & ~whole
     depth = F.when(broken, F.raise_error(F.lit("a JSON array is cut off"))).otherwise(F.col("begins_depth"))
     return begun.select(*RANGE, "begins_inside", depth.cast("int").alias("begins_depth"))
@@ -196,18 +237,20 @@ def read_array_elements(spark: SparkSession, paths: str | Sequence[str], tag: Co
     is one range. The files are read three times: for the borders, for the
     elements within a range and for those that cross one.
     """
-    lines = spark.read.option("lineSep", "}").text([paths] if isinstance(paths, str) else list(paths)).select(
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    separator = _separator(spark, paths)
+    lines = spark.read.option("lineSep", separator).text(paths).select(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.concat("value", F.lit("}")).alias("text"), (F.lit(None) if tag is None else tag).cast("string").alias("tag"))
-    begins = F.broadcast(_begins(lines.select(*RANGE, "text")))  # 24 bytes per range
+        F.concat("value", F.lit(separator)).alias("text"), (F.lit(None) if tag is None else tag).cast("string").alias("tag"))
+    begins = F.broadcast(_begins(lines.select(*RANGE, "text"), separator))  # 24 bytes per range
     known = lines.join(begins, RANGE).select(*RANGE, "tag", "begins_inside", "begins_depth", "text")
     order = Window.partitionBy("file").orderBy("start", "nth")  # two pieces a range at most
-    stitched = known.mapInArrow(_cut("pieces", PIECES), PIECES).withColumn(
+    stitched = known.mapInArrow(_cut("pieces", PIECES, separator), PIECES).withColumn(
         "element_no", F.sum(F.col("opens").cast("int")).over(order)).groupBy("file", "element_no").agg(
         F.sort_array(F.collect_list(F.struct("start", "nth", "element"))).alias("parts"), F.first("tag").alias("tag"),
         F.sum("values").cast("int").alias("values"), (F.max("alone_from") & F.max("alone_to")).alias("alone"))
     stitched = stitched.select("tag", "alone", "values", F.concat_ws("", "parts.element").alias("element"))
-    every = known.mapInArrow(_cut("whole", WHOLE), WHOLE).unionByName(stitched)
+    every = known.mapInArrow(_cut("whole", WHOLE, separator), WHOLE).unionByName(stitched)
     text = F.btrim("element", F.lit(" \t\r\n"))
     fine = (F.col("values") == 1) & text.startswith("{") & text.endswith("}")
     empty = F.col("alone") & (text == "")  # an array without elements
