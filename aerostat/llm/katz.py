@@ -16,8 +16,9 @@ written. A frequent word, word pair or copied document is one entry
 a piece, however often it stands there, and n-grams are dealt by their own
 digest and not by their context, so nothing is hot.
 
-Digests have 48 bits inside a bucket; the number of buckets grows with the
-corpus.
+A bucket is a range of the digests, so their number grows with the corpus
+without an end. Digests have 48 bits inside a bucket, until with 65,536
+buckets (1 TB of text) all 64 bits are in use.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _END = np.uint64(0x5851F42D4C957F2D)
 _STEP = np.uint64(0x9FB21C651E98DF25)
-_LOW = np.uint64((1 << 48) - 1)
+_KEY = 48  # bits of a key inside its bucket
 
 
 # --- discounts ------------------------------------------------------------------
@@ -97,7 +98,7 @@ def totals(rows: list, order: int) -> Totals:
 
 def _pack_keys(keys: np.ndarray) -> bytes:
     """Number of keys, then the steps between the sorted 48-bit keys, byte by byte; the upper two compressed."""
-    planes = np.diff(keys & _LOW, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    planes = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
     return len(keys).to_bytes(8, "little") + planes[:4].tobytes() + pressed(planes[4:6].tobytes())
 
 
@@ -134,13 +135,33 @@ def _unpack_masses(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.float64, n, offset=8)[np.ascontiguousarray(of).view("<u4").ravel()]
 
 
-def _stretches(dealt: np.ndarray):
-    """(bucket, from, to) of each bucket in sorted keys."""
-    bucket = (dealt >> np.uint64(48)).astype(np.int64)
-    cut = np.flatnonzero(np.diff(bucket)) + 1
-    for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(bucket))):
-        if b > a:
-            yield int(bucket[a]), int(a), int(b)
+@dataclass(frozen=True)
+class Deal:
+    """Buckets as ranges of equal width of the upper ``bits`` bits of the digests."""
+
+    buckets: int
+
+    @property
+    def bits(self) -> int:
+        return min(64, _KEY + self.buckets.bit_length() - 1)
+
+    @property
+    def width(self) -> int:
+        return -(-(1 << self.bits) // self.buckets)  # 2**48 at most
+
+    def keys(self, digests: np.ndarray) -> np.ndarray:
+        return digests >> np.uint64(64 - self.bits)
+
+    def stretches(self, keys: np.ndarray):
+        """(bucket, from, to) of each bucket in sorted keys."""
+        bucket = (keys // np.uint64(self.width)).astype(np.int64)
+        cut = np.flatnonzero(np.diff(bucket)) + 1
+        for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(bucket))):
+            if b > a:
+                yield int(bucket[a]), int(a), int(b)
+
+    def packed(self, bucket: int, keys: np.ndarray) -> bytes:
+        return _pack_keys(keys - np.uint64(bucket * self.width))
 
 
 # --- a piece of the corpus --------------------------------------------------------
@@ -153,6 +174,7 @@ class Piece:
     """
 
     def __init__(self, table: pa.Table, order: int, buckets: int):
+        self.deal = Deal(buckets)
         table = table.sort_by([("doc_id", "ascending"), ("digest", "ascending")]).combine_chunks()
         data, offsets = joined(unpress_texts(table.column("text")))
         self.docs, self.order = table, order
@@ -174,9 +196,7 @@ class Piece:
             if m > 1:
                 gram = mix(np.concatenate([[np.uint64(0)], gram[:-1]]) * _STEP + token)
             at = np.flatnonzero(self.nth >= m - 1)
-            key = gram[at]
-            dealt = ((key >> np.uint64(48)) % np.uint64(buckets) << np.uint64(48)) | (key & _LOW)
-            self.grams[m], number = np.unique(dealt, return_inverse=True)
+            self.grams[m], number = np.unique(self.deal.keys(gram[at]), return_inverse=True)
             self.of[m] = np.full(len(token), -1, np.int64)
             self.of[m][at] = number
 
@@ -193,7 +213,7 @@ class Answers:
         self.own = {m: np.zeros(len(g), bool) for m, g in piece.grams.items()}
         self.alone = {m: np.zeros(len(g), bool) for m, g in piece.grams.items()}  # in no other piece
         self.weight = {m: np.full(len(g), np.nan) for m, g in piece.grams.items()}  # of the contexts asked for
-        where = {m: {b: (s, e) for b, s, e in _stretches(g)} for m, g in piece.grams.items()}
+        where = {m: {b: (s, e) for b, s, e in piece.deal.stretches(g)} for m, g in piece.grams.items()}
         rows = table.to_pylist()
         for r in rows:
             if r["totals"] is not None:
@@ -276,8 +296,8 @@ def _emit(order: int, buckets: int):
         rows = []
         for m, grams in piece.grams.items():
             counts = piece.train_counts(m)
-            rows += [{"n": m, "bucket": b, "piece": number, "keys": _pack_keys(grams[s:e]),
-                      "counts": _pack_counts(counts[s:e])} for b, s, e in _stretches(grams)]
+            rows += [{"n": m, "bucket": b, "piece": number, "keys": piece.deal.packed(b, grams[s:e]),
+                      "counts": _pack_counts(counts[s:e])} for b, s, e in piece.deal.stretches(grams)]
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -325,9 +345,9 @@ def _contexts(buckets: int, m: int, model: Totals):
         some = np.flatnonzero((need | (high > 0)) & ~got.alone[m])
         keys = piece.grams[m][some]
         high, low = high[some], low[some]
-        rows = [{"bucket": b, "piece": number, "keys": _pack_keys(keys[s:e]), "high": _pack_masses(high[s:e]),
+        rows = [{"bucket": b, "piece": number, "keys": piece.deal.packed(b, keys[s:e]), "high": _pack_masses(high[s:e]),
                  "low": low[s:e][high[s:e] > 0].tobytes(), "asked": np.packbits(need[some[s:e]]).tobytes()}
-                for b, s, e in _stretches(keys)]
+                for b, s, e in piece.deal.stretches(keys)]
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -408,7 +428,7 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2, text: str = "
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = max(least, -(-total // piece_bytes))
-    buckets = min(1 << 16, max(least, -(-total // (2 * piece_bytes))))
+    buckets = max(least, -(-total // (2 * piece_bytes)))
     dealt = press_texts(rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(pieces)).cast("long")))
     counts = staged(dealt.groupBy("piece").applyInArrow(
         tidied(_emit(order, buckets)), "n int, bucket long, piece long, keys binary, counts binary").groupBy("n", "bucket").applyInArrow(

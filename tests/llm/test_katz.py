@@ -1,11 +1,16 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from aerostat.llm.katz import discounts, score_texts
+from aerostat.llm.katz import Deal, _emit, _total, _unpack_counts, discounts, score_texts
 from aerostat.llm.queries import id_remainder
 
 from . import brute
@@ -61,3 +66,44 @@ def test_no_training_rows_and_empty(odd_docs, no_docs):
     got = score_texts(odd_docs.where("doc_id < 5"), F.lit(None).cast("boolean")).collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["score"] == 0 and r["held_out"] for r in got)
     assert score_texts(no_docs, F.lit(False)).collect() == []
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 51, 1 << 16, 100_003, 3 << 30])
+def test_buckets_are_ranges_without_an_upper_limit(buckets):
+    """Every digest is in one bucket, in order, and its key there has 48 bits at most."""
+    deal = Deal(buckets)
+    edge = np.array([0, 1, (1 << 64) - 1], np.uint64)
+    keys = np.unique(deal.keys(np.concatenate([edge, np.random.default_rng(1).integers(0, 1 << 64, 20_000, np.uint64)])))
+    at, last = 0, -1
+    for bucket, start, end in deal.stretches(keys):
+        assert start == at and last < bucket < buckets
+        assert int(keys[end - 1]) - bucket * deal.width < min(deal.width, 1 << 48)
+        at, last = end, bucket
+    assert at == len(keys)
+    assert deal.bits == 64 if buckets >= 1 << 16 else deal.bits < 64
+
+
+@pytest.mark.parametrize("buckets", [2, 70_000, 1 << 40])
+def test_counts_by_many_buckets(buckets):
+    """The counts that the buckets total, however many these are, are those of the n-grams."""
+    texts = [["a b a b c", "b c"], ["a b", "c a b"]]
+    press = zstandard.ZstdCompressor().compress
+    sent = pa.concat_tables(_emit(3, buckets)(pa.table({
+        "doc_id": [10 * n + i for i in range(len(own))], "held_out": [False] * len(own), "text": [press(t.encode()) for t in own],
+        "digest": list(range(len(own))), "piece": [n] * len(own)})) for n, own in enumerate(texts))
+    for m in (1, 2, 3):
+        want = Counter(g for own in texts for t in own for g in zip(*[tokens(t)[i:] for i in range(m)]))
+        own = sent.filter(pc.equal(sent["n"], m))
+        stats, replies = [], {}
+        for bucket in own["bucket"].unique().to_pylist():
+            for r in _total(own.filter(pc.equal(own["bucket"], bucket))).to_pylist():
+                if r["stats"]:
+                    stats.append(r["stats"])
+                else:
+                    replies[r["piece"], bucket] = r["totals"]
+        assert [sum(x) for x in zip(*stats)][-2:] == [len(want), sum(want.values())]
+        for n, texts_of_piece in enumerate(texts):
+            grams = {g for t in texts_of_piece for g in zip(*[tokens(t)[i:] for i in range(m)])}
+            sizes = {(r["piece"], r["bucket"]): int.from_bytes(r["keys"][:8], "little") for r in own.to_pylist()}
+            got = [int(c) for (piece, b), raw in replies.items() if piece == n for c in _unpack_counts(raw, sizes[piece, b])]
+            assert sorted(got) == sorted(want[g] for g in grams)
