@@ -10,7 +10,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from aerostat.llm.katz import Deal, _emit, _total, _unpack_counts, discounts, score_texts
+from aerostat.llm.katz import Deal, _emit, _total, _unpack_counts, discounts, numbered, score_texts
 from aerostat.llm.queries import id_remainder
 
 from . import brute
@@ -107,3 +107,15 @@ def test_counts_by_many_buckets(buckets):
             sizes = {(r["piece"], r["bucket"]): int.from_bytes(r["keys"][:8], "little") for r in own.to_pylist()}
             got = [int(c) for (piece, b), raw in replies.items() if piece == n for c in _unpack_counts(raw, sizes[piece, b])]
             assert sorted(got) == sorted(want[g] for g in grams)
+
+
+@pytest.mark.parametrize("bits", [3, 48, 53, 64])
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 5000])
+def test_numbers_of_keys(bits, n):
+    """Also of keys that differ in their lowest bits only."""
+    rng = np.random.default_rng(n)
+    for keys in (rng.integers(0, 1 << bits, n, np.uint64), rng.integers(0, 7, n, np.uint64),
+                 np.uint64((1 << bits) - 1) - rng.integers(0, 8, n, np.uint64)):
+        want, first, number = np.unique(keys, return_index=True, return_inverse=True)
+        for got, right in zip(numbered(keys, bits), (want, number, first)):
+            assert got.tolist() == right.tolist()
