@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from aerostat.llm.common import press_texts, small_batches, staged, tidied
-from aerostat.llm.distinct_words import BUCKET, Piece, encoded_words
+from aerostat.llm.distinct_words import BUCKET, SpacedPiece, encoded_words
 from aerostat.llm.files import filesystem, write_whole
 from aerostat.llm.ranges import byte_ranges, range_of
 from aerostat.session import scratch_path
@@ -39,7 +39,7 @@ from aerostat.session import scratch_path
 BLOCK = 2048  # ids of a block
 SEGMENT = 8 << 20  # ids of a segment, about; a longer document is a segment of its own
 PIECE = 8 << 20  # text bytes of a piece, about
-MAGIC = b"IDR2"
+MAGIC = b"IDR3"
 _HEAD = struct.Struct("<4sIII")  # of a segment: mark, ids of a block, blocks, bytes of the packed distribution
 _BLOCK = struct.Struct("<III")  # of a block: ids, coded 16-bit words, checksum
 
@@ -48,13 +48,13 @@ _SURE = 7  # counts of a slot stop here
 _MIX = 12  # bits of the weights of the mixture
 # chances of being right, of 4,096, that a block begins with, by the counts: of order 2; of order 1 by the counts of
 # its first guess (0, 1, more) and its second (0, 1, more)
-START_TWO = np.array([160, 230, 1300, 1600, 1600, 1700, 1900, 2400])
-_FIRST = np.array([[96, 96, 96], [360, 110, 110], [680, 220, 530]])
-_SECOND = np.array([[40, 40, 40], [110, 160, 160], [240, 170, 310]])
+START_TWO = np.array([160, 230, 1300, 1600, 1600, 1700, 1900, 2400], np.uint32)
+_FIRST_RIGHT = np.array([[96, 96, 96], [360, 110, 110], [680, 220, 530]])
+_SECOND_RIGHT = np.array([[40, 40, 40], [110, 160, 160], [240, 170, 310]])
 _N = np.minimum(np.arange(8), 2)
-START_ONE = (_FIRST[_N[:, None], _N] << 16 | _SECOND[_N[:, None], _N]).ravel()
+START_ONE = (_FIRST_RIGHT[_N, _N[:, None]] << 16 | _SECOND_RIGHT[_N, _N[:, None]]).ravel().astype(np.uint32)
 _U = np.uint64
-_TOP, _BOTTOM = _U(1 << 48), _U(1 << 44)
+_LEAST = _U(1 << 48)  # width of an interval, of 64 bits
 
 
 class Distribution:
@@ -67,7 +67,12 @@ class Distribution:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Distribution:
-        found, n = np.unique(ids, return_counts=True)
+        if ids.max() < 1 << 24:
+            n = np.bincount(ids)
+            found = np.flatnonzero(n)
+            n = n[found]
+        else:
+            found, n = np.unique(ids, return_counts=True)
         order = np.argsort(-n, kind="stable")
         found, n = found[order], n[order]
         total = 1 << max(20, len(found).bit_length() + 2)
@@ -75,6 +80,16 @@ class Distribution:
         shares[0] += total - shares.sum()
         return cls(found, shares)
 
+    def ranks(self, ids: np.ndarray) -> np.ndarray:
+        """Places of ids in ``self.ids``."""
+        most = int(self.ids.max())
+        if most < 1 << 24:
+            place = np.zeros(most + 1, np.int64)
+            place[self.ids] = np.arange(len(self.ids))
+            return place[ids]
+        by_id = np.argsort(self.ids)
+        return by_id[np.searchsorted(self.ids, ids, sorter=by_id)]
+
     def packed(self) -> bytes:
         """Differences of the shares, which fall after the first, and the ids."""
         return zlib.compress(b"".join(x.astype("<u4").tobytes() for x in (
@@ -88,124 +103,140 @@ class Distribution:
 
 
 class _Model:
-    """What all blocks ("lanes") of a segment have learnt. Ids are ranks by frequency; tables are laid end to end."""
+    """What all blocks ("lanes") of a segment have learnt. Ids are ranks by frequency; tables are laid end to end.
+
+    Numbers are as narrow as they can be, since each step makes some hundred passes over the lanes.
+    """
 
     def __init__(self, lanes: int, prior: Distribution):
-        self.prior = prior
-        lane = np.arange(lanes)
-        # a slot: rank << 3 | count; of order 1 two of them, the lower half the more frequent
-        self.one, self.two = np.zeros(lanes * _ONE, np.int64), np.zeros(lanes * _TWO, np.int32)
+        self.bits, n = prior.bits, len(prior.ids)
+        self.kind = np.uint32 if _MIX + prior.bits <= 32 and n > 1 else np.uint64  # of shares of the whole; one id has it all
+        self.upto, self.shares = prior.upto.astype(self.kind), prior.shares.astype(self.kind)
+        lane, rank = np.arange(lanes), np.arange(n)
+        self.slot_one, self.slot_two = rank * 0x9E3779B1 >> 9 & _ONE - 1, rank * 0x85EBCA6B >> 11 & _TWO - 1
+        # a slot of order 1: second guess << 32 | first guess << 6 | count of the second << 3 | count of the first;
+        # of order 2: guess << 3 | count
+        self.one, self.two = np.zeros(lanes * _ONE, np.uint64), np.zeros(lanes * _TWO, np.uint32)
         self.all_one, self.all_two, self.all_state_one, self.all_state_two = lane * _ONE, lane * _TWO, lane * 64, lane * 8
         # chance of being right by the counts, of 4,096: order 2; order 1, its first guess << 16 | its second
-        self.right_two = np.tile(START_TWO, lanes)
-        self.right_one = np.tile(START_ONE, lanes)
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.right_two, self.right_one = np.tile(START_TWO, lanes), np.tile(START_ONE, lanes)
+        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)  # the last id, the slot of the one before
+        self.narrow(lanes)
 
     def narrow(self, n: int) -> None:
         """Go on with the first ``n`` lanes."""
         for name in ("all_one", "all_two", "all_state_one", "all_state_two", "last", "before"):
             setattr(self, name, getattr(self, name)[:n])
+        self.g, self.w, self.new = np.empty((3, n), np.uint32), np.empty((3, n), self.kind), np.empty((n, 2), np.uint32)
 
     def predict(self) -> None:
-        """Guesses ``g`` and weights ``w`` of order 2 and order 1 (two), and the weight ``rest`` of order 0."""
-        last = self.last * 0x9E3779B1
-        self.at_one = self.all_one + ((last >> 9) & (_ONE - 1))
-        self.at_two = self.all_two + ((last + self.before * 0x85EBCA6B >> 11) & (_TWO - 1))
-        one = self.one.take(self.at_one)
-        self.say_two = self.two.take(self.at_two).astype(np.int64)
-        self.first, self.second = one & 0xFFFFFFFF, one >> 32
-        self.n = self.say_two & 7, self.first & 7, self.second & 7
-        self.g = self.say_two >> 3, self.first >> 3, self.second >> 3
-        self.state_two = self.all_state_two + self.n[0]
-        self.state_one = self.all_state_one + (self.n[1] << 3) + self.n[2]
-        self.p_two, p_one = self.right_two.take(self.state_two), self.right_one.take(self.state_one)
-        self.p_first, self.p_second = p_one >> 16, p_one & 0xFFFF
-        rest = (1 << _MIX) - self.p_two
-        first = rest * self.p_first >> _MIX
-        rest = rest - first
-        second = rest * self.p_second >> _MIX
-        self.rest = rest - second  # 1 at least: 4096 less 4032, and of that twice no more than 15/16
-        self.w = self.p_two, first, second
-
-    def learn(self, ids: np.ndarray) -> None:
-        hit_two, hit_first, hit_second = (g == ids for g in self.g)
-        n_two, n_first, n_second = self.n
-        self.right_two[self.state_two] = self.p_two + ((hit_two * 4000 + 32 - self.p_two) >> 4)
-        # order 1 answers for what order 2 does not know
-        open_two = ~hit_two
-        first = self.p_first + ((hit_first * 3800 + 32 - self.p_first) >> 4) * open_two
-        second = self.p_second + ((hit_second * 3800 + 32 - self.p_second) >> 4) * (open_two & ~hit_first)
-        self.right_one[self.state_one] = first << 16 | second
-        fresh = ids << 3 | 1
-        self.two[self.at_two] = np.where(hit_two, self.say_two + (n_two < _SURE), np.where(n_two > 1, self.say_two - 1, fresh))
-        second = np.where(hit_second, self.second + (n_second < _SURE), np.where(
-            hit_first, self.second, np.where(n_second > 1, self.second - 1, fresh)))
-        first = self.first + (hit_first & (n_first < _SURE))
-        swap = (second & 7) > (first & 7)
-        self.one[self.at_one] = np.where(swap, second | first << 32, first | second << 32)
-        self.before, self.last = self.last, ids
-
-    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of each id in the mixture, of a total of ``1 << _MIX + prior.bits``."""
-        start, width = np.zeros_like(ids), np.zeros_like(ids)
-        for g, w in zip(self.g, self.w):
-            start += w * (g < ids)
-            width += w * (g == ids)
-        bits = self.prior.bits
-        return (start << bits) + self.rest * self.prior.upto.take(ids), (width << bits) + self.rest * self.prior.shares.take(ids)
+        """Guesses ``g`` of order 2 and order 1 (two), their weights ``w``, and the weight ``rest`` of order 0."""
+        slot = self.slot_two.take(self.last)
+        self.at_one = self.slot_one.take(self.last) + self.all_one
+        self.at_two = (slot ^ self.before) + self.all_two
+        self.before = slot >> 1
+        self.say_two = two = self.two.take(self.at_two)
+        one = self.one.take(self.at_one).view(np.uint32)
+        low, g, w = one[::2], self.g, self.w
+        np.right_shift(two, 3, out=g[0])
+        np.right_shift(low, 6, out=g[1])
+        g[2] = one[1::2]
+        self.n_two, self.n_one = two & 7, low & 63
+        self.state_two, self.state_one = self.all_state_two + self.n_two, self.all_state_one + self.n_one
+        self.p_two, self.p_one = p_two, p_one = self.right_two.take(self.state_two), self.right_one.take(self.state_one)
+        w[0] = p_two
+        rest = (1 << _MIX) - w[0]
+        np.right_shift(rest * (p_one >> 16), _MIX, out=w[1])
+        rest -= w[1]
+        np.right_shift(rest * (p_one & 0xFFFF), _MIX, out=w[2])
+        rest -= w[2]
+        self.rest = rest  # 1 at least: 4096 less 4032, and of that twice no more than 15/16
+        self.wide = w << self.bits
+
+    def interval(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of each id (``at``: the same as an index) in the mixture, of ``1 << _MIX + bits``.
+
+        A guess adds its weight at the start of its id's own interval.
+        """
+        self.hit = self.g == ids
+        before, own = self.wide * (self.g < ids), self.wide * self.hit
+        start, width = self.rest * self.upto.take(at), self.rest * self.shares.take(at)
+        for k in range(3):
+            start += before[k]
+            width += own[k]
+        return start, width
 
     def find(self, value: np.ndarray, rank_of: np.ndarray) -> np.ndarray:
-        """Ids whose intervals hold the values. ``rank_of`` maps a place in order 0 to its id."""
-        bits, upto = self.prior.bits, self.prior.upto
-        found, below = None, np.zeros_like(value)  # below: weights of the guesses before the value
-        for g, w in zip(self.g, self.w):
-            less, own = np.zeros_like(value), np.zeros_like(value)
-            for g2, w2 in zip(self.g, self.w):
-                less += w2 * (g2 < g)
-                own += w2 * (g2 <= g)
-            passed = (own << bits) + self.rest * upto.take(g + 1) <= value
-            here = ((less << bits) + self.rest * upto.take(g) <= value) & ~passed
-            below += w * passed
-            found = np.where(here, g, -1 if found is None else found)
-        other = rank_of.take((value - (below << bits)) // self.rest, mode="clip")  # clipped where a guess is right
-        return np.where(found < 0, other, found)
-
-
-class _Coder:
-    """Interval of every lane: 64 bits, shifted out 16 at a time without carries.
-
-    ``shifted`` is called with the lanes whose upper 16 bits are certain,
-    and these bits.
-    """
-
-    def __init__(self, lanes: int, shifted):
-        self.low, self.span, self.shifted = np.zeros(lanes, _U), np.full(lanes, ~_U(0)), shifted
-
-    def settle(self) -> None:
-        """Shift out what is certain; then every interval is ``_BOTTOM`` wide at least."""
-        a, b, some = self.low, self.span, None
-        while True:
-            sure = (a ^ (a + b)) < _TOP
-            small = b < _BOTTOM
-            if small.any():
-                small &= ~sure
-                b = np.where(small, (~a + _U(1)) & (_BOTTOM - _U(1)), b)
-                sure |= small
-            at = np.flatnonzero(sure)
-            if not len(at):
-                return
-            some = at if some is None else some[at]
-            a, b = a[at], b[at]
-            self.shifted(some, a >> _U(48))
-            a, b = a << _U(16), b << _U(16)
-            self.low[some], self.span[some] = a, b
-
-    def narrow(self, n: int) -> None:
-        self.low, self.span = self.low[:n], self.span[:n]
-
-    def take(self, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        self.low += unit * start.astype(_U)
-        self.span = unit * width.astype(_U)
+        """Ids whose intervals hold the values. ``rank_of`` maps a place in order 0 to its id.
+
+        The guesses are taken out by rising ids: a value beyond a guess's
+        weight moves down by it, one within it to its start. What is left
+        is a value of order 0 alone.
+        """
+        key = (self.g.astype(self.kind) << _MIX) + self.w  # 2**18 ids at most where 32 bits have to do
+        low, high = np.minimum(key[0], key[1]), np.maximum(key[0], key[1])
+        middle = np.minimum(high, key[2])
+        key[2], key[0], key[1] = np.maximum(high, key[2]), np.minimum(low, middle), np.maximum(low, middle)
+        starts, weights = self.rest * self.upto.take(key >> _MIX, mode="clip"), (key & (1 << _MIX) - 1) << self.bits
+        for start, weight in zip(starts, weights):
+            value = value - np.minimum(value - np.minimum(value, start), weight)
+        return rank_of.take(value // self.rest)
+
+    def learn(self, ids: np.ndarray, at: np.ndarray) -> None:
+        hit_two, hit_first, hit_second = self.hit.view(np.uint8)
+        both = hit_first << 1 | hit_second
+        hits = (hit_two << 2 | both).astype(np.intp)
+        p_two, p_one = self.p_two, self.p_one
+        self.right_two[self.state_two] = p_two - (p_two >> 4) + _AIM_TWO.take(hits)
+        self.right_one[self.state_one] = p_one - (p_one >> 4 & _OPEN_ONE.take(hits)) + _AIM_ONE.take(hits)
+
+        self.two[self.at_two] = ids << 3 | 1
+        some = np.flatnonzero(hit_two | (self.n_two > 1))
+        if len(some):
+            self.two[self.at_two[some]] = self.say_two[some] + _STEP_TWO.take(hit_two[some] << 3 | self.n_two[some])
+
+        case = (both.astype(np.uint32) << 6) + self.n_one
+        act, new = _ACT.take(case), self.new
+        np.bitwise_or(self.g[1] << 6, _COUNTS.take(case), out=new[:, 0])
+        new[:, 1] = np.where(act == _SECOND, ids, self.g[2])
+        some = np.flatnonzero(act > _SECOND)
+        if len(some):
+            swap, counts = act[some] == _SWAP, new[some, 0] & 63
+            new[some, 1] = np.where(swap, self.g[1][some], 0)
+            new[some, 0] = np.where(swap, self.g[2][some], ids[some]) << 6 | counts
+        self.one[self.at_one] = new.view(np.uint64).ravel()
+        self.last = at
+
+
+def _cases() -> tuple[np.ndarray, np.ndarray]:
+    """What becomes of a slot of order 1, by (first guess right, second right, count of the second, of the first)."""
+    act, counts = np.zeros(256, np.uint8), np.zeros(256, np.uint32)
+    for case in range(256):
+        first, second, n_first, n_second = case >> 7, case >> 6 & 1, case & 7, case >> 3 & 7
+        if not n_first:
+            act[case], n_first = _FIRST, 1
+        elif first:
+            n_first = min(n_first + 1, _SURE)
+        elif second:
+            n_second = min(n_second + 1, _SURE)
+            if n_second > n_first:
+                act[case], n_first, n_second = _SWAP, n_second, n_first
+        elif n_second > 1:  # a guess that fails often makes room
+            n_second -= 1
+        else:
+            act[case], n_second = _SECOND, 1
+        counts[case] = n_second << 3 | n_first
+    return act, counts
+
+
+_SECOND, _FIRST, _SWAP = 1, 2, 3  # the id becomes the second guess, the first; the guesses change places
+_ACT, _COUNTS = _cases()
+_STEP_TWO = np.array([-1] * 8 + [1] * _SURE + [0]).astype(np.uint32)  # by right, count; sums go round at 2**32
+# by right (order 2, first guess, second) what a sixteenth of the old chances makes room for; order 1 answers for what
+# order 2 does not know, its second guess for what the first does not
+_AIM_TWO = np.array([2] * 4 + [252] * 4, np.uint32)
+_OPEN_ONE = np.array([0x0FFF0FFF, 0x0FFF0FFF, 0x0FFF0000, 0x0FFF0000, 0, 0, 0, 0], np.uint32)
+_AIM_ONE = np.array([2 << 16 | 2, 2 << 16 | 239, 239 << 16, 239 << 16, 0, 0, 0, 0], np.uint32)
 
 
 def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -216,46 +247,60 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
     prior = Distribution.of(ids)
     packed = prior.packed()
     out = [_HEAD.pack(MAGIC, block, lanes, len(packed)), packed]
-    by_id = np.argsort(prior.ids)
     last = len(ids) - block * (lanes - 1)
-    flat = np.zeros(lanes * block, np.int64)
-    flat[:len(ids)] = by_id[np.searchsorted(prior.ids, ids, sorter=by_id)]
+    flat = np.zeros(lanes * block, np.uint32)
+    flat[:len(ids)] = prior.ranks(ids)
     grid = np.ascontiguousarray(flat.reshape(lanes, block)[:, :block if lanes > 1 else last].T)
     del flat
     model = _Model(lanes, prior)
     total = _U(_MIX + prior.bits)
     room = len(grid) + 64
-    words, at = np.zeros(lanes * room, np.uint16), np.zeros(lanes, np.int64)
-
-    def shifted(some, bits):
-        place = at[some]
-        words[some * room + place] = bits
-        at[some] = place + 1
-
-    coder = _Coder(lanes, shifted)
+    words, at = np.zeros(lanes * room, np.int32), np.arange(lanes) * room
+    low, span = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
     rest = []  # of the last lane, when it is over
     for step, row in enumerate(grid):
         if lanes > 1 and step == last:
-            rest.append(coder.low[-1])
+            rest.append(low[-1])
             model.narrow(lanes - 1)
-            coder.narrow(lanes - 1)
-        row = row[:len(coder.low)]
+            low, span = low[:-1], span[:-1]
+        row = row[:len(low)]
+        index = row.astype(np.intp)
         model.predict()
-        coder.take(coder.span >> total, *model.interval(row))
-        coder.settle()
-        model.learn(row)
-        if step % 16 == 0 and at.max() + 64 > room:
-            words, room = np.concatenate([words.reshape(lanes, room), np.zeros((lanes, room), np.uint16)], axis=1).ravel(), \
-                2 * room
-    low = np.concatenate([coder.low, np.array(rest, _U)])
+        start, width = model.interval(row, index)
+        unit = span >> total
+        add = unit * start
+        low = low + add
+        over = np.flatnonzero(low < add)
+        if len(over):  # a carry goes to the last word, and further at the end
+            words[at[over] - 1] += 1
+        span = unit * width
+        some = np.flatnonzero(span < _LEAST)
+        while len(some):
+            a, b, place = low[some], span[some] << _U(16), at[some]
+            words[place] = a >> _U(48)
+            at[some] = place + 1
+            low[some], span[some] = a << _U(16), b
+            some = some[b < _LEAST]
+        model.learn(row, index)
+        if step % 16 == 0 and (at - np.arange(lanes) * room).max() + 64 > room:
+            words = np.concatenate([words.reshape(lanes, room), np.zeros((lanes, room), np.int32)], axis=1).ravel()
+            at += np.arange(lanes) * room
+            room *= 2
+    low = np.concatenate([low, np.array(rest, _U)])
     for _ in range(4):  # the rest of each lane
-        shifted(np.arange(lanes), low >> _U(48))
+        words[at] = low >> _U(48)
+        at += 1
         low = low << _U(16)
-    plain, words = ids.astype("<u4"), words.reshape(lanes, room)
+    words = words.reshape(lanes, room)
+    while len(over := np.argwhere(words > 0xFFFF)):
+        words[over[:, 0], over[:, 1]] -= 1 << 16
+        np.add.at(words, (over[:, 0], over[:, 1] - 1), 1)
+    at -= np.arange(lanes) * room
+    plain, words = ids.astype("<u4"), words.astype("<u2")
     for k in range(lanes):
         own = plain[k * block:(k + 1) * block]
-        out.append(_BLOCK.pack(len(own), int(at[k]), zlib.crc32(own.tobytes())))
-        out.append(words[k, :at[k]].astype("<u2").tobytes())
+        out.append(_BLOCK.pack(len(own), int(at[k]), zlib.crc32(own)))
+        out.append(words[k, :at[k]].tobytes())
     return b"".join(out)
 
 
@@ -290,40 +335,43 @@ def decode_segment(raw: bytes, only: int | None = None) -> np.ndarray:
     for k, (_, own, _) in enumerate(blocks):
         words[k, :len(own)] = own
     words, last = words.ravel(), sizes[-1]
-    code = np.zeros(lanes, _U)
+    code = np.zeros(lanes, _U)  # less the lower end of the interval
     next_word = np.arange(lanes) * room
     limit = next_word + room - 1
     for _ in range(4):
         code = (code << _U(16)) | words[next_word].astype(_U)
         next_word += 1
-
-    def shifted(some, _):
-        place = next_word[some]
-        code[some] = (code[some] << _U(16)) | words.take(np.minimum(place, limit[some])).astype(_U)
-        next_word[some] = place + 1
-
-    model, coder = _Model(lanes, prior), _Coder(lanes, shifted)
+    span = np.full(lanes, ~_U(0))
+    model = _Model(lanes, prior)
     total = _U(_MIX + prior.bits)
     most = (_U(1) << total) - _U(1)
-    rank_of = np.repeat(np.arange(len(prior.ids)), prior.shares)
-    grid = np.zeros((max(sizes), lanes), np.int32)
+    rank_of = np.repeat(np.arange(len(prior.ids), dtype=np.uint32), prior.shares)
+    grid = np.zeros((max(sizes), lanes), np.uint32)
     for step, row in enumerate(grid):
         if lanes > 1 and step == last:
             model.narrow(lanes - 1)
-            coder.narrow(lanes - 1)
-        n = len(coder.low)
+            code, span = code[:-1], span[:-1]
         model.predict()
-        unit = coder.span >> total
-        ids = model.find(np.minimum((code[:n] - coder.low) // unit, most).astype(np.int64), rank_of)
-        coder.take(unit, *model.interval(ids))
-        coder.settle()
-        model.learn(ids)
-        row[:n] = ids
+        unit = span >> total
+        ids = row[:len(code)]
+        ids[:] = model.find(np.minimum(code // unit, most).astype(model.kind), rank_of)
+        index = ids.astype(np.intp)
+        start, width = model.interval(ids, index)
+        code = code - unit * start
+        span = unit * width
+        some = np.flatnonzero(span < _LEAST)
+        while len(some):
+            place, b = next_word[some], span[some] << _U(16)
+            code[some] = (code[some] << _U(16)) | words.take(np.minimum(place, limit[some]))
+            next_word[some] = place + 1
+            span[some] = b
+            some = some[b < _LEAST]
+        model.learn(ids, index)
     out = np.ascontiguousarray(grid.T)
     flat = prior.ids[np.concatenate([out[k, :size] for k, size in enumerate(sizes)])]
     plain, done = flat.astype("<u4"), 0
     for k, (size, _, crc) in enumerate(blocks):
-        if zlib.crc32(plain[done:done + size].tobytes()) != crc:
+        if zlib.crc32(plain[done:done + size]) != crc:
             raise ValueError(f"block {k if only is None else only} is damaged")
         done += size
     return flat
@@ -346,11 +394,6 @@ def _encoder(path: str):
     return lambda words: [e.ids for e in batch(words, add_special_tokens=False)]
 
 
-def _ascii_words():
-    """Splits at ASCII white space, which every tokenizer that drops white space does, too."""
-    return bytes.split
-
-
 # --- files ------------------------------------------------------------------------
 
 _PART = struct.Struct("<4sIII")  # of a segment in a file: mark, bytes of the packed documents, of the coded ids, checksum of the former
@@ -385,14 +428,14 @@ def read_parts(stream) -> Iterator[tuple[pa.Array, np.ndarray, bytes]]:
 MANIFEST = "file string, piece int, documents long, ids long, bytes long"
 
 
-def _write(make_split, buckets: int, end: int, kind: type, segment: int, root: str):
+def _write(buckets: int, end: int, kind: type, segment: int, root: str):
     schema = pa.schema([("file", pa.string()), ("piece", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
         number = docs.column("piece")[0].as_py()
-        piece = Piece(docs, make_split(), buckets)
+        piece = SpacedPiece(docs, buckets)
         ids, ends = piece.reassemble(words, kind)
         counts = np.diff(ends) + 1
         ids = np.insert(ids, ends[1:], end)
@@ -454,9 +497,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int, text: str = "te
         return pd.Series([range_of(places.value, None if pd.isna(i) else int(i), d) for i, d in zip(ids, digests)], dtype="int64")
 
     dealt = press_texts(rows.withColumn("piece", piece_of(F.col("doc_id").cast("decimal(20,0)"), "digest")))
-    words = encoded_words(dealt, _ascii_words, partial(_encoder, tokenizer), buckets, kind)
+    # every tokenizer that drops white space cuts at ASCII white space, too
+    words = encoded_words(dealt, None, partial(_encoder, tokenizer), buckets, kind)
     files = dealt.groupBy("piece").cogroup(words.groupBy("piece")).applyInArrow(
-        tidied(_write(_ascii_words, buckets, end, kind, segment, root)), MANIFEST)
+        tidied(_write(buckets, end, kind, segment, root)), MANIFEST)
     return root, staged(files, "token_manifest")
 
 
