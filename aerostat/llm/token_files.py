@@ -131,19 +131,19 @@ class _Model:
 
     def predict(self) -> None:
         """Guesses ``g`` of order 2 and order 1 (two), their weights ``w``, and the weight ``rest`` of order 0."""
-        slot = self.slot_two.take(self.last)
-        self.at_one = self.slot_one.take(self.last) + self.all_one
+        slot = self.slot_two[self.last]
+        self.at_one = self.slot_one[self.last] + self.all_one
         self.at_two = (slot ^ self.before) + self.all_two
         self.before = slot >> 1
-        self.say_two = two = self.two.take(self.at_two)
-        one = self.one.take(self.at_one).view(np.uint32)
+        self.say_two = two = self.two[self.at_two]
+        one = self.one[self.at_one].view(np.uint32)
         low, g, w = one[::2], self.g, self.w
         np.right_shift(two, 3, out=g[0])
         np.right_shift(low, 6, out=g[1])
         g[2] = one[1::2]
         self.n_two, self.n_one = two & 7, low & 63
         self.state_two, self.state_one = self.all_state_two + self.n_two, self.all_state_one + self.n_one
-        self.p_two, self.p_one = p_two, p_one = self.right_two.take(self.state_two), self.right_one.take(self.state_one)
+        self.p_two, self.p_one = p_two, p_one = self.right_two[self.state_two], self.right_one[self.state_one]
         w[0] = p_two
         rest = (1 << _MIX) - w[0]
         np.right_shift(rest * (p_one >> 16), _MIX, out=w[1])
@@ -159,11 +159,9 @@ class _Model:
         A guess adds its weight at the start of its id's own interval.
         """
         self.hit = self.g == ids
-        before, own = self.wide * (self.g < ids), self.wide * self.hit
-        start, width = self.rest * self.upto.take(at), self.rest * self.shares.take(at)
-        for k in range(3):
-            start += before[k]
-            width += own[k]
+        start, width = self.rest * self.upto[at], self.rest * self.shares[at]
+        start += np.add.reduce(self.wide * (self.g < ids), axis=0, dtype=self.kind)
+        width += np.add.reduce(self.wide * self.hit, axis=0, dtype=self.kind)
         return start, width
 
     def find(self, value: np.ndarray, rank_of: np.ndarray) -> np.ndarray:
@@ -177,61 +175,59 @@ class _Model:
         low, high = np.minimum(key[0], key[1]), np.maximum(key[0], key[1])
         middle = np.minimum(high, key[2])
         key[2], key[0], key[1] = np.maximum(high, key[2]), np.minimum(low, middle), np.maximum(low, middle)
-        starts, weights = self.rest * self.upto.take(key >> _MIX, mode="clip"), (key & (1 << _MIX) - 1) << self.bits
+        starts, weights = self.rest * self.upto[key >> _MIX], (key & (1 << _MIX) - 1) << self.bits
         for start, weight in zip(starts, weights):
             value = value - np.minimum(value - np.minimum(value, start), weight)
-        return rank_of.take(value // self.rest)
+        return rank_of[value // self.rest]
 
     def learn(self, ids: np.ndarray, at: np.ndarray) -> None:
         hit_two, hit_first, hit_second = self.hit.view(np.uint8)
         both = hit_first << 1 | hit_second
         hits = (hit_two << 2 | both).astype(np.intp)
         p_two, p_one = self.p_two, self.p_one
-        self.right_two[self.state_two] = p_two - (p_two >> 4) + _AIM_TWO.take(hits)
-        self.right_one[self.state_one] = p_one - (p_one >> 4 & _OPEN_ONE.take(hits)) + _AIM_ONE.take(hits)
+        self.right_two[self.state_two] = p_two - (p_two >> 4) + _AIM_TWO[hits]
+        self.right_one[self.state_one] = p_one - (p_one >> 4 & _OPEN_ONE[hits]) + _AIM_ONE[hits]
 
-        self.two[self.at_two] = ids << 3 | 1
-        some = np.flatnonzero(hit_two | (self.n_two > 1))
-        if len(some):
-            self.two[self.at_two[some]] = self.say_two[some] + _STEP_TWO.take(hit_two[some] << 3 | self.n_two[some])
+        case = (hit_two << 3).astype(np.uint32) | self.n_two
+        self.two[self.at_two] = np.where(_STAYS[case], self.say_two + _STEP_TWO[case], ids << 3 | 1)
 
         case = (both.astype(np.uint32) << 6) + self.n_one
-        act, new = _ACT.take(case), self.new
-        np.bitwise_or(self.g[1] << 6, _COUNTS.take(case), out=new[:, 0])
-        new[:, 1] = np.where(act == _SECOND, ids, self.g[2])
-        some = np.flatnonzero(act > _SECOND)
-        if len(some):
-            swap, counts = act[some] == _SWAP, new[some, 0] & 63
-            new[some, 1] = np.where(swap, self.g[1][some], 0)
-            new[some, 0] = np.where(swap, self.g[2][some], ids[some]) << 6 | counts
+        first, new = self.g[1], self.new
+        second, moves = np.where(_FRESH[case], ids, self.g[2]), _MOVES[case]
+        np.bitwise_or(np.where(moves, second, first) << 6, _COUNTS[case], out=new[:, 0])
+        new[:, 1] = np.where(moves, first, second)
         self.one[self.at_one] = new.view(np.uint64).ravel()
         self.last = at
 
 
-def _cases() -> tuple[np.ndarray, np.ndarray]:
-    """What becomes of a slot of order 1, by (first guess right, second right, count of the second, of the first)."""
-    act, counts = np.zeros(256, np.uint8), np.zeros(256, np.uint32)
+def _cases() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What becomes of a slot of order 1, by (first guess right, second right, count of the second, of the first).
+
+    Whether the id becomes the second guess, whether the guesses change places then, and the counts.
+    """
+    fresh, moves, counts = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, np.uint32)
     for case in range(256):
         first, second, n_first, n_second = case >> 7, case >> 6 & 1, case & 7, case >> 3 & 7
         if not n_first:
-            act[case], n_first = _FIRST, 1
+            fresh[case], n_second = True, 1
         elif first:
             n_first = min(n_first + 1, _SURE)
         elif second:
             n_second = min(n_second + 1, _SURE)
-            if n_second > n_first:
-                act[case], n_first, n_second = _SWAP, n_second, n_first
         elif n_second > 1:  # a guess that fails often makes room
             n_second -= 1
         else:
-            act[case], n_second = _SECOND, 1
+            fresh[case], n_second = True, 1
+        if n_second > n_first:
+            moves[case], n_first, n_second = True, n_second, n_first
         counts[case] = n_second << 3 | n_first
-    return act, counts
+    return fresh, moves, counts
 
 
-_SECOND, _FIRST, _SWAP = 1, 2, 3  # the id becomes the second guess, the first; the guesses change places
-_ACT, _COUNTS = _cases()
-_STEP_TWO = np.array([-1] * 8 + [1] * _SURE + [0]).astype(np.uint32)  # by right, count; sums go round at 2**32
+_FRESH, _MOVES, _COUNTS = _cases()
+# of order 2, by right, count: whether the guess stays, and what is added to its count; sums go round at 2**32
+_STAYS = np.array([n > 1 for n in range(8)] + [True] * 8)
+_STEP_TWO = np.array([-1] * 8 + [1] * _SURE + [0]).astype(np.uint32)
 # by right (order 2, first guess, second) what a sixteenth of the old chances makes room for; order 1 answers for what
 # order 2 does not know, its second guess for what the first does not
 _AIM_TWO = np.array([2] * 4 + [252] * 4, np.uint32)
@@ -270,11 +266,11 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
         unit = span >> total
         add = unit * start
         low = low + add
-        over = np.flatnonzero(low < add)
+        over = (low < add).nonzero()[0]
         if len(over):  # a carry goes to the last word, and further at the end
             words[at[over] - 1] += 1
         span = unit * width
-        some = np.flatnonzero(span < _LEAST)
+        some = (span < _LEAST).nonzero()[0]
         while len(some):
             a, b, place = low[some], span[some] << _U(16), at[some]
             words[place] = a >> _U(48)
@@ -359,7 +355,7 @@ def decode_segment(raw: bytes, only: int | None = None) -> np.ndarray:
         start, width = model.interval(ids, index)
         code = code - unit * start
         span = unit * width
-        some = np.flatnonzero(span < _LEAST)
+        some = (span < _LEAST).nonzero()[0]
         while len(some):
             place, b = next_word[some], span[some] << _U(16)
             code[some] = (code[some] << _U(16)) | words.take(np.minimum(place, limit[some]))

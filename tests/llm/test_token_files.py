@@ -1,17 +1,21 @@
 from __future__ import annotations
 
 import glob
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from aerostat.llm.common import pressed
+from aerostat.llm.distinct_words import Piece, SpacedPiece
 from aerostat.llm.queries import token_files
-from aerostat.llm.token_files import Distribution, decode_segment, encode_segment, read_token_files, write_token_files
+from aerostat.llm.token_files import Distribution, _Model, decode_segment, encode_segment, read_token_files, write_token_files
 
 from .conftest import SF, texts_of
 
@@ -78,6 +82,56 @@ def test_damage_is_found():
         decode_segment(b"nothing like it at all")
 
 
+def dealt(texts):
+    n = len(texts)
+    return pa.table({"doc_id": pa.array(range(n), pa.int64()), "digest": pa.array([b""] * n),
+                     "text": pa.array([pressed(t.encode()) for t in texts], pa.binary())})
+
+
+def test_words_between_white_space():
+    """Words cut and numbered by Arrow are those of ``bytes.split``, and empty ones at the ends of a text."""
+    texts = ["", " ", "a", " a  b\x0ba\x0c", "\r\nB\tb ", "\xa0x\x1cy\x85z\u2003 é\u3000ß", "a b" * 50, "\x00 \x00"]
+    buckets = 3
+    piece = SpacedPiece(dealt(texts), buckets)
+    words = [w.encode() for w in piece.words.to_pylist()]
+    got = [[words[c] for c in piece.codes[s:e] if words[c]] for s, e in zip(piece.ends, piece.ends[1:])]
+    assert got == [t.encode().split() for t in texts]
+    sent = []
+    for bucket, raw, sizes in piece.messages():
+        ends = np.cumsum(sizes).tolist()
+        sent += [(bucket, raw[s:e]) for s, e in zip([0, *ends], ends)]
+    assert sorted(w for _, w in sent) == sorted(words) and [words[i] for i in piece.order] == [w for _, w in sent]
+    assert all(0 <= b < buckets for b, _ in sent)
+
+
+def test_words_are_cut_without_python_objects():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{n}" for n in rng.zipf(1.3, 20_000) % 60_000) for _ in range(12)]
+    table = dealt(texts)
+
+    def cost(make):
+        best = float("inf")
+        for _ in range(3):
+            begin = time.process_time()
+            make()
+            best = min(best, time.process_time() - begin)
+        return best
+
+    assert cost(lambda: SpacedPiece(table, 50)) < 0.8 * cost(lambda: Piece(table, bytes.split, 50))
+
+
+def test_numbers_of_the_model_are_narrow():
+    """Half the width of before, but where 32 bits do not hold the shares of the whole."""
+    of = {n: _Model(3, Distribution.of(np.arange(n))) for n in (1, 2, 49_408, 300_000)}
+    assert [m.kind for m in of.values()] == [np.uint64, np.uint32, np.uint32, np.uint64]
+    for n, m in of.items():
+        m.predict()
+        ids = np.array([0, n // 2, n - 1], np.uint32)
+        start, width = m.interval(ids, ids.astype(np.intp))
+        assert start.dtype == width.dtype == m.kind
+        assert (width > 0).all() and int(start[-1]) + int(width[-1]) == 1 << 12 + m.bits
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_files(odd_docs, small):
     more = {"piece_bytes": 400, "segment": 300} if small else {}
